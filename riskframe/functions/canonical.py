@@ -81,8 +81,19 @@ def digest(text: Column) -> Column:
 
 
 def category_key(column: Column, data_type: T.DataType) -> Column:
-    """Typed key of a category value, NULL when missing."""
-    return F.when(~is_missing(column, data_type), cell_text(column, data_type, unify_numbers=True))
+    """Typed key of a category value, NULL when missing.
+
+    One cell alone needs no length mark, and without it keys sort like their values.
+    """
+    if isinstance(data_type, T.StringType):
+        key = F.concat(F.lit("string:"), column)
+    elif isinstance(data_type, T.BooleanType):
+        key = F.concat(F.lit("boolean:"), column.cast("string"))
+    elif isinstance(data_type, INTEGRAL + FLOATING + (T.DecimalType,)):
+        key = F.concat(F.lit("number:"), column.cast("double").cast("string"))
+    else:
+        key = cell_text(column, data_type)
+    return F.when(~is_missing(column, data_type), key)
 
 
 def category_token(key: Column) -> Column:
