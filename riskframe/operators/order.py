@@ -368,8 +368,8 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
-        *groups,
-        "_bucket",
+        *[quoted(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        F.col("_bucket").alias("_at"),
         *[
             F.coalesce(F.sum(f"_{m}").over(higher), F.lit(0)).alias(f"_{m}_offset")
             for m in measures
@@ -380,8 +380,11 @@ def running_totals(
         .orderBy(F.col(number).desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    same = F.col("_bucket") == F.col("_at")
+    for i, group in enumerate(groups):
+        same = same & quoted(group).eqNullSafe(F.col(f"_g{i}"))
     # One row per group and bucket: bounded by the number of splits, hence the broadcast.
-    return placed.join(F.broadcast(offsets), [*groups, "_bucket"]).select(
+    return placed.join(F.broadcast(offsets), same).select(
         *[quoted(c) for c in counts.columns],
         *[
             (F.col(f"_{m}_offset") + F.sum(m).over(within) - F.col(m)).alias(f"{m}_above")

@@ -23,12 +23,15 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     probabilities: Sequence[float],
-    buffer_rows: int = BUFFER_ROWS,
+    buffer_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row per group: ``quantiles array<double>``, NULL where the group has no value.
 
     ``groups`` must name few groups (features, sides); rows per group are unbounded.
+    ``largest`` is the row count of the largest group where the caller knows it already.
     """
+    limit = BUFFER_ROWS if buffer_rows is None else buffer_rows
     known = df.select(
         *groups, F.when(~F.isnan(F.col(value)), F.col(value)).cast("double").alias("v")
     )
@@ -36,9 +39,10 @@ def exact_quantiles(
     brackets = [
         p for q in probabilities for p in (max(q - margin, 0.0), min(q + margin, 1.0))
     ]
-    sizes = known.groupBy(*groups).agg(F.count("v").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= buffer_rows:
+    if largest is None:
+        sizes = known.groupBy(*groups).agg(F.count("v").alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest <= limit:
         # A group of only missing values gives NULL by itself.
         return known.groupBy(*groups).agg(
             F.percentile("v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("quantiles")
