@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import category_key, category_token
+from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.scalars import even_probabilities
 from riskframe.functions.values import (
     is_measured,
@@ -213,7 +214,8 @@ def bucket_order(features: Sequence[str], top: DataFrame, spark: SparkSession) -
     tokens = top.select(
         "feature", category_token(F.col("value")).alias("bucket"), F.col("place").alias("position")
     )
-    fixed = spark.createDataFrame(
+    fixed = local_rows(
+        spark,
         [(f, b, 1000 + i) for f in features for i, b in enumerate((OTHER, MISSING, UNKNOWN))],
         "feature string, bucket string, position int",
     )
@@ -283,11 +285,6 @@ class ReferenceState:
         return cls(contract, counted, **tables)
 
 
-def _local(df: DataFrame) -> DataFrame:
-    """Freeze a table bounded by the contract as a local one."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
-
-
 def side_profile(
     df: DataFrame, contract: Contract, extra: Sequence[float] = ()
 ) -> tuple[DataFrame, DataFrame]:
@@ -297,16 +294,16 @@ def side_profile(
     """
     roles = numeric_roles(contract)
     spark = df.sparkSession
-    no_edges = spark.createDataFrame([], "feature string, edges array<double>")
+    no_edges = local_rows(spark, [], "feature string, edges array<double>")
     if not roles:
-        return spark.createDataFrame([], PROFILE), no_edges
+        return local_rows(spark, [], PROFILE), no_edges
     long = numeric_long(df, contract)
-    role_rows = spark.createDataFrame(roles, "feature string, role string")
-    counted = _local(numeric_profile(long).join(F.broadcast(role_rows), "feature"))
+    role_rows = local_rows(spark, roles, "feature string, role string")
+    counted = freeze(numeric_profile(long).join(F.broadcast(role_rows), "feature"))
     if not contract.numeric:
         empty = [F.lit(None).cast("double").alias(c) for c in ("q05", "q50", "q95")]
         return counted.select("*", *empty).select(PROFILE_COLUMNS), no_edges
-    quantiles = _local(
+    quantiles = freeze(
         exact_quantiles(
             long.filter(F.col("feature").isin(list(contract.numeric))),
             ["feature"],
@@ -356,32 +353,32 @@ def fit_reference(reference: DataFrame, contract: Contract) -> ReferenceState:
     if absent:
         raise ContractError(f"reference lacks columns: {', '.join(absent)}")
     profile, edges = side_profile(reference, contract, even_probabilities(contract.bins))
-    profile = _local(profile)
+    profile = freeze(profile)
     for row in profile.collect():
         if row.role != NUMERIC and row.finite_count == 0:
             raise ContractError(f"reference {row.role} column {row.feature!r} has no valid value")
     if numeric_roles(contract):
-        bins = _local(reference_bins(profile, edges))
-        numeric = _local(numeric_buckets(numeric_long(reference, contract), bins))
+        bins = freeze(reference_bins(profile, edges))
+        numeric = freeze(numeric_buckets(numeric_long(reference, contract), bins))
     else:
-        bins = spark.createDataFrame([], BIN_SPEC)
-        numeric = spark.createDataFrame([], BUCKETS)
+        bins = local_rows(spark, [], BIN_SPEC)
+        numeric = local_rows(spark, [], BUCKETS)
     if contract.categorical:
         categories = category_counts(categorical_long(reference, contract))
-        top = _local(top_categories(categories, contract.top_k))
+        top = freeze(top_categories(categories, contract.top_k))
         routed = category_buckets(categories, categories, top)
         order = bucket_order(contract.categorical, top, spark)
-        categorical = _local(
+        categorical = freeze(
             order.join(routed, ["feature", "bucket"], "left").select(
                 "feature", "bucket", "position", F.coalesce("row_count", F.lit(0)).alias("row_count")
             )
         )
     else:
-        categories = spark.createDataFrame([], "feature string, value string, row_count bigint")
-        top = spark.createDataFrame(
-            [], "feature string, value string, row_count bigint, place int"
+        categories = local_rows(spark, [], "feature string, value string, row_count bigint")
+        top = local_rows(
+            spark, [], "feature string, value string, row_count bigint, place int"
         )
-        categorical = spark.createDataFrame([], BUCKETS)
+        categorical = local_rows(spark, [], BUCKETS)
     counted = profile.agg(F.max("row_count")).first()[0]
     if counted is None:
         counted = categorical.groupBy("feature").agg(F.sum("row_count").alias("n")).first().n
@@ -407,7 +404,7 @@ def compare_current(state: ReferenceState, current: DataFrame) -> Comparison:
     contract, spark = state.contract, current.sparkSession
     check_frame(current, "current")
     present = {name: name in current.columns for name in contract.columns}
-    profile = _local(side_profile(current, contract)[0])
+    profile = freeze(side_profile(current, contract)[0])
     parts = []
     if numeric_roles(contract):
         numeric = numeric_buckets(numeric_long(current, contract), state.bins)
@@ -435,7 +432,7 @@ def compare_current(state: ReferenceState, current: DataFrame) -> Comparison:
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.unionByName(part)
-    buckets = _local(
+    buckets = freeze(
         joined.select(
             "feature",
             "kind",
@@ -448,7 +445,7 @@ def compare_current(state: ReferenceState, current: DataFrame) -> Comparison:
     rows = profile.agg(F.max("row_count")).first()[0]
     if rows is None:
         rows = buckets.groupBy("feature").agg(F.sum("current_count").alias("n")).first().n
-    return Comparison(contract, present, rows, profile, buckets, _local(total_variation(buckets)))
+    return Comparison(contract, present, rows, profile, buckets, freeze(total_variation(buckets)))
 
 
 def bucket_shares(buckets: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import digest, row_text
+from riskframe.functions.local import local_rows
 from riskframe.functions.values import quoted
 
 
@@ -79,4 +80,6 @@ def column_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Columns found on one side only: ``column_name, only_in``."""
     rows = [(c, "left") for c in left.columns if c not in set(right.columns)]
     rows += [(c, "right") for c in right.columns if c not in set(left.columns)]
-    return left.sparkSession.createDataFrame(sorted(rows), "column_name string, only_in string")
+    return local_rows(
+        left.sparkSession, sorted(rows), "column_name string, only_in string"
+    )

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions.local import local_rows
 from riskframe.functions.values import nan_to_null, quoted
 from riskframe.session import parallelism
 
@@ -305,8 +306,8 @@ def rank_rows(
     for row in sorted(counts, key=lambda r: (r._bucket, r._part)):
         offsets.append((row._bucket, row._part, running))
         running += row.n
-    offset_rows = df.sparkSession.createDataFrame(
-        offsets, "_bucket int, _part int, _offset bigint"
+    offset_rows = local_rows(
+        df.sparkSession, offsets, "_bucket int, _part int, _offset bigint"
     )
     inside = Window.partitionBy("_bucket", "_part").orderBy(
         key.raw.asc_nulls_last(), tie_key.raw.asc()
@@ -337,7 +338,7 @@ def _split_ties(placed: DataFrame, shares: dict[int, int]) -> DataFrame:
     for row in rows:
         step = max(1, len(row.q) // shares[row._bucket])
         parts.append((row._bucket, sorted(set(row.q[::step]))))
-    bounds = placed.sparkSession.createDataFrame(parts, "_bucket int, _bounds array<double>")
+    bounds = local_rows(placed.sparkSession, parts, "_bucket int, _bounds array<double>")
     part = F.size(F.filter("_bounds", lambda bound: bound <= F.col("_tie")))
     return (
         placed.join(F.broadcast(bounds), "_bucket", "left")

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions.local import local_rows
+
 BUFFER_ROWS = 2_000_000
 SKETCH_ACCURACY = 1000
 
@@ -81,7 +83,7 @@ def exact_quantiles(
         [df.schema[g] for g in groups]
         + [T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
     )
-    return df.sparkSession.createDataFrame(out, schema)
+    return local_rows(df.sparkSession, out, schema)
 
 
 def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -121,7 +123,8 @@ def _ranked_values(
         for key, (n, spans) in plans.items()
     ]
     fields = [known.schema[g] for g in groups]
-    state = spark.createDataFrame(
+    state = local_rows(
+        spark,
         rows,
         T.StructType(
             fields

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.local import local_rows
 from riskframe.functions.scalars import evenly_spaced, ratio_or_zero, require_cost
 from riskframe.functions.values import quoted
 from riskframe.operators.metrics import score_counts, score_curve
@@ -139,7 +140,7 @@ def _cheapest(
             if cost is None or total < cost:
                 threshold, cost = candidate, float(total)
     row = ("cost_based", float(threshold), cost, float(fn_cost), float(fp_cost))
-    return df.sparkSession.createDataFrame([row], RESULT)
+    return local_rows(df.sparkSession, [row], RESULT)
 
 
 def _between(low: float, high: float, share: float) -> float:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import canonical_json, json_digest
+from riskframe.functions.local import local_rows
 from riskframe.functions.scalars import (
     BREACH,
     NOT_EVALUATED,
@@ -77,8 +78,8 @@ def drift_checks(state: ReferenceState, comparison: Comparison, extra_columns: i
     """``check_id, feature, metric, observed, warn, breach, status, severity`` by check id."""
     contract, limits = state.contract, state.contract.limits
     spark = state.profile.sparkSession
-    present = spark.createDataFrame(
-        list(comparison.present.items()), "feature string, present boolean"
+    present = local_rows(
+        spark, comparison.present.items(), "feature string, present boolean"
     )
     parts = []
     if state.contract.numeric or contract.probability or contract.decision:
@@ -121,7 +122,7 @@ def drift_checks(state: ReferenceState, comparison: Comparison, extra_columns: i
         "check_id string, feature string, metric string, observed double, warn double, "
         "breach double, status string"
     )
-    checks = spark.createDataFrame(general, columns)
+    checks = local_rows(spark, general, columns)
     for part in parts:
         checks = checks.unionByName(part)
     return checks.withColumn("severity", severity(F.col("status"))).orderBy("check_id")
