@@ -153,3 +153,13 @@ def time_overlaps(summary: DataFrame, split: str) -> DataFrame:
         "overlaps",
         F.coalesce(F.col("dt_min") < F.lag("dt_max").over(ordered), F.lit(False)),
     ).select(split, "dt_min", "dt_max", "overlaps")
+
+
+def reserve_columns(summary: DataFrame, split: str, reserved: str) -> DataFrame:
+    """Withhold everything but the row count of a reserved split."""
+    hidden = F.col(split) == reserved
+    kept = (split, "row_count")
+    return summary.select(
+        *[c if c in kept else F.when(~hidden, F.col(c)).alias(c) for c in summary.columns],
+        hidden.alias("reserved"),
+    )

@@ -183,12 +183,3 @@ def split_table(
         return stratified_split(df, id_col, label_col, ratios, names, seed)
     raise ValueError(f"unknown split strategy {strategy!r}; use 'temporal' or 'random'")
 
-
-def reserve_summary(summary: DataFrame, split: str, reserved: str) -> DataFrame:
-    """Withhold everything but the row count of a reserved partition."""
-    hidden = F.col(split) == reserved
-    kept = (split, "row_count")
-    return summary.select(
-        *[c if c in kept else F.when(~hidden, F.col(c)).alias(c) for c in summary.columns],
-        hidden.alias("reserved"),
-    )
