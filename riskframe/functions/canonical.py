@@ -28,6 +28,16 @@ class UnsupportedTypeError(TypeError):
     """The column type has no canonical text; fingerprints refuse to guess."""
 
 
+def number_text(column: Column, data_type: T.DataType) -> Column:
+    """One text for equal numbers of any type: whole ones without a fraction."""
+    if isinstance(data_type, INTEGRAL):
+        return column.cast("string")
+    value = column.cast("double")
+    small = F.abs(value) < F.lit(float(2**53))
+    whole = F.when(small, F.floor(value) == value).otherwise(F.lit(False))
+    return F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
+
+
 def _tagged(tag: str, text: Column) -> Column:
     return F.concat(F.lit(tag + ":"), F.length(text).cast("string"), F.lit(":"), text)
 
@@ -44,7 +54,7 @@ def cell_text(column: Column, data_type: T.DataType, unify_numbers: bool = False
         text = _tagged("boolean", column.cast("string"))
     elif isinstance(data_type, INTEGRAL + FLOATING + (T.DecimalType,)):
         if unify_numbers:
-            text = _tagged("number", column.cast("double").cast("string"))
+            text = _tagged("number", number_text(column, data_type))
         else:
             tag = (
                 "integer"
@@ -90,7 +100,7 @@ def category_key(column: Column, data_type: T.DataType) -> Column:
     elif isinstance(data_type, T.BooleanType):
         key = F.concat(F.lit("boolean:"), column.cast("string"))
     elif isinstance(data_type, INTEGRAL + FLOATING + (T.DecimalType,)):
-        key = F.concat(F.lit("number:"), column.cast("double").cast("string"))
+        key = F.concat(F.lit("number:"), number_text(column, data_type))
     else:
         key = cell_text(column, data_type)
     return F.when(~is_missing(column, data_type), key)

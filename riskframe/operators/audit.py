@@ -33,8 +33,10 @@ def structural_checks(
 ) -> DataFrame:
     """One row of violation counts."""
     time = quoted(time_col)
-    if isinstance(df.schema[time_col].dataType, (T.TimestampType, T.DateType)):
-        negative = time < F.timestamp_micros(F.lit(0))
+    if isinstance(
+        df.schema[time_col].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)
+    ):
+        negative = time < F.lit("1970-01-01").cast(df.schema[time_col].dataType)
     else:
         negative = time < 0
     measures = [
