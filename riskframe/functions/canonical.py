@@ -110,6 +110,11 @@ def category_token(key: Column) -> Column:
     return F.concat(F.lit(CATEGORY_PREFIX), digest(key))
 
 
+def token_text(key: str) -> str:
+    """Driver-side form of :func:`category_token`."""
+    return CATEGORY_PREFIX + hashlib.sha256(key.encode()).hexdigest()
+
+
 def is_digest(column: Column) -> Column:
     return F.coalesce(column.rlike(DIGEST_PATTERN), F.lit(False))
 

@@ -14,11 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.canonical import category_key, category_token
+from riskframe.functions.canonical import category_key, category_token, token_text
 from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.scalars import even_probabilities
 from riskframe.functions.values import (
     is_measured,
+    is_missing,
     measured,
     quoted,
     valid_decision,
@@ -32,7 +33,16 @@ OTHER, MISSING, UNKNOWN = "OTHER", "MISSING", "UNKNOWN"
 PROBABILITY_EDGES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 SUMMARY_PROBABILITIES = [0.05, 0.5, 0.95]
 
+CONSTANT, QUANTILES, DECILES = (
+    "constant_reference",
+    "reference_quantiles",
+    "fixed_probability_deciles",
+)
+UNAVAILABLE, NO_BUCKETS = "unavailable_all_nonfinite", "none"
+BUCKETED = (CONSTANT, QUANTILES, DECILES)
+
 NUMERIC, PROBABILITY, DECISION = "numeric", "probability", "decision"
+CATEGORICAL = "categorical"
 
 PROFILE = (
     "feature string, role string, row_count bigint, finite_count bigint, missing_count bigint, "
@@ -40,17 +50,17 @@ PROFILE = (
     "q05 double, q50 double, q95 double"
 )
 BIN_SPEC = "feature string, role string, strategy string, edges array<double>, constant double"
-BUCKETS = "feature string, bucket string, position int, row_count bigint"
+BUCKETS = (
+    "feature string, kind string, bucket string, position int, reference_count bigint"
+)
 PROFILE_COLUMNS = [part.split()[0] for part in PROFILE.split(", ")]
 
 
-def check_frame(df: DataFrame, name: str) -> None:
+def check_columns(df: DataFrame, name: str) -> None:
     if any(not c for c in df.columns):
         raise ContractError(f"{name} has an unnamed column")
     if len(set(df.columns)) != len(df.columns):
         raise ContractError(f"{name} has duplicate column names")
-    if df.isEmpty():
-        raise ContractError(f"{name} needs at least one row")
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -125,38 +135,28 @@ def bucket_index(value: Column) -> Column:
     """Bucket of a finite value: number of edges at or below it; around a constant -1/0/+1."""
     edges = F.size(F.filter(F.col("edges"), lambda e: e <= value))
     around = F.when(value < F.col("constant"), 0).when(value > F.col("constant"), 2).otherwise(1)
-    return F.when(F.col("strategy") == "constant_reference", around).otherwise(edges)
-
-
-def bucket_name(strategy: Column, index: Column) -> Column:
-    around = F.element_at(
-        F.array(F.lit("BELOW_CONSTANT"), F.lit("AT_CONSTANT"), F.lit("ABOVE_CONSTANT")), index + 1
-    )
-    return F.when(strategy == "constant_reference", around).otherwise(
-        F.concat(F.lit("BIN_"), F.lpad(index.cast("string"), 2, "0"))
-    )
+    return F.when(F.col("strategy") == CONSTANT, around).otherwise(edges)
 
 
 def numeric_buckets(long: DataFrame, spec: DataFrame) -> DataFrame:
-    """``feature, bucket, position, row_count`` with empty buckets kept."""
-    # The spec has one row per feature, hence the broadcasts.
-    usable = F.broadcast(spec.filter(~F.col("strategy").isin("unavailable_all_nonfinite", "none")))
-    counted = (
+    """``feature, position, row_count`` of the buckets that hold a finite value."""
+    # The spec has one row per feature, hence the broadcast.
+    usable = spec.filter(F.col("strategy").isin(*BUCKETED))
+    return (
         long.filter(is_measured(F.col("value")))
-        .join(usable, "feature")
+        .join(F.broadcast(usable), "feature")
         .groupBy("feature", bucket_index(F.col("value")).alias("position"))
         .agg(F.count("*").alias("row_count"))
     )
-    last = F.when(F.col("strategy") == "constant_reference", 2).otherwise(F.size("edges"))
-    every = usable.select(
-        "feature", "strategy", F.explode(F.sequence(F.lit(0), last)).alias("position")
-    )
-    return every.join(counted, ["feature", "position"], "left").select(
-        "feature",
-        bucket_name(F.col("strategy"), F.col("position")).alias("bucket"),
-        "position",
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
-    )
+
+
+def bucket_names(strategy: str, edges: Sequence[float] | None) -> list[str]:
+    """Every bucket of a feature in order, empty ones included."""
+    if strategy == CONSTANT:
+        return ["BELOW_CONSTANT", "AT_CONSTANT", "ABOVE_CONSTANT"]
+    if strategy in BUCKETED:
+        return [f"BIN_{i:02d}" for i in range(len(edges or ()) + 1)]
+    return []
 
 
 def category_counts(long: DataFrame) -> DataFrame:
@@ -209,17 +209,14 @@ def category_buckets(counts: DataFrame, known: DataFrame, top: DataFrame) -> Dat
     return routed
 
 
-def bucket_order(features: Sequence[str], top: DataFrame, spark: SparkSession) -> DataFrame:
-    """Every bucket of every categorical feature in report order."""
-    tokens = top.select(
-        "feature", category_token(F.col("value")).alias("bucket"), F.col("place").alias("position")
-    )
-    fixed = local_rows(
-        spark,
-        [(f, b, 1000 + i) for f in features for i, b in enumerate((OTHER, MISSING, UNKNOWN))],
-        "feature string, bucket string, position int",
-    )
-    return tokens.unionByName(fixed)
+def missing_categories(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
+    """Row count and missing count per categorical column, in one pass without unpivot."""
+    known = [
+        F.count_if(~is_missing(quoted(c), df.schema[c].dataType)).alias(f"c{i}")
+        for i, c in enumerate(columns)
+    ]
+    row = df.agg(F.count("*").alias("n"), *known).first()
+    return row.n, {c: row.n - row[f"c{i}"] for i, c in enumerate(columns)}
 
 
 def total_variation(buckets: DataFrame) -> DataFrame:
@@ -254,198 +251,184 @@ def total_variation(buckets: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ReferenceState:
-    """Everything a current table is compared with; computed once, then frozen."""
+    """Everything a current table is compared with; computed once, then frozen.
+
+    Only ``categories`` (reference keys) can be large. The other tables are local, with a
+    bounded number of rows per feature.
+    """
 
     contract: Contract
-    row_count: int
     profile: DataFrame
     bins: DataFrame
-    numeric: DataFrame
+    buckets: DataFrame
     top: DataFrame
     categories: DataFrame
-    categorical: DataFrame
 
     def save(self, path: str) -> None:
         base = path.rstrip("/")
-        for name in ("profile", "bins", "numeric", "top", "categories", "categorical"):
+        for name in STATE_TABLES:
             getattr(self, name).write.mode("errorifexists").parquet(f"{base}/{name}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, contract: Contract) -> ReferenceState:
         base = path.rstrip("/")
-        tables = {
-            name: spark.read.parquet(f"{base}/{name}")
-            for name in ("profile", "bins", "numeric", "top", "categories", "categorical")
-        }
-        counted = tables["profile"].agg(F.max("row_count")).first()[0]
-        if counted is None:
-            counted = (
-                tables["categorical"].groupBy("feature").agg(F.sum("row_count").alias("n"))
-            ).first()["n"]
-        return cls(contract, counted, **tables)
+        tables = {name: spark.read.parquet(f"{base}/{name}") for name in STATE_TABLES}
+        small = {n: freeze(t) for n, t in tables.items() if n != "categories"}
+        return cls(contract, categories=tables["categories"], **small)
+
+
+STATE_TABLES = ("profile", "bins", "buckets", "top", "categories")
 
 
 def side_profile(
-    df: DataFrame, contract: Contract, extra: Sequence[float] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """Counts, moments and exact quantiles of one side, and the ``extra`` quantiles.
+    df: DataFrame, contract: Contract, extra: Sequence[float] = (), summary: bool = True
+) -> tuple[list[dict], dict[str, list[float]]]:
+    """Profile rows of one side, and the ``extra`` quantiles of its numeric features.
 
     Two scans: the counts of the first decide how the quantiles of the second are found.
+    Without ``summary`` and ``extra`` there is one. Both results have one row per feature.
     """
-    roles = numeric_roles(contract)
-    spark = df.sparkSession
-    no_edges = local_rows(spark, [], "feature string, edges array<double>")
+    roles = dict(numeric_roles(contract))
     if not roles:
-        return local_rows(spark, [], PROFILE), no_edges
+        return [], {}
     long = numeric_long(df, contract)
-    role_rows = local_rows(spark, roles, "feature string, role string")
-    counted = freeze(numeric_profile(long).join(F.broadcast(role_rows), "feature"))
-    if not contract.numeric:
-        empty = [F.lit(None).cast("double").alias(c) for c in ("q05", "q50", "q95")]
-        return counted.select("*", *empty).select(PROFILE_COLUMNS), no_edges
-    quantiles = freeze(
-        exact_quantiles(
+    rows = {r.feature: r.asDict() for r in numeric_profile(long).collect()}
+    probabilities = [*(SUMMARY_PROBABILITIES if summary else ()), *extra]
+    quantiles: dict[str, list[float]] = {}
+    if contract.numeric and probabilities and rows:
+        found = exact_quantiles(
             long.filter(F.col("feature").isin(list(contract.numeric))),
             ["feature"],
             "value",
-            [*SUMMARY_PROBABILITIES, *extra],
-            largest=counted.agg(F.max("finite_count")).first()[0],
+            probabilities,
+            largest=max(r["finite_count"] for r in rows.values()),
         )
-    )
-    summary = [
-        F.element_at("quantiles", i + 1).alias(c) for i, c in enumerate(("q05", "q50", "q95"))
-    ]
-    # A handful of rows per feature on either side.
-    profile = counted.join(F.broadcast(quantiles), "feature", "left").select(
-        *PROFILE_COLUMNS[:-3], *summary
-    )
-    first = len(SUMMARY_PROBABILITIES) + 1
-    return profile, quantiles.select(
-        "feature", F.slice("quantiles", first, max(len(extra), 1)).alias("edges")
-    )
+        quantiles = {r.feature: r.quantiles or [] for r in found.collect()}
+    first = len(SUMMARY_PROBABILITIES) if summary else 0
+    for name, row in rows.items():
+        row["role"] = roles[name]
+        head = quantiles.get(name, [])[:first] or [None, None, None]
+        row.update(zip(("q05", "q50", "q95"), head))
+    return list(rows.values()), {n: q[first:] for n, q in quantiles.items()}
 
 
-def reference_bins(profile: DataFrame, edges: DataFrame) -> DataFrame:
-    """Bucket rule per feature, decided by the reference alone."""
-    is_number = F.col("role") == NUMERIC
-    constant = F.coalesce(F.col("min") == F.col("max"), F.lit(False))
-    return profile.join(F.broadcast(edges), "feature", "left").select(
-        "feature",
-        "role",
-        F.when(F.col("role") == PROBABILITY, F.lit("fixed_probability_deciles"))
-        .when(F.col("role") == DECISION, F.lit("none"))
-        .when(F.col("finite_count") == 0, F.lit("unavailable_all_nonfinite"))
-        .when(constant, F.lit("constant_reference"))
-        .otherwise(F.lit("reference_quantiles"))
-        .alias("strategy"),
-        F.when(F.col("role") == PROBABILITY, F.lit(PROBABILITY_EDGES))
-        .when(is_number & ~constant, F.array_distinct("edges"))
-        .alias("edges"),
-        F.when(is_number & constant, F.col("min")).alias("constant"),
-    )
+def profile_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
+    return local_rows(spark, [[r[c] for c in PROFILE_COLUMNS] for r in rows], PROFILE)
+
+
+def bucket_rule(row: dict, edges: Sequence[float]) -> tuple[str, list[float] | None, float | None]:
+    """Strategy, edges and constant of one feature, decided by the reference alone."""
+    if row["role"] == PROBABILITY:
+        return DECILES, PROBABILITY_EDGES, None
+    if row["role"] == DECISION:
+        return NO_BUCKETS, None, None
+    if not row["finite_count"]:
+        return UNAVAILABLE, None, None
+    if row["min"] == row["max"]:
+        return CONSTANT, None, row["min"]
+    return QUANTILES, sorted(set(edges)), None
 
 
 def fit_reference(reference: DataFrame, contract: Contract) -> ReferenceState:
     """Profile, edges, bucket counts and category ranks of the reference table."""
     spark = reference.sparkSession
-    check_frame(reference, "reference")
+    check_columns(reference, "reference")
     absent = sorted(set(contract.columns) - set(reference.columns))
     if absent:
         raise ContractError(f"reference lacks columns: {', '.join(absent)}")
     profile, edges = side_profile(reference, contract, even_probabilities(contract.bins))
-    profile = freeze(profile)
-    for row in profile.collect():
-        if row.role != NUMERIC and row.finite_count == 0:
-            raise ContractError(f"reference {row.role} column {row.feature!r} has no valid value")
-    if numeric_roles(contract):
-        bins = freeze(reference_bins(profile, edges))
-        numeric = freeze(numeric_buckets(numeric_long(reference, contract), bins))
-    else:
-        bins = local_rows(spark, [], BIN_SPEC)
-        numeric = local_rows(spark, [], BUCKETS)
+    if numeric_roles(contract) and not profile:
+        raise ContractError("reference needs at least one row")
+    for row in profile:
+        if row["role"] != NUMERIC and not row["finite_count"]:
+            raise ContractError(
+                f"reference {row['role']} column {row['feature']!r} has no valid value"
+            )
+    rules = {r["feature"]: bucket_rule(r, edges.get(r["feature"], ())) for r in profile}
+    bins = local_rows(
+        spark, [(r["feature"], r["role"], *rules[r["feature"]]) for r in profile], BIN_SPEC
+    )
+    counted: dict[tuple, int] = {}
+    if profile:
+        found = numeric_buckets(numeric_long(reference, contract), bins).collect()
+        counted = {(r.feature, r.position): r.row_count for r in found}
+    buckets = [
+        (feature, NUMERIC, bucket, i, counted.get((feature, i), 0))
+        for feature, rule in rules.items()
+        for i, bucket in enumerate(bucket_names(rule[0], rule[1]))
+    ]
+    categories = local_rows(spark, [], "feature string, value string, row_count bigint")
+    top_rows: list = []
     if contract.categorical:
+        total, missing = missing_categories(reference, contract.categorical)
+        if not total:
+            raise ContractError("reference needs at least one row")
         categories = category_counts(categorical_long(reference, contract))
-        top = freeze(top_categories(categories, contract.top_k))
-        routed = category_buckets(categories, categories, top)
-        order = bucket_order(contract.categorical, top, spark)
-        categorical = freeze(
-            order.join(routed, ["feature", "bucket"], "left").select(
-                "feature", "bucket", "position", F.coalesce("row_count", F.lit(0)).alias("row_count")
-            )
-        )
-    else:
-        categories = local_rows(spark, [], "feature string, value string, row_count bigint")
-        top = local_rows(
-            spark, [], "feature string, value string, row_count bigint, place int"
-        )
-        categorical = local_rows(spark, [], BUCKETS)
-    counted = profile.agg(F.max("row_count")).first()[0]
-    if counted is None:
-        counted = categorical.groupBy("feature").agg(F.sum("row_count").alias("n")).first().n
+        top_rows = top_categories(categories, contract.top_k).collect()
+        for feature in contract.categorical:
+            named = sorted((r for r in top_rows if r.feature == feature), key=lambda r: r.place)
+            other = total - missing[feature] - sum(r.row_count for r in named)
+            listed = [(token_text(r.value), r.row_count) for r in named]
+            listed += [(OTHER, other), (MISSING, missing[feature]), (UNKNOWN, 0)]
+            buckets += [(feature, CATEGORICAL, b, i, n) for i, (b, n) in enumerate(listed)]
     return ReferenceState(
-        contract, counted, profile, bins, numeric, top, categories, categorical
+        contract,
+        profile_table(spark, profile),
+        bins,
+        local_rows(spark, buckets, BUCKETS),
+        local_rows(spark, top_rows, "feature string, value string, row_count bigint, place int"),
+        categories,
     )
 
 
 @dataclass(frozen=True)
 class Comparison:
-    """Small tables of one comparison, all bounded by the contract."""
+    """Small local tables of one comparison, all bounded by the contract."""
 
     contract: Contract
     present: dict[str, bool]
-    current_rows: int
     profile: DataFrame
     buckets: DataFrame
-    distances: DataFrame
+
+    @property
+    def distances(self) -> DataFrame:
+        return total_variation(self.buckets)
 
 
-def compare_current(state: ReferenceState, current: DataFrame) -> Comparison:
-    """Scan the current table against a frozen reference."""
+def compare_current(
+    state: ReferenceState, current: DataFrame, summary: bool = False
+) -> Comparison:
+    """Scan the current table against a frozen reference.
+
+    Three scans at most: profile, numeric buckets, categories. ``summary`` adds the current
+    quantiles, which no check needs, by a fourth.
+    """
     contract, spark = state.contract, current.sparkSession
-    check_frame(current, "current")
+    check_columns(current, "current")
     present = {name: name in current.columns for name in contract.columns}
-    profile = freeze(side_profile(current, contract)[0])
-    parts = []
-    if numeric_roles(contract):
-        numeric = numeric_buckets(numeric_long(current, contract), state.bins)
-        parts.append(
-            state.numeric.withColumnRenamed("row_count", "reference_count")
-            .join(
-                numeric.select("feature", "bucket", F.col("row_count").alias("current_count")),
-                ["feature", "bucket"],
-                "left",
-            )
-            .withColumn("kind", F.lit(NUMERIC))
-        )
+    profile, _ = side_profile(current, contract, summary=summary)
+    if numeric_roles(contract) and not profile:
+        raise ContractError("current needs at least one row")
+    counted: dict[tuple, int] = {}
+    if profile:
+        found = numeric_buckets(numeric_long(current, contract), state.bins).collect()
+        counted = {(r.feature, NUMERIC, r.position): r.row_count for r in found}
     if contract.categorical:
         counts = category_counts(categorical_long(current, contract))
-        routed = category_buckets(counts, state.categories, state.top)
-        parts.append(
-            state.categorical.withColumnRenamed("row_count", "reference_count")
-            .join(
-                routed.select("feature", "bucket", F.col("row_count").alias("current_count")),
-                ["feature", "bucket"],
-                "left",
-            )
-            .withColumn("kind", F.lit("categorical"))
-        )
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
-    buckets = freeze(
-        joined.select(
-            "feature",
-            "kind",
-            "bucket",
-            "position",
-            F.coalesce("reference_count", F.lit(0)).alias("reference_count"),
-            F.coalesce("current_count", F.lit(0)).alias("current_count"),
-        )
+        routed = category_buckets(counts, state.categories, state.top).collect()
+        if not routed:
+            raise ContractError("current needs at least one row")
+        counted.update({(r.feature, CATEGORICAL, r.bucket): r.row_count for r in routed})
+    rows = []
+    for r in state.buckets.collect():
+        place = r.position if r.kind == NUMERIC else r.bucket
+        rows.append((*r, counted.get((r.feature, r.kind, place), 0)))
+    return Comparison(
+        contract,
+        present,
+        profile_table(spark, profile),
+        local_rows(spark, rows, BUCKETS + ", current_count bigint"),
     )
-    rows = profile.agg(F.max("row_count")).first()[0]
-    if rows is None:
-        rows = buckets.groupBy("feature").agg(F.sum("current_count").alias("n")).first().n
-    return Comparison(contract, present, rows, profile, buckets, freeze(total_variation(buckets)))
 
 
 def bucket_shares(buckets: DataFrame) -> DataFrame:

@@ -57,35 +57,44 @@ def field_path(name: str) -> str:
     return f"$[{quote}{name}{quote}]"
 
 
-def value_kind(value: Column) -> Column:
-    """JSON kind of a VARIANT: number, string, boolean, nested, null; NULL when absent."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(name == "VOID", F.lit("null"))
-        .when(name == "STRING", F.lit("string"))
-        .when(name == "BOOLEAN", F.lit("boolean"))
-        .when(name.startswith("ARRAY") | name.startswith("OBJECT"), F.lit("nested"))
-        .otherwise(F.lit("number"))
-    )
-
-
-def _outcome(kind: Column, text: Column, numeric: bool) -> Column:
+def _fields(contract: RecordContract) -> Column:
+    """Model fields of the parsed record: name, role, VARIANT type name and text, read once each."""
+    entries = []
+    for names, numeric in ((contract.numeric, True), (contract.categorical, False)):
+        for name in names:
+            value = F.try_variant_get("_v", field_path(name), "variant")
+            entries.append(
+                F.struct(
+                    F.lit(name).alias("field"),
+                    F.lit(numeric).alias("numeric"),
+                    F.schema_of_variant(value).alias("kind"),
+                    F.try_variant_get("_v", field_path(name), "string").alias("text"),
+                )
+            )
+    return F.array(*entries)
+
+
+def _outcome(entry: Column) -> Column:
     """Issue code, ``usable``, or NULL when the field is absent or null."""
-    if numeric:
-        plain = F.regexp_replace(F.trim(text), "_", "").try_cast("double")
-        good = ((kind == "number") & is_finite(text.try_cast("double"))) | (
-            (kind == "string") & text.rlike(FINITE_TEXT) & is_finite(plain)
-        )
-        code = INVALID_NUMERIC
-    else:
-        good = (kind == "string") & ~text.rlike(r"(?U)^\s*$")
-        code = INVALID_CATEGORICAL
+    kind, text = entry["kind"], entry["text"]
+    is_text = kind == "STRING"
+    is_number = ~kind.isin("STRING", "BOOLEAN")
+    plain = F.regexp_replace(F.trim(text), "_", "").try_cast("double")
+    numeric_good = F.when(is_text, text.rlike(FINITE_TEXT) & is_finite(plain)).otherwise(
+        is_number & is_finite(text.try_cast("double"))
+    )
+    text_good = is_text & ~text.rlike(r"(?U)^\s*$")
     return (
-        F.when(kind.isNull() | (kind == "null"), F.lit(None).cast("string"))
-        .when(kind == "nested", F.lit(NON_SCALAR))
-        .when(F.coalesce(good, F.lit(False)), F.lit(USABLE))
-        .otherwise(F.lit(code))
+        F.when(kind.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(NON_SCALAR))
+        .when(
+            entry["numeric"],
+            F.when(F.coalesce(numeric_good, F.lit(False)), F.lit(USABLE)).otherwise(
+                F.lit(INVALID_NUMERIC)
+            ),
+        )
+        .when(F.coalesce(text_good, F.lit(False)), F.lit(USABLE))
+        .otherwise(F.lit(INVALID_CATEGORICAL))
     )
 
 
@@ -95,17 +104,15 @@ def validate_records(
     """Add ``issues array<struct<field, code, message>>`` and ``accepted``.
 
     Unknown fields are ignored and NULL is allowed. ``no_usable_features`` is raised only for
-    a record with nothing usable and nothing invalid.
+    a record with nothing usable and nothing invalid. A record is parsed once and every model
+    field is read once; the rest works on the small array of what was read.
     """
     parsed = df.withColumn("_v", F.try_parse_json(quoted(record_col)))
-    outcomes = []
-    for names, numeric in ((contract.numeric, True), (contract.categorical, False)):
-        for name in names:
-            value = F.try_variant_get("_v", field_path(name), "variant")
-            text = F.try_variant_get("_v", field_path(name), "string")
-            outcome = _outcome(value_kind(value), text, numeric)
-            outcomes.append(F.struct(F.lit(name).alias("field"), outcome.alias("code")))
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    is_object = F.col("_v").isNotNull() & F.ltrim(quoted(record_col)).startswith("{")
+    outcomes = F.transform(
+        F.when(is_object, _fields(contract)),
+        lambda e: F.struct(e["field"].alias("field"), _outcome(e).alias("code")),
+    )
     bad = F.filter("_outcomes", lambda o: o["code"] != USABLE)
     usable = F.exists("_outcomes", lambda o: F.coalesce(o["code"] == USABLE, F.lit(False)))
 
@@ -115,7 +122,7 @@ def validate_records(
         )
 
     raised = (
-        F.when(~is_object, whole_record(MALFORMED))
+        F.when(F.col("_outcomes").isNull(), whole_record(MALFORMED))
         .when(F.size(bad) > 0, bad)
         .when(~usable, whole_record(NO_USABLE))
         .otherwise(F.filter("_outcomes", lambda o: F.lit(False)))
@@ -130,7 +137,7 @@ def validate_records(
         ),
     )
     return (
-        parsed.withColumn("_outcomes", F.array(*outcomes))
+        parsed.withColumn("_outcomes", outcomes)
         .withColumn("_raised", raised)
         .withColumn("issues", issues)
         .withColumn("accepted", F.size("issues") == 0)

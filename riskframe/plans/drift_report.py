@@ -23,10 +23,12 @@ from riskframe.functions.scalars import (
 )
 from riskframe.operators.contract import Contract, ContractError, Limit, TimeWindow
 from riskframe.operators.drift import (
+    CATEGORICAL,
     DECISION,
     MISSING,
     NUMERIC,
     PROBABILITY,
+    UNAVAILABLE,
     UNKNOWN,
     Comparison,
     ReferenceState,
@@ -140,7 +142,7 @@ def _numeric_checks(sides: DataFrame, limits: dict[str, Limit]) -> DataFrame:
     mean = F.when(
         F.col("r.std") > 0, F.abs(F.col("c.mean") - F.col("r.mean")) / F.col("r.std")
     )
-    distance = F.when(F.col("strategy") != "unavailable_all_nonfinite", F.col("total_variation"))
+    distance = F.when(F.col("strategy") != UNAVAILABLE, F.col("total_variation"))
     return _exploded(
         sides.filter(F.col("r.role") == NUMERIC),
         [
@@ -251,7 +253,7 @@ def _categorical_checks(
         return F.try_divide(inside.cast("double"), F.sum(side))
 
     rates = (
-        comparison.buckets.filter(F.col("kind") == "categorical")
+        comparison.buckets.filter(F.col("kind") == CATEGORICAL)
         .groupBy("feature")
         .agg(
             F.abs(share(MISSING, "current_count") - share(MISSING, "reference_count")).alias(
@@ -319,7 +321,10 @@ def unexpected_columns(current: DataFrame, contract: Contract) -> list[str]:
 
 
 def run_drift(
-    reference: DataFrame | ReferenceState, current: DataFrame, contract: Contract
+    reference: DataFrame | ReferenceState,
+    current: DataFrame,
+    contract: Contract,
+    summary: bool = False,
 ) -> DriftResult:
     """All checks of a current table against a reference table or its frozen state."""
     state = (
@@ -328,7 +333,7 @@ def run_drift(
         else fit_reference(reference, contract)
     )
     extra = unexpected_columns(current, contract)
-    comparison = compare_current(state, current)
+    comparison = compare_current(state, current, summary)
     checks = drift_checks(state, comparison, len(extra))
     return DriftResult(state, comparison, checks, check_rollup(checks), extra)
 
@@ -363,7 +368,7 @@ def drift_report(
     """Nested report. Everything but ``generated_at`` is covered by its digest."""
     if not reference_source.strip() or not current_source.strip():
         raise ContractError("both sources need a name")
-    result = run_drift(reference, current, contract)
+    result = run_drift(reference, current, contract, summary=True)
     state, comparison = result.state, result.comparison
     profiles = {
         "reference": {r.feature: _plain(r) for r in state.profile.collect()},
@@ -379,7 +384,7 @@ def drift_report(
     features = []
     for name in contract.numeric:
         spec = bins[name]
-        unavailable = spec["strategy"] == "unavailable_all_nonfinite"
+        unavailable = spec["strategy"] == UNAVAILABLE
         features.append(
             {
                 "feature": name,

@@ -50,19 +50,21 @@ def compared(spark, folder):
 def numeric_profile(spark, folder):
     reference, current = sides(spark, folder)
     numeric = Contract(CONTRACT.numeric, ())
-    out = None
-    for name, df in (("reference", reference), ("current", current)):
-        profile = drift.side_profile(df, numeric)[0].drop("role")
-        side = profile.withColumn("side", F.lit(name))
-        out = side if out is None else out.unionByName(side)
-    return rounded(out, 6)
+    profiles = [
+        drift.profile_table(spark, drift.side_profile(df, numeric)[0])
+        .drop("role")
+        .withColumn("side", F.lit(name))
+        for name, df in (("reference", reference), ("current", current))
+    ]
+    return rounded(profiles[0].unionByName(profiles[1]), 6)
 
 
 def volume_profile(spark, folder):
     """The large table: profile of four columns in two scans."""
     lines = table(spark, folder, "lineitem")
     contract = Contract(("l_quantity", "l_extendedprice", "l_discount", "l_tax"), ())
-    return rounded(drift.side_profile(lines, contract)[0].drop("role"), 6)
+    rows, _ = drift.side_profile(lines, contract)
+    return rounded(drift.profile_table(spark, rows).drop("role"), 6)
 
 
 def bin_edges(spark, folder):

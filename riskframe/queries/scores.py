@@ -38,9 +38,7 @@ def metrics_by_split(spark, folder):
 
 
 def pr_curve(spark, folder):
-    return rounded(
-        metrics.precision_recall_curve(scored_events(spark, folder), "label", "score"), 12
-    )
+    return metrics.precision_recall_curve(scored_events(spark, folder), "label", "score")
 
 
 def volume_metrics(spark, folder):
@@ -302,8 +300,7 @@ QUERIES = {
         pr_curve,
         f"""
         WITH {SCORED}, {_CURVE}
-        SELECT round(score, 12) AS score, tp, fp, round(tp::DOUBLE / (tp + fp), 12) AS precision
-        FROM c
+        SELECT score, tp, fp, tp::DOUBLE / (tp + fp) AS precision FROM c
         """,
     ),
     "threshold_fixed": (

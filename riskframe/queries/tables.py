@@ -34,9 +34,9 @@ def key_coverage(spark, folder):
 
 
 def orphan_keys(spark, folder):
-    customers = table(spark, folder, "customer").select("c_custkey")
-    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return joins.orphan_keys(customers, orders, "c_custkey")
+    orders = table(spark, folder, "orders").select("o_orderkey")
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return joins.orphan_keys(orders, lines, "o_orderkey")
 
 
 def structural_checks(spark, folder):
@@ -156,8 +156,8 @@ QUERIES = {
     ),
     "orphan_keys": (
         orphan_keys,
-        "SELECT DISTINCT c_custkey FROM customer "
-        "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+        "SELECT DISTINCT o_orderkey FROM orders "
+        "WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     ),
     "structural_checks": (
         structural_checks,

@@ -40,7 +40,11 @@ def test_same_table_passes(spark):
     assert bins["amount"].edges == [22.5, 35.0, 47.5]
     assert bins["constant"].strategy == "constant_reference"
     assert bins["all_null"].strategy == "unavailable_all_nonfinite"
-    counts = {r.bucket: r.row_count for r in result.state.numeric.collect() if r.feature == "amount"}
+    counts = {
+        r.bucket: r.reference_count
+        for r in result.state.buckets.collect()
+        if r.feature == "amount"
+    }
     assert counts == {"BIN_00": 2, "BIN_01": 1, "BIN_02": 1, "BIN_03": 2}
 
 
@@ -133,6 +137,10 @@ def test_predictions(spark):
     assert checks["prediction.probability.invalid_rate_increase"].observed == pytest.approx(4 / 6)
     with pytest.raises(ContractError):
         drift.fit_reference(bad, plan)
+    with pytest.raises(ContractError):
+        drift.fit_reference(reference.filter("false"), plan)
+    with pytest.raises(ContractError):
+        run_drift(state, reference.filter("false"), plan)
 
 
 def test_contract_rules():
