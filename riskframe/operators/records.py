@@ -136,8 +136,10 @@ def validate_records(
             F.element_at(message, i["code"]).alias("message"),
         ),
     )
+    # Filters are not pushed below a generator, so a later filter on ``accepted`` cannot make
+    # Spark repeat the parsing and field access inside its own condition.
     return (
-        parsed.withColumn("_outcomes", outcomes)
+        parsed.select("*", F.explode(F.array(outcomes)).alias("_outcomes"))
         .withColumn("_raised", raised)
         .withColumn("issues", issues)
         .withColumn("accepted", F.size("issues") == 0)
@@ -147,7 +149,8 @@ def validate_records(
 
 def issue_table(validated: DataFrame, id_col: str = "record_id") -> DataFrame:
     """``id, field, code, message``, one row per issue."""
-    return validated.select(quoted(id_col).alias(id_col), F.explode("issues").alias("i")).select(
+    exploded = validated.select(quoted(id_col).alias(id_col), F.explode_outer("issues").alias("i"))
+    return exploded.filter(F.col("i").isNotNull()).select(
         id_col, "i.field", "i.code", "i.message"
     )
 

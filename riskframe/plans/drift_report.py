@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import canonical_json, json_digest
@@ -26,7 +26,6 @@ from riskframe.operators.drift import (
     CATEGORICAL,
     DECISION,
     MISSING,
-    NUMERIC,
     PROBABILITY,
     UNAVAILABLE,
     UNKNOWN,
@@ -42,257 +41,213 @@ REPORTED_EXTRA_COLUMNS = 20
 REPORT_VERSION = "1"
 
 
-def _rate(part: str, side: str) -> Column:
-    return F.col(f"{side}.{part}_count") / F.col(f"{side}.row_count")
+CHECKS = (
+    "check_id string, feature string, metric string, observed double, warn double, "
+    "breach double, fixed_status string"
+)
 
 
-def _check(
-    check_id: Column, metric: str, observed: Column, limit: Limit | None, verdict: Column | None
-) -> Column:
-    warn = F.lit(None if limit is None else limit.warn).cast("double")
-    breach = F.lit(None if limit is None else limit.breach).cast("double")
-    return F.struct(
-        check_id.alias("check_id"),
-        F.lit(metric).alias("metric"),
-        observed.cast("double").alias("observed"),
-        warn.alias("warn"),
-        breach.alias("breach"),
-        (status(observed, warn, breach) if verdict is None else verdict).alias("status"),
-    )
+def _rate(row: dict, part: str) -> float:
+    return row[f"{part}_count"] / row["row_count"]
 
 
-def _presence(prefix: Column, present: Column) -> Column:
-    verdict = F.when(present, F.lit(PASS)).otherwise(F.lit(BREACH))
-    return _check(
-        F.concat(prefix, F.lit(".column_presence")),
-        "column_presence",
-        present.cast("double"),
-        None,
-        verdict,
-    )
+class _Checks:
+    """Collects observations; verdicts are taken by Spark in one place."""
 
+    def __init__(self, limits: dict[str, Limit]) -> None:
+        self.limits = limits
+        self.rows: list[tuple] = []
 
-def _named(df: DataFrame, side: str) -> DataFrame:
-    return df.select("feature", F.struct(*[c for c in df.columns if c != "feature"]).alias(side))
+    def measured(
+        self, check: str, feature: str, metric: str, observed: float | None, limit: str
+    ) -> None:
+        bound = self.limits[limit]
+        self.rows.append((check, feature, metric, observed, bound.warn, bound.breach, None))
+
+    def settled(
+        self, check: str, feature: str | None, metric: str, observed: float, verdict: str
+    ) -> None:
+        self.rows.append((check, feature, metric, float(observed), None, None, verdict))
+
+    def presence(self, prefix: str, feature: str, present: bool) -> None:
+        verdict = PASS if present else BREACH
+        self.settled(f"{prefix}.column_presence", feature, "column_presence", present, verdict)
 
 
 def drift_checks(state: ReferenceState, comparison: Comparison, extra_columns: int) -> DataFrame:
-    """``check_id, feature, metric, observed, warn, breach, status, severity`` by check id."""
-    contract, limits = state.contract, state.contract.limits
-    spark = state.profile.sparkSession
-    present = local_rows(
-        spark, comparison.present.items(), "feature string, present boolean"
-    )
-    parts = []
-    if state.contract.numeric or contract.probability or contract.decision:
-        sides = (
-            _named(state.profile, "r")
-            .join(_named(comparison.profile, "c"), "feature")
-            .join(present, "feature")
-            .join(comparison.distances, "feature", "left")
-            .join(state.bins.select("feature", "strategy"), "feature")
+    """``check_id, feature, metric, observed, warn, breach, status, severity`` by check id.
+
+    Everything observed is already reduced to a few numbers per feature at this point.
+    """
+    contract, spark = state.contract, state.profile.sparkSession
+    checks = _Checks(contract.limits)
+    before = {r.feature: r.asDict() for r in state.profile.collect()}
+    after = {r.feature: r.asDict() for r in comparison.profile.collect()}
+    strategies = {r.feature: r.strategy for r in state.bins.collect()}
+    distance = {r.feature: r.total_variation for r in comparison.distances.collect()}
+    for name in contract.numeric:
+        usable = strategies[name] != UNAVAILABLE
+        _numeric_checks(
+            checks,
+            name,
+            comparison.present[name],
+            before[name],
+            after[name],
+            distance.get(name) if usable else None,
         )
-        parts.append(_numeric_checks(sides, limits))
-        parts.append(_prediction_checks(sides, limits))
-    if contract.categorical:
-        parts.append(_categorical_checks(comparison, present, limits))
-    general = []
-    if contract.probability is None and contract.decision is None:
-        general.append(
-            (
-                "prediction.availability",
-                None,
-                "prediction_data_availability",
-                0.0,
-                None,
-                None,
-                NOT_EVALUATED,
-            )
+    shares = _category_shares(comparison)
+    for name in contract.categorical:
+        prefix = f"feature.{name}"
+        checks.presence(prefix, name, comparison.present[name])
+        (ref_missing, _), (cur_missing, unknown) = shares[name]
+        checks.measured(
+            f"{prefix}.missing_rate_shift",
+            name,
+            "absolute_missing_rate_shift",
+            abs(cur_missing - ref_missing),
+            "missing_rate",
         )
-    general.append(
-        (
-            "schema.unexpected_current_columns",
-            None,
-            "unexpected_current_column_count",
-            float(extra_columns),
-            None,
-            None,
-            WARN if extra_columns else PASS,
+        checks.measured(
+            f"{prefix}.unknown_rate", name, "unknown_category_rate", unknown, "unknown_rate"
+        )
+        checks.measured(
+            f"{prefix}.distribution_shift",
+            name,
+            "total_variation_distance",
+            distance[name],
+            "distribution",
+        )
+    for kind, name in ((PROBABILITY, contract.probability), (DECISION, contract.decision)):
+        if name is not None:
+            _prediction_checks(
+                checks,
+                kind,
+                name,
+                comparison.present[name],
+                before[name],
+                after[name],
+                distance.get(name),
+            )
+    if contract.probability is None and contract.decision is None:
+        checks.settled(
+            "prediction.availability", None, "prediction_data_availability", False, NOT_EVALUATED
         )
+    checks.settled(
+        "schema.unexpected_current_columns",
+        None,
+        "unexpected_current_column_count",
+        extra_columns,
+        WARN if extra_columns else PASS,
     )
-    columns = (
-        "check_id string, feature string, metric string, observed double, warn double, "
-        "breach double, status string"
+    observed, warn, breach = F.col("observed"), F.col("warn"), F.col("breach")
+    return (
+        local_rows(spark, sorted(checks.rows, key=lambda row: row[0]), CHECKS)
+        .withColumn("status", F.coalesce("fixed_status", status(observed, warn, breach)))
+        .drop("fixed_status")
+        .withColumn("severity", severity(F.col("status")))
     )
-    checks = local_rows(spark, general, columns)
-    for part in parts:
-        checks = checks.unionByName(part)
-    return checks.withColumn("severity", severity(F.col("status"))).orderBy("check_id")
 
 
-def _exploded(df: DataFrame, checks: list[Column]) -> DataFrame:
-    return df.select("feature", F.explode(F.array(*checks)).alias("k")).select(
-        "k.check_id", "feature", "k.metric", "k.observed", "k.warn", "k.breach", "k.status"
+def _numeric_checks(
+    checks: _Checks, name: str, present: bool, ref: dict, cur: dict, distance: float | None
+) -> None:
+    prefix = f"feature.{name}"
+    checks.presence(prefix, name, present)
+    checks.measured(
+        f"{prefix}.missing_rate_shift",
+        name,
+        "absolute_missing_rate_shift",
+        abs(_rate(cur, "missing") - _rate(ref, "missing")),
+        "missing_rate",
     )
-
-
-def _numeric_checks(sides: DataFrame, limits: dict[str, Limit]) -> DataFrame:
-    prefix = F.concat(F.lit("feature."), F.col("feature"))
-    invalid = F.greatest(F.lit(0.0), _rate("invalid", "c") - _rate("invalid", "r"))
-    mean = F.when(
-        F.col("r.std") > 0, F.abs(F.col("c.mean") - F.col("r.mean")) / F.col("r.std")
+    checks.measured(
+        f"{prefix}.invalid_rate_increase",
+        name,
+        "invalid_rate_increase",
+        max(0.0, _rate(cur, "invalid") - _rate(ref, "invalid")),
+        "invalid_rate",
     )
-    distance = F.when(F.col("strategy") != UNAVAILABLE, F.col("total_variation"))
-    return _exploded(
-        sides.filter(F.col("r.role") == NUMERIC),
-        [
-            _presence(prefix, F.col("present")),
-            _check(
-                F.concat(prefix, F.lit(".missing_rate_shift")),
-                "absolute_missing_rate_shift",
-                F.abs(_rate("missing", "c") - _rate("missing", "r")),
-                limits["missing_rate"],
-                None,
-            ),
-            _check(
-                F.concat(prefix, F.lit(".invalid_rate_increase")),
-                "invalid_rate_increase",
-                invalid,
-                limits["invalid_rate"],
-                None,
-            ),
-            _check(
-                F.concat(prefix, F.lit(".distribution_shift")),
-                "total_variation_distance",
-                distance,
-                limits["distribution"],
-                None,
-            ),
-            _check(
-                F.concat(prefix, F.lit(".standardized_mean_shift")),
-                "standardized_mean_shift",
-                mean,
-                limits["standardized_mean"],
-                None,
-            ),
-        ],
+    checks.measured(
+        f"{prefix}.distribution_shift", name, "total_variation_distance", distance, "distribution"
+    )
+    shift = None
+    if ref["std"] and cur["mean"] is not None:
+        shift = abs(cur["mean"] - ref["mean"]) / ref["std"]
+    checks.measured(
+        f"{prefix}.standardized_mean_shift",
+        name,
+        "standardized_mean_shift",
+        shift,
+        "standardized_mean",
     )
 
 
-def _prediction_checks(sides: DataFrame, limits: dict[str, Limit]) -> DataFrame:
-    """Probability and decision columns: availability first, shifts only on valid values."""
-    valid = F.col("c.finite_count")
-    usable = F.col("present") & (valid > 0)
-    invalid = F.greatest(F.lit(0.0), _rate("invalid", "c") - _rate("invalid", "r"))
-    shift = F.abs(F.col("c.mean") - F.col("r.mean"))
-    available = F.when(usable, F.lit(PASS)).otherwise(F.lit(BREACH))
-
-    def common(kind: str) -> list[Column]:
-        prefix = F.lit(f"prediction.{kind}")
-        return [
-            _presence(prefix, F.col("present")),
-            _check(
-                F.lit(f"prediction.{kind}.valid_data_availability"),
-                f"valid_{kind}_count",
-                valid,
-                None,
-                available,
-            ),
-            _check(
-                F.lit(f"prediction.{kind}.invalid_rate_increase"),
-                f"invalid_{kind}_rate_increase",
-                invalid,
-                limits["invalid_rate"],
-                None,
-            ),
-        ]
-
-    probability = _exploded(
-        sides.filter(F.col("r.role") == PROBABILITY),
-        [
-            *common("probability"),
-            _check(
-                F.lit("prediction.probability.distribution_shift"),
-                "total_variation_distance",
-                F.when(usable, F.col("total_variation")),
-                limits["distribution"],
-                None,
-            ),
-            _check(
-                F.lit("prediction.probability.mean_shift"),
-                "absolute_mean_probability_shift",
-                shift,
-                limits["prediction_mean"],
-                None,
-            ),
-        ],
+def _prediction_checks(
+    checks: _Checks,
+    kind: str,
+    name: str,
+    present: bool,
+    ref: dict,
+    cur: dict,
+    distance: float | None,
+) -> None:
+    """Availability first; shifts only where the current side has valid values."""
+    prefix = f"prediction.{kind}"
+    usable = present and cur["finite_count"] > 0
+    checks.presence(prefix, name, present)
+    checks.settled(
+        f"{prefix}.valid_data_availability",
+        name,
+        f"valid_{kind}_count",
+        cur["finite_count"],
+        PASS if usable else BREACH,
     )
-    decision = _exploded(
-        sides.filter(F.col("r.role") == DECISION),
-        [
-            *common("decision"),
-            _check(
-                F.lit("prediction.decision.positive_rate_shift"),
-                "absolute_positive_decision_rate_shift",
-                shift,
-                limits["positive_rate"],
-                None,
-            ),
-        ],
+    checks.measured(
+        f"{prefix}.invalid_rate_increase",
+        name,
+        f"invalid_{kind}_rate_increase",
+        max(0.0, _rate(cur, "invalid") - _rate(ref, "invalid")),
+        "invalid_rate",
     )
-    return probability.unionByName(decision)
-
-
-def _categorical_checks(
-    comparison: Comparison, present: DataFrame, limits: dict[str, Limit]
-) -> DataFrame:
-    prefix = F.concat(F.lit("feature."), F.col("feature"))
-
-    def share(bucket: str, side: str) -> Column:
-        inside = F.sum(F.when(F.col("bucket") == bucket, F.col(side)).otherwise(0))
-        return F.try_divide(inside.cast("double"), F.sum(side))
-
-    rates = (
-        comparison.buckets.filter(F.col("kind") == CATEGORICAL)
-        .groupBy("feature")
-        .agg(
-            F.abs(share(MISSING, "current_count") - share(MISSING, "reference_count")).alias(
-                "missing_shift"
-            ),
-            share(UNKNOWN, "current_count").alias("unknown_rate"),
+    shift = abs(cur["mean"] - ref["mean"]) if usable else None
+    if kind == DECISION:
+        checks.measured(
+            f"{prefix}.positive_rate_shift",
+            name,
+            "absolute_positive_decision_rate_shift",
+            shift,
+            "positive_rate",
         )
-        .join(present, "feature")
-        .join(comparison.distances, "feature")
+        return
+    checks.measured(
+        f"{prefix}.distribution_shift",
+        name,
+        "total_variation_distance",
+        distance if usable else None,
+        "distribution",
     )
-    return _exploded(
-        rates,
-        [
-            _presence(prefix, F.col("present")),
-            _check(
-                F.concat(prefix, F.lit(".missing_rate_shift")),
-                "absolute_missing_rate_shift",
-                F.col("missing_shift"),
-                limits["missing_rate"],
-                None,
-            ),
-            _check(
-                F.concat(prefix, F.lit(".unknown_rate")),
-                "unknown_category_rate",
-                F.col("unknown_rate"),
-                limits["unknown_rate"],
-                None,
-            ),
-            _check(
-                F.concat(prefix, F.lit(".distribution_shift")),
-                "total_variation_distance",
-                F.col("total_variation"),
-                limits["distribution"],
-                None,
-            ),
-        ],
+    checks.measured(
+        f"{prefix}.mean_shift", name, "absolute_mean_probability_shift", shift, "prediction_mean"
     )
 
 
+def _category_shares(comparison: Comparison) -> dict[str, list[tuple[float, float]]]:
+    """Per categorical feature: (missing, unknown) share of the reference, then of the current."""
+    sizes: dict[str, dict[str, tuple[int, int]]] = {}
+    for row in comparison.buckets.collect():
+        if row.kind == CATEGORICAL:
+            counts = (row.reference_count, row.current_count)
+            sizes.setdefault(row.feature, {})[row.bucket] = counts
+    out = {}
+    for name, buckets in sizes.items():
+        totals = [sum(pair[side] for pair in buckets.values()) for side in (0, 1)]
+        out[name] = [
+            (buckets[MISSING][side] / totals[side], buckets[UNKNOWN][side] / totals[side])
+            for side in (0, 1)
+        ]
+    return out
+
+
 def check_rollup(checks: DataFrame) -> DataFrame:
     """One row: count per status with zeros, overall status and exit code."""
     worst = F.max(severity_rank(F.col("status")))

@@ -82,8 +82,8 @@ def flagged_rate(spark, folder):
 
 
 def reject_counters(spark, folder):
-    rows = validated(spark, folder).select("ts", F.explode("issues").alias("i"))
-    return monitor.reject_counters(_instants(rows.select("ts", "i.code")), "ts", "1 day")
+    codes = records.issue_table(validated(spark, folder), "ts").select("ts", "code")
+    return monitor.reject_counters(_instants(codes), "ts", "1 day")
 
 
 def request_sizes(spark, folder):
