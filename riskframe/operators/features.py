@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
 from riskframe.operators.quantiles import exact_quantiles
+from riskframe.session import durable
 
 MISSING_CATEGORY = "__missing__"
 UNKNOWN_CODE = -1
@@ -214,7 +215,7 @@ def encode_ordinal(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> D
 
 
 def encode_frequency(
-    df: DataFrame, frequencies: DataFrame, columns: Sequence[str], table_rows: int | None = None
+    df: DataFrame, frequencies: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """Replace categories by fitted frequencies, unseen ones by 0.0.
 
@@ -223,10 +224,11 @@ def encode_frequency(
     carrying a spread-out key so that no hot value meets in one task.
     """
     out = df
+    counted = frequencies.groupBy("feature").agg(F.count("*").alias("n")) if columns else None
+    sizes = {r.feature: r.n for r in counted.collect()} if columns else {}
     for name in columns:
         table = _lookup(frequencies, name, "frequency", "_freq")
-        size = table_rows if table_rows is not None else table.count()
-        if size <= BROADCAST_ROWS:
+        if sizes.get(name, 0) <= BROADCAST_ROWS:
             joined = out.join(F.broadcast(table), quoted(name) == F.col("_key"), "left")
             share = F.coalesce(F.col("_freq"), F.lit(0.0))
         else:
@@ -249,6 +251,17 @@ def encode_frequency(
     return out
 
 
+def settled(frequencies: DataFrame) -> DataFrame:
+    """Keep fitted frequencies so that scoring never goes back to the training rows.
+
+    A table that fits is kept locally, a larger one is checkpointed.
+    """
+    rows = frequencies.limit(BROADCAST_ROWS + 1).toArrow()
+    if rows.num_rows <= BROADCAST_ROWS:
+        return frequencies.sparkSession.createDataFrame(rows, schema=frequencies.schema)
+    return durable(frequencies)
+
+
 class FeaturePreparer(Estimator):
     """Fits medians, codes and frequencies on the training rows only."""
 
@@ -262,7 +275,7 @@ class FeaturePreparer(Estimator):
             self.schema,
             freeze(fit_medians(aligned, self.schema.numeric)),
             freeze(fit_codes(aligned, self.schema.ordinal)),
-            fit_frequencies(aligned, self.schema.frequency),
+            settled(fit_frequencies(aligned, self.schema.frequency)),
         )
 
 

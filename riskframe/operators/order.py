@@ -70,6 +70,7 @@ def order_key(df: DataFrame, name: str) -> OrderKey:
 
 @dataclass
 class _Span:
+    group: Any
     low: Any
     high: Any
     start: int
@@ -96,17 +97,19 @@ def _bin_of(key: OrderKey, span: _Span) -> Column:
 
 
 def _select(
-    df: DataFrame, key: OrderKey, low: Any, high: Any, rows: int, ranks: Sequence[int]
-) -> dict[int, _Found]:
-    """Value, first rank and count of the value group at each 0-based rank."""
-    found: dict[int, _Found] = {}
-    spans = [_Span(low, high, 0, rows, sorted(set(ranks)))]
+    df: DataFrame, key: OrderKey, spans: list[_Span], members: dict[Any, Column]
+) -> dict[tuple, _Found]:
+    """Value, first rank and count of the value group at each (group, 0-based rank).
+
+    Every pass serves all groups and ranks at once.
+    """
+    found: dict[tuple, _Found] = {}
     while spans:
         open_spans = []
         for span in spans:
             if span.low == span.high:
                 for rank in span.ranks:
-                    found[rank] = _Found(span.low, span.start, span.rows)
+                    found[span.group, rank] = _Found(span.low, span.start, span.rows)
             else:
                 open_spans.append(span)
         if not open_spans:
@@ -116,7 +119,9 @@ def _select(
         exact = F.lit(None).cast("double" if key.is_double else "long")
         any_span = F.lit(False)
         for number, span in enumerate(open_spans):
-            inside = key.raw.between(key.literal(span.low), key.literal(span.high))
+            inside = members[span.group] & key.raw.between(
+                key.literal(span.low), key.literal(span.high)
+            )
             any_span = any_span | inside
             which = F.when(inside, F.lit(number)).otherwise(which)
             if span.rows <= DIRECT_ROWS:
@@ -139,7 +144,7 @@ def _select(
             for row in sorted((b for b in bins if b.span == number), key=lambda b: b.low):
                 held = [r for r in waiting if start <= r < start + row.rows]
                 if held:
-                    spans.append(_Span(row.low, row.high, start, row.rows, held))
+                    spans.append(_Span(span.group, row.low, row.high, start, row.rows, held))
                     waiting = [r for r in waiting if r not in held]
                 start += row.rows
             if waiting:
@@ -155,56 +160,92 @@ class CutKey:
     tie: Any
 
 
-def cut_keys(df: DataFrame, order: str, tie: str, ranks: Sequence[int]) -> dict[int, CutKey]:
-    """Key of the row at each 0-based rank when sorted by ``(order, tie)``, NULL order last.
+@dataclass(frozen=True)
+class OrderBounds:
+    """Rows of a group, rows with an order value, and the lowest and highest value."""
 
-    Each pass collects at most ``HISTOGRAM_BINS`` bins per distinct target. A tie group is
-    opened, by histograms over ``tie``, only where a rank falls inside it.
-    """
-    if not ranks:
-        return {}
-    key, tie_key = order_key(df, order), order_key(df, tie)
-    bounds = df.agg(
+    rows: int
+    known: int
+    low: Any
+    high: Any
+
+
+def order_bounds(df: DataFrame, order: str, group: str | None = None) -> dict[Any, OrderBounds]:
+    """Bounds per value of ``group`` (a column with few values), or of the whole table as None."""
+    key = order_key(df, order)
+    found = df.groupBy(*([quoted(group).alias("g")] if group else [])).agg(
         F.count("*").alias("rows"),
         F.count(key.number).alias("known"),
         F.min(key.number).alias("low"),
         F.max(key.number).alias("high"),
-    ).first()
-    if min(ranks) < 0 or max(ranks) >= bounds.rows:
-        raise ValueError(f"ranks {list(ranks)} outside 0..{bounds.rows - 1}")
-    known = [r for r in ranks if r < bounds.known]
-    groups: dict[int, _Found] = {}
-    if known:
-        groups = _select(df, key, bounds.low, bounds.high, bounds.known, known)
-    for rank in ranks:
-        if rank >= bounds.known:
-            groups[rank] = _Found(None, bounds.known, bounds.rows - bounds.known)
-    out: dict[int, CutKey] = {}
-    inside: dict[Any, list[int]] = {}
-    for rank, group in groups.items():
-        if rank == group.start:
-            out[rank] = CutKey(group.value, None)
+    )
+    return {
+        (r.g if group else None): OrderBounds(r.rows, r.known, r.low, r.high)
+        for r in found.collect()
+    }
+
+
+def cut_keys(
+    df: DataFrame,
+    order: str,
+    tie: str,
+    ranks: Sequence[int],
+    bounds: OrderBounds | None = None,
+) -> dict[int, CutKey]:
+    """Key of the row at each 0-based rank when sorted by ``(order, tie)``, NULL order last."""
+    if not ranks:
+        return {}
+    limits = {None: bounds or order_bounds(df, order)[None]}
+    return group_cut_keys(df, order, tie, {None: list(ranks)}, limits, None)[None]
+
+
+def group_cut_keys(
+    df: DataFrame,
+    order: str,
+    tie: str,
+    ranks: dict[Any, list[int]],
+    bounds: dict[Any, OrderBounds],
+    group: str | None,
+) -> dict[Any, dict[int, CutKey]]:
+    """:func:`cut_keys` inside every group, with shared passes.
+
+    A pass collects at most ``HISTOGRAM_BINS`` bins per distinct target. A tie group is
+    opened, by histograms over ``tie``, only where a rank falls inside it.
+    """
+    key, tie_key = order_key(df, order), order_key(df, tie)
+    members = {
+        g: F.lit(True) if group is None else quoted(group).eqNullSafe(F.lit(g)) for g in ranks
+    }
+    spans, groups = [], {}
+    for g, wanted in ranks.items():
+        limit = bounds[g]
+        if wanted and (min(wanted) < 0 or max(wanted) >= limit.rows):
+            raise ValueError(f"ranks {wanted} outside 0..{limit.rows - 1}")
+        known = sorted({r for r in wanted if r < limit.known})
+        if known:
+            spans.append(_Span(g, limit.low, limit.high, 0, limit.known, known))
+        for rank in wanted:
+            if rank >= limit.known:
+                groups[g, rank] = _Found(None, limit.known, limit.rows - limit.known)
+    groups.update(_select(df, key, spans, members))
+    out: dict[Any, dict[int, CutKey]] = {g: {} for g in ranks}
+    inside: dict[tuple, list[int]] = {}
+    for (g, rank), found in groups.items():
+        if rank == found.start:
+            out[g][rank] = CutKey(found.value, None)
         else:
-            inside.setdefault(group.value, []).append(rank)
-    for value, members in inside.items():
-        start = groups[members[0]].start
+            inside.setdefault((g, found.value), []).append(rank)
+    for (g, value), waiting in inside.items():
+        start = groups[g, waiting[0]].start
         match = key.raw.isNull() if value is None else key.raw == key.literal(value)
-        group_rows = df.filter(match)
-        ties = group_rows.agg(
-            F.min(tie_key.number).alias("low"), F.max(tie_key.number).alias("high")
-        ).first()
-        if ties.low is None:
+        group_rows = df.filter(members[g] & match)
+        ties = order_bounds(group_rows, tie).get(None)
+        if ties is None or ties.known < ties.rows:
             raise ValueError(f"tie-breaking column {tie!r} is NULL in a tie group")
-        local = _select(
-            group_rows,
-            tie_key,
-            ties.low,
-            ties.high,
-            groups[members[0]].rows,
-            [m - start for m in members],
-        )
-        for rank in members:
-            out[rank] = CutKey(value, local[rank - start].value)
+        span = _Span(None, ties.low, ties.high, 0, ties.rows, [r - start for r in waiting])
+        local = _select(group_rows, tie_key, [span], {None: F.lit(True)})
+        for rank in waiting:
+            out[g][rank] = CutKey(value, local[None, rank - start].value)
     return out
 
 
@@ -287,7 +328,8 @@ def rank_rows(
     alone = {v for v, times in repeats.items() if times > 1 and abs(v) < EXACT_IN_DOUBLE}
     bounds = sorted(set(splits) | {math.nextafter(v, math.inf) for v in alone})
     placed = bucketise(keyed, "_key", bounds, "_bucket", keep_missing=True)
-    sizes = {r._bucket: r.n for r in _bucket_sizes(placed, "_bucket").collect()}
+    counts = _bucket_sizes(placed, "_bucket").collect()
+    sizes = {r._bucket: r.n for r in counts}
     total = sum(sizes.values())
     # Bucket i + 1 starts at bounds[i]; the extra last bucket holds missing order values.
     missing_bucket = len(bounds) + 1 if bounds else 2
@@ -299,13 +341,14 @@ def rank_rows(
     }
     if shares:
         placed = _split_ties(placed, shares)
+        found = [(r._bucket, r._part, r.n) for r in _bucket_sizes(placed, "_bucket", "_part").collect()]
     else:
         placed = placed.withColumn("_part", F.lit(0))
-    counts = _bucket_sizes(placed, "_bucket", "_part").collect()
+        found = [(r._bucket, 0, r.n) for r in counts]
     offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: (r._bucket, r._part)):
-        offsets.append((row._bucket, row._part, running))
-        running += row.n
+    for bucket, part, rows in sorted(found):
+        offsets.append((bucket, part, running))
+        running += rows
     offset_rows = local_rows(
         df.sparkSession, offsets, "_bucket int, _part int, _offset bigint"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.order import before, cut_keys, rank_rows
+from riskframe.operators.order import before, cut_keys, order_bounds, rank_rows
 from riskframe.operators.split import seeded_order
 
 
@@ -39,13 +39,15 @@ def systematic_sample(df: DataFrame, time_col: str, id_col: str, size: int | Non
 
 def random_sample(df: DataFrame, id_col: str, size: int | None, seed: int = 42) -> DataFrame:
     """Exactly ``size`` rows, uniform over ids: those below one cut of the seeded order."""
-    total = df.count()
-    if size is None or size >= total:
+    if size is None:
+        return df
+    hashed = df.withColumn("_order", seeded_order(id_col, seed))
+    bounds = order_bounds(hashed, "_order")[None]
+    if size >= bounds.rows:
         return df
     if size <= 0:
         raise ValueError(f"sample size must be positive, got {size}")
-    hashed = df.withColumn("_order", seeded_order(id_col, seed))
-    cut = cut_keys(hashed, "_order", id_col, [size])[size]
+    cut = cut_keys(hashed, "_order", id_col, [size], bounds)[size]
     return hashed.filter(before(hashed, "_order", id_col, cut)).drop("_order")
 
 

@@ -6,14 +6,20 @@ splits do the same per class on a seeded hash of the id.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalars import round_half_even
 from riskframe.functions.values import quoted
-from riskframe.operators.order import before, cut_keys
+from riskframe.operators.order import (
+    CutKey,
+    before,
+    cut_keys,
+    group_cut_keys,
+    order_bounds,
+)
 
 FIVE_WAY = (
     "train",
@@ -45,27 +51,46 @@ def halves(n: int, first_share: float) -> int:
     return max(1, min(n - 1, round_half_even(n * first_share)))
 
 
-def split_by_sizes(
-    df: DataFrame,
-    order: str,
-    tie: str,
-    parts: Sequence[tuple[str, int]],
-    split: str = "split",
-) -> DataFrame:
-    """Label rows in ``(order, tie)`` order: the first ``size`` rows get the first name, ..."""
-    total = sum(size for _, size in parts)
+def part_ends(parts: Sequence[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Each part but the last with the rank at which the next one starts."""
     ends, position = [], 0
     for name, size in parts[:-1]:
         position += size
         ends.append((name, position))
-    cuts = cut_keys(df, order, tie, sorted({end for _, end in ends if 0 < end < total}))
+    return ends
+
+
+def inner_ranks(parts: Sequence[tuple[str, int]]) -> list[int]:
+    total = sum(size for _, size in parts)
+    return sorted({end for _, end in part_ends(parts) if 0 < end < total})
+
+
+def part_label(
+    df: DataFrame, order: str, tie: str, parts: Sequence[tuple[str, int]], cuts: dict[int, CutKey]
+) -> Column:
+    """Name of the part a row falls in, by comparison with the literal cut keys."""
+    total = sum(size for _, size in parts)
     label = F.lit(parts[-1][0])
-    for name, end in reversed(ends):
+    for name, end in reversed(part_ends(parts)):
         if end >= total:
             label = F.lit(name)
         elif end > 0:
             label = F.when(before(df, order, tie, cuts[end]), F.lit(name)).otherwise(label)
-    return df.withColumn(split, label)
+    return label
+
+
+def split_by_sizes(
+    df: DataFrame,
+    order: str,
+    tie: str,
+    parts_of: Callable[[int], Sequence[tuple[str, int]]],
+    split: str = "split",
+) -> DataFrame:
+    """Label rows in ``(order, tie)`` order; ``parts_of`` turns the row count into sized parts."""
+    bounds = order_bounds(df, order)[None]
+    parts = parts_of(bounds.rows)
+    cuts = cut_keys(df, order, tie, inner_ranks(parts), bounds)
+    return df.withColumn(split, part_label(df, order, tie, parts, cuts))
 
 
 def temporal_split(
@@ -76,8 +101,9 @@ def temporal_split(
     names: Sequence[str] = ("train", "validation", "test"),
     split: str = "split",
 ) -> DataFrame:
-    sizes = cut_sizes(df.count(), ratios)
-    return split_by_sizes(df, time_col, id_col, list(zip(names, sizes)), split)
+    return split_by_sizes(
+        df, time_col, id_col, lambda n: list(zip(names, cut_sizes(n, ratios))), split
+    )
 
 
 def five_way_sizes(
@@ -103,8 +129,13 @@ def five_way_split(
     split: str = "split",
 ) -> DataFrame:
     """All five partitions from one set of cut keys instead of three nested sorts."""
-    parts = five_way_sizes(df.count(), ratios, promotion_share, calibration_share)
-    return split_by_sizes(df, time_col, id_col, parts, split)
+    return split_by_sizes(
+        df,
+        time_col,
+        id_col,
+        lambda n: five_way_sizes(n, ratios, promotion_share, calibration_share),
+        split,
+    )
 
 
 def two_way_split(
@@ -115,15 +146,12 @@ def two_way_split(
     names: Sequence[str] = ("earlier", "later"),
     split: str = "split",
 ) -> DataFrame:
-    n = df.count()
-    first = halves(n, first_share)
-    return split_by_sizes(df, time_col, id_col, list(zip(names, (first, n - first))), split)
 
+    def parts(n: int) -> list[tuple[str, int]]:
+        first = halves(n, first_share)
+        return list(zip(names, (first, n - first)))
 
-def class_counts(df: DataFrame, label_col: str) -> dict:
-    """Rows per class; classes are few by nature of a label."""
-    rows = df.groupBy(quoted(label_col).alias("c")).agg(F.count("*").alias("n")).collect()
-    return {r.c: r.n for r in rows}
+    return split_by_sizes(df, time_col, id_col, parts, split)
 
 
 def stratified_split(
@@ -140,30 +168,20 @@ def stratified_split(
     Falls back to an unstratified split when there is one class only or a class has fewer
     than two rows.
     """
-    counts = class_counts(df, label_col)
     hashed = df.withColumn("_order", seeded_order(id_col, seed))
-    if len(counts) < 2 or min(counts.values()) < 2:
-        sizes = cut_sizes(sum(counts.values()), ratios)
-        out = split_by_sizes(hashed, "_order", id_col, list(zip(names, sizes)), split)
-        return out.drop("_order")
+    bounds = order_bounds(hashed, "_order", label_col)
+    if len(bounds) < 2 or min(b.rows for b in bounds.values()) < 2:
+        whole = split_by_sizes(
+            hashed, "_order", id_col, lambda n: list(zip(names, cut_sizes(n, ratios))), split
+        )
+        return whole.drop("_order")
+    parts = {c: list(zip(names, cut_sizes(b.rows, ratios))) for c, b in bounds.items()}
+    ranks = {c: inner_ranks(p) for c, p in parts.items()}
+    cuts = group_cut_keys(hashed, "_order", id_col, ranks, bounds, label_col)
     label = F.lit(None).cast("string")
-    for value, n in counts.items():
-        is_class = quoted(label_col).eqNullSafe(F.lit(value))
-        sizes = cut_sizes(n, ratios)
-        members = hashed.filter(is_class)
-        ends, position = [], 0
-        for name, size in zip(names[:-1], sizes[:-1]):
-            position += size
-            ends.append((name, position))
-        cuts = cut_keys(members, "_order", id_col, sorted({e for _, e in ends if 0 < e < n}))
-        part = F.lit(names[-1])
-        for name, end in reversed(ends):
-            if end >= n:
-                part = F.lit(name)
-            elif end > 0:
-                inside = before(hashed, "_order", id_col, cuts[end])
-                part = F.when(inside, F.lit(name)).otherwise(part)
-        label = F.when(is_class, part).otherwise(label)
+    for value, sized in parts.items():
+        own = part_label(hashed, "_order", id_col, sized, cuts[value])
+        label = F.when(quoted(label_col).eqNullSafe(F.lit(value)), own).otherwise(label)
     return hashed.withColumn(split, label).drop("_order")
 
 
