@@ -25,7 +25,7 @@ from riskframe.functions.values import (
     valid_decision,
     valid_probability,
 )
-from riskframe.operators.quantiles import exact_quantiles
+from riskframe.operators.quantiles import feature_quantiles
 from riskframe.operators.contract import Contract, ContractError
 
 OTHER, MISSING, UNKNOWN = "OTHER", "MISSING", "UNKNOWN"
@@ -90,10 +90,14 @@ def _unpivot(df: DataFrame, columns: Sequence[tuple[str, Column]]) -> DataFrame:
     return wide.unpivot([], [quoted(name) for name, _ in columns], "feature", "value")
 
 
-def numeric_long(df: DataFrame, contract: Contract) -> DataFrame:
+def numeric_long(
+    df: DataFrame, contract: Contract, features: Sequence[str] | None = None
+) -> DataFrame:
     """``feature, value``: numeric features, probability and decision, measured."""
     columns = []
     for name, role in numeric_roles(contract):
+        if features is not None and name not in features:
+            continue
         number = _number(df, name)
         if role == PROBABILITY:
             number = _only(valid_probability(number), number)
@@ -296,14 +300,13 @@ def side_profile(
     probabilities = [*(SUMMARY_PROBABILITIES if summary else ()), *extra]
     quantiles: dict[str, list[float]] = {}
     if contract.numeric and probabilities and rows:
-        found = exact_quantiles(
-            long.filter(F.col("feature").isin(list(contract.numeric))),
-            ["feature"],
-            "value",
+        found = feature_quantiles(
+            lambda names: numeric_long(df, contract, names),
+            contract.numeric,
             probabilities,
-            largest=max(r["finite_count"] for r in rows.values()),
+            max(r["finite_count"] for r in rows.values()),
         )
-        quantiles = {r.feature: r.quantiles or [] for r in found.collect()}
+        quantiles = {name: values or [] for name, values in found.items()}
     first = len(SUMMARY_PROBABILITIES) if summary else 0
     for name, row in rows.items():
         row["role"] = roles[name]

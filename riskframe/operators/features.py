@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
-from riskframe.operators.quantiles import exact_quantiles
+from riskframe.operators.quantiles import feature_quantiles
 from riskframe.session import durable
 
 MISSING_CATEGORY = "__missing__"
@@ -146,15 +146,14 @@ def align(df: DataFrame, schema: FeatureSchema, keep: Sequence[str] = ()) -> Dat
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature, median``: exact medians of aligned numeric columns, 0.0 where all is missing."""
-    if not columns:
-        return local_rows(df.sparkSession, [], "feature string, median double")
-    long = df.select(*[quoted(c) for c in columns]).unpivot(
-        [], [quoted(c) for c in columns], "feature", "value"
-    )
-    quantiles = exact_quantiles(long, ["feature"], "value", [0.5])
-    return quantiles.select(
-        "feature", F.coalesce(F.element_at("quantiles", 1), F.lit(0.0)).alias("median")
-    )
+
+    def long_of(names: Sequence[str]) -> DataFrame:
+        numbers = [to_number(quoted(c), df.schema[c].dataType).alias(c) for c in names]
+        return df.select(*numbers).unpivot([], [quoted(c) for c in names], "feature", "value")
+
+    found = feature_quantiles(long_of, list(columns), [0.5])
+    medians = [(c, found[c][0] if found.get(c) else 0.0) for c in columns]
+    return local_rows(df.sparkSession, medians, "feature string, median double")
 
 
 def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -273,7 +272,7 @@ class FeaturePreparer(Estimator):
         aligned = align(dataset, self.schema)
         return FeaturePreparerModel(
             self.schema,
-            freeze(fit_medians(aligned, self.schema.numeric)),
+            fit_medians(aligned, self.schema.numeric),
             freeze(fit_codes(aligned, self.schema.ordinal)),
             settled(fit_frequencies(aligned, self.schema.frequency)),
         )

@@ -80,12 +80,19 @@ def table_fingerprint(
 def ordered_fingerprint(
     df: DataFrame, order: str, tie: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Order-sensitive over ``(order, tie)``; column order and number types matter too."""
+    """Order-sensitive over ``(order, tie)``; column order and number types matter too.
+
+    Rows are digested before they are ranked, so the ranking shuffle carries two keys and a
+    digest however wide the table is.
+    """
     names = list(columns if columns is not None else df.columns)
-    ranked = rank_rows(df, order, tie, "_rank")
-    text = F.concat_ws(
-        "|", F.col("_rank").cast("string"), row_text(ranked.schema, names)
+    narrow = df.select(
+        quoted(order).alias("_order"),
+        quoted(tie).alias("_tie_key"),
+        digest(row_text(df.schema, names)).alias("_row"),
     )
+    ranked = rank_rows(narrow, "_order", "_tie_key", "_rank")
+    text = F.concat_ws("|", F.col("_rank").cast("string"), F.col("_row"))
     return _combine(ranked.select(digest(text).alias("row_hash")), header_text(names))
 
 

@@ -8,7 +8,7 @@ wanted rank and the rows inside the brackets are ranked exactly.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +18,10 @@ from riskframe.functions.local import local_rows
 
 BUFFER_ROWS = 2_000_000
 SKETCH_ACCURACY = 1000
+# Quantile buffers are objects, and Spark turns an object aggregate of more than 128 keys per
+# task into a sort of its input. Fewer features per job keep it a hash aggregate, and with
+# columnar files each job reads its own columns only.
+FEATURES_PER_JOB = 100
 
 
 def exact_quantiles(
@@ -86,6 +90,23 @@ def exact_quantiles(
     return local_rows(df.sparkSession, out, schema)
 
 
+def feature_quantiles(
+    long_of: Callable[[Sequence[str]], DataFrame],
+    features: Sequence[str],
+    probabilities: Sequence[float],
+    largest: int | None = None,
+) -> dict[str, list[float] | None]:
+    """Exact quantiles of many features; ``long_of`` gives ``feature, value`` rows of some."""
+    found: dict[str, list[float] | None] = {}
+    for start in range(0, len(features), FEATURES_PER_JOB):
+        chunk = features[start : start + FEATURES_PER_JOB]
+        rows = exact_quantiles(
+            long_of(chunk), ["feature"], "value", probabilities, largest=largest
+        ).collect()
+        found.update({r.feature: r.quantiles for r in rows})
+    return found
+
+
 def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for low, high in sorted(spans):

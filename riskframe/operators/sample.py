@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.values import quoted
 from riskframe.operators.order import before, cut_keys, order_bounds, rank_rows
 from riskframe.operators.split import seeded_order
 
+BROADCAST_ROWS = 1_000_000
+
 
 def on_grid(rank: Column, total: int, size: int) -> Column:
     """True for ranks floor(i * (total-1) / (size-1)), i = 0..size-1, the last being total-1.
@@ -27,14 +30,21 @@ def on_grid(rank: Column, total: int, size: int) -> Column:
 
 
 def systematic_sample(df: DataFrame, time_col: str, id_col: str, size: int | None) -> DataFrame:
-    """Rows evenly spaced over the time order; ``None`` or a large size keeps every row."""
+    """Rows evenly spaced over the time order; ``None`` or a large size keeps every row.
+
+    Ids are unique, which validation checks.
+    """
     total = df.count()
     if size is None or size >= total:
         return df
     if size <= 0:
         raise ValueError(f"sample size must be positive, got {size}")
-    ranked = rank_rows(df, time_col, id_col, "_rank")
-    return ranked.filter(on_grid(F.col("_rank"), total, size)).drop("_rank")
+    ranked = rank_rows(df.select(quoted(time_col), quoted(id_col)), time_col, id_col, "_rank")
+    kept = ranked.filter(on_grid(F.col("_rank"), total, size)).select(quoted(id_col))
+    # Only the key columns are shuffled for ranking. The kept ids number exactly ``size``.
+    if size <= BROADCAST_ROWS:
+        kept = F.broadcast(kept)
+    return df.join(kept, id_col, "left_semi")
 
 
 def random_sample(df: DataFrame, id_col: str, size: int | None, seed: int = 42) -> DataFrame:

@@ -92,8 +92,8 @@ QUERIES = {
         fingerprint_ordered,
         f"""
         WITH t AS (SELECT sha256((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) || '|' ||
-                     {_whole('o_orderkey', 'integer')} || '|' ||
-                     {_whole('o_orderstatus', 'string')}) AS h FROM orders)
+                     sha256({_whole('o_orderkey', 'integer')} || '|' ||
+                            {_whole('o_orderstatus', 'string')})) AS h FROM orders)
         {_combine('t', '["o_orderkey","o_orderstatus"]')}
         """,
     ),
@@ -101,7 +101,7 @@ QUERIES = {
         row_identity,
         f"""
         WITH t AS (SELECT sha256((row_number() OVER (ORDER BY ts, event_id) - 1) || '|' ||
-                     {_whole('event_id', 'integer')}) AS h FROM events)
+                     sha256({_whole('event_id', 'integer')})) AS h FROM events)
         {_combine('t', '["event_id"]')}
         """,
     ),
