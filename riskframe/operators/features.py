@@ -237,9 +237,13 @@ def encode_frequency(
                 .select(F.col("_key").alias("_hot_key"), F.col("_freq").alias("_hot_freq"))
             )
             marked = out.join(F.broadcast(hot), quoted(name) == F.col("_hot_key"), "left")
-            # Answered rows get a key that matches nothing and spreads evenly.
-            spread = F.concat(
-                F.lit("\u0000"), F.xxhash64(*[quoted(c) for c in out.columns]).cast("string")
+            # Answered rows get a key that matches nothing and spreads evenly, copies of one
+            # row too; a retried task builds the same keys again.
+            spread = F.concat_ws(
+                ":",
+                F.lit("\u0000"),
+                F.xxhash64(*[quoted(c) for c in out.columns]).cast("string"),
+                F.spark_partition_id().cast("string"),
             )
             open_key = F.when(F.col("_hot_key").isNull(), quoted(name)).otherwise(spread)
             joined = marked.withColumn("_open", open_key).join(
@@ -323,3 +327,11 @@ class FeaturePreparerModel(Model):
             freeze(spark.read.parquet(f"{base}/codes")),
             spark.read.parquet(f"{base}/frequencies"),
         )
+
+
+def first_rows(
+    df: DataFrame, columns: Sequence[str], time_col: str, id_col: str, count: int = 5
+) -> DataFrame:
+    """Example rows of the model columns: the earliest ``count``, by a top-k without a full sort."""
+    ordered = df.orderBy(quoted(time_col).asc_nulls_last(), quoted(id_col)).limit(count)
+    return ordered.select(*[quoted(c) for c in columns])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.functions.canonical import category_token, digest, row_text
+from riskframe.functions.canonical import category_key, category_token, digest, row_text
 from riskframe.functions.values import quoted
 from riskframe.operators.order import rank_rows
 
@@ -103,8 +103,6 @@ def row_identity_fingerprint(df: DataFrame, order: str, tie: str, id_col: str) -
 
 def category_tokens(df: DataFrame, column: str, key: Column | None = None) -> DataFrame:
     """Distinct categories as opaque tokens with counts: ``token, row_count``."""
-    from riskframe.functions.canonical import category_key
-
     typed = key if key is not None else category_key(quoted(column), df.schema[column].dataType)
     counted = df.groupBy(typed.alias("k")).agg(F.count("*").alias("row_count"))
     return counted.filter(F.col("k").isNotNull()).select(

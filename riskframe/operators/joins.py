@@ -17,7 +17,9 @@ def attach_identity(transactions: DataFrame, identity: DataFrame, key: str) -> D
 
 def orphan_keys(identity: DataFrame, transactions: DataFrame, key: str) -> DataFrame:
     """Distinct identity keys without a transaction."""
-    return identity.select(quoted(key)).join(transactions, key, "left_anti").distinct()
+    # Repeated keys collapse before the shuffle, so a hot key is one row of the join.
+    wanted = identity.select(quoted(key)).distinct()
+    return wanted.join(transactions.select(quoted(key)).distinct(), key, "left_anti")
 
 
 def key_coverage(transactions: DataFrame, identity: DataFrame, key: str) -> DataFrame:

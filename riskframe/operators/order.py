@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
@@ -30,6 +31,7 @@ HISTOGRAM_BINS = 4096
 DIRECT_ROWS = 4096
 MAX_BUCKETS = 2048
 EXACT_IN_DOUBLE = 2**53
+EPOCH = datetime(1970, 1, 1)
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,8 @@ class OrderKey:
         if isinstance(self.data_type, T.TimestampType):
             return F.timestamp_micros(F.lit(int(value)))
         if isinstance(self.data_type, T.TimestampNTZType):
-            return F.timestamp_micros(F.lit(int(value))).cast("timestamp_ntz")
+            moment = EPOCH + timedelta(microseconds=int(value))
+            return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
         if isinstance(self.data_type, T.DateType):
             return F.date_from_unix_date(F.lit(int(value)))
         return F.lit(value)
@@ -62,12 +65,20 @@ def order_key(df: DataFrame, name: str) -> OrderKey:
     if isinstance(data_type, T.TimestampType):
         return OrderKey(column, F.unix_micros(column), False, data_type)
     if isinstance(data_type, T.TimestampNTZType):
-        return OrderKey(column, F.unix_micros(column.cast("timestamp")), False, data_type)
+        return OrderKey(column, _zoneless_micros(column), False, data_type)
     if isinstance(data_type, T.DateType):
         return OrderKey(column, F.unix_date(column).cast("long"), False, data_type)
     raise TypeError(f"cannot order rows by a column of type {data_type.simpleString()}")
 
 
+def _zoneless_micros(column: Column) -> Column:
+    """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
+    days = F.unix_date(column.cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(column)) * 60 + F.minute(column)
+    seconds = F.extract(F.lit("SECOND"), column) * F.lit(1_000_000)
+    return minutes * F.lit(60_000_000) + seconds.cast("long")
+
+
 @dataclass
 class _Span:
     group: Any

@@ -96,6 +96,36 @@ def check_predictions(
         raise PredictionError("evaluation needs both label classes")
 
 
+def align_predictions(
+    labels: DataFrame, predictions: DataFrame, id_col: str, label_col: str
+) -> DataFrame:
+    """Labels beside the predictions of the same ids; ``check_alignment`` tells what is off."""
+    wanted = labels.select(quoted(id_col), quoted(label_col))
+    return wanted.join(predictions, id_col, "inner")
+
+
+def alignment(labels: DataFrame, predictions: DataFrame, id_col: str) -> DataFrame:
+    """One row: labelled ids without prediction, predicted ids without label, repeated ids."""
+    sides = (
+        labels.select(quoted(id_col), F.lit(1).alias("l"), F.lit(0).alias("p"))
+        .unionByName(predictions.select(quoted(id_col), F.lit(0).alias("l"), F.lit(1).alias("p")))
+        .groupBy(id_col)
+        .agg(F.sum("l").alias("l"), F.sum("p").alias("p"))
+    )
+    return sides.agg(
+        F.count_if((F.col("l") > 0) & (F.col("p") == 0)).alias("without_prediction"),
+        F.count_if((F.col("p") > 0) & (F.col("l") == 0)).alias("without_label"),
+        F.count_if((F.col("l") > 1) | (F.col("p") > 1)).alias("repeated"),
+    )
+
+
+def check_alignment(labels: DataFrame, predictions: DataFrame, id_col: str) -> None:
+    """Every labelled row has exactly one prediction and the other way round."""
+    found = alignment(labels, predictions, id_col).first()
+    if found.without_prediction or found.without_label or found.repeated:
+        raise PredictionError(f"labels and predictions do not align: {found.asDict()}")
+
+
 def finite_output(df: DataFrame) -> DataFrame:
     """NaN and infinities to NULL in every double column before a strict JSON write."""
     return df.select(

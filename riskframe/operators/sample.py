@@ -74,3 +74,8 @@ def sample_table(
     if strategy == "random":
         return random_sample(df, id_col, size, seed)
     raise ValueError(f"unknown sampling strategy {strategy!r}; use 'time_ordered' or 'random'")
+
+
+def left_out(df: DataFrame, sampled: DataFrame, id_col: str) -> DataFrame:
+    """The rows a sample did not take."""
+    return df.join(sampled.select(quoted(id_col)), id_col, "left_anti")

@@ -71,36 +71,45 @@ def _instants(df, column="ts"):
     return df.withColumn(column, quoted(column).cast("timestamp"))
 
 
+def _naive(df):
+    """Window bounds without zone, like the given tables' times."""
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return df.withColumns(bounds)
+
+
 def prediction_counters(spark, folder):
-    return rounded(
-        monitor.prediction_counters(_instants(flagged_events(spark, folder)), "ts", "flag")
+    counters = monitor.prediction_counters(
+        _instants(flagged_events(spark, folder)), "ts", "flag"
     )
+    return _naive(rounded(counters))
 
 
 def flagged_rate(spark, folder):
-    return rounded(monitor.flagged_rate(_instants(flagged_events(spark, folder)), "ts", "flag"))
+    rates = monitor.flagged_rate(_instants(flagged_events(spark, folder)), "ts", "flag")
+    return _naive(rounded(rates))
 
 
 def reject_counters(spark, folder):
     codes = records.issue_table(validated(spark, folder), "ts").select("ts", "code")
-    return monitor.reject_counters(_instants(codes), "ts", "1 day")
+    return _naive(monitor.reject_counters(_instants(codes), "ts", "1 day"))
 
 
 def request_sizes(spark, folder):
     events = table(spark, folder, "events").select(
         "ts", F.get_json_object("props", "$.k").cast("int").alias("size")
     )
-    return monitor.request_sizes(_instants(events), "ts", "size", "1 day")
+    return _naive(monitor.request_sizes(_instants(events), "ts", "size", "1 day"))
 
 
 def rejection_alerts(spark, folder):
     rows = _instants(validated(spark, folder))
-    return monitor.rejection_alerts(rows, "ts", ~F.col("accepted"), length="6 hours")
+    alerts = monitor.rejection_alerts(rows, "ts", ~F.col("accepted"), length="6 hours")
+    return _naive(alerts)
 
 
 def event_alerts(spark, folder):
     events = _instants(table(spark, folder, "events"))
-    return monitor.event_alerts(events, "ts", "event_type", 10, "6 hours")
+    return _naive(monitor.event_alerts(events, "ts", "event_type", 10, "6 hours"))
 
 
 def service_levels(spark, folder):
@@ -157,8 +166,8 @@ def _bucket(length: str, column: str = "ts") -> str:
 
 def _span(length: str) -> str:
     return (
-        f"{_bucket(length)}::TIMESTAMPTZ AS window_start, "
-        f"({_bucket(length)} + INTERVAL '{length}')::TIMESTAMPTZ AS window_end"
+        f"{_bucket(length)} AS window_start, "
+        f"{_bucket(length)} + INTERVAL '{length}' AS window_end"
     )
 
 
@@ -196,7 +205,7 @@ QUERIES = {
         WITH {_FLAGGED}, w AS (
           SELECT {_bucket('5 minutes')} - INTERVAL '5 minutes' * i AS s, flag
           FROM p, range(12) t(i))
-        SELECT s::TIMESTAMPTZ AS window_start, (s + INTERVAL '1 hour')::TIMESTAMPTZ AS window_end,
+        SELECT s AS window_start, (s + INTERVAL '1 hour') AS window_end,
                count(*) AS predictions, CAST(sum(flag) AS BIGINT) AS flagged,
                round(avg(flag), 9) AS flagged_rate FROM w GROUP BY s
         """,

@@ -78,6 +78,26 @@ def prediction_violations(spark, folder):
     return predict.prediction_violations(scored, 0.5, "label")
 
 
+def document_scores(spark, folder):
+    """A score per document, longer ones higher; labels exist for some documents only."""
+    length = F.col("n_chars")
+    return table(spark, folder, "documents").select(
+        "doc_id", (length / (length + 1000.0)).alias("score")
+    )
+
+
+def aligned_metrics(spark, folder):
+    labels = table(spark, folder, "labels")
+    rows = predict.align_predictions(labels, document_scores(spark, folder), "doc_id", "quality")
+    return rounded(metrics.compute_metrics(rows, "quality", "score", 0.5, FN_COST, FP_COST))
+
+
+def alignment(spark, folder):
+    return predict.alignment(
+        table(spark, folder, "labels"), document_scores(spark, folder), "doc_id"
+    )
+
+
 def two_models(spark, folder):
     k = F.get_json_object("props", "$.k").cast("double")
     return table(spark, folder, "events").select(
@@ -296,6 +316,25 @@ QUERIES = {
         {_metrics_sql('rows', 'l_linestatus', costs=False)} SELECT * FROM m
         """,
     ),
+    "aligned_metrics": (
+        aligned_metrics,
+        f"""
+        WITH al AS (SELECT quality AS label, n_chars / (n_chars + 1000.0::DOUBLE) AS score
+                    FROM labels JOIN documents USING (doc_id)),
+        {_metrics_sql('al', None)} SELECT * FROM m
+        """,
+    ),
+    "alignment": (
+        alignment,
+        """
+        SELECT (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))
+                 AS without_prediction,
+               (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
+                 AS without_label,
+               (SELECT count(*) FROM (SELECT doc_id FROM labels GROUP BY doc_id HAVING count(*) > 1
+                UNION SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) > 1)) AS repeated
+        """,
+    ),
     "pr_curve": (
         pr_curve,
         f"""

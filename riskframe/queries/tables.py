@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.operators import audit, joins, sample, split
+from riskframe.operators import audit, features, joins, sample, split
 from riskframe.queries.base import (
     FIVE_WAY,
     SCORED,
@@ -94,10 +94,10 @@ def split_overlap(spark, folder):
 
 
 def keys_in_two_splits(spark, folder):
-    rows = five_way_events(spark, folder).join(
-        table(spark, folder, "events").select("event_id", "user_id"), "event_id"
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id")
+    return joins.overlapping_keys(
+        split.five_way_split(events, "ts", "event_id"), "user_id", "split"
     )
-    return joins.overlapping_keys(rows, "user_id", "split")
 
 
 def systematic_sample(spark, folder):
@@ -106,6 +106,18 @@ def systematic_sample(spark, folder):
     ).select("event_id", "ts")
 
 
+def sample_left_out(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "ts")
+    sampled = sample.systematic_sample(events, "ts", "event_id", 600)
+    return sample.left_out(events, sampled, "event_id")
+
+
+def first_rows(spark, folder):
+    return features.first_rows(
+        table(spark, folder, "events"), ["event_type", "value"], "ts", "event_id", 5
+    )
+
+
 def hash_sample(spark, folder):
     return sample.random_sample(table(spark, folder, "events"), "event_id", 750, SEED).select(
         "event_id", "event_type"
@@ -255,6 +267,22 @@ QUERIES = {
         SELECT event_id, ts FROM r WHERE n <= 1000 OR r IN (SELECT r FROM k)
         """,
     ),
+    "sample_left_out": (
+        sample_left_out,
+        """
+        WITH r AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS r,
+                          count(*) OVER () AS n FROM events),
+        s AS (SELECT max(n) AS n FROM r),
+        k AS (SELECT DISTINCT CASE WHEN i = 599 THEN n - 1
+                ELSE CAST(floor(i::DOUBLE * ((n - 1)::DOUBLE / 599)) AS BIGINT) END AS r
+              FROM range(600) t(i), s)
+        SELECT event_id, ts FROM r WHERE r NOT IN (SELECT r FROM k)
+        """,
+    ),
+    "first_rows": (
+        first_rows,
+        "SELECT event_type, value FROM events ORDER BY ts, event_id LIMIT 5",
+    ),
     "hash_sample": (
         hash_sample,
         f"SELECT event_id, event_type FROM events ORDER BY {_HASHED}, event_id LIMIT 750",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,6 @@ def write_json_document(spark: SparkSession, document: dict[str, Any], path: str
 
 
 def read_json_document(spark: SparkSession, path: str) -> dict[str, Any]:
-    import json
-
     return json.loads(spark.read.text(path).first().value)
 
 

@@ -180,6 +180,11 @@ def file_stamps(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def count_rows(df: DataFrame) -> int:
+    """Records, not lines: a quoted line break does not count."""
+    return df.count()
+
+
 def narrow_types(df: DataFrame, floats: bool = False) -> DataFrame:
     """Cast integers to the narrowest type that holds them; doubles only when asked."""
     whole = [

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.calibrate import fit_calibrator
 from riskframe.operators.metrics import compute_metrics, confusion_metrics, score_curve, with_rates
-from riskframe.operators.predict import PredictionError, check_predictions, decide
+from riskframe.operators.predict import (
+    PredictionError,
+    check_alignment,
+    check_predictions,
+    decide,
+)
 from riskframe.operators.threshold import select_threshold
 
 
@@ -161,3 +166,12 @@ def test_curve_plan_has_no_unbounded_window(spark):
     lines = [line for line in plan.splitlines() if "SinglePartition" in line]
     # Only the bucket totals, at most one row per bucket, meet in one partition.
     assert len(lines) <= 1
+
+
+def test_alignment(spark):
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "id int, y int")
+    scores = spark.createDataFrame([(1, 0.2), (2, 0.9)], "id int, s double")
+    check_alignment(labels, scores, "id")
+    for wrong in (scores.limit(1), scores.unionByName(scores), scores.withColumn("id", F.lit(9))):
+        with pytest.raises(PredictionError):
+            check_alignment(labels, wrong, "id")

@@ -93,3 +93,22 @@ def test_exact_quantiles_agree_on_both_paths(spark):
         assert by_group.pop("none") is None
         for name, values in by_group.items():
             np.testing.assert_allclose(values, expected[name], rtol=1e-12)
+
+
+def test_times_without_zone_ignore_the_session_zone(spark):
+    """Around a clock change, where two such times may be one instant in the session's zone."""
+    df = spark.range(400).select(
+        F.expr("timestamp_ntz'2024-03-10 00:00:00' + id * interval '30.000001' second").alias("t"),
+        "id",
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for position in (1, 241, 299, 399):
+            cut = order.cut_keys(df, "t", "id", [position])[position]
+            kept = df.filter(order.before(df, "t", "id", cut)).agg(F.max("id")).first()[0]
+            assert kept == position - 1
+        ranked = order.rank_rows(df, "t", "id", buckets=16).collect()
+        assert all(r.id == r["rank"] for r in ranked)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
