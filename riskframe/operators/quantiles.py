@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.local import local_rows
 
-BUFFER_ROWS = 2_000_000
+BUFFER_ROWS = 1_000_000
 SKETCH_ACCURACY = 1000
 # Quantile buffers are objects, and Spark turns an object aggregate of more than 128 keys per
 # task into a sort of its input. Fewer features per job keep it a hash aggregate, and with
