@@ -29,14 +29,35 @@ def score_counts(
     )
 
 
+def score_sketch(
+    df: DataFrame, label_col: str, score_col: str
+) -> tuple[list[float], int, int]:
+    """Bucket bounds of the scores, positives and negatives, from one narrow aggregate."""
+    label = quoted(label_col).cast("int")
+    splits, _, totals = quantile_splits(
+        df,
+        quoted(score_col).cast("double"),
+        bucket_count(df),
+        F.count_if(label == 1).alias("p"),
+        F.count_if(label == 0).alias("n"),
+    )
+    return splits, totals.p, totals.n
+
+
 def score_curve(
-    df: DataFrame, label_col: str, score_col: str, groups: Sequence[str] = ()
+    df: DataFrame,
+    label_col: str,
+    score_col: str,
+    groups: Sequence[str] = (),
+    splits: Sequence[float] | None = None,
 ) -> DataFrame:
     """One row per distinct score with the confusion counts of "score >= this one".
 
     Adds ``pos_above``, ``neg_above`` (strictly higher scores), ``distinct_above``, ``tp``, ``fp``.
+    ``splits`` are the bucket bounds where the caller has them already.
     """
-    splits, _ = quantile_splits(df, quoted(score_col).cast("double"), bucket_count(df))
+    if splits is None:
+        splits, _, _ = score_sketch(df, label_col, score_col)
     counts = score_counts(df, label_col, score_col, groups).withColumn("distinct", F.lit(1))
     curve = running_totals(counts, "score", ["pos", "neg", "distinct"], list(groups), splits)
     return curve.drop("distinct").select(

@@ -19,7 +19,7 @@ from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -303,21 +303,20 @@ def bucketise(
 
 
 def quantile_splits(
-    df: DataFrame, number: Column, buckets: int
-) -> tuple[list[float], dict[float, int]]:
-    """Distinct approximate quantiles and how often each came up.
+    df: DataFrame, number: Column, buckets: int, *extra: Column
+) -> tuple[list[float], dict[float, int], Row]:
+    """Distinct approximate quantiles, how often each came up, and the ``extra`` aggregates.
 
     Only balance depends on the approximation; results built on the buckets are exact.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
-        F.percentile_approx(number, F.lit(probabilities), F.lit(10 * buckets)).alias("q")
-    ).first()
+    sketch = F.percentile_approx(number, F.lit(probabilities), F.lit(10 * buckets))
+    row = df.agg(sketch.alias("q"), *extra).first()
     repeats: dict[float, int] = {}
     for value in row.q or []:
         if math.isfinite(value):
             repeats[value] = repeats.get(value, 0) + 1
-    return sorted(repeats), repeats
+    return sorted(repeats), repeats, row
 
 
 def rank_rows(
@@ -335,7 +334,7 @@ def rank_rows(
         key.number.cast("double").alias("_key"),
         tie_key.number.cast("double").alias("_tie"),
     )
-    splits, repeats = quantile_splits(keyed, F.col("_key"), count)
+    splits, repeats, _ = quantile_splits(keyed, F.col("_key"), count)
     alone = {v for v, times in repeats.items() if times > 1 and abs(v) < EXACT_IN_DOUBLE}
     bounds = sorted(set(splits) | {math.nextafter(v, math.inf) for v in alone})
     placed = bucketise(keyed, "_key", bounds, "_bucket", keep_missing=True)

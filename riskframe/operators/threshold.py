@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.local import local_rows
 from riskframe.functions.scalars import evenly_spaced, ratio_or_zero, require_cost
 from riskframe.functions.values import quoted
-from riskframe.operators.metrics import score_counts, score_curve
+from riskframe.operators.metrics import score_counts, score_curve, score_sketch
 
 STRATEGIES = ("fixed", "best_f1", "target_recall", "cost_based")
 COST_CANDIDATES = 200
@@ -50,14 +50,15 @@ def select_threshold(
             F.count_if(flagged & (label == 1)).alias("tp"),
             F.count_if(flagged & (label == 0)).alias("fp"),
         )
-    elif strategy == "best_f1":
-        picked = best_f1(score_curve(df, label_col, score_col), *_class_totals(df, label_col))
-    elif strategy == "target_recall":
-        picked = highest_with_recall(
-            score_curve(df, label_col, score_col), *_class_totals(df, label_col), target_recall
-        )
-    else:
+    elif strategy == "cost_based":
         return _cheapest(df, label_col, score_col, fn_cost, fp_cost)
+    else:
+        splits, positives, negatives = score_sketch(df, label_col, score_col)
+        curve = score_curve(df, label_col, score_col, splits=splits)
+        if strategy == "best_f1":
+            picked = best_f1(curve, positives)
+        else:
+            picked = highest_with_recall(curve, positives, negatives, target_recall)
     cost = (F.col("p") - F.col("tp")) * F.lit(float(fn_cost)) + F.col("fp") * F.lit(float(fp_cost))
     return picked.select(
         F.lit(strategy).alias("strategy"),
@@ -68,13 +69,7 @@ def select_threshold(
     )
 
 
-def _class_totals(df: DataFrame, label_col: str) -> tuple[int, int]:
-    label = quoted(label_col).cast("int")
-    row = df.agg(F.count_if(label == 1).alias("p"), F.count_if(label == 0).alias("n")).first()
-    return row.p, row.n
-
-
-def best_f1(curve: DataFrame, positives: int, negatives: int) -> DataFrame:
+def best_f1(curve: DataFrame, positives: int) -> DataFrame:
     """Arg-max by aggregate, not by sorting the curve. 0.5 when there are no scores."""
     f1 = ratio_or_zero(2.0 * F.col("tp"), positives + F.col("tp") + F.col("fp"))
     best = curve.agg(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.local import freeze
 from riskframe.functions.scalars import require_cost, require_probability
 from riskframe.functions.values import quoted
+from riskframe.operators.joins import same_rows
 from riskframe.operators.metrics import compute_metrics
 from riskframe.operators.predict import PredictionError, check_predictions
 
@@ -164,17 +165,25 @@ def compare_models(
     champion: ModelScores | None = None,
     gates: Gates = Gates(),
     evidence: tuple[Mapping, Mapping] | None = None,
+    champion_frozen: DataFrame | None = None,
 ) -> dict:
     """Verify, score, compare and decide; any failed precondition blocks instead of passing.
 
     ``frozen`` carries the label and one score column per model. ``evidence`` are the two
-    manifests' identities, which must agree.
+    manifests' identities, which must agree. ``champion_frozen`` is the champion's own copy of
+    the table; given, it must hold exactly the same rows.
     """
     models = [candidate] if champion is None else [candidate, champion]
     report: dict = {"decision": BLOCKED, "reason": "", "gates": [], "metrics": {}, "diff": {}}
     try:
         if evidence is not None and dict(evidence[0]) != dict(evidence[1]):
             raise PredictionError("candidate and champion evidence does not match")
+        if champion_frozen is not None:
+            shared = champion_frozen.columns
+            if not set(shared) <= set(frozen.columns) or not same_rows(
+                frozen.select(*[quoted(c) for c in shared]), champion_frozen
+            ):
+                raise PredictionError("candidate and champion tables hold different rows")
         for model in models:
             own = frozen.select(
                 quoted(label_col).alias("label"),

@@ -107,7 +107,7 @@ def two_models(spark):
 def test_comparison_gates_and_blocking(spark):
     df = two_models(spark)
     good, bad = ModelScores("good", "good", 0.5), ModelScores("bad", "random", 0.5)
-    report = compare_models(df, "y", good, bad)
+    report = compare_models(df, "y", good, bad, champion_frozen=df.select("y", "good"))
     assert report["decision"] == "candidate_at_least_as_good"
     assert report["diff"]["pr_auc"] > 0 and set(report["metrics"]) == {"good", "bad"}
     worse = compare_models(df, "y", bad, good)
@@ -121,6 +121,7 @@ def test_comparison_gates_and_blocking(spark):
         compare_models(df.withColumn("good", F.lit(float("nan"))), "y", good, bad),
         compare_models(df, "y", good, ModelScores("bad", "random", 0.5, fn_cost=1.0)),
         compare_models(df, "y", good, bad, evidence=({"f": 1}, {"f": 2})),
+        compare_models(df, "y", good, bad, champion_frozen=df.select("y", "good").limit(399)),
     ):
         assert broken["decision"] == "blocked" and broken["reason"]
     with pytest.raises(ValueError):
