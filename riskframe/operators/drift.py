@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import category_key, category_token, token_text
-from riskframe.functions.local import freeze, local_rows
+from riskframe.functions.local import freeze, local_rows, settle
 from riskframe.functions.scalars import even_probabilities
 from riskframe.functions.values import (
     is_measured,
-    is_missing,
     measured,
     quoted,
     valid_decision,
@@ -213,16 +212,6 @@ def category_buckets(counts: DataFrame, known: DataFrame, top: DataFrame) -> Dat
     return routed
 
 
-def missing_categories(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
-    """Row count and missing count per categorical column, in one pass without unpivot."""
-    known = [
-        F.count_if(~is_missing(quoted(c), df.schema[c].dataType)).alias(f"c{i}")
-        for i, c in enumerate(columns)
-    ]
-    row = df.agg(F.count("*").alias("n"), *known).first()
-    return row.n, {c: row.n - row[f"c{i}"] for i, c in enumerate(columns)}
-
-
 def total_variation(buckets: DataFrame) -> DataFrame:
     """Half the summed share differences per feature, from integer counts.
 
@@ -363,16 +352,27 @@ def fit_reference(reference: DataFrame, contract: Contract) -> ReferenceState:
     categories = local_rows(spark, [], "feature string, value string, row_count bigint")
     top_rows: list = []
     if contract.categorical:
-        total, missing = missing_categories(reference, contract.categorical)
-        if not total:
-            raise ContractError("reference needs at least one row")
-        categories = category_counts(categorical_long(reference, contract))
+        categories = settle(category_counts(categorical_long(reference, contract)))
         top_rows = top_categories(categories, contract.top_k).collect()
+        totals = {
+            r.feature: r
+            for r in categories.groupBy("feature")
+            .agg(
+                F.sum("row_count").alias("n"),
+                F.sum(F.when(F.col("value").isNull(), F.col("row_count")).otherwise(0)).alias(
+                    "missing"
+                ),
+            )
+            .collect()
+        }
+        if not totals:
+            raise ContractError("reference needs at least one row")
         for feature in contract.categorical:
             named = sorted((r for r in top_rows if r.feature == feature), key=lambda r: r.place)
-            other = total - missing[feature] - sum(r.row_count for r in named)
+            missing = totals[feature].missing
+            other = totals[feature].n - missing - sum(r.row_count for r in named)
             listed = [(token_text(r.value), r.row_count) for r in named]
-            listed += [(OTHER, other), (MISSING, missing[feature]), (UNKNOWN, 0)]
+            listed += [(OTHER, other), (MISSING, missing), (UNKNOWN, 0)]
             buckets += [(feature, CATEGORICAL, b, i, n) for i, (b, n) in enumerate(listed)]
     return ReferenceState(
         contract,

@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.functions.local import freeze, local_rows
+from riskframe.functions.local import freeze, local_rows, settle
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
 from riskframe.operators.quantiles import feature_quantiles
-from riskframe.session import durable
 
 MISSING_CATEGORY = "__missing__"
 UNKNOWN_CODE = -1
@@ -254,17 +253,6 @@ def encode_frequency(
     return out
 
 
-def settled(frequencies: DataFrame) -> DataFrame:
-    """Keep fitted frequencies so that scoring never goes back to the training rows.
-
-    A table that fits is kept locally, a larger one is checkpointed.
-    """
-    rows = frequencies.limit(BROADCAST_ROWS + 1).toArrow()
-    if rows.num_rows <= BROADCAST_ROWS:
-        return frequencies.sparkSession.createDataFrame(rows, schema=frequencies.schema)
-    return durable(frequencies)
-
-
 class FeaturePreparer(Estimator):
     """Fits medians, codes and frequencies on the training rows only."""
 
@@ -278,7 +266,7 @@ class FeaturePreparer(Estimator):
             self.schema,
             fit_medians(aligned, self.schema.numeric),
             freeze(fit_codes(aligned, self.schema.ordinal)),
-            settled(fit_frequencies(aligned, self.schema.frequency)),
+            settle(fit_frequencies(aligned, self.schema.frequency), BROADCAST_ROWS),
         )
 
 

@@ -6,8 +6,6 @@ the state of a stream and changes nothing in batch.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +14,6 @@ from riskframe.functions.values import quoted
 from riskframe.operators.drift import ReferenceState
 from riskframe.operators.records import code_label
 from riskframe.plans.drift_report import run_drift
-from riskframe.session import durable
 
 # Upper bounds of the request-size histogram.
 SIZE_BOUNDS = (1, 2, 5, 10, 25, 50, 100, 250, 500)
@@ -155,16 +152,15 @@ def start_drift_monitor(
 ) -> StreamingQuery:
     """Drift checks of every micro-batch against a reference frozen before the stream starts.
 
-    The reference keys are made durable first, so no batch goes back to the reference rows.
+    The state holds settled tables only, so no batch goes back to the reference rows.
     """
-    frozen = replace(state, categories=durable(state.categories))
 
     def check(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         kept = batch.persist()
         try:
-            checks = run_drift(frozen, kept, frozen.contract).checks
+            checks = run_drift(state, kept, state.contract).checks
             checks.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
                 f"{checks_path}/batch={batch_id}"
             )

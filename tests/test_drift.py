@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe.functions import local
 from riskframe.operators import drift, quantiles
 from riskframe.operators.contract import Contract, ContractError, Limit, TimeWindow, limits_from
 from riskframe.plans.drift_report import drift_report, run_drift
@@ -190,6 +191,7 @@ def test_saved_reference_and_large_quantile_path(spark, tmp_path, monkeypatch):
     current = reference.withColumn("x", F.col("x") + 0.2)
     plain = by_id(run_drift(reference, current, plan))
     monkeypatch.setattr(quantiles, "BUFFER_ROWS", 0)
+    monkeypatch.setattr(local, "LOCAL_ROWS", 2)
     state = drift.fit_reference(reference, plan)
     state.save(str(tmp_path / "state"))
     loaded = drift.ReferenceState.load(spark, str(tmp_path / "state"), plan)
