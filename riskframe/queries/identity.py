@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskframe.operators import fingerprint, joins, split
 from riskframe.queries.base import FIVE_WAY, SCORED, scored_events, table
 
