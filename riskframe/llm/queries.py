@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from riskframe.llm import exact_dedup, mixing, quality_rules, secrets
+import public_tokenizers
+
+from riskframe.llm import byte_bpe, exact_dedup, line_crf, mixing, quality_rules, secrets
 from riskframe.llm.common import read_table
 
 
@@ -24,6 +26,21 @@ def op4_secret_scan(spark, folder):
     return secrets.report(read_table(spark, folder, "documents"))
 
 
+def ranks() -> bytes:
+    return byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op5_byte_bpe(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    return byte_bpe.digests(documents, ranks(), public_tokenizers.PATTERN)
+
+
+def op6_line_crf(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    field = line_crf.train(documents, read_table(spark, folder, "labels"))
+    return line_crf.judge(documents, field)
+
+
 OP1_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -160,4 +177,6 @@ QUERIES = {
     "op2_source_mix": (op2_source_mix, OP2_SQL),
     "op3_quality_rules": (op3_quality_rules, OP3_SQL),
     "op4_secret_scan": (op4_secret_scan, _op4_sql()),
+    "op5_byte_bpe": (op5_byte_bpe, None),
+    "op6_line_crf": (op6_line_crf, None),
 }
