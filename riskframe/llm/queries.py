@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from riskframe.llm import byte_bpe, exact_dedup, line_crf, mixing, quality_rules, secrets
+from riskframe.llm import byte_bpe, exact_dedup, line_crf, mixing, quality_rules, secrets, simhash
 from riskframe.llm.common import read_table
 
 
@@ -41,6 +41,10 @@ def op6_line_crf(spark, folder):
     return line_crf.judge(documents, field)
 
 
+def op8_simhash(spark, folder):
+    return simhash.report(read_table(spark, folder, "documents"))
+
+
 OP1_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -179,4 +183,5 @@ QUERIES = {
     "op4_secret_scan": (op4_secret_scan, _op4_sql()),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_line_crf": (op6_line_crf, None),
+    "op8_simhash": (op8_simhash, None),
 }
