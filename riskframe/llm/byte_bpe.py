@@ -20,11 +20,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskframe.llm.common import content, packed
 
@@ -172,57 +173,90 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def encode(
-    docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", key: str = "doc_id"
+def _rows(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
+    own = F.struct(*[F.col(f"row.`{c}`").alias(c) for c in columns]).alias("row")
+    return packed(docs).select(own, content(text).alias("content"))
+
+
+def _encoded(
+    docs: DataFrame,
+    rank_file: bytes,
+    pattern: str,
+    text: str,
+    columns: list[str],
+    outputs: dict[str, tuple[str, pa.DataType, Callable[[Encoder, bytes], object]]],
 ) -> DataFrame:
-    """``doc_id, ids, decoded``: token ids as bytes, and the bytes they decode to."""
+    """The given columns and, for every output, a function of the ids: one pass, one text at a
+    time, so a task holds one text's ids besides the batch."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(rank_file, pattern)
         for batch in stream:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
-                ids = [encoder.encode(t) for t in part.column("content").to_pylist()]
+                found: list[list] = [[] for _ in outputs]
+                for value in part.column("content"):
+                    ids = encoder.encode(value.as_py())
+                    for column, (_, _, use) in zip(found, outputs.values()):
+                        column.append(use(encoder, ids))
+                arrays = [pa.array(x, k) for x, (_, k, _) in zip(found, outputs.values())]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(ids, pa.large_binary()).cast(pa.binary()),
-                        pa.array(map(encoder.decode, ids), pa.large_binary()).cast(pa.binary()),
-                    ],
-                    names=["doc_id", "ids", "decoded"],
+                    [part.column("row"), *arrays], names=["row", *outputs]
                 )
 
-    rows = packed(docs).select(F.col(f"row.`{key}`").alias("doc_id"), content(text).alias("content"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(batches, f"doc_id {kind}, ids binary, decoded binary")
+    rows = _rows(docs, columns, text)
+    fields = [T.StructField(n, _KINDS[k]) for n, (k, _, _) in outputs.items()]
+    return rows.mapInArrow(batches, T.StructType([rows.schema["row"], *fields]))
+
+
+_KINDS = {"long": T.LongType(), "string": T.StringType(), "binary": T.BinaryType()}
+_COUNT = ("long", pa.int64(), lambda encoder, ids: len(ids) // 4)
+
+
+def encode(
+    docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """``doc_id, ids, decoded``: little-endian ids as bytes, and the bytes they decode to."""
+    outputs = {
+        "ids": ("binary", pa.binary(), lambda encoder, ids: ids),
+        "decoded": ("binary", pa.binary(), lambda encoder, ids: encoder.decode(ids)),
+    }
+    found = _encoded(docs, rank_file, pattern, text, [key], outputs)
+    return found.select(F.col(f"row.`{key}`").alias("doc_id"), "ids", "decoded")
 
 
 def digests(
     docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` without moving ids or texts to the JVM."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``; ids and decoded texts stay in Python."""
 
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(rank_file, pattern)
-        for batch in stream:
-            counts, ids_hash, text_hash = [], [], []
-            for i in range(batch.num_rows):
-                ids = encoder.encode(batch.column("content")[i].as_py())
-                counts.append(len(ids) // 4)
-                ids_hash.append(hashlib.sha256(ids).hexdigest())
-                text_hash.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(ids_hash, pa.string()),
-                    pa.array(text_hash, pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    rows = packed(docs).select(F.col(f"row.`{key}`").alias("doc_id"), content(text).alias("content"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        batches, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    def ids_hash(encoder: Encoder, ids: bytes) -> str:
+        return hashlib.sha256(ids).hexdigest()
+
+    def text_hash(encoder: Encoder, ids: bytes) -> str:
+        return hashlib.sha256(encoder.decode(ids)).hexdigest()
+
+    outputs = {
+        "n_tokens": _COUNT,
+        "ids_sha256": ("string", pa.string(), ids_hash),
+        "decoded_sha256": ("string", pa.string(), text_hash),
+    }
+    found = _encoded(docs, rank_file, pattern, text, [key], outputs)
+    return found.select(F.col(f"row.`{key}`").alias("doc_id"), *outputs)
+
+
+def tokenized(
+    docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text"
+) -> DataFrame:
+    """The columns of the input, ``n_tokens`` and ``token_ids`` (little-endian, four bytes each).
+
+    Columns of these names in the input give way.
+    """
+
+    outputs = {
+        "n_tokens": _COUNT,
+        "token_ids": ("binary", pa.binary(), lambda encoder, ids: ids),
+    }
+    kept = [c for c in docs.columns if c not in outputs]
+    found = _encoded(docs, rank_file, pattern, text, kept, outputs)
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *outputs)

@@ -4,8 +4,19 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from riskframe.llm import byte_bpe, exact_dedup, line_crf, mixing, quality_rules, secrets, simhash
-from riskframe.llm.common import read_table
+from riskframe.llm import (
+    byte_bpe,
+    class_lm,
+    exact_dedup,
+    line_crf,
+    mixing,
+    quality_rules,
+    secrets,
+    simhash,
+    trie_tokens,
+    warc,
+)
+from riskframe.llm.common import fresh_folder, read_table
 
 
 def op1_exact_dedup(spark, folder):
@@ -41,10 +52,25 @@ def op6_line_crf(spark, folder):
     return line_crf.judge(documents, field)
 
 
+def op7_warc(spark, folder):
+    archives = fresh_folder(spark, "warc")
+    warc.write_archives(read_table(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives)
+
+
 def op8_simhash(spark, folder):
     return simhash.report(read_table(spark, folder, "documents"))
 
 
+def op9_trie_tokens(spark, folder):
+    pieces = trie_tokens.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return trie_tokens.count_tokens(read_table(spark, folder, "documents"), pieces)
+
+
+def op10_class_lm(spark, folder):
+    return class_lm.report(read_table(spark, folder, "documents"))
+
+
 OP1_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -129,6 +155,28 @@ FROM judged
 """
 
 
+OP7_SQL = """
+WITH digits AS (
+  SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+coded AS (
+  SELECT page_id, url, h,
+         list_aggregate(list_transform(range(0, 8), lambda g: list_aggregate(list_transform(
+           [32768, 1024, 32, 1],
+           lambda q: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             (('0x' || substr(x, 1 + 5 * g, 5))::BIGINT // q) % 32 + 1, 1)), 'string_agg', '')),
+           'string_agg', '') AS payload_digest
+  FROM digits),
+ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS first,
+         row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC) AS r
+  FROM coded)
+SELECT page_id, strlen(h) AS payload_bytes, payload_digest,
+       CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN r > 1 THEN first END AS refers_to
+FROM ranked
+"""
+
+
 def _spans_sql(kind: str, order: int, pattern: str, group: int, least: int) -> str:
     own = pattern.replace("'", "''")
     pieces = f"regexp_split_to_array(t, '{own}')"
@@ -183,5 +231,8 @@ QUERIES = {
     "op4_secret_scan": (op4_secret_scan, _op4_sql()),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_line_crf": (op6_line_crf, None),
+    "op7_warc": (op7_warc, OP7_SQL),
     "op8_simhash": (op8_simhash, None),
+    "op9_trie_tokens": (op9_trie_tokens, None),
+    "op10_class_lm": (op10_class_lm, None),
 }
