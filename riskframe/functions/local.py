@@ -13,10 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from riskframe.session import durable
-
-LOCAL_ROWS = 500_000
-
 
 def local_rows(
     spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType
@@ -33,15 +29,3 @@ def local_rows(
 def freeze(df: DataFrame) -> DataFrame:
     """Evaluate a table bounded by configuration and keep it as a local relation."""
     return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
-
-
-def settle(df: DataFrame, most: int | None = None) -> DataFrame:
-    """Evaluate a table of unknown size once: local up to ``most`` rows, checkpointed beyond.
-
-    Either way later uses do not go back to the rows it was made from.
-    """
-    limit = LOCAL_ROWS if most is None else most
-    head = df.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
-        return df.sparkSession.createDataFrame(head, schema=df.schema)
-    return durable(df)

@@ -42,7 +42,9 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def clip(number: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(number, F.lit(high)), F.lit(low))
+    """Bounded number; NULL and NaN give NULL, never a bound."""
+    known = number.isNotNull() & ~F.isnan(number)
+    return F.when(known, F.greatest(F.least(number, F.lit(high)), F.lit(low)))
 
 
 def logit(probability: Column, epsilon: float = LOGIT_EPSILON) -> Column:
@@ -50,10 +52,6 @@ def logit(probability: Column, epsilon: float = LOGIT_EPSILON) -> Column:
     return F.ln(clipped / (F.lit(1.0) - clipped))
 
 
-def is_blank(text: Column) -> Column:
-    return F.trim(text) == ""
-
-
 def round_half_even(value: float) -> int:
     return int(round(value))
 

@@ -94,6 +94,13 @@ def validate_transactions(
         raise DataValidationError("the table is empty")
 
 
+def require_unique(df: DataFrame, key: str) -> None:
+    """Refuse repeated keys, of which a join would make repeated rows."""
+    repeated = df.agg(duplicate_count(df, key)).first()[0]
+    if repeated:
+        raise DataValidationError(f"{repeated} rows repeat a key in {key}")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """``column_name, row_count, missing_count, missing_fraction`` from one wide aggregate."""
     totals = df.agg(

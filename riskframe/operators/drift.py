@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import category_key, category_token, token_text
-from riskframe.functions.local import freeze, local_rows, settle
+from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.scalars import even_probabilities
 from riskframe.functions.values import (
     is_measured,
@@ -26,6 +26,7 @@ from riskframe.functions.values import (
 )
 from riskframe.operators.quantiles import feature_quantiles
 from riskframe.operators.contract import Contract, ContractError
+from riskframe.session import durable
 
 OTHER, MISSING, UNKNOWN = "OTHER", "MISSING", "UNKNOWN"
 # Inner edges of the ten probability buckets.
@@ -89,10 +90,10 @@ def _unpivot(df: DataFrame, columns: Sequence[tuple[str, Column]]) -> DataFrame:
     return wide.unpivot([], [quoted(name) for name, _ in columns], "feature", "value")
 
 
-def numeric_long(
+def numeric_columns(
     df: DataFrame, contract: Contract, features: Sequence[str] | None = None
-) -> DataFrame:
-    """``feature, value``: numeric features, probability and decision, measured."""
+) -> list[tuple[str, Column]]:
+    """Numeric features, probability and decision with their measured values."""
     columns = []
     for name, role in numeric_roles(contract):
         if features is not None and name not in features:
@@ -103,7 +104,14 @@ def numeric_long(
         elif role == DECISION:
             number = _only(valid_decision(number), number)
         columns.append((name, number))
-    return _unpivot(df, columns)
+    return columns
+
+
+def numeric_long(
+    df: DataFrame, contract: Contract, features: Sequence[str] | None = None
+) -> DataFrame:
+    """``feature, value`` of ``numeric_columns``."""
+    return _unpivot(df, numeric_columns(df, contract, features))
 
 
 def categorical_long(df: DataFrame, contract: Contract) -> DataFrame:
@@ -118,20 +126,48 @@ def categorical_long(df: DataFrame, contract: Contract) -> DataFrame:
     return _unpivot(df, columns)
 
 
-def numeric_profile(long: DataFrame) -> DataFrame:
-    """Counts and moments per feature; few keys, so map-side aggregation carries the load."""
-    value = F.col("value")
-    finite = F.when(is_measured(value), value)
-    return long.groupBy("feature").agg(
-        F.count("*").alias("row_count"),
-        F.count(finite).alias("finite_count"),
-        F.count_if(value.isNull()).alias("missing_count"),
-        F.count_if(F.isnan(value)).alias("invalid_count"),
-        F.avg(finite).alias("mean"),
-        F.stddev_pop(finite).alias("std"),
-        F.min(finite).alias("min"),
-        F.max(finite).alias("max"),
-    )
+#: Columns per wide aggregate; a table of any width is profiled in chunks of so many.
+PROFILE_CHUNK = 40
+
+
+def numeric_profile(df: DataFrame, contract: Contract) -> DataFrame:
+    """Counts and moments per feature from wide aggregates: no row is multiplied by columns.
+
+    Means and deviations are sums of doubles, so their last digits can depend on the layout;
+    counts, extremes and everything compared by counts do not.
+    """
+    columns = numeric_columns(df, contract)
+    parts = []
+    for start in range(0, len(columns), PROFILE_CHUNK):
+        chunk = columns[start : start + PROFILE_CHUNK]
+        wide = df.select(*[column.alias(f"v{i}") for i, (_, column) in enumerate(chunk)])
+        measures, shaped = [F.count("*").alias("rows")], []
+        for i, (name, _) in enumerate(chunk):
+            value = F.col(f"v{i}")
+            finite = F.when(is_measured(value), value)
+            own = {
+                "finite_count": F.count(finite),
+                "missing_count": F.count_if(value.isNull()),
+                "invalid_count": F.count_if(F.isnan(value)),
+                "mean": F.avg(finite),
+                "std": F.stddev_pop(finite),
+                "min": F.min(finite),
+                "max": F.max(finite),
+            }
+            measures += [c.alias(f"{m}{i}") for m, c in own.items()]
+            shaped.append(
+                F.struct(
+                    F.lit(name).alias("feature"),
+                    F.col("rows").alias("row_count"),
+                    *[F.col(f"{m}{i}").alias(m) for m in own],
+                )
+            )
+        found = wide.agg(*measures).where("rows > 0")
+        parts.append(found.select(F.explode(F.array(*shaped)).alias("p")).select("p.*"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def bucket_index(value: Column) -> Column:
@@ -278,14 +314,13 @@ def side_profile(
 ) -> tuple[list[dict], dict[str, list[float]]]:
     """Profile rows of one side, and the ``extra`` quantiles of its numeric features.
 
-    Two scans: the counts of the first decide how the quantiles of the second are found.
-    Without ``summary`` and ``extra`` there is one. Both results have one row per feature.
+    One scan for counts, moments and bounds; quantiles add a few passes, the same number for any
+    number of features. Both results have one row per feature.
     """
     roles = dict(numeric_roles(contract))
     if not roles:
         return [], {}
-    long = numeric_long(df, contract)
-    rows = {r.feature: r.asDict() for r in numeric_profile(long).collect()}
+    rows = {r.feature: r.asDict() for r in numeric_profile(df, contract).collect()}
     probabilities = [*(SUMMARY_PROBABILITIES if summary else ()), *extra]
     quantiles: dict[str, list[float]] = {}
     if contract.numeric and probabilities and rows:
@@ -293,7 +328,7 @@ def side_profile(
             lambda names: numeric_long(df, contract, names),
             contract.numeric,
             probabilities,
-            max(r["finite_count"] for r in rows.values()),
+            {n: (r["finite_count"], r["min"], r["max"]) for n, r in rows.items()},
         )
         quantiles = {name: values or [] for name, values in found.items()}
     first = len(SUMMARY_PROBABILITIES) if summary else 0
@@ -352,7 +387,7 @@ def fit_reference(reference: DataFrame, contract: Contract) -> ReferenceState:
     categories = local_rows(spark, [], "feature string, value string, row_count bigint")
     top_rows: list = []
     if contract.categorical:
-        categories = settle(category_counts(categorical_long(reference, contract)))
+        categories = durable(category_counts(categorical_long(reference, contract)))
         top_rows = top_categories(categories, contract.top_k).collect()
         totals = {
             r.feature: r

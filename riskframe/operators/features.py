@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.functions.local import freeze, local_rows, settle
+from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
+from riskframe.operators.order import bucketise
 from riskframe.operators.quantiles import feature_quantiles
+from riskframe.session import durable
 
 MISSING_CATEGORY = "__missing__"
 UNKNOWN_CODE = -1
@@ -25,11 +27,6 @@ DROP_HIGH_CARDINALITY = "ordinal_drop_high_cardinality"
 FREQUENCY_HIGH_CARDINALITY = "frequency_high_cardinality"
 STRATEGIES = (DROP_HIGH_CARDINALITY, FREQUENCY_HIGH_CARDINALITY)
 
-# Frequency tables up to this many rows are broadcast; larger ones are joined by shuffle
-# after their few hot values have been answered by broadcast.
-BROADCAST_ROWS = 500_000
-HOT_VALUES = 1_000
-
 
 @dataclass(frozen=True)
 class FeatureSchema:
@@ -155,10 +152,11 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return local_rows(df.sparkSession, medians, "feature string, median double")
 
 
-def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fit_codes(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
     """``feature, value, code``: 0..k-1 in value order, missing counted as its own value.
 
-    Only columns within the distinct limit come here, so each rank window is small.
+    A feature's values are ranked in ranges by their first bytes, so one feature with very many
+    values is not one task; a range starts where the counts of the ranges before it end.
     """
     if not columns:
         return local_rows(df.sparkSession, [], "feature string, value string, code double")
@@ -167,8 +165,27 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .select("feature", F.coalesce("value", F.lit(MISSING_CATEGORY)).alias("value"))
         .distinct()
     )
-    order = Window.partitionBy("feature").orderBy("value")
-    return values.withColumn("code", (F.row_number().over(order) - 1).cast("double"))
+    # Bounds of the ranges: values at even places of a sketch over six leading bytes. They
+    # decide balance only.
+    lead = F.conv(F.rpad(F.hex(F.substring(F.encode("value", "utf-8"), 1, 6)), 12, "0"), 16, 10)
+    placed = values.withColumn("lead", lead.cast("double"))
+    shares = [i / buckets for i in range(1, buckets)]
+    bounds = placed.agg(F.percentile_approx("lead", F.lit(shares), F.lit(10 * buckets))).first()[0]
+    ranged = bucketise(placed, "lead", sorted(set(bounds or [])), "range")
+    earlier = (
+        Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = (
+        ranged.groupBy("feature", "range")
+        .agg(F.count("*").alias("n"))
+        .select("feature", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    )
+    inside = Window.partitionBy("feature", "range").orderBy("value")
+    return (
+        ranged.withColumn("place", F.row_number().over(inside) - 1)
+        .join(starts, ["feature", "range"])
+        .select("feature", "value", (F.col("start") + F.col("place")).cast("double").alias("code"))
+    )
 
 
 def fit_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -202,10 +219,10 @@ def _lookup(table: DataFrame, feature: str, value_col: str, out: str) -> DataFra
 
 
 def encode_ordinal(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by codes, unknown ones by -1. Code tables are bounded, so broadcast."""
+    """Replace categories by codes, unknown ones by -1; small code tables are broadcast by AQE."""
     out = df
     for name in columns:
-        table = F.broadcast(_lookup(codes, name, "code", "_code"))
+        table = _lookup(codes, name, "code", "_code")
         joined = out.join(table, quoted(name) == F.col("_key"), "left")
         code = F.coalesce(F.col("_code"), F.lit(float(UNKNOWN_CODE)))
         out = joined.select(*[(code if c == name else quoted(c)).alias(c) for c in out.columns])
@@ -217,38 +234,14 @@ def encode_frequency(
 ) -> DataFrame:
     """Replace categories by fitted frequencies, unseen ones by 0.0.
 
-    A table above ``BROADCAST_ROWS`` is too large to broadcast. Its most frequent values are
-    broadcast instead; only rows they leave open are matched by a shuffle, the answered ones
-    carrying a spread-out key so that no hot value meets in one task.
+    Frequency tables have any size, so the join side is left to AQE: it broadcasts what turns
+    out small and splits the partitions of hot values otherwise.
     """
     out = df
-    counted = frequencies.groupBy("feature").agg(F.count("*").alias("n")) if columns else None
-    sizes = {r.feature: r.n for r in counted.collect()} if columns else {}
     for name in columns:
         table = _lookup(frequencies, name, "frequency", "_freq")
-        if sizes.get(name, 0) <= BROADCAST_ROWS:
-            joined = out.join(F.broadcast(table), quoted(name) == F.col("_key"), "left")
-            share = F.coalesce(F.col("_freq"), F.lit(0.0))
-        else:
-            hot = (
-                table.orderBy(F.desc("_freq"))
-                .limit(HOT_VALUES)
-                .select(F.col("_key").alias("_hot_key"), F.col("_freq").alias("_hot_freq"))
-            )
-            marked = out.join(F.broadcast(hot), quoted(name) == F.col("_hot_key"), "left")
-            # Answered rows get a key that matches nothing and spreads evenly, copies of one
-            # row too; a retried task builds the same keys again.
-            spread = F.concat_ws(
-                ":",
-                F.lit("\u0000"),
-                F.xxhash64(*[quoted(c) for c in out.columns]).cast("string"),
-                F.spark_partition_id().cast("string"),
-            )
-            open_key = F.when(F.col("_hot_key").isNull(), quoted(name)).otherwise(spread)
-            joined = marked.withColumn("_open", open_key).join(
-                table, F.col("_open") == F.col("_key"), "left"
-            )
-            share = F.coalesce(F.col("_hot_freq"), F.col("_freq"), F.lit(0.0))
+        joined = out.join(table, quoted(name) == F.col("_key"), "left")
+        share = F.coalesce(F.col("_freq"), F.lit(0.0))
         out = joined.select(*[(share if c == name else quoted(c)).alias(c) for c in out.columns])
     return out
 
@@ -266,7 +259,7 @@ class FeaturePreparer(Estimator):
             self.schema,
             fit_medians(aligned, self.schema.numeric),
             freeze(fit_codes(aligned, self.schema.ordinal)),
-            settle(fit_frequencies(aligned, self.schema.frequency), BROADCAST_ROWS),
+            durable(fit_frequencies(aligned, self.schema.frequency)),
         )
 
 

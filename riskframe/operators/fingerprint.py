@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.canonical import category_key, category_token, digest, row_text
 from riskframe.functions.values import quoted
+from riskframe.operators.audit import duplicate_count
 from riskframe.operators.order import rank_rows
 
 ALGORITHM = "sha256-limb-sum-v1"
@@ -82,7 +83,8 @@ def ordered_fingerprint(
 ) -> DataFrame:
     """Order-sensitive over ``(order, tie)``; column order and number types matter too.
 
-    Rows are digested before they are ranked, so the ranking shuffle carries two keys and a
+    Rows that agree in both keys are ordered by their digest, so layout never shows. Rows are
+    digested before they are ranked, so the ranking shuffle carries two keys and a
     digest however wide the table is.
     """
     names = list(columns if columns is not None else df.columns)
@@ -91,7 +93,7 @@ def ordered_fingerprint(
         quoted(tie).alias("_tie_key"),
         digest(row_text(df.schema, names)).alias("_row"),
     )
-    ranked = rank_rows(narrow, "_order", "_tie_key", "_rank")
+    ranked = rank_rows(narrow, "_order", "_tie_key", "_rank", last="_row")
     text = F.concat_ws("|", F.col("_rank").cast("string"), F.col("_row"))
     return _combine(ranked.select(digest(text).alias("row_hash")), header_text(names))
 
@@ -123,5 +125,5 @@ def observed_identity(
         F.count_if(label == 1).alias("label_1"),
         F.min(time_col).alias("dt_min"),
         F.max(time_col).alias("dt_max"),
-        (F.count("*") - F.count_distinct(quoted(id_col))).alias("repeated_ids"),
+        duplicate_count(df, id_col).alias("repeated_ids"),
     )

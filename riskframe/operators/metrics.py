@@ -19,47 +19,63 @@ from riskframe.operators.order import bucket_count, quantile_splits, running_tot
 LOG_EPSILON = 2.220446049250313e-16
 
 
+def sound_label(label_col: str) -> Column:
+    """The label as 0 or 1; anything else stops the job instead of leaving the metrics."""
+    label = quoted(label_col).cast("double")
+    refused = F.raise_error(F.lit(f"labels in {label_col} must be 0 or 1")).cast("int")
+    return F.when(label.isin(0.0, 1.0), label.cast("int")).otherwise(refused)
+
+
+def sound_score(score_col: str) -> Column:
+    """The score as a double; NULL, NaN and infinities stop the job."""
+    score = quoted(score_col).cast("double")
+    refused = F.raise_error(F.lit(f"scores in {score_col} must be finite")).cast("double")
+    known = score.isNotNull() & ~F.isnan(score) & (F.abs(score) < F.lit(float("inf")))
+    return F.when(known, score).otherwise(refused)
+
+
 def score_counts(
     df: DataFrame, label_col: str, score_col: str, groups: Sequence[str] = ()
 ) -> DataFrame:
     """``groups, score, pos, neg``: one row per distinct score."""
-    label = quoted(label_col).cast("int")
-    return df.groupBy(*groups, quoted(score_col).cast("double").alias("score")).agg(
-        F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")
+    rows = df.select(
+        *[quoted(g).alias(g) for g in groups],
+        sound_score(score_col).alias("score"),
+        sound_label(label_col).alias("label"),
     )
+    return rows.groupBy(*groups, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+
 
+def score_sketch(counts: DataFrame) -> tuple[list[float], int, int]:
+    """Bucket bounds, positives and negatives from ``score_counts``.
 
-def score_sketch(
-    df: DataFrame, label_col: str, score_col: str
-) -> tuple[list[float], int, int]:
-    """Bucket bounds of the scores, positives and negatives, from one narrow aggregate."""
-    label = quoted(label_col).cast("int")
+    The bounds are quantiles of distinct scores, which is what the buckets will hold: a score
+    shared by nearly all rows takes one place among them.
+    """
     splits, _, totals = quantile_splits(
-        df,
-        quoted(score_col).cast("double"),
-        bucket_count(df),
-        F.count_if(label == 1).alias("p"),
-        F.count_if(label == 0).alias("n"),
+        counts,
+        F.col("score"),
+        bucket_count(counts),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("p"),
+        F.coalesce(F.sum("neg"), F.lit(0)).alias("n"),
     )
     return splits, totals.p, totals.n
 
 
-def score_curve(
-    df: DataFrame,
-    label_col: str,
-    score_col: str,
-    groups: Sequence[str] = (),
-    splits: Sequence[float] | None = None,
+def curve_of(
+    counts: DataFrame, groups: Sequence[str] = (), splits: Sequence[float] | None = None
 ) -> DataFrame:
-    """One row per distinct score with the confusion counts of "score >= this one".
-
-    Adds ``pos_above``, ``neg_above`` (strictly higher scores), ``distinct_above``, ``tp``, ``fp``.
-    ``splits`` are the bucket bounds where the caller has them already.
-    """
-    if splits is None:
-        splits, _, _ = score_sketch(df, label_col, score_col)
-    counts = score_counts(df, label_col, score_col, groups).withColumn("distinct", F.lit(1))
-    curve = running_totals(counts, "score", ["pos", "neg", "distinct"], list(groups), splits)
+    """The curve of ``score_counts``; ``splits`` are bounds the caller has already."""
+    bounds = score_sketch(counts)[0] if splits is None else splits
+    curve = running_totals(
+        counts.withColumn("distinct", F.lit(1)),
+        "score",
+        ["pos", "neg", "distinct"],
+        list(groups),
+        bounds,
+    )
     return curve.drop("distinct").select(
         "*",
         (F.col("pos_above") + F.col("pos")).alias("tp"),
@@ -67,6 +83,16 @@ def score_curve(
     )
 
 
+def score_curve(
+    df: DataFrame, label_col: str, score_col: str, groups: Sequence[str] = ()
+) -> DataFrame:
+    """One row per distinct score with the confusion counts of "score >= this one".
+
+    Adds ``pos_above``, ``neg_above`` (strictly higher scores), ``distinct_above``, ``tp``, ``fp``.
+    """
+    return curve_of(score_counts(df, label_col, score_col, groups), groups)
+
+
 def precision_recall_curve(
     df: DataFrame, label_col: str, score_col: str, groups: Sequence[str] = ()
 ) -> DataFrame:
@@ -100,8 +126,8 @@ def confusion_metrics(
     groups: Sequence[str] = (),
 ) -> DataFrame:
     """Threshold-dependent metrics only: one aggregate, no curve."""
-    predicted = quoted(score_col) >= F.lit(threshold)
-    label = quoted(label_col).cast("int")
+    predicted = sound_score(score_col) >= F.lit(threshold)
+    label = sound_label(label_col)
     counted = df.groupBy(*groups).agg(
         *confusion(predicted, label), F.count("*").alias("n_samples")
     )
@@ -144,7 +170,7 @@ def compute_metrics(
 ) -> DataFrame:
     """All metrics, one row per group. ``threshold`` is a number or a column constant per group.
 
-    Scores must be finite (see ``predict.check_predictions``). ROC-AUC, average precision and
+    Scores that are not finite and labels other than 0 and 1 stop the job. ROC-AUC, average precision and
     log loss are NULL where a group holds a single class.
     """
     if isinstance(threshold, str):

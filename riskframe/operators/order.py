@@ -28,8 +28,8 @@ from riskframe.functions.values import nan_to_null, quoted
 from riskframe.session import parallelism
 
 HISTOGRAM_BINS = 4096
-DIRECT_ROWS = 4096
-MAX_BUCKETS = 2048
+# A span of so few rows is counted value by value: as many lines as a histogram has bins.
+DIRECT_ROWS = HISTOGRAM_BINS
 EXACT_IN_DOUBLE = 2**53
 EPOCH = datetime(1970, 1, 1)
 
@@ -97,6 +97,9 @@ class _Found:
 
 
 def _bin_of(key: OrderKey, span: _Span) -> Column:
+    if key.is_double and not (math.isfinite(span.low) and math.isfinite(span.high)):
+        # Infinities first get bins of their own; what is between is cut from the next pass on.
+        return F.when(key.number == -math.inf, -1).when(key.number == math.inf, 1).otherwise(0)
     if key.is_double:
         width = span.high / 2 - span.low / 2
         share = (key.number / 2 - F.lit(span.low / 2)) / F.lit(width)
@@ -107,6 +110,13 @@ def _bin_of(key: OrderKey, span: _Span) -> Column:
     return F.shiftright(key.number, shift)
 
 
+def _too_narrow(key: OrderKey, span: _Span) -> bool:
+    """Too few doubles between the ends to cut into bins: each is counted by itself."""
+    return key.is_double and span.high - span.low < 2 * HISTOGRAM_BINS * math.ulp(
+        max(abs(span.low), abs(span.high))
+    )
+
+
 def _select(
     df: DataFrame, key: OrderKey, spans: list[_Span], members: dict[Any, Column]
 ) -> dict[tuple, _Found]:
@@ -135,7 +145,7 @@ def _select(
             )
             any_span = any_span | inside
             which = F.when(inside, F.lit(number)).otherwise(which)
-            if span.rows <= DIRECT_ROWS:
+            if span.rows <= DIRECT_ROWS or _too_narrow(key, span):
                 exact = F.when(inside, key.number).otherwise(exact)
             else:
                 slot = F.when(inside, _bin_of(key, span)).otherwise(slot)
@@ -155,6 +165,9 @@ def _select(
             for row in sorted((b for b in bins if b.span == number), key=lambda b: b.low):
                 held = [r for r in waiting if start <= r < start + row.rows]
                 if held:
+                    asked = open_spans[number]
+                    if (row.low, row.high) == (asked.low, asked.high) != (row.low, row.low):
+                        raise RuntimeError(f"a pass over {asked} told nothing apart")
                     spans.append(_Span(span.group, row.low, row.high, start, row.rows, held))
                     waiting = [r for r in waiting if r not in held]
                 start += row.rows
@@ -246,20 +259,61 @@ def group_cut_keys(
             out[g][rank] = CutKey(found.value, None)
         else:
             inside.setdefault((g, found.value), []).append(rank)
-    for (g, value), waiting in inside.items():
-        start = groups[g, waiting[0]].start
-        match = key.raw.isNull() if value is None else key.raw == key.literal(value)
-        group_rows = df.filter(members[g] & match)
-        ties = order_bounds(group_rows, tie).get(None)
-        if ties is None or ties.known < ties.rows:
-            raise ValueError(f"tie-breaking column {tie!r} is NULL in a tie group")
-        span = _Span(None, ties.low, ties.high, 0, ties.rows, [r - start for r in waiting])
-        local = _select(group_rows, tie_key, [span], {None: F.lit(True)})
-        for rank in waiting:
-            out[g][rank] = CutKey(value, local[None, rank - start].value)
+    # Every tie group is a group of its own here, so all of them are opened by the same passes.
+    owners = {
+        (g, value): members[g]
+        & (key.raw.isNull() if value is None else key.raw == key.literal(value))
+        for g, value in inside
+    }
+    for (g, value), rank, found in _tie_keys(df, tie, tie_key, owners, inside, groups):
+        out[g][rank] = CutKey(value, found)
     return out
 
 
+def _tie_keys(
+    df: DataFrame,
+    tie: str,
+    tie_key: OrderKey,
+    owners: dict[tuple, Column],
+    inside: dict[tuple, list[int]],
+    groups: dict[tuple, _Found],
+) -> list[tuple[tuple, int, Any]]:
+    """Tie-breaker at the waiting ranks of every tie group: one bounds job, then shared passes."""
+    if not owners:
+        return []
+    slots = list(owners)
+    which = F.lit(None).cast("int")
+    for number, owner in enumerate(slots):
+        which = F.when(owners[owner], F.lit(number)).otherwise(which)
+    found = {
+        r.slot: r
+        for r in df.select(which.alias("slot"), tie_key.number.alias("k"))
+        .where("slot IS NOT NULL")
+        .groupBy("slot")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count("k").alias("known"),
+            F.min("k").alias("low"),
+            F.max("k").alias("high"),
+        )
+        .collect()
+    }
+    spans = []
+    for number, owner in enumerate(slots):
+        seen = found.get(number)
+        if seen is None or seen.known < seen.rows:
+            raise ValueError(f"tie-breaking column {tie!r} is NULL in a tie group")
+        start = groups[owner[0], inside[owner][0]].start
+        local = [rank - start for rank in inside[owner]]
+        spans.append(_Span(owner, seen.low, seen.high, 0, seen.rows, local))
+    placed = _select(df, tie_key, spans, owners)
+    return [
+        (owner, rank, placed[owner, rank - groups[owner[0], rank].start].value)
+        for owner in slots
+        for rank in inside[owner]
+    ]
+
+
 def before(df: DataFrame, order: str, tie: str, cut: CutKey) -> Column:
     """True for rows sorted strictly before ``cut``; never NULL."""
     key, tie_key = order_key(df, order), order_key(df, tie)
@@ -278,7 +332,7 @@ def before(df: DataFrame, order: str, tie: str, cut: CutKey) -> Column:
 
 
 def bucket_count(df: DataFrame) -> int:
-    return max(16, min(MAX_BUCKETS, 4 * parallelism(df.sparkSession)))
+    return max(16, 4 * parallelism(df.sparkSession))
 
 
 def bucketise(
@@ -320,10 +374,17 @@ def quantile_splits(
 
 
 def rank_rows(
-    df: DataFrame, order: str, tie: str, name: str = "rank", buckets: int | None = None
+    df: DataFrame,
+    order: str,
+    tie: str,
+    name: str = "rank",
+    buckets: int | None = None,
+    last: str | None = None,
 ) -> DataFrame:
     """Add the 0-based rank by ``(order, tie)``, NULL order last.
 
+    ``last`` names a column that orders rows which agree in both.
+
     An order value heavy enough to fill several buckets gets a bucket of its own, split
     further by ``tie``, so one hot value is not one task.
     """
@@ -363,7 +424,7 @@ def rank_rows(
         df.sparkSession, offsets, "_bucket int, _part int, _offset bigint"
     )
     inside = Window.partitionBy("_bucket", "_part").orderBy(
-        key.raw.asc_nulls_last(), tie_key.raw.asc()
+        key.raw.asc_nulls_last(), tie_key.raw.asc(), *([quoted(last)] if last else [])
     )
     # At most a few thousand offsets by construction, hence the broadcast.
     return (

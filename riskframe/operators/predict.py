@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.scalars import require_probability
@@ -99,9 +99,33 @@ def check_predictions(
 def align_predictions(
     labels: DataFrame, predictions: DataFrame, id_col: str, label_col: str
 ) -> DataFrame:
-    """Labels beside the predictions of the same ids; ``check_alignment`` tells what is off."""
-    wanted = labels.select(quoted(id_col), quoted(label_col))
-    return wanted.join(predictions, id_col, "inner")
+    """Labels beside the predictions of the same ids, one to one.
+
+    An id that is missing on a side or repeated stops the job; counting and joining share one
+    shuffle of each side.
+    """
+    same_id = Window.partitionBy(quoted(id_col))
+    wanted = labels.select(
+        quoted(id_col).alias("_id"),
+        quoted(label_col).alias("_label"),
+        F.count("*").over(Window.partitionBy(quoted(id_col))).alias("_labels"),
+    )
+    given = predictions.withColumn("_predictions", F.count("*").over(same_id))
+    fits = (F.col("_labels") == 1) & (F.col("_predictions") == 1)
+    refused = F.raise_error(
+        F.concat(
+            F.lit("labels and predictions do not align at id "),
+            F.coalesce(F.col("_id").cast("string"), quoted(id_col).cast("string"), F.lit("null")),
+        )
+    )
+    both = wanted.join(given, F.col("_id") == quoted(id_col), "full")
+    sound = F.coalesce(fits, F.lit(False))
+    kind = predictions.schema[id_col].dataType
+    return both.select(
+        F.when(sound, quoted(id_col)).otherwise(refused.cast(kind)).alias(id_col),
+        F.col("_label").alias(label_col),
+        *[quoted(c) for c in predictions.columns if c not in (id_col, label_col)],
+    )
 
 
 def alignment(labels: DataFrame, predictions: DataFrame, id_col: str) -> DataFrame:

@@ -1,14 +1,16 @@
-"""Exact quantiles per group with linear interpolation.
+"""Exact quantiles per group with linear interpolation, by shared histograms.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. It is used
-only for groups whose counted size fits; beyond that, approximate quantiles bracket each
-wanted rank and the rows inside the brackets are ranked exactly.
+Wanted ranks are narrowed down pass by pass: every pass cuts the values around each rank into
+bins, for all groups and ranks in one job, and keeps the bins that hold a rank. Nothing is
+ordered but bins, so a group of any size costs the same number of scans, and a value shared by
+most rows ends in a bin of its own. The plan is the same at every size.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,12 +18,35 @@ from pyspark.sql import types as T
 
 from riskframe.functions.local import local_rows
 
-BUFFER_ROWS = 1_000_000
-SKETCH_ACCURACY = 1000
-# Quantile buffers are objects, and Spark turns an object aggregate of more than 128 keys per
-# task into a sort of its input. Fewer features per job keep it a hash aggregate, and with
-# columnar files each job reads its own columns only.
-FEATURES_PER_JOB = 100
+BINS = 4096
+
+#: Rows with a value, lowest and highest value of a group.
+Bounds = tuple[int, float, float]
+
+
+@dataclass(frozen=True)
+class _Span:
+    """Values between two ends; ``start`` rows of the group lie below, ``ranks`` are inside."""
+
+    group: int
+    low: float
+    high: float
+    start: int
+    rows: int
+    ranks: tuple[int, ...]
+
+    @property
+    def by_value(self) -> bool:
+        """As few rows, or as few doubles, as there are bins: each value is a bin."""
+        if self.rows <= BINS:
+            return True
+        largest = max(abs(self.low), abs(self.high))
+        return math.isfinite(largest) and self.high - self.low < 2 * BINS * math.ulp(largest)
+
+
+_SPAN_SCHEMA = (
+    "low double, high double, start bigint, ranks array<bigint>, by_value boolean, span int"
+)
 
 
 def exact_quantiles(
@@ -29,59 +54,26 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     probabilities: Sequence[float],
-    buffer_rows: int | None = None,
-    largest: int | None = None,
+    bounds: Mapping[tuple, Bounds] | None = None,
 ) -> DataFrame:
     """One row per group: ``quantiles array<double>``, NULL where the group has no value.
 
-    ``groups`` must name few groups (features, sides); rows per group are unbounded.
-    ``largest`` is the row count of the largest group where the caller knows it already.
+    ``groups`` must name few groups (features, sides); rows per group are unbounded. ``bounds``
+    are those of all groups where the caller knows them already. NaN counts as missing.
     """
-    limit = BUFFER_ROWS if buffer_rows is None else buffer_rows
-    known = df.select(
-        *groups, F.when(~F.isnan(F.col(value)), F.col(value)).cast("double").alias("v")
-    )
-    margin = 3.0 / SKETCH_ACCURACY
-    brackets = [
-        p for q in probabilities for p in (max(q - margin, 0.0), min(q + margin, 1.0))
-    ]
-    if largest is None:
-        sizes = known.groupBy(*groups).agg(F.count("v").alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= limit:
-        # A group of only missing values gives NULL by itself.
-        return known.groupBy(*groups).agg(
-            F.percentile("v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("quantiles")
+    value_or_null = F.when(~F.isnan(F.col(value)), F.col(value)).cast("double")
+    known = df.select(*groups, value_or_null.alias("v"))
+    if bounds is None:
+        seen = known.groupBy(*groups).agg(
+            F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
         )
-    sketch = (
-        known.groupBy(*groups)
-        .agg(
-            F.count("v").alias("n"),
-            F.percentile_approx("v", F.lit(brackets), F.lit(SKETCH_ACCURACY)).alias("b"),
-        )
-        .collect()
-    )
-    plans = {}
-    for row in sketch:
-        if not row.n:
-            continue
-        spans = []
-        for i, q in enumerate(probabilities):
-            low = -math.inf if q - margin <= 0 else row.b[2 * i]
-            high = math.inf if q + margin >= 1 else row.b[2 * i + 1]
-            spans.append((low, high))
-        plans[tuple(row[g] for g in groups)] = (row.n, _merge(spans))
-    found = _ranked_values(known, groups, plans, probabilities)
-    missed = {k for k, (n, _) in plans.items() if not _ranks(n, probabilities) <= set(found[k])}
-    if missed:
-        whole = {k: (plans[k][0], [(-math.inf, math.inf)]) for k in missed}
-        found.update(_ranked_values(known, groups, whole, probabilities))
+        bounds = {tuple(r[g] for g in groups): (r.n, r.low, r.high) for r in seen.collect()}
+    keys = list(bounds)
+    found = _values_at(known.where("v IS NOT NULL"), groups, keys, bounds, probabilities)
     out = []
-    for row in sketch:
-        key = tuple(row[g] for g in groups)
-        values = None
-        if key in plans:
-            values = [_interpolate(found[key], row.n, p) for p in probabilities]
+    for number, key in enumerate(keys):
+        n = bounds[key][0]
+        values = [_interpolate(found, number, n, p) for p in probabilities] if n else None
         out.append((*key, values))
     schema = T.StructType(
         [df.schema[g] for g in groups]
@@ -94,112 +86,93 @@ def feature_quantiles(
     long_of: Callable[[Sequence[str]], DataFrame],
     features: Sequence[str],
     probabilities: Sequence[float],
-    largest: int | None = None,
+    bounds: Mapping[str, Bounds] | None = None,
 ) -> dict[str, list[float] | None]:
     """Exact quantiles of many features; ``long_of`` gives ``feature, value`` rows of some."""
-    found: dict[str, list[float] | None] = {}
-    for start in range(0, len(features), FEATURES_PER_JOB):
-        chunk = features[start : start + FEATURES_PER_JOB]
-        rows = exact_quantiles(
-            long_of(chunk), ["feature"], "value", probabilities, largest=largest
-        ).collect()
-        found.update({r.feature: r.quantiles for r in rows})
-    return found
-
-
-def _merge(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    merged: list[tuple[float, float]] = []
-    for low, high in sorted(spans):
-        if merged and low <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-        else:
-            merged.append((low, high))
-    return merged
+    if not features:
+        return {}
+    known = None if bounds is None else {(f,): bounds[f] for f in features}
+    rows = exact_quantiles(long_of(features), ["feature"], "value", probabilities, known)
+    return {r.feature: r.quantiles for r in rows.collect()}
 
 
-def _ranks(n: int, probabilities: Sequence[float]) -> set[int]:
-    return {r for p in probabilities for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}
+def _wanted(n: int, probabilities: Sequence[float]) -> tuple[int, ...]:
+    places = [(n - 1) * p for p in probabilities]
+    return tuple(sorted({r for x in places for r in (math.floor(x), math.ceil(x))}))
 
 
-def _interpolate(values: dict[int, float], n: int, p: float) -> float:
+def _interpolate(found: dict[tuple[int, int], float], group: int, n: int, p: float) -> float:
     position = (n - 1) * p
     low, high = math.floor(position), math.ceil(position)
-    if low == high or values[low] == values[high]:
-        return values[low]
-    return (high - position) * values[low] + (position - low) * values[high]
+    below, above = found[group, low], found[group, high]
+    if below == above:
+        return below
+    return (high - position) * below + (position - low) * above
 
 
-def _ranked_values(
-    known: DataFrame, groups: Sequence[str], plans: dict, probabilities: Sequence[float]
-) -> dict[tuple, dict[int, float]]:
-    """Values at the wanted ranks; gaps between brackets are only counted."""
-    spark = known.sparkSession
+def _values_at(
+    known: DataFrame,
+    groups: Sequence[str],
+    keys: Sequence[tuple],
+    bounds: Mapping[tuple, Bounds],
+    probabilities: Sequence[float],
+) -> dict[tuple[int, int], float]:
+    """Value of every (group number, rank) that the probabilities fall on or between."""
+    spans = []
+    for number, key in enumerate(keys):
+        n, low, high = bounds[key]
+        if n:
+            spans.append(_Span(number, low, high, 0, n, _wanted(n, probabilities)))
+    found: dict[tuple[int, int], float] = {}
+    while spans:
+        found.update({(s.group, r): s.low for s in spans if s.low == s.high for r in s.ranks})
+        spans = [s for s in spans if s.low != s.high]
+        if spans:
+            spans = _narrowed(known, groups, keys, spans)
+    return found
+
+
+def _narrowed(
+    known: DataFrame, groups: Sequence[str], keys: Sequence[tuple], spans: Sequence[_Span]
+) -> list[_Span]:
+    """The bins of the spans that hold a wanted rank."""
     rows = [
-        (
-            *key,
-            [low for low, _ in spans],
-            [high for _, high in spans],
-            sorted(_ranks(n, probabilities)),
-        )
-        for key, (n, spans) in plans.items()
+        (*keys[s.group], s.low, s.high, s.start, list(s.ranks), s.by_value, i)
+        for i, s in enumerate(spans)
     ]
-    fields = [known.schema[g] for g in groups]
-    state = local_rows(
-        spark,
-        rows,
-        T.StructType(
-            fields
-            + [
-                T.StructField("lows", T.ArrayType(T.DoubleType())),
-                T.StructField("highs", T.ArrayType(T.DoubleType())),
-                T.StructField("ranks", T.ArrayType(T.LongType())),
-            ]
-        ),
-    )
-    # One state row per group, hence the broadcasts. Odd segments are brackets.
-    segment = F.size(F.filter("lows", lambda x: x <= F.col("v"))) + F.size(
-        F.filter("highs", lambda x: x < F.col("v"))
+    fields = [T.StructField(f"g{i}", known.schema[g].dataType) for i, g in enumerate(groups)]
+    fields += T.StructType.fromDDL(_SPAN_SCHEMA).fields
+    # A few rows per group and probability, hence the broadcasts.
+    table = F.broadcast(local_rows(known.sparkSession, rows, T.StructType(fields)))
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    own = v.between(low, high)
+    for i, group in enumerate(groups):
+        own = own & F.col(group).eqNullSafe(F.col(f"g{i}"))
+    endless = (low == -math.inf) | (high == math.inf)
+    share = (v / 2 - low / 2) / (high / 2 - low / 2)
+    place = (
+        F.when(v == -math.inf, -1)
+        .when(v == math.inf, BINS)
+        .when(F.col("by_value") | endless, 0)
+        .otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 1)))
     )
-    counted = (
-        known.filter(F.col("v").isNotNull())
-        .join(F.broadcast(state.drop("ranks")), list(groups))
-        .withColumn("segment", segment)
-        .groupBy(*groups, "segment", F.when(F.col("segment") % 2 == 1, F.col("v")).alias("v"))
-        .agg(F.count("*").alias("n"))
+    bins = (
+        known.join(table.drop("ranks", "start"), own)
+        .select("span", "v", place.alias("place"), F.when(F.col("by_value"), v).alias("value"))
+        .groupBy("span", "place", "value")
+        .agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count("*").alias("n"))
     )
-    earlier = (
-        Window.partitionBy(*groups)
-        .orderBy("segment")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # At most as many rows per span as there are bins.
+    upto = Window.partitionBy("span").orderBy("least").rowsBetween(Window.unboundedPreceding, 0)
+    ends = bins.withColumn("inner_end", F.sum("n").over(upto))
+    end = F.col("start") + F.col("inner_end")
+    holding = (
+        ends.join(table.select("span", "start", "ranks"), "span")
+        .withColumn("held", F.filter("ranks", lambda r: (r < end) & (r >= end - F.col("n"))))
+        .where(F.size("held") > 0)
+        .select("span", "least", "most", (end - F.col("n")).alias("start"), "n", "held")
     )
-    starts = (
-        counted.groupBy(*groups, "segment")
-        .agg(F.sum("n").alias("total"))
-        .select(
-            *groups, "segment", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start")
-        )
-    )
-    within = (
-        Window.partitionBy(*groups, "segment")
-        .orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = (
-        counted.join(F.broadcast(starts), [*groups, "segment"])
-        .filter(F.col("segment") % 2 == 1)
-        .withColumn("end", F.col("start") + F.sum("n").over(within))
-        .join(F.broadcast(state.select(*groups, "ranks")), list(groups))
-        .select(
-            *groups,
-            "v",
-            F.explode(
-                F.filter(
-                    "ranks", lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n"))
-                )
-            ).alias("rank"),
-        )
-    )
-    found: dict[tuple, dict[int, float]] = {key: {} for key in plans}
-    for row in ranked.collect():
-        found[tuple(row[g] for g in groups)][row["rank"]] = row.v
-    return found
+    return [
+        _Span(spans[r.span].group, r.least, r.most, r.start, r.n, tuple(r.held))
+        for r in holding.collect()
+    ]

@@ -9,8 +9,6 @@ from riskframe.functions.values import quoted
 from riskframe.operators.order import before, cut_keys, order_bounds, rank_rows
 from riskframe.operators.split import seeded_order
 
-BROADCAST_ROWS = 1_000_000
-
 
 def on_grid(rank: Column, total: int, size: int) -> Column:
     """True for ranks floor(i * (total-1) / (size-1)), i = 0..size-1, the last being total-1.
@@ -34,16 +32,16 @@ def systematic_sample(df: DataFrame, time_col: str, id_col: str, size: int | Non
 
     Ids are unique, which validation checks.
     """
-    total = df.count()
-    if size is None or size >= total:
+    if size is None:
         return df
     if size <= 0:
         raise ValueError(f"sample size must be positive, got {size}")
+    total = df.count()
+    if size >= total:
+        return df
     ranked = rank_rows(df.select(quoted(time_col), quoted(id_col)), time_col, id_col, "_rank")
     kept = ranked.filter(on_grid(F.col("_rank"), total, size)).select(quoted(id_col))
-    # Only the key columns are shuffled for ranking. The kept ids number exactly ``size``.
-    if size <= BROADCAST_ROWS:
-        kept = F.broadcast(kept)
+    # Only the key columns are shuffled for ranking. The join side is left to AQE.
     return df.join(kept, id_col, "left_semi")
 
 

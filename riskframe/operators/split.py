@@ -21,6 +21,7 @@ from riskframe.operators.order import (
     order_bounds,
 )
 
+TEMPORAL, RANDOM = "temporal", "random"
 FIVE_WAY = (
     "train",
     "calibration_fit",
@@ -154,28 +155,26 @@ def two_way_split(
     return split_by_sizes(df, time_col, id_col, parts, split)
 
 
-def stratified_split(
+def stratified_by_sizes(
     df: DataFrame,
     id_col: str,
     label_col: str,
-    ratios: Sequence[float],
-    names: Sequence[str],
+    parts_of: Callable[[int], Sequence[tuple[str, int]]],
     seed: int = 42,
     split: str = "split",
 ) -> DataFrame:
-    """Seeded random split with the class shares kept in every part.
+    """Seeded random parts, sized class by class so that every part keeps the class shares.
 
-    Falls back to an unstratified split when there is one class only or a class has fewer
-    than two rows.
+    Unstratified when there is one class only, or a class too small to be cut by ``parts_of``.
     """
     hashed = df.withColumn("_order", seeded_order(id_col, seed))
     bounds = order_bounds(hashed, "_order", label_col)
-    if len(bounds) < 2 or min(b.rows for b in bounds.values()) < 2:
-        whole = split_by_sizes(
-            hashed, "_order", id_col, lambda n: list(zip(names, cut_sizes(n, ratios))), split
-        )
-        return whole.drop("_order")
-    parts = {c: list(zip(names, cut_sizes(b.rows, ratios))) for c, b in bounds.items()}
+    try:
+        parts = {c: parts_of(b.rows) for c, b in bounds.items()}
+    except ValueError:
+        parts = {}
+    if len(parts) < 2 or min(b.rows for b in bounds.values()) < 2:
+        return split_by_sizes(hashed, "_order", id_col, parts_of, split).drop("_order")
     ranks = {c: inner_ranks(p) for c, p in parts.items()}
     cuts = group_cut_keys(hashed, "_order", id_col, ranks, bounds, label_col)
     label = F.lit(None).cast("string")
@@ -185,6 +184,59 @@ def stratified_split(
     return hashed.withColumn(split, label).drop("_order")
 
 
+def stratified_split(
+    df: DataFrame,
+    id_col: str,
+    label_col: str,
+    ratios: Sequence[float],
+    names: Sequence[str],
+    seed: int = 42,
+    split: str = "split",
+) -> DataFrame:
+    """Parts by ratio, see :func:`stratified_by_sizes`."""
+
+    def parts(n: int) -> list[tuple[str, int]]:
+        return list(zip(names, cut_sizes(n, ratios)))
+
+    return stratified_by_sizes(df, id_col, label_col, parts, seed, split)
+
+
+def five_way_random(
+    df: DataFrame,
+    id_col: str,
+    label_col: str,
+    ratios: Sequence[float] = (0.70, 0.15, 0.15),
+    promotion_share: float = 0.5,
+    calibration_share: float = 0.5,
+    seed: int = 42,
+    split: str = "split",
+) -> DataFrame:
+    """The five parts of a random partition: the pool's two cuts are stratified as well."""
+
+    def parts(n: int) -> list[tuple[str, int]]:
+        return five_way_sizes(n, ratios, promotion_share, calibration_share)
+
+    return stratified_by_sizes(df, id_col, label_col, parts, seed, split)
+
+
+def stratified_halves(
+    df: DataFrame,
+    id_col: str,
+    label_col: str,
+    first_share: float = 0.5,
+    names: Sequence[str] = ("first", "second"),
+    seed: int = 42,
+    split: str = "split",
+) -> DataFrame:
+    """A random two-way cut of a pool, at least one row of every class on each side."""
+
+    def parts(n: int) -> list[tuple[str, int]]:
+        first = halves(n, first_share)
+        return list(zip(names, (first, n - first)))
+
+    return stratified_by_sizes(df, id_col, label_col, parts, seed, split)
+
+
 def split_table(
     df: DataFrame,
     strategy: str,

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from riskframe.functions.local import local_rows
 from riskframe.functions.scalars import evenly_spaced, ratio_or_zero, require_cost
 from riskframe.functions.values import quoted
-from riskframe.operators.metrics import score_counts, score_curve, score_sketch
+from riskframe.operators.metrics import (
+    curve_of,
+    score_counts,
+    score_sketch,
+    sound_label,
+    sound_score,
+)
 
 STRATEGIES = ("fixed", "best_f1", "target_recall", "cost_based")
-COST_CANDIDATES = 200
 RESULT = (
     "strategy string, threshold double, expected_cost double, "
     "false_negative_cost double, false_positive_cost double"
@@ -29,33 +34,37 @@ def select_threshold(
     target_recall: float = 0.80,
     fn_cost: float = 25.0,
     fp_cost: float = 1.0,
+    candidates: int | None = None,
 ) -> DataFrame:
     """One row: strategy, threshold and its expected cost. Scores are probabilities in [0, 1].
 
     * ``best_f1``: highest F1, lowest threshold on ties
     * ``target_recall``: highest threshold that still reaches the recall, 0.0 if none does
-    * ``cost_based``: cheapest of the distinct scores, or of their 200 evenly spaced
-      quantiles when there are more; lowest threshold on ties
+    * ``cost_based``: cheapest of all distinct scores, lowest threshold on ties; with
+      ``candidates`` the cheapest of that many evenly spaced quantiles of the distinct scores
     """
     require_cost(fn_cost, "fn_cost")
     require_cost(fp_cost, "fp_cost")
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown threshold strategy {strategy!r}; use one of {STRATEGIES}")
     if strategy == "fixed":
-        flagged = quoted(score_col) >= F.lit(float(fixed_threshold))
-        label = quoted(label_col).cast("int")
+        flagged = sound_score(score_col) >= F.lit(float(fixed_threshold))
+        label = sound_label(label_col)
         picked = df.agg(
             F.count_if(label == 1).alias("p"),
             F.lit(float(fixed_threshold)).alias("threshold"),
             F.count_if(flagged & (label == 1)).alias("tp"),
             F.count_if(flagged & (label == 0)).alias("fp"),
         )
-    elif strategy == "cost_based":
-        return _cheapest(df, label_col, score_col, fn_cost, fp_cost)
+    elif strategy == "cost_based" and candidates is not None:
+        return _cheapest_of(df, label_col, score_col, fn_cost, fp_cost, candidates)
     else:
-        splits, positives, negatives = score_sketch(df, label_col, score_col)
-        curve = score_curve(df, label_col, score_col, splits=splits)
-        if strategy == "best_f1":
+        counts = score_counts(df, label_col, score_col)
+        splits, positives, negatives = score_sketch(counts)
+        curve = curve_of(counts, splits=splits)
+        if strategy == "cost_based":
+            picked = cheapest(curve, positives, fn_cost, fp_cost)
+        elif strategy == "best_f1":
             picked = best_f1(curve, positives)
         else:
             picked = highest_with_recall(curve, positives, negatives, target_recall)
@@ -102,27 +111,40 @@ def highest_with_recall(
     )
 
 
-def _cheapest(
-    df: DataFrame, label_col: str, score_col: str, fn_cost: float, fp_cost: float
-) -> DataFrame:
-    """At most 400 points of the curve - those the candidates fall between - reach the driver."""
-    totals = (
-        score_counts(df, label_col, score_col)
-        .agg(F.count("*").alias("m"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-        .first()
+def cheapest(curve: DataFrame, positives: int, fn_cost: float, fp_cost: float) -> DataFrame:
+    """Arg-min over every point of the curve. 0.5 and no cost when there are no scores."""
+    cost = (F.lit(positives) - F.col("tp")) * F.lit(float(fn_cost)) + F.col("fp") * F.lit(
+        float(fp_cost)
     )
-    m, positives = totals.m, totals.p or 0
+    best = curve.agg(F.min(F.struct(cost.alias("cost"), "score", "tp", "fp")).alias("b"))
+    return best.select(
+        F.lit(positives).alias("p"),
+        F.coalesce(F.col("b.score"), F.lit(0.5)).alias("threshold"),
+        F.col("b.tp").alias("tp"),
+        F.col("b.fp").alias("fp"),
+    )
+
+
+def _cheapest_of(
+    df: DataFrame,
+    label_col: str,
+    score_col: str,
+    fn_cost: float,
+    fp_cost: float,
+    candidates: int,
+) -> DataFrame:
+    """Twice ``candidates`` points of the curve, those the candidates fall between, are read."""
+    counts = score_counts(df, label_col, score_col)
+    m = counts.count()
+    splits, positives, _ = score_sketch(counts)
     threshold, cost = 0.5, None
     if m:
-        if m > COST_CANDIDATES:
-            places = [(m - 1) * q for q in evenly_spaced(COST_CANDIDATES)]
-        else:
-            places = [float(i) for i in range(m)]
+        places = [(m - 1) * q for q in evenly_spaced(candidates)]
         wanted = sorted({i for h in places for i in (math.floor(h), math.ceil(h))})
         index = F.lit(m - 1) - F.col("distinct_above")
         points = {
             r["place"]: r
-            for r in score_curve(df, label_col, score_col)
+            for r in curve_of(counts, splits=splits)
             .select(index.alias("place"), "score", "tp", "fp")
             .filter(F.col("place").isin(wanted))
             .collect()

@@ -16,7 +16,7 @@ from riskframe.operators.audit import (
     time_overlaps,
     validate_transactions,
 )
-from riskframe.operators.fingerprint import ALGORITHM, table_fingerprint
+from riskframe.operators.fingerprint import ALGORITHM, ordered_fingerprint, table_fingerprint
 from riskframe.operators.joins import attach_identity, key_coverage
 from riskframe.operators.split import five_way_split
 
@@ -62,34 +62,49 @@ def split_identity(df: DataFrame, split: str, time_col: str, label_col: str) ->
     return summary.join(prints, split).withColumn("fingerprint_algorithm", F.lit(ALGORITHM))
 
 
+Pair = tuple[DataFrame, DataFrame]
+
+
 def audit_dataset(
-    transactions: DataFrame,
-    identity: DataFrame,
+    labelled: Pair,
+    unlabelled: Pair,
     id_col: str,
     time_col: str,
     label_col: str,
     source_fingerprint: dict[str, str],
 ) -> dict[str, Any]:
-    """Audit both tables, their key coverage and the five splits of their join."""
-    coverage = key_coverage(transactions, identity, id_col).first()
-    if coverage.orphan_keys:
-        raise DataValidationError("identity rows without matching transactions")
-    tables = {
-        "transactions": audit_table(transactions, id_col, time_col, label_col),
-        "identity": audit_table(identity, id_col),
-    }
-    rows = five_way_split(attach_identity(transactions, identity, id_col), time_col, id_col)
+    """Audit of both partitions - transactions and identity each - and of the five splits.
+
+    Every split of the labelled partition gets two digests: one of its rows as a set and one of
+    its rows in time order.
+    """
+    tables: dict[str, Any] = {}
+    coverage: dict[str, Any] = {}
+    for part, (transactions, identity), label in (
+        ("labelled", labelled, label_col),
+        ("unlabelled", unlabelled, None),
+    ):
+        found = key_coverage(transactions, identity, id_col).first()
+        if found.orphan_keys:
+            raise DataValidationError(f"{part}: {found.orphan_keys} identity keys have no transaction")
+        coverage[part] = found.asDict()
+        tables[f"{part} transactions"] = audit_table(transactions, id_col, time_col, label)
+        tables[f"{part} identity"] = audit_table(identity, id_col)
+    rows = five_way_split(attach_identity(*labelled, id_col), time_col, id_col)
     splits = split_identity(rows, "split", time_col, label_col)
     if not time_overlaps(splits, "split").filter("overlaps").isEmpty():
         raise DataValidationError("temporal splits overlap")
     collected = {}
     for row in splits.collect():
         entry = row.asDict()
+        name = entry.pop("split")
         entry["dt_min"], entry["dt_max"] = str(row.dt_min), str(row.dt_max)
-        collected[entry.pop("split")] = entry
+        own = rows.filter(F.col("split") == name).drop("split")
+        entry["ordered_fingerprint"] = ordered_fingerprint(own, time_col, id_col).first().fingerprint
+        collected[name] = entry
     return {
         "tables": tables,
-        "coverage": coverage.asDict(),
+        "coverage": coverage,
         "splits": collected,
         "source_fingerprint": json_digest(source_fingerprint),
         "splits_fingerprint": json_digest(collected),

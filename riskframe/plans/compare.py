@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.local import freeze
 from riskframe.functions.scalars import require_cost, require_probability
-from riskframe.functions.values import quoted
+from riskframe.functions.values import quoted, valid_probability
 from riskframe.operators.joins import same_rows
 from riskframe.operators.metrics import compute_metrics
-from riskframe.operators.predict import PredictionError, check_predictions
+from riskframe.operators.predict import PredictionError
 
+# Metric names and decisions that reports of other tools share.
 COMPARED = (
     "roc_auc",
     "pr_auc",
@@ -41,13 +42,20 @@ class Gates:
 
 @dataclass(frozen=True)
 class ModelScores:
-    """A model's columns on the frozen table and what it was trained to assume."""
+    """A model's columns on the frozen table and what it was trained to assume.
+
+    ``decision_col`` and ``threshold_col`` name what the model itself decided and by which
+    threshold; both are verified against its probabilities. Without them only the
+    probabilities can be.
+    """
 
     name: str
     probability_col: str
     threshold: float
     fn_cost: float = 25.0
     fp_cost: float = 1.0
+    decision_col: str | None = None
+    threshold_col: str | None = None
 
     def __post_init__(self) -> None:
         require_probability(self.threshold, "threshold")
@@ -55,6 +63,65 @@ class ModelScores:
         require_cost(self.fp_cost, "fp_cost")
 
 
+def comparison_violations(
+    frozen: DataFrame, label_col: str, models: Sequence[ModelScores]
+) -> DataFrame:
+    """One row per model: how many rows contradict its threshold, range or own decisions."""
+    spark_null = F.lit(None)
+    per_model = []
+    for m in models:
+        decided = spark_null if m.decision_col is None else quoted(m.decision_col)
+        used = spark_null if m.threshold_col is None else quoted(m.threshold_col)
+        per_model.append(
+            F.struct(
+                F.lit(m.name).alias("model"),
+                F.lit(float(m.threshold)).alias("threshold"),
+                quoted(m.probability_col).try_cast("double").alias("p"),
+                decided.try_cast("double").alias("d"),
+                used.try_cast("double").alias("t"),
+                F.lit(m.decision_col is not None).alias("decides"),
+                F.lit(m.threshold_col is not None).alias("tells"),
+            )
+        )
+    rows = frozen.select(
+        quoted(label_col).alias("label"), F.explode(F.array(*per_model)).alias("m")
+    ).select("label", "m.*")
+    expected = F.when(F.col("p") >= F.col("threshold"), 1.0).otherwise(0.0)
+    same = F.abs(F.col("t") - F.col("threshold")) <= 1e-8 + 1e-5 * F.abs("threshold")
+
+    def off(applies: Column, sound: Column, name: str) -> Column:
+        return F.count_if(applies & ~F.coalesce(sound, F.lit(False))).alias(name)
+
+    return rows.groupBy("model").agg(
+        F.count("*").alias("row_count"),
+        off(F.lit(True), valid_probability(F.col("p")), "invalid_probabilities"),
+        off(F.col("decides"), F.col("d") == expected, "inconsistent_decisions"),
+        off(F.col("tells"), same, "wrong_thresholds"),
+        off(F.lit(True), F.col("label").isin(0, 1), "unusable_labels"),
+        F.count_if(F.col("label") == 1).alias("positives"),
+        F.count_if(F.col("label") == 0).alias("negatives"),
+    )
+
+
+def require_sound(frozen: DataFrame, label_col: str, models: Sequence[ModelScores]) -> None:
+    """Raise on any violation; one aggregate for all models."""
+    for row in comparison_violations(frozen, label_col, models).orderBy("model").collect():
+        faults = {
+            name: row[name]
+            for name in (
+                "invalid_probabilities",
+                "inconsistent_decisions",
+                "wrong_thresholds",
+                "unusable_labels",
+            )
+            if row[name]
+        }
+        if faults:
+            raise PredictionError(f"model {row.model}: {faults}")
+        if not (row.positives and row.negatives):
+            raise PredictionError("evaluation needs both label classes")
+
+
 def long_scores(frozen: DataFrame, label_col: str, models: Sequence[ModelScores]) -> DataFrame:
     """``model, threshold, score, label``: one scan of the frozen table for all models."""
     per_model = F.explode(
@@ -169,7 +236,7 @@ def compare_models(
 ) -> dict:
     """Verify, score, compare and decide; any failed precondition blocks instead of passing.
 
-    ``frozen`` carries the label and one score column per model. ``evidence`` are the two
+    ``frozen`` carries the label and every model's columns. ``evidence`` are the two
     manifests' identities, which must agree. ``champion_frozen`` is the champion's own copy of
     the table; given, it must hold exactly the same rows.
     """
@@ -184,21 +251,7 @@ def compare_models(
                 frozen.select(*[quoted(c) for c in shared]), champion_frozen
             ):
                 raise PredictionError("candidate and champion tables hold different rows")
-        for model in models:
-            own = frozen.select(
-                quoted(label_col).alias("label"),
-                quoted(model.probability_col).cast("double").alias("p"),
-                (quoted(model.probability_col) >= F.lit(model.threshold)).cast("int").alias("d"),
-                F.lit(model.threshold).alias("t"),
-            )
-            check_predictions(
-                own,
-                model.threshold,
-                "label",
-                probability_col="p",
-                decision_col="d",
-                threshold_col="t",
-            )
+        require_sound(frozen, label_col, models)
         metrics = freeze(model_metrics(frozen, label_col, models))
         for row in metrics.collect():
             empty = [n for n in COMPARED if row[n] is None]

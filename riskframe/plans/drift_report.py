@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
@@ -37,10 +37,10 @@ from riskframe.operators.drift import (
 )
 from riskframe.operators.fingerprint import table_fingerprint
 
-REPORTED_EXTRA_COLUMNS = 20
-REPORT_VERSION = "1"
-
+LAYOUT = 2
 
+# Check ids, metric names and verdicts that monitors already watch stand where
+# the checks are made.
 CHECKS = (
     "check_id string, feature string, metric string, observed double, warn double, "
     "breach double, fixed_status string"
@@ -293,20 +293,26 @@ def run_drift(
     return DriftResult(state, comparison, checks, check_rollup(checks), extra)
 
 
-def _plain(row: Any) -> dict[str, Any]:
-    return row.asDict(recursive=True)
-
+def report_tables(result: DriftResult) -> dict[str, DataFrame]:
+    """All a report says about the data, as tables in a fixed order.
 
-def _side_summary(profile: dict[str, Any]) -> dict[str, Any]:
-    rows = profile["row_count"]
+    Each is bounded by the contract (features, buckets, checks), never by the rows compared.
+    """
+    state, comparison = result.state, result.comparison
+    profiles = state.profile.withColumn("side", F.lit("reference")).unionByName(
+        comparison.profile.withColumn("side", F.lit("current"))
+    )
+    rates = [
+        F.try_divide(F.col(f"{part}_count"), F.col("row_count")).alias(f"{part}_rate")
+        for part in ("finite", "missing", "invalid")
+    ]
     return {
-        "rows": rows,
-        "finite_count": profile["finite_count"],
-        "finite_rate": profile["finite_count"] / rows,
-        "missing_rate": profile["missing_count"] / rows,
-        "invalid_rate": profile["invalid_count"] / rows,
-        **{k: profile[k] for k in ("mean", "std", "min", "max")},
-        "quantiles": {k: profile[k] for k in ("q05", "q50", "q95")},
+        "checks": result.checks.orderBy("check_id"),
+        "profiles": profiles.select("*", *rates).orderBy("feature", "side"),
+        "bins": state.bins.orderBy("feature"),
+        "buckets": bucket_shares(comparison.buckets).orderBy("feature", "side", "position"),
+        "distances": comparison.distances.orderBy("feature"),
+        "summary": result.summary,
     }
 
 
@@ -320,102 +326,37 @@ def drift_report(
     current_window: TimeWindow,
     generated_at: str | None = None,
 ) -> dict[str, Any]:
-    """Nested report. Everything but ``generated_at`` is covered by its digest."""
-    if not reference_source.strip() or not current_source.strip():
-        raise ContractError("both sources need a name")
-    result = run_drift(reference, current, contract, summary=True)
-    state, comparison = result.state, result.comparison
-    profiles = {
-        "reference": {r.feature: _plain(r) for r in state.profile.collect()},
-        "current": {r.feature: _plain(r) for r in comparison.profile.collect()},
+    """The tables of a run with what was compared. ``digest`` covers all but ``created``."""
+    sides = {
+        "reference": (reference, reference_source, reference_window),
+        "current": (current, current_source, current_window),
     }
-    bins = {r.feature: _plain(r) for r in state.bins.collect()}
-    distances = {r.feature: r.total_variation for r in comparison.distances.collect()}
-    buckets: dict[str, dict[str, list]] = {}
-    shares = bucket_shares(comparison.buckets).orderBy("feature", "side", "position").collect()
-    for row in shares:
-        entry = {"bucket": row.bucket, "count": row.row_count, "share": row.share}
-        buckets.setdefault(row.feature, {}).setdefault(row.side, []).append(entry)
-    features = []
-    for name in contract.numeric:
-        spec = bins[name]
-        unavailable = spec["strategy"] == UNAVAILABLE
-        features.append(
-            {
-                "feature": name,
-                "type": "numeric",
-                "current_column_present": comparison.present[name],
-                "reference": _side_summary(profiles["reference"][name]),
-                "current": _side_summary(profiles["current"][name]),
-                "reference_bins": {k: spec[k] for k in ("strategy", "edges", "constant")},
-                "buckets": buckets.get(name, {}),
-                "total_variation_distance": None if unavailable else distances.get(name),
-            }
-        )
-    for name in contract.categorical:
-        features.append(
-            {
-                "feature": name,
-                "type": "categorical",
-                "current_column_present": comparison.present[name],
-                "buckets": buckets[name],
-                "total_variation_distance": distances[name],
-            }
-        )
-    predictions = {}
-    for role, name in ((PROBABILITY, contract.probability), (DECISION, contract.decision)):
-        if name is None:
-            predictions[role] = {"status": NOT_EVALUATED}
-            continue
-        now = profiles["current"][name]
-        usable = comparison.present[name] and now["finite_count"] > 0
-        predictions[role] = {
-            "status": "EVALUATED" if usable else NOT_EVALUATED,
-            "column": name,
-            "current_column_present": comparison.present[name],
-            "reference": _side_summary(profiles["reference"][name]),
-            "current": _side_summary(now),
-            "buckets": buckets.get(name, {}),
+    if not all(source.strip() for _, source, _ in sides.values()):
+        raise ContractError("a side has no source name")
+    result = run_drift(reference, current, contract, summary=True)
+    compared = {}
+    for side, (table, source, window) in sides.items():
+        identity = table_fingerprint(table).first()
+        compared[side] = {
+            "source": source,
+            "window": window.described(),
+            "rows": identity.row_count,
+            "digest": identity.fingerprint,
         }
-    reported = result.unexpected[:REPORTED_EXTRA_COLUMNS]
-    prints = {
-        side: table_fingerprint(df).first()
-        for side, df in (("reference", reference), ("current", current))
-    }
-    semantic = {
-        "provenance": {
-            **(asdict(contract.provenance) if contract.provenance else {}),
-            "reference_source": reference_source,
-            "current_source": current_source,
-            "reference_window": reference_window.as_dict(),
-            "current_window": current_window.as_dict(),
+    settings = contract.described()
+    said = {
+        "compared": compared,
+        "settings": settings,
+        "settings_digest": json_digest(settings),
+        "present": dict(sorted(result.comparison.present.items())),
+        # Names of columns outside the contract may be private; all are listed, as digests.
+        "other_columns": [hashlib.sha256(n.encode()).hexdigest() for n in result.unexpected],
+        "tables": {
+            name: [row.asDict(recursive=True) for row in table.collect()]
+            for name, table in report_tables(result).items()
         },
-        "inputs": {
-            side: {"rows": row.row_count, "fingerprint": row.fingerprint}
-            for side, row in prints.items()
-        },
-        "monitoring_contract": {
-            "schema_fingerprint": json_digest(contract.schema_dict()),
-            "config_fingerprint": json_digest(contract.as_dict()),
-            "schema": contract.schema_dict(),
-            "thresholds": contract.limits_dict(),
-        },
-        "schema_observations": {
-            "count": len(result.unexpected),
-            "column_name_sha256": [hashlib.sha256(n.encode()).hexdigest() for n in reported],
-            "reported_count": len(reported),
-            "truncated": len(result.unexpected) > len(reported),
-        },
-        "features": sorted(features, key=lambda f: (f["feature"], f["type"])),
-        "predictions": predictions,
-        "checks": [_plain(r) for r in result.checks.collect()],
-        "summary": _plain(result.summary.first()),
-    }
-    report = {
-        "report_schema_version": REPORT_VERSION,
-        "semantic_identity_sha256": json_digest(semantic),
-        "generated_at": generated_at or datetime.now(timezone.utc).isoformat(),
-        "semantic": semantic,
     }
+    created = generated_at or datetime.now(timezone.utc).isoformat()
+    report = {"layout": LAYOUT, "created": created, "digest": json_digest(said), "content": said}
     canonical_json(report)
     return report

@@ -30,10 +30,10 @@ from riskframe.operators.features import (
 from riskframe.operators.fingerprint import ALGORITHM, ordered_fingerprint
 from riskframe.operators.metrics import compute_metrics
 from riskframe.operators.predict import PROBABILITY_COL, decide
-from riskframe.operators.split import five_way_split
+from riskframe.operators.split import TEMPORAL, five_way_random, five_way_split
 from riskframe.operators.threshold import select_threshold
 from riskframe.session import durable
-from riskframe.sources.frozen import write_evaluation
+from riskframe.sources.frozen import require_same_sources, write_evaluation
 from riskframe.sources.sinks import read_json_document, write_json_document
 
 FEATURES, RAW = "_features", "_raw_probability"
@@ -65,6 +65,7 @@ class TrainingConfig:
     feature_share: float = 0.9
     stop_tolerance: float = 0.01
     exclude: tuple[str, ...] = ()
+    split_strategy: str = TEMPORAL
     seed: int = 42
 
 
@@ -156,6 +157,18 @@ class TrainingResult:
     manifest: dict[str, Any] | None
 
 
+def partition(df: DataFrame, config: TrainingConfig) -> DataFrame:
+    """The five parts by the configured strategy, in ``split``."""
+    c = config
+    if c.split_strategy == TEMPORAL:
+        return five_way_split(
+            df, c.time_col, c.id_col, c.ratios, c.promotion_share, c.calibration_share
+        )
+    return five_way_random(
+        df, c.id_col, c.label_col, c.ratios, c.promotion_share, c.calibration_share, c.seed
+    )
+
+
 def run_training(
     df: DataFrame,
     config: TrainingConfig = TrainingConfig(),
@@ -166,9 +179,7 @@ def run_training(
     """Split, fit on train, stop and calibrate on held-out rows, choose the threshold on selection."""
     c = config
     validate_transactions(df, c.id_col, c.time_col, c.amount_col, c.label_col)
-    rows = five_way_split(
-        df, c.time_col, c.id_col, c.ratios, c.promotion_share, c.calibration_share
-    )
+    rows = partition(df, c)
     summary = reserve_columns(
         split_summary(rows, "split", c.time_col, c.label_col), "split", "final_test"
     )
@@ -224,7 +235,7 @@ def run_training(
             c.time_col,
             c.label_col,
             "tables",
-            "temporal",
+            c.split_strategy,
             source,
             c.seed,
         )
@@ -238,6 +249,11 @@ def run_training(
     return TrainingResult(model, rows, summary, metrics.asDict(), record, manifest)
 
 
+def row_identity(df: DataFrame, config: TrainingConfig) -> dict[str, Any]:
+    row = ordered_fingerprint(df, config.time_col, config.id_col).first()
+    return {"rows": row.row_count, "digest": row.fingerprint, "digest_kind": ALGORITHM}
+
+
 def experiment_record(
     variant_id: str,
     config: TrainingConfig,
@@ -245,32 +261,21 @@ def experiment_record(
     selection_rows: DataFrame,
     source_fingerprint: dict[str, str],
 ) -> dict[str, Any]:
-    """Which rows calibrated and which selected, by ordered fingerprint."""
-
-    def identity(df: DataFrame, purpose: str) -> dict[str, Any]:
-        row = ordered_fingerprint(df, config.time_col, config.id_col).first()
-        return {
-            "purpose": purpose,
-            "excludes_promotion_evaluation": True,
-            "excludes_final_test": True,
-            "fingerprint": row.fingerprint,
-            "fingerprint_algorithm": ALGORITHM,
-            "row_count": row.row_count,
-        }
-
+    """What a variant was, and which rows its calibration and its threshold were fitted on."""
     return {
-        "variant_id": variant_id,
-        "categorical_strategy": config.categorical_strategy,
-        "calibration_strategy": config.calibration,
-        "random_seed": config.seed,
-        "split_strategy": "temporal",
-        "calibration_fit": identity(
-            calibration_rows, "early_stopping_and_probability_calibration_fit"
-        ),
-        "selection_evaluation": {
-            **identity(selection_rows, "model_selection_validation"),
-            "source_data_fingerprint": source_fingerprint,
+        "variant": variant_id,
+        "settings": {
+            "split": config.split_strategy,
+            "seed": config.seed,
+            "categories": config.categorical_strategy,
+            "calibration": config.calibration,
         },
+        "sources": dict(source_fingerprint),
+        "used_rows": {
+            "stopping_and_calibration": row_identity(calibration_rows, config),
+            "threshold": row_identity(selection_rows, config),
+        },
+        "untouched_parts": ["promotion_evaluation", "final_test"],
     }
 
 
@@ -278,31 +283,28 @@ def final_report(
     model: RiskModel,
     df: DataFrame,
     config: TrainingConfig = TrainingConfig(),
-    source_fingerprint: dict[str, str] | None = None,
+    sources: DataFrame | None = None,
 ) -> dict[str, Any]:
-    """Metrics on the reserved split, only for the data the model was trained on."""
+    """Metrics on the reserved part, only for the data the model was trained on.
+
+    ``sources`` (``file_name, sha256``) is digested anew by the caller's reader when this runs; a
+    model with recorded sources cannot be reported on without it.
+    """
     c = config
-    recorded = model.metadata.get("source_fingerprint", {})
-    if dict(source_fingerprint or {}) != dict(recorded):
-        raise ValueError("source fingerprint differs from the one the model was trained on")
-    rows = five_way_split(
-        df, c.time_col, c.id_col, c.ratios, c.promotion_share, c.calibration_share
-    )
+    recorded = dict(model.metadata.get("source_fingerprint", {}))
+    if sources is None:
+        raise ValueError("the sources must be digested again for the final report")
+    require_same_sources(recorded, sources)
+    rows = partition(df, c)
     final = rows.filter(F.col("split") == "final_test").drop("split")
     scored = durable(model.score(final, [c.label_col]))
     metrics = compute_metrics(
         scored, c.label_col, PROBABILITY_COL, model.threshold, c.fn_cost, c.fp_cost
     ).first()
-    identity = ordered_fingerprint(final, c.time_col, c.id_col).first()
     return {
-        "purpose": "final_test_release_report",
-        "must_not_be_used_for_model_selection_or_promotion": True,
-        "final_test_identity": {
-            "fingerprint": identity.fingerprint,
-            "fingerprint_algorithm": ALGORITHM,
-            "row_count": identity.row_count,
-            "source_data_fingerprint": dict(recorded),
-        },
+        "kind": "last look at the reserved rows; not for choosing between models",
+        "sources": recorded,
+        "rows": row_identity(final, c),
         "metrics": metrics.asDict(),
     }
 

@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskframe.operators import fingerprint, joins, split
-from riskframe.queries.base import FIVE_WAY, SCORED, scored_events, table
+from riskframe.plans import audit_job
+from riskframe.queries.base import FIVE_WAY, SCORED, rounded, scored_events, table
 
 
 def fingerprint_unordered(spark, folder):
-    return fingerprint.table_fingerprint(
-        table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"]
-    )
+    return fingerprint.table_fingerprint(table(spark, folder, "documents"))
+
+
+def document_parts(spark, folder):
+    """Documents by length as if it were time: the whole rows in five parts."""
+    return split.five_way_split(table(spark, folder, "documents"), "n_chars", "doc_id")
 
 
 def fingerprint_by_split(spark, folder):
-    rows = split.five_way_split(scored_events(spark, folder), "ts", "event_id")
-    return fingerprint.table_fingerprint(rows, ["event_id", "label"], groups=["split"])
+    return fingerprint.table_fingerprint(document_parts(spark, folder), groups=["split"])
 
 
 def fingerprint_ordered(spark, folder):
-    return fingerprint.ordered_fingerprint(
-        table(spark, folder, "orders"),
-        "o_orderdate",
-        "o_orderkey",
-        ["o_orderkey", "o_orderstatus"],
-    )
+    return fingerprint.ordered_fingerprint(table(spark, folder, "documents"), "n_chars", "doc_id")
+
+
+def split_identity(spark, folder):
+    rows = document_parts(spark, folder).withColumn("long", (F.col("n_chars") > 2000).cast("int"))
+    return rounded(audit_job.split_identity(rows, "split", "n_chars", "long"))
 
 
 def row_identity(spark, folder):
@@ -37,11 +42,10 @@ def category_tokens(spark, folder):
 
 
 def row_differences(spark, folder):
-    """Which (language, source) rows does the whole table hold more often than its labelled part."""
+    """Which rows, all columns compared, does the whole table hold beyond its labelled part."""
     documents = table(spark, folder, "documents")
     labelled = documents.join(table(spark, folder, "labels").select("doc_id"), "doc_id")
-    columns = ["lang", "source"]
-    return joins.row_differences(documents.select(columns), labelled.select(columns))
+    return joins.row_differences(documents, labelled.select(documents.columns))
 
 
 def observed_identity(spark, folder):
@@ -67,32 +71,55 @@ def _combine(source: str, header: str, group: str = "") -> str:
     )
 
 
+_KINDS = {"doc_id": "integer", "text": "string", "lang": "string", "source": "string", "n_chars": "integer"}
+_ROW = " || '|' || ".join(_whole(c, k) for c, k in _KINDS.items())
+_SORTED = " || '|' || ".join(
+    _whole(c, _KINDS[c].replace("integer", "number")) for c in sorted(_KINDS)
+)
+_SORTED_HEADER = '["doc_id","lang","n_chars","source","text"]'
+_SORTED_LONG = " || '|' || ".join(
+    _whole(c, "string" if _KINDS.get(c) == "string" else "number") for c in sorted([*_KINDS, "long"])
+)
+_PARTS = (
+    "scored AS (SELECT *, n_chars AS ts, doc_id AS event_id, "
+    "CAST(n_chars > 2000 AS INTEGER) AS long FROM documents), "
+    + FIVE_WAY.replace("FROM events", "FROM documents")
+)
+
 QUERIES = {
     "fingerprint_unordered": (
         fingerprint_unordered,
         f"""
-        WITH t AS (SELECT sha256({_whole('o_custkey', 'number')} || '|' ||
-                     {_whole('o_orderkey', 'number')} || '|' ||
-                     {_whole('o_orderpriority', 'string')}) AS h FROM orders)
-        {_combine('t', '["o_custkey","o_orderkey","o_orderpriority"]')}
+        WITH t AS (SELECT sha256({_SORTED}) AS h FROM documents)
+        {_combine('t', _SORTED_HEADER)}
         """,
     ),
     "fingerprint_by_split": (
         fingerprint_by_split,
         f"""
-        WITH {SCORED}, {FIVE_WAY}, t AS (
-          SELECT split, sha256({_whole('event_id', 'number')} || '|' ||
-                               {_whole('label', 'number')}) AS h FROM split)
-        {_combine('t', '["event_id","label"]', 'split')}
+        WITH {_PARTS}, t AS (SELECT split, sha256({_SORTED}) AS h FROM split)
+        {_combine('t', _SORTED_HEADER, 'split')}
         """,
     ),
     "fingerprint_ordered": (
         fingerprint_ordered,
         f"""
-        WITH t AS (SELECT sha256((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) || '|' ||
-                     sha256({_whole('o_orderkey', 'integer')} || '|' ||
-                            {_whole('o_orderstatus', 'string')})) AS h FROM orders)
-        {_combine('t', '["o_orderkey","o_orderstatus"]')}
+        WITH t AS (SELECT sha256((row_number() OVER (ORDER BY n_chars, doc_id) - 1) || '|' ||
+                     sha256({_ROW})) AS h FROM documents)
+        {_combine('t', '["doc_id","text","lang","source","n_chars"]')}
+        """,
+    ),
+    "split_identity": (
+        split_identity,
+        f"""
+        WITH {_PARTS},
+        t AS (SELECT split, sha256({_SORTED_LONG}) AS h FROM split),
+        p AS ({_combine('t', '["doc_id","lang","long","n_chars","source","text"]', 'split')}),
+        s AS (SELECT split, count(*) AS row_count, min(n_chars) AS dt_min, max(n_chars) AS dt_max,
+                     CAST(sum(long) AS BIGINT) AS positives, round(avg(long), 9) AS positive_rate
+              FROM split GROUP BY split)
+        SELECT s.*, p.fingerprint, '{fingerprint.ALGORITHM}' AS fingerprint_algorithm
+        FROM s JOIN p USING (split)
         """,
     ),
     "row_identity": (
@@ -111,11 +138,10 @@ QUERIES = {
     "row_differences": (
         row_differences,
         f"""
-        WITH a AS (SELECT lang, source, 1 AS s FROM documents
-                   UNION ALL SELECT lang, source, -1 FROM documents JOIN labels USING (doc_id))
-        SELECT sha256({_whole('lang', 'string')} || '|' || {_whole('source', 'string')})
-                 AS row_digest, CAST(sum(s) AS BIGINT) AS surplus
-        FROM a GROUP BY lang, source HAVING sum(s) <> 0
+        WITH a AS (SELECT *, 1 AS s FROM documents
+                   UNION ALL SELECT d.*, -1 FROM documents d JOIN labels USING (doc_id))
+        SELECT sha256({_ROW}) AS row_digest, CAST(sum(s) AS BIGINT) AS surplus
+        FROM a GROUP BY ALL HAVING sum(s) <> 0
         """,
     ),
     "observed_identity": (

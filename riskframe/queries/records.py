@@ -130,8 +130,6 @@ def training_scores(spark, folder):
         max_distinct=100,
         categorical_strategy="frequency_high_cardinality",
         calibration="sigmoid",
-        trees=3,
-        depth=3,
     )
     result = run_training(transactions(spark, folder), config, {"events": "given"})
     final = result.rows.filter(F.col("split") == "final_test").drop("split")

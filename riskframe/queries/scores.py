@@ -62,6 +62,23 @@ def _threshold(strategy, **options):
     return run
 
 
+def comparison_violations(spark, folder):
+    """A candidate whose decisions were taken before its scores were stretched."""
+    score = F.col("score")
+    frozen = scored_events(spark, folder).select(
+        "label",
+        "score",
+        (score * 1.25).alias("stretched"),
+        (score >= 0.5).cast("int").alias("decided"),
+        F.lit(0.6).alias("used"),
+    )
+    models = [
+        compare.ModelScores("candidate", "stretched", 0.5, decision_col="decided", threshold_col="used"),
+        compare.ModelScores("champion", "score", 0.5),
+    ]
+    return compare.comparison_violations(frozen, "label", models)
+
+
 def decisions(spark, folder):
     scored = scored_events(spark, folder).withColumnRenamed("score", predict.PROBABILITY_COL)
     return rounded(predict.decide(scored, 0.5, override=0.25).drop("ts"))
@@ -87,8 +104,10 @@ def document_scores(spark, folder):
 
 
 def aligned_metrics(spark, folder):
+    """Only labelled documents are predicted on; every one of them must be."""
     labels = table(spark, folder, "labels")
-    rows = predict.align_predictions(labels, document_scores(spark, folder), "doc_id", "quality")
+    predictions = document_scores(spark, folder).join(labels.select("doc_id"), "doc_id", "left_semi")
+    rows = predict.align_predictions(labels, predictions, "doc_id", "quality")
     return rounded(metrics.compute_metrics(rows, "quality", "score", 0.5, FN_COST, FP_COST))
 
 
@@ -371,11 +390,19 @@ QUERIES = {
         _threshold("cost_based"),
         f"""
         WITH {SCORED}, {_CURVE},
+        b AS (SELECT * FROM c ORDER BY (p - tp) * 25 + fp, score LIMIT 1)
+        {_threshold_row('cost_based', 'b')}
+        """,
+    ),
+    "threshold_min_cost_grid": (
+        _threshold("cost_based", candidates=200),
+        f"""
+        WITH {SCORED}, {_CURVE},
         d AS (SELECT score, tp, fp, p, row_number() OVER (ORDER BY score) - 1 AS i,
                      count(*) OVER () AS m FROM c),
-        h AS (SELECT j, CASE WHEN m <= 200 THEN j::DOUBLE ELSE (m - 1) * CASE WHEN j = 199
-                     THEN 1.0::DOUBLE ELSE j * (1.0::DOUBLE / 199) END END AS h
-              FROM range(200) t(j), (SELECT max(m) AS m FROM d) WHERE j < m),
+        h AS (SELECT j, (m - 1) * CASE WHEN j = 199
+                     THEN 1.0::DOUBLE ELSE j * (1.0::DOUBLE / 199) END AS h
+              FROM range(200) t(j), (SELECT max(m) AS m FROM d)),
         k AS (SELECT lo.score AS a, hi.score AS b, h - floor(h) AS f,
                      lo.tp AS tp_a, lo.fp AS fp_a, hi.tp AS tp_b, hi.fp AS fp_b, lo.p
               FROM h JOIN d lo ON lo.i = CAST(floor(h) AS BIGINT)
@@ -408,6 +435,21 @@ QUERIES = {
                count(*) FILTER (label = 0) AS negatives FROM q
         """,
     ),
+    "comparison_violations": (
+        comparison_violations,
+        f"""
+        WITH {SCORED}, q AS (SELECT label, score * 1.25::DOUBLE AS p,
+                                    CAST(score >= 0.5 AS INTEGER) AS d FROM scored),
+        m AS (SELECT 'candidate' AS model, label, p, d FROM q
+              UNION ALL SELECT 'champion', label, p / 1.25::DOUBLE, NULL FROM q)
+        SELECT model, count(*) AS row_count,
+               count(*) FILTER (NOT p BETWEEN 0 AND 1) AS invalid_probabilities,
+               count(*) FILTER (d <> CAST(p >= 0.5 AS INTEGER)) AS inconsistent_decisions,
+               CASE model WHEN 'candidate' THEN count(*) ELSE 0 END AS wrong_thresholds,
+               CAST(0 AS BIGINT) AS unusable_labels, count(*) FILTER (label = 1) AS positives,
+               count(*) FILTER (label = 0) AS negatives FROM m GROUP BY model
+        """,
+    ),
     "model_differences": (
         model_differences,
         f"""

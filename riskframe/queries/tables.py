@@ -17,7 +17,7 @@ from riskframe.queries.base import (
 
 
 def labelled_documents(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, folder, "documents")
     return joins.attach_identity(documents, table(spark, folder, "labels"), "doc_id")
 
 
@@ -136,14 +136,24 @@ def stratified_split(spark, folder):
     return rows.select("event_id", "split")
 
 
-_COLUMNS = ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+def five_way_random(spark, folder):
+    rows = split.five_way_random(scored_events(spark, folder), "event_id", "label", seed=SEED)
+    return rows.select("event_id", "split")
+
+
+def stratified_halves(spark, folder):
+    rows = split.stratified_halves(scored_events(spark, folder), "event_id", "label", 0.4, seed=SEED)
+    return rows.select("event_id", "split")
+
+
+_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
 _PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS missing_count, "
     f"round((count(*) - count({c}))::DOUBLE / count(*), 9) AS missing_fraction FROM j"
     for c in _COLUMNS
 )
 _JOINED = """
-j AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+j AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
       FROM documents d LEFT JOIN labels l USING (doc_id))
 """
 _SUMMARY = """
@@ -300,4 +310,34 @@ QUERIES = {
                     ELSE 'test' END AS split FROM r
         """,
     ),
+    "five_way_random": (
+        five_way_random,
+        f"""
+        WITH {SCORED}, r AS (
+          SELECT event_id, row_number() OVER (PARTITION BY label ORDER BY {_HASHED}, event_id) AS r,
+                 count(*) OVER (PARTITION BY label) AS n FROM scored),
+        a AS (SELECT *, CAST(round_even(n * 0.7::DOUBLE, 0) AS BIGINT) AS a,
+                     CAST(round_even(n * 0.15::DOUBLE, 0) AS BIGINT) AS b FROM r),
+        d AS (SELECT *, greatest(1, least(b - 1, CAST(round_even(b * 0.5::DOUBLE, 0) AS BIGINT))) AS d
+              FROM a),
+        c AS (SELECT *, greatest(1, least(d - 1, CAST(round_even(d * 0.5::DOUBLE, 0) AS BIGINT))) AS c
+              FROM d)
+        SELECT event_id,
+               CASE WHEN r <= a THEN 'train' WHEN r <= a + c THEN 'calibration_fit'
+                    WHEN r <= a + d THEN 'selection_validation'
+                    WHEN r <= a + b THEN 'promotion_evaluation' ELSE 'final_test' END AS split
+        FROM c
+        """,
+    ),
+    "stratified_halves": (
+        stratified_halves,
+        f"""
+        WITH {SCORED}, r AS (
+          SELECT event_id, row_number() OVER (PARTITION BY label ORDER BY {_HASHED}, event_id) AS r,
+                 count(*) OVER (PARTITION BY label) AS n FROM scored)
+        SELECT event_id, CASE WHEN r <= greatest(1, least(n - 1,
+                 CAST(round_even(n * 0.4::DOUBLE, 0) AS BIGINT)))
+               THEN 'first' ELSE 'second' END AS split FROM r
+        """,
+    ),
 }

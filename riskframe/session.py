@@ -32,11 +32,20 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share. Only a session without other machines may do without."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix="riskframe-checkpoint-")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint in the folder the cluster names."""
-    spark = df.sparkSession
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="riskframe-checkpoint-"))
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -1,80 +1,102 @@
-"""Frozen evaluation tables: rows as parquet beside a manifest that pins their identity."""
+"""Frozen evaluation tables: rows as Parquet beside a seal that pins what they are.
+
+The seal has three parts: ``about`` says where the rows come from, ``shape`` lists columns and
+types, ``content`` is measured by Spark on the written rows. Opening a table measures it again
+and compares; two tables are the same evidence if their seals agree in all three.
+"""
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskframe.functions.canonical import DIGEST_PATTERN
+from riskframe.functions.values import quoted
 from riskframe.operators.fingerprint import (
     ALGORITHM,
     observed_identity,
     ordered_fingerprint,
     row_identity_fingerprint,
+    table_fingerprint,
 )
 from riskframe.sources.sinks import read_json_document, write_json_document
-from riskframe.sources.tables import file_digests
-
-PURPOSE = "promotion_evaluation"
-IDENTITY_FIELDS = (
-    "format_version",
-    "purpose",
-    "derived_from",
-    "excludes_final_test",
-    "dataset_id",
-    "dataset_version",
-    "fingerprint",
-    "fingerprint_algorithm",
-    "row_count",
-    "target_distribution",
-    "time_boundaries",
-    "row_identity_fingerprint",
-    "columns",
-    "source_data_fingerprint",
-    "split_strategy",
-)
+
+LAYOUT = 2
+ROLE = "promotion"
 
 
 class EvaluationTableError(RuntimeError):
-    """The frozen table or its manifest is absent, broken or not what it claims."""
+    """The frozen table or its seal is absent, broken or not what it claims."""
+
+
+def _digest(value: Any) -> bool:
+    return isinstance(value, str) and re.match(DIGEST_PATTERN, value) is not None
+
+
+def _count(value: Any) -> bool:
+    return isinstance(value, int) and not isinstance(value, bool) and value > 0
+
+
+#: Dotted entry -> what it must satisfy. Every entry must be there.
+RULES: dict[str, Callable[[Any], bool]] = {
+    "about.layout": lambda v: v == LAYOUT,
+    "about.role": lambda v: v == ROLE,
+    "about.split": lambda v: isinstance(v, str) and v != "",
+    "about.source": lambda v: isinstance(v, str) and v != "",
+    "about.source_digests": lambda v: isinstance(v, Mapping) and bool(v) and all(v.values()),
+    "about.keys": lambda v: isinstance(v, (list, tuple)) and len(v) == 3,
+    "shape": lambda v: isinstance(v, (list, tuple)) and len(v) > 0,
+    "content.digest_kind": lambda v: v == ALGORITHM,
+    "content.rows": _count,
+    "content.ordered_digest": _digest,
+    "content.id_digest": _digest,
+    "content.stored_digest": _digest,
+    "content.classes": lambda v: isinstance(v, (list, tuple)) and len(v) == 2,
+    "content.span": lambda v: isinstance(v, (list, tuple)) and len(v) == 2,
+}
 
 
-def checked_identity(df: DataFrame, id_col: str, time_col: str, label_col: str) -> dict[str, Any]:
-    """Identity fields recomputed from the rows; raises where the rows are unusable."""
+def _entry(seal: Mapping[str, Any], name: str) -> Any:
+    found: Any = seal
+    for part in name.split("."):
+        found = found.get(part) if isinstance(found, Mapping) else None
+    return found
+
+
+def evidence_identity(seal: Mapping[str, Any]) -> dict[str, Any]:
+    """The entries of a sound seal by dotted name; two runs on the same evidence agree in them."""
+    found = {name: _entry(seal, name) for name in RULES}
+    bad = [name for name, rule in RULES.items() if found[name] is None or not rule(found[name])]
+    if bad:
+        raise EvaluationTableError(f"seal entries missing or unusable: {bad}")
+    return {n: list(v) if isinstance(v, tuple) else v for n, v in found.items()}
+
+
+def measured_content(df: DataFrame, id_col: str, time_col: str, label_col: str) -> dict[str, Any]:
+    """The ``content`` part of a seal; raises where the rows cannot serve as evidence."""
     absent = sorted({id_col, time_col, label_col} - set(df.columns))
     if absent:
-        raise EvaluationTableError(f"evaluation rows lack columns {absent}")
-    found = observed_identity(df, id_col, time_col, label_col).first()
-    if found.row_count == 0:
-        raise EvaluationTableError("the evaluation table is empty")
-    if found.repeated_ids:
-        raise EvaluationTableError("evaluation row ids are not unique")
-    if found.label_0 + found.label_1 != found.row_count:
-        raise EvaluationTableError("evaluation labels must be 0 or 1")
-    rows = ordered_fingerprint(df, time_col, id_col).first()
-    ids = row_identity_fingerprint(df, time_col, id_col, id_col).first()
+        raise EvaluationTableError(f"no columns {absent} to seal by")
+    seen = observed_identity(df, id_col, time_col, label_col).first()
+    if seen.row_count == 0 or seen.repeated_ids:
+        raise EvaluationTableError(f"{seen.row_count} rows, {seen.repeated_ids} repeated ids")
+    if seen.label_0 + seen.label_1 < seen.row_count:
+        raise EvaluationTableError(f"{label_col} holds more than 0 and 1")
     return {
-        "row_count": found.row_count,
-        "target_distribution": {"0": found.label_0, "1": found.label_1},
-        "time_boundaries": {"dt_min": str(found.dt_min), "dt_max": str(found.dt_max)},
-        "row_identity_fingerprint": ids.fingerprint,
-        "columns": list(df.columns),
-        "fingerprint": rows.fingerprint,
+        "digest_kind": ALGORITHM,
+        "rows": seen.row_count,
+        "classes": [seen.label_0, seen.label_1],
+        "span": [str(seen.dt_min), str(seen.dt_max)],
+        "ordered_digest": ordered_fingerprint(df, time_col, id_col).first().fingerprint,
+        "id_digest": row_identity_fingerprint(df, time_col, id_col, id_col).first().fingerprint,
+        "stored_digest": table_fingerprint(df).first().fingerprint,
     }
 
 
-def artifact_digest(spark: SparkSession, path: str) -> str:
-    """Digest over the sorted digests of the data files."""
-    rows = file_digests(spark, f"{path}/*.parquet").select("sha256").collect()
-    if not rows:
-        raise EvaluationTableError(f"no data files below {path}")
-    return hashlib.sha256("\n".join(sorted(r.sha256 for r in rows)).encode()).hexdigest()
-
-
 def write_evaluation(
     df: DataFrame,
     folder: str,
@@ -86,84 +108,52 @@ def write_evaluation(
     source_fingerprint: Mapping[str, str],
     seed: int = 42,
 ) -> dict[str, Any]:
-    """Write rows, then fingerprint what was written, then write the manifest."""
+    """Write rows, measure what was written, write the seal."""
     spark, base = df.sparkSession, folder.rstrip("/")
     df.write.mode("errorifexists").parquet(f"{base}/rows")
     written = spark.read.parquet(f"{base}/rows")
-    identity = checked_identity(written, id_col, time_col, label_col)
-    manifest = {
-        "format_version": 1,
-        "purpose": PURPOSE,
-        "derived_from": "validation_pool",
-        "excludes_final_test": True,
-        "dataset_id": f"{data_source}:{split_strategy}:promotion-evaluation",
-        "dataset_version": identity["fingerprint"],
-        "fingerprint_algorithm": ALGORITHM,
-        "artifact_sha256": artifact_digest(spark, f"{base}/rows"),
-        "data_source": data_source,
-        "source_data_fingerprint": dict(source_fingerprint),
-        "split_strategy": split_strategy,
-        "random_seed": seed,
-        "id_column": id_col,
-        "time_column": time_col,
-        "label_column": label_col,
-        **identity,
+    seal = {
+        "about": {
+            "layout": LAYOUT,
+            "role": ROLE,
+            "source": data_source,
+            "source_digests": dict(source_fingerprint),
+            "split": split_strategy,
+            "seed": seed,
+            "keys": [id_col, time_col, label_col],
+        },
+        "shape": [list(column) for column in written.dtypes],
+        "content": measured_content(written, id_col, time_col, label_col),
     }
-    evidence_identity(manifest)
-    write_json_document(spark, manifest, f"{base}/manifest")
-    return manifest
-
-
-def evidence_identity(manifest: Mapping[str, Any]) -> dict[str, Any]:
-    """Fields that must agree between runs. The file digest is required but not among them."""
-    absent = [f for f in (*IDENTITY_FIELDS, "artifact_sha256") if f not in manifest]
-    if absent:
-        raise EvaluationTableError(f"manifest lacks fields {absent}")
-    if manifest["purpose"] != PURPOSE or not manifest["excludes_final_test"]:
-        raise EvaluationTableError("manifest is not for a promotion table without test rows")
-    for name in ("fingerprint", "artifact_sha256"):
-        if not isinstance(manifest[name], str) or not re.match(DIGEST_PATTERN, manifest[name]):
-            raise EvaluationTableError(f"manifest field {name} is not a digest")
-    if manifest["dataset_version"] != manifest["fingerprint"]:
-        raise EvaluationTableError("manifest version and fingerprint differ")
-    if manifest["fingerprint_algorithm"] != ALGORITHM:
-        raise EvaluationTableError("manifest uses another fingerprint algorithm")
-    source = manifest["source_data_fingerprint"]
-    if not isinstance(source, Mapping) or not source or any(not v for v in source.values()):
-        raise EvaluationTableError("manifest has no complete source fingerprint")
-    if not isinstance(manifest["row_count"], int) or manifest["row_count"] <= 0:
-        raise EvaluationTableError("manifest row count is not positive")
-    return {f: manifest[f] for f in IDENTITY_FIELDS}
+    evidence_identity(seal)
+    write_json_document(spark, seal, f"{base}/seal")
+    return seal
 
 
 def load_evaluation(
-    spark: SparkSession, folder: str, manifest: Mapping[str, Any] | None = None
+    spark: SparkSession, folder: str, seal: Mapping[str, Any] | None = None
 ) -> DataFrame:
-    """Read the rows only when files, fingerprint and identity all match the manifest."""
+    """The rows, if they still measure what the seal says."""
     base = folder.rstrip("/")
-    if manifest is None:
-        manifest = read_json_document(spark, f"{base}/manifest")
-    evidence_identity(manifest)
-    if artifact_digest(spark, f"{base}/rows") != manifest["artifact_sha256"]:
-        raise EvaluationTableError("data files differ from the manifest")
+    claimed = evidence_identity(read_json_document(spark, f"{base}/seal") if seal is None else seal)
     rows = spark.read.parquet(f"{base}/rows")
-    found = checked_identity(
-        rows,
-        manifest.get("id_column", "TransactionID"),
-        manifest.get("time_column", "TransactionDT"),
-        manifest.get("label_column", "isFraud"),
-    )
-    for name, value in found.items():
-        if manifest[name] != value:
-            raise EvaluationTableError(f"rows differ from the manifest in {name}")
+    found = {f"content.{k}": v for k, v in measured_content(rows, *claimed["about.keys"]).items()}
+    found["shape"] = [list(column) for column in rows.dtypes]
+    off = sorted(name for name, value in found.items() if claimed[name] != value)
+    if off:
+        raise EvaluationTableError(f"the rows do not match their seal in {off}")
     return rows
 
 
 def require_same_sources(recorded: Mapping[str, str], observed: DataFrame) -> None:
-    """Refuse when a file digest differs from the recorded one or a file came or went."""
-    now = {r.file_name: r.sha256 for r in observed.collect()}
-    if now != dict(recorded):
-        changed = sorted(
-            n for n in set(now) | set(recorded) if now.get(n) != dict(recorded).get(n)
-        )
-        raise EvaluationTableError(f"source files differ from the recorded ones: {changed}")
+    """Refuse where a source's digest changed or a source came or went.
+
+    The comparison is a join in Spark; only the names that differ, ten at most, come back.
+    """
+    spark = observed.sparkSession
+    then = spark.createDataFrame(list(recorded.items()), "file_name string, then string")
+    differs = ~F.col("sha256").eqNullSafe(F.col("then"))
+    off = observed.join(then, "file_name", "full").where(differs)
+    names = [r[0] for r in off.select(quoted("file_name")).orderBy("file_name").limit(10).collect()]
+    if names:
+        raise EvaluationTableError(f"sources are not the recorded ones, first of all {names}")

@@ -25,8 +25,3 @@ def write_json_document(spark: SparkSession, document: dict[str, Any], path: str
 
 def read_json_document(spark: SparkSession, path: str) -> dict[str, Any]:
     return json.loads(spark.read.text(path).first().value)
-
-
-def write_partitioned(df: DataFrame, path: str, split: str = "split") -> None:
-    """Split table laid out by split, so reading one split prunes the others."""
-    df.write.mode("errorifexists").partitionBy(split).parquet(path)

@@ -15,7 +15,7 @@ from riskframe.functions.values import (
     text_missing_to_null,
     to_number,
 )
-from riskframe.operators.audit import validate_transactions
+from riskframe.operators.audit import require_unique, validate_transactions
 from riskframe.operators.joins import attach_identity
 from riskframe.operators.sample import sample_table
 
@@ -126,9 +126,12 @@ def load_pair(
     identity = read_table(spark, f"{base}/{part}_identity{suffix}", identity_schema)
     if sample_rows is not None:
         transactions = sample_table(transactions, sampling, time_col, id_col, sample_rows, seed)
-    merged = attach_identity(transactions, identity, id_col)
-    validate_transactions(merged, id_col, time_col, amount_col, label_col if labelled else None)
-    return merged
+    # Checked before the join: a left join with unique keys adds and repeats no row.
+    validate_transactions(
+        transactions, id_col, time_col, amount_col, label_col if labelled else None
+    )
+    require_unique(identity, id_col)
+    return attach_identity(transactions, identity, id_col)
 
 
 def load_labelled(spark: SparkSession, folder: str, **options) -> DataFrame:

@@ -43,9 +43,14 @@ def start_scoring(
     """Each micro-batch overwrites its own folder, so a replay after a failure adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        predictions, issues = score_records(batch, model, id_col, extra)
-        predictions.write.mode("overwrite").parquet(f"{predictions_path}/batch={batch_id}")
-        issues.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        # Two writes read the batch; kept, its source is read once.
+        held = batch.persist()
+        try:
+            predictions, issues = score_records(held, model, id_col, extra)
+            predictions.write.mode("overwrite").parquet(f"{predictions_path}/batch={batch_id}")
+            issues.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        finally:
+            held.unpersist()
 
     return (
         records.writeStream.foreachBatch(write)

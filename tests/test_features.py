@@ -73,16 +73,19 @@ def test_all_missing_record_and_all_null_column(spark, train):
     assert row.amount == 0.0 and row["count"] == 4.0 and row.category == 0.0
 
 
-def test_large_frequency_table_path(spark, monkeypatch):
+def test_frequency_of_hot_and_unseen_values(spark):
     rows = [("hot" if i % 3 == 0 else f"v{i}",) for i in range(300)]
     train = spark.createDataFrame(rows, "k string")
     model = FeaturePreparer(FeatureSchema((), (), ("k",))).fit(train)
     new = train.unionByName(spark.createDataFrame([("unseen",), (None,)], "k string"))
-    expected = sorted(r.k for r in model.transform(new).collect())
-    monkeypatch.setattr(features, "BROADCAST_ROWS", 10)
-    monkeypatch.setattr(features, "HOT_VALUES", 5)
-    assert sorted(r.k for r in model.transform(new).collect()) == expected
-    assert expected[0] == 0.0 and expected[-1] == pytest.approx(1 / 3)
+    found = sorted(r.k for r in model.transform(new).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = sorted(r.k for r in model.transform(new).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled == found
+    assert found[0] == 0.0 and found[-1] == pytest.approx(1 / 3)
 
 
 def test_saved_model_gives_the_same_rows(spark, train, tmp_path):
@@ -94,3 +97,12 @@ def test_saved_model_gives_the_same_rows(spark, train, tmp_path):
     assert again.prepare(train, key).orderBy(*key).collect() == model.prepare(train, key).orderBy(
         *key
     ).collect()
+
+
+def test_codes_of_many_values_are_ranked_in_ranges(spark):
+    values = [f"v{i * 7919 % 5000:04d}" for i in range(5000)] + ["ünder", "", "v"]
+    df = spark.createDataFrame([(v, "k") for v in values] + [(None, "k")], "a string, b string")
+    found = {(r.feature, r.value): r.code for r in features.fit_codes(df, ["a", "b"]).collect()}
+    text = sorted(set(values) - {""} | {features.MISSING_CATEGORY} | ({""} if ("a", "") in found else set()), key=str.encode)
+    assert [found["a", v] for v in text] == [float(i) for i in range(len(text))]
+    assert found["b", "k"] == 0.0

@@ -27,56 +27,67 @@ from riskframe.sources.tables import file_digests
 from riskframe.streaming import monitor
 from riskframe.streaming.scoring import score_records, start_scoring
 
-IDS = ("TransactionID", "TransactionDT", "isFraud")
+KEYS = ("order_no", "placed", "late")
 
 
-def frozen_rows(spark):
-    rows = [(100 + i, i, float(i + 1), i % 2) for i in range(10)]
-    return spark.createDataFrame(
-        rows, "TransactionID long, TransactionDT long, TransactionAmt double, isFraud int"
+def orders(spark):
+    rows = [(f"o{i:02d}", 1000 - 7 * i, i % 3 == 0, i / 4) for i in range(12)]
+    return spark.createDataFrame(rows, "order_no string, placed int, late boolean, price double").select(
+        "order_no", "placed", F.col("late").cast("int").alias("late"), "price",
+        F.xxhash64("order_no").alias("place_no"),
     )
 
 
-def write(df, folder, **changes):
+def sealed(df, folder, **changes):
     options = {
-        "data_source": "tables",
-        "split_strategy": "temporal",
-        "source_fingerprint": {"file": "abc"},
+        "data_source": "shop",
+        "split_strategy": "random",
+        "source_fingerprint": {"orders.csv": "d1"},
         **changes,
     }
-    return write_evaluation(df, str(folder), *IDS, **options)
+    return write_evaluation(df, str(folder), "place_no", "placed", "late", **options)
 
 
-def test_frozen_table_identity_and_tampering(spark, tmp_path):
-    first = write(frozen_rows(spark), tmp_path / "a")
-    second = write(frozen_rows(spark).repartition(4), tmp_path / "b")
-    assert evidence_identity(first) == evidence_identity(second)
-    assert first["target_distribution"] == {"0": 5, "1": 5}
-    assert load_evaluation(spark, str(tmp_path / "a")).count() == 10
-    changed = write(frozen_rows(spark).withColumn("TransactionAmt", F.lit(0.0)), tmp_path / "c")
-    assert evidence_identity(changed) != evidence_identity(first)
-    with pytest.raises(EvaluationTableError):
+def test_seals_agree_on_rows_and_disagree_on_any_change(spark, tmp_path):
+    first = sealed(orders(spark), tmp_path / "a")
+    assert evidence_identity(first) == evidence_identity(
+        sealed(orders(spark).orderBy("price").repartition(3), tmp_path / "b")
+    )
+    assert first["content"]["classes"] == [8, 4] and first["content"]["rows"] == 12
+    assert load_evaluation(spark, str(tmp_path / "a")).count() == 12
+    dearer = orders(spark).withColumn("price", F.col("price") + 1)
+    other = sealed(dearer, tmp_path / "c")
+    assert evidence_identity(other) != evidence_identity(first)
+    with pytest.raises(EvaluationTableError, match="stored_digest"):
         load_evaluation(spark, str(tmp_path / "c"), first)
-    forged = {**changed, "row_identity_fingerprint": "0" * 64}
-    with pytest.raises(EvaluationTableError):
-        load_evaluation(spark, str(tmp_path / "c"), forged)
-    for field, value in (
-        ("fingerprint", "xyz"),
-        ("purpose", "final_test"),
-        ("source_data_fingerprint", {}),
-        ("row_count", 0),
+    content = {**other["content"], "id_digest": "f" * 64}
+    with pytest.raises(EvaluationTableError, match="id_digest"):
+        load_evaluation(spark, str(tmp_path / "c"), {**other, "content": content})
+
+
+def test_unsound_seals_and_rows(spark, tmp_path):
+    seal = sealed(orders(spark), tmp_path / "a")
+    for part, entry, value in (
+        ("about", "role", "final"),
+        ("about", "layout", 1),
+        ("about", "source_digests", {"orders.csv": ""}),
+        ("content", "rows", 0),
+        ("content", "ordered_digest", "12"),
+        ("content", "digest_kind", None),
     ):
-        with pytest.raises(EvaluationTableError):
-            evidence_identity({**first, field: value})
+        with pytest.raises(EvaluationTableError, match=entry):
+            evidence_identity({**seal, part: {**seal[part], entry: value}})
     with pytest.raises(EvaluationTableError):
-        evidence_identity({k: v for k, v in first.items() if k != "columns"})
-    for bad in (
-        frozen_rows(spark).unionByName(frozen_rows(spark)),
-        frozen_rows(spark).withColumn("isFraud", F.lit(2)),
-        frozen_rows(spark).filter("false"),
-    ):
+        evidence_identity({k: v for k, v in seal.items() if k != "shape"})
+    unusable = {
+        "twice": orders(spark).unionByName(orders(spark)),
+        "labels": orders(spark).withColumn("late", F.lit(3)),
+        "empty": orders(spark).limit(0),
+        "columns": orders(spark).drop("placed"),
+    }
+    for name, rows in unusable.items():
         with pytest.raises(EvaluationTableError):
-            write(bad, tmp_path / f"bad{bad.count()}{bad.columns[-1]}{id(bad)}")
+            sealed(rows, tmp_path / name)
 
 
 def test_source_check_and_strict_json(spark, tmp_path):
@@ -114,6 +125,9 @@ def test_comparison_gates_and_blocking(spark):
     assert worse["decision"] == "candidate_worse"
     alone = compare_models(df, "y", good)
     assert alone["decision"] == "promote_candidate_no_champion" and alone["diff"] == {}
+    decided = df.withColumn("d", (F.col("good") >= 0.5).cast("int")).withColumn("t", F.lit(0.5))
+    own = ModelScores("good", "good", 0.5, decision_col="d", threshold_col="t")
+    assert compare_models(decided, "y", own, bad)["decision"] == "candidate_at_least_as_good"
     strict = compare_models(df, "y", good, gates=Gates(min_recall=1.1))
     assert strict["decision"] == "candidate_worse"
     for broken in (
@@ -122,6 +136,9 @@ def test_comparison_gates_and_blocking(spark):
         compare_models(df, "y", good, ModelScores("bad", "random", 0.5, fn_cost=1.0)),
         compare_models(df, "y", good, bad, evidence=({"f": 1}, {"f": 2})),
         compare_models(df, "y", good, bad, champion_frozen=df.select("y", "good").limit(399)),
+        compare_models(decided.withColumn("d", 1 - F.col("d")), "y", own, bad),
+        compare_models(decided.withColumn("t", F.lit(0.6)), "y", own, bad),
+        compare_models(df.withColumn("y", F.lit(None).cast("int")), "y", good, bad),
     ):
         assert broken["decision"] == "blocked" and broken["reason"]
     with pytest.raises(ValueError):
@@ -171,15 +188,20 @@ def test_training_end_to_end(spark, trained):
     df, config, result, folder = trained
     assert result.selection_metrics["roc_auc"] > 0.6
     assert result.model.schema.frequency == ("user",)
-    assert result.record["calibration_fit"]["row_count"] == 34
-    assert result.manifest["row_count"] == load_evaluation(spark, str(folder / "evaluation")).count()
+    assert result.record["used_rows"]["stopping_and_calibration"]["rows"] == 34
+    assert result.manifest["content"]["rows"] == load_evaluation(spark, str(folder / "evaluation")).count()
     hidden = result.summary.filter("reserved").first()
     assert hidden.split == "final_test" and hidden.positives is None
-    report = final_report(result.model, df, config, {"file": "abc"})
-    assert report["final_test_identity"]["row_count"] == 135
+    sources = "file_name string, sha256 string"
+    same = spark.createDataFrame([("file", "abc")], sources)
+    report = final_report(result.model, df, config, same)
+    assert report["rows"]["rows"] == 135
     assert 0 <= report["metrics"]["brier_score"] <= 0.3
+    for off in ([("file", "other")], [], [("file", "abc"), ("more", "x")]):
+        with pytest.raises(EvaluationTableError):
+            final_report(result.model, df, config, spark.createDataFrame(off, sources))
     with pytest.raises(ValueError):
-        final_report(result.model, df, config, {"file": "other"})
+        final_report(result.model, df, config)
     assert 0 <= smoke_score(result.model, spark) <= 1
 
 

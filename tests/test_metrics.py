@@ -5,10 +5,19 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators.calibrate import fit_calibrator
-from riskframe.operators.metrics import compute_metrics, confusion_metrics, score_curve, with_rates
+from riskframe.operators.calibrate import Calibrator, fit_calibrator
+from riskframe.operators.metrics import (
+    compute_metrics,
+    confusion_metrics,
+    score_counts,
+    score_curve,
+    score_sketch,
+    with_rates,
+)
+from riskframe.operators.order import bucketise
 from riskframe.operators.predict import (
     PredictionError,
+    align_predictions,
     check_alignment,
     check_predictions,
     decide,
@@ -91,7 +100,7 @@ def test_single_class_costs_and_reference_counts(spark):
         confusion_metrics(table(spark, four), "y", "s", 0.5, fn_cost=1.0)
 
 
-def numpy_threshold(y, s, strategy, target=0.8, fn=25.0, fp=1.0):
+def numpy_threshold(y, s, strategy, target=0.8, fn=25.0, fp=1.0, grid=None):
     y, s = np.asarray(y), np.asarray(s)
     scores = np.unique(s)
     p = y.sum()
@@ -100,20 +109,23 @@ def numpy_threshold(y, s, strategy, target=0.8, fn=25.0, fp=1.0):
         return float(scores[int(np.argmax(f1))])
     if strategy == "target_recall":
         return float(max((t for t in scores if y[s >= t].sum() / p >= target), default=0.0))
-    candidates = scores if len(scores) <= 200 else np.quantile(scores, np.linspace(0, 1, 200))
+    candidates = scores if grid is None else np.quantile(scores, np.linspace(0, 1, grid))
     costs = [(y[s < t].sum()) * fn + ((1 - y)[s >= t].sum()) * fp for t in candidates]
     return float(candidates[int(np.argmin(costs))])
 
 
-@pytest.mark.parametrize("strategy", ["best_f1", "target_recall", "cost_based"])
-def test_threshold_strategies(spark, strategy):
+@pytest.mark.parametrize(
+    "strategy,grid",
+    [("best_f1", None), ("target_recall", None), ("cost_based", None), ("cost_based", 200)],
+)
+def test_threshold_strategies(spark, strategy, grid):
     rng = random.Random(9)
     for rows in (
         [(int(rng.random() < 0.3), rng.random()) for _ in range(700)],
         [(int(rng.random() < 0.3), rng.randrange(11) / 10) for _ in range(200)],
     ):
-        got = select_threshold(table(spark, rows), "y", "s", strategy).first()
-        want = numpy_threshold(*zip(*rows), strategy)
+        got = select_threshold(table(spark, rows), "y", "s", strategy, candidates=grid).first()
+        want = numpy_threshold(*zip(*rows), strategy, grid=grid)
         assert got.threshold == pytest.approx(want, rel=1e-12)
         y, s = map(np.asarray, zip(*rows))
         cost = (y[s < want]).sum() * 25.0 + (1 - y)[s >= want].sum()
@@ -175,3 +187,40 @@ def test_alignment(spark):
     for wrong in (scores.limit(1), scores.unionByName(scores), scores.withColumn("id", F.lit(9))):
         with pytest.raises(PredictionError):
             check_alignment(labels, wrong, "id")
+
+
+def test_unusable_scores_and_labels_stop_the_job(spark):
+    good = [(0, 0.2), (1, 0.7), (1, 0.9)]
+    for row in ((1, None), (1, float("nan")), (0, math.inf), (None, 0.5), (2, 0.5)):
+        df = table(spark, [*good, row])
+        for job in (
+            lambda: compute_metrics(df, "y", "s").collect(),
+            lambda: confusion_metrics(df, "y", "s").collect(),
+            lambda: select_threshold(df, "y", "s", "best_f1").collect(),
+            lambda: select_threshold(df, "y", "s", "fixed").collect(),
+            lambda: fit_calibrator(df, "s", "y", "sigmoid"),
+        ):
+            with pytest.raises(Exception, match="must be"):
+                job()
+    unknown = table(spark, [(0, None), (1, float("nan"))])
+    mapped = Calibrator("sigmoid", 1.0, 0.0).apply(unknown, "s", "c").collect()
+    assert [r.c for r in mapped] == [None, None]
+
+
+def test_curve_buckets_hold_distinct_scores_evenly(spark):
+    rows = [(i % 2, 0.5) for i in range(9900)] + [(i % 2, i / 7000) for i in range(100)]
+    counts = score_counts(table(spark, rows), "y", "s")
+    splits, positives, negatives = score_sketch(counts)
+    assert (positives, negatives) == (5000, 5000)
+    placed = bucketise(counts, "score", splits, "b").groupBy("b").count().collect()
+    assert len(placed) >= 12 and max(r["count"] for r in placed) <= 20
+
+
+def test_alignment_is_checked_while_joining(spark):
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "id int, y int")
+    scores = spark.createDataFrame([(1, 0.2), (2, 0.9)], "id int, s double")
+    good = align_predictions(labels, scores, "id", "y").collect()
+    assert sorted((r.id, r.y, r.s) for r in good) == [(1, 0, 0.2), (2, 1, 0.9)]
+    for wrong in (scores.limit(1), scores.unionByName(scores), scores.withColumn("id", F.lit(9))):
+        with pytest.raises(Exception, match="do not align"):
+            align_predictions(labels, wrong, "id", "y").collect()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import order, quantiles
+from riskframe.operators.fingerprint import observed_identity, ordered_fingerprint
 
 
 def frames(spark):
@@ -72,7 +73,7 @@ def test_rank_plan_has_no_single_partition_sort(spark):
     assert "SinglePartition" not in plan
 
 
-def test_exact_quantiles_agree_on_both_paths(spark):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(3)
     rows, expected = [], {}
     probabilities = [0.0, 0.05, 0.1, 0.5, 0.95, 1.0]
@@ -87,12 +88,27 @@ def test_exact_quantiles_agree_on_both_paths(spark):
         expected[name] = np.quantile(values, probabilities)
     rows += [("none", None), ("none", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
-    for limit in (10**6, 0):
-        got = quantiles.exact_quantiles(df, ["g"], "v", probabilities, buffer_rows=limit).collect()
-        by_group = {r.g: r.quantiles for r in got}
-        assert by_group.pop("none") is None
-        for name, values in by_group.items():
-            np.testing.assert_allclose(values, expected[name], rtol=1e-12)
+    got = quantiles.exact_quantiles(df, ["g"], "v", probabilities).collect()
+    by_group = {r.g: r.quantiles for r in got}
+    assert by_group.pop("none") is None
+    for name, values in by_group.items():
+        np.testing.assert_allclose(values, expected[name], rtol=1e-12)
+
+
+def test_ordered_fingerprint_with_repeated_keys_ignores_layout(spark):
+    rows = [(i % 40, i % 10, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "t int, k int, v int")
+    layouts = (df.coalesce(1), df.repartition(7), df.orderBy(F.desc("v")).repartition(3))
+    found = {ordered_fingerprint(x, "t", "k").first().fingerprint for x in layouts}
+    assert len(found) == 1
+    assert ordered_fingerprint(df.where("v > 0"), "t", "k").first().fingerprint not in found
+
+
+def test_one_missing_id_is_no_repeat(spark):
+    rows = [(1, 1, 0), (2, 2, 1), (None, 3, 1)]
+    one = spark.createDataFrame(rows, "i int, t int, y int")
+    assert observed_identity(one, "i", "t", "y").first().repeated_ids == 0
+    assert observed_identity(one.union(one), "i", "t", "y").first().repeated_ids == 3
 
 
 def test_times_without_zone_ignore_the_session_zone(spark):

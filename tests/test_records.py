@@ -9,30 +9,32 @@ from riskframe.operators.records import (
     validate_records,
 )
 
-CONTRACT = RecordContract(("TransactionAmt", "C1"), ("ProductCD",))
+CONTRACT = RecordContract(("fee", "age"), ("channel",))
+BAD_NUMBER, BAD_CATEGORY, NESTED = "invalid_numeric", "invalid_categorical", "non_scalar_feature"
+# One case per rule: what the record holds, and the codes it gets.
 CASES = [
-    ('{"TransactionAmt": 100.0}', []),
-    ('{"TransactionAmt": "100.25"}', []),
-    ('{"TransactionAmt": "1_000"}', []),
-    ('{"ProductCD": "never-seen-category"}', []),
-    ('{"C1": null, "ProductCD": "W"}', []),
-    ('{"TransactionAmt": 5, "ignored_extra": {"a": 1}}', []),
+    ('{"fee": 12}', []),
+    ('{"fee": "  7.5e2 "}', []),
+    ('{"age": "12_500"}', []),
+    ('{"channel": "pigeon post"}', []),
+    ('{"age": null, "channel": "web"}', []),
+    ('{"fee": -0.0, "note": ["kept", "out"]}', []),
     ("{}", ["no_usable_features"]),
-    ('{"ignored_extra": "value"}', ["no_usable_features"]),
-    ('{"TransactionAmt": null}', ["no_usable_features"]),
-    ('{"ProductCD": "  "}', ["invalid_categorical"]),
-    ('{"ProductCD": 7}', ["invalid_categorical"]),
-    ('{"TransactionAmt": "not-a-number"}', ["invalid_numeric"]),
-    ('{"TransactionAmt": "1d"}', ["invalid_numeric"]),
-    ('{"TransactionAmt": "inf"}', ["invalid_numeric"]),
-    ('{"TransactionAmt": ""}', ["invalid_numeric"]),
-    ('{"TransactionAmt": 1e400}', ["invalid_numeric"]),
-    ('{"TransactionAmt": true}', ["invalid_numeric"]),
-    ('{"TransactionAmt": {"a": 1}}', ["non_scalar_feature"]),
-    ('{"ProductCD": [1, 2]}', ["non_scalar_feature"]),
-    ('{"TransactionAmt": "x", "ProductCD": 1}', ["invalid_numeric", "invalid_categorical"]),
-    ("[1]", ["malformed_record"]),
-    ("{bad", ["malformed_record"]),
+    ('{"note": 1}', ["no_usable_features"]),
+    ('{"age": null}', ["no_usable_features"]),
+    ('{"channel": "\\t"}', [BAD_CATEGORY]),
+    ('{"channel": false}', [BAD_CATEGORY]),
+    ('{"fee": "twelve"}', [BAD_NUMBER]),
+    ('{"fee": "3f"}', [BAD_NUMBER]),
+    ('{"age": "-Infinity"}', [BAD_NUMBER]),
+    ('{"age": " "}', [BAD_NUMBER]),
+    ('{"fee": -3e999}', [BAD_NUMBER]),
+    ('{"fee": false}', [BAD_NUMBER]),
+    ('{"age": []}', [NESTED]),
+    ('{"channel": {}}', [NESTED]),
+    ('{"age": "?", "channel": 0}', [BAD_NUMBER, BAD_CATEGORY]),
+    ('"text"', ["malformed_record"]),
+    ('{"fee": 1', ["malformed_record"]),
 ]
 
 

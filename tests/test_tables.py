@@ -279,19 +279,38 @@ def test_scalars(spark):
 
 
 def test_dataset_audit(spark):
-    report = audit_dataset(
-        transactions(spark), identity(spark), "TransactionID", "TransactionDT", "isFraud", {"t": "1"}
-    )
-    assert report["tables"]["transactions"]["rows"] == 40
-    assert report["coverage"]["coverage"] == pytest.approx(25 / 40)
+    def audit(labelled_ids, other_ids):
+        unlabelled = transactions(spark).drop("isFraud")
+        return audit_dataset(
+            (transactions(spark), labelled_ids),
+            (unlabelled, other_ids),
+            "TransactionID",
+            "TransactionDT",
+            "isFraud",
+            {"t": "1"},
+        )
+
+    report = audit(identity(spark), identity(spark, 10))
+    assert {n: t["rows"] for n, t in report["tables"].items()} == {
+        "labelled transactions": 40,
+        "labelled identity": 25,
+        "unlabelled transactions": 40,
+        "unlabelled identity": 10,
+    }
+    shares = {part: c["coverage"] for part, c in report["coverage"].items()}
+    assert shares == {"labelled": pytest.approx(25 / 40), "unlabelled": pytest.approx(10 / 40)}
     assert set(report["splits"]) == set(split.FIVE_WAY)
+    digests = {s["ordered_fingerprint"] for s in report["splits"].values()}
+    assert len(digests) == 5
     orphan = identity(spark).withColumn("TransactionID", F.col("TransactionID") + 100000)
-    with pytest.raises(DataValidationError):
-        audit_dataset(
-            transactions(spark), orphan, "TransactionID", "TransactionDT", "isFraud", {"t": "1"}
-        )
     repeated = identity(spark).unionByName(identity(spark))
-    with pytest.raises(DataValidationError):
-        audit_dataset(
-            transactions(spark), repeated, "TransactionID", "TransactionDT", "isFraud", {"t": "1"}
-        )
+    for bad in (orphan, repeated):
+        for sides in ((bad, identity(spark)), (identity(spark), bad)):
+            with pytest.raises(DataValidationError):
+                audit(*sides)
+
+
+def test_records_are_counted_not_lines(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"two\nlines"\n2,x\n')
+    read = spark.read.option("multiLine", True).option("header", True).csv(str(tmp_path / "t.csv"))
+    assert tables.count_rows(read) == 2
