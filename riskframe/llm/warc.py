@@ -108,10 +108,17 @@ def records(
     date = (written or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = _keyed(_pages(pages, key, address, payload), least_bytes)
     order = F.struct("page", "url")
-    originals = rows.groupBy("share").agg(
-        F.max_by(F.struct("page", "url", "html", "bytes", "sha1", "content_key"), order).alias("o")
+    small = F.col("bytes") < least_bytes
+    # Below the limit every row is a response, rows that agree in everything too.
+    originals = (
+        rows.groupBy("share")
+        .agg(
+            F.max_by(F.struct("page", "url", "html", "bytes", "sha1"), order).alias("o"),
+            F.count_if(small).alias("own"),
+        )
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("own", F.lit(1)))))
     )
-    heads = rows.select("share", "page", "url", "bytes", "sha1", "content_key")
+    heads = rows.where(~small).select("share", "page", "url", "sha1")
     same = heads.groupBy("share", "page", "url").agg(
         F.count(F.lit(1)).alias("n"), F.first("sha1").alias("sha1")
     )
@@ -132,7 +139,7 @@ def records(
         _lines(
             ("WARC-Type", F.lit("response")),
             ("WARC-Record-ID", _record_id(
-                F.col("o.page"), F.col("o.url"), F.col("o.sha1"), F.lit(1))),
+                F.col("o.page"), F.col("o.url"), F.col("o.sha1"), F.col("copy"))),
             ("WARC-Date", F.lit(date)),
             ("WARC-Target-URI", _safe(F.col("o.url"))),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("o.sha1")))),
