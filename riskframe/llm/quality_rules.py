@@ -31,7 +31,7 @@ SAMPLE_CHARS = 50_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 20
-MAX_DUP_LINES_PERCENT = 30
+MAX_DUP_LINES_PERCENT = 50
 MAX_SHOUT_PERCENT = 60
 MAX_WORD_CHARS = 20
 MAX_MARKED_WORDS_PERCENT = 30

@@ -144,7 +144,7 @@ base AS (
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          100 * n_symbols > 20 * word_chars
-         OR 100 * n_dup_lines > 30 * n_lines
+         OR 100 * n_dup_lines > 50 * n_lines
          OR 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 60 * word_chars
          OR word_chars > 20 * n_words
          OR 100 * len(regexp_extract_all(t, '[!|#*$%&]+(?:[ \n]|$)')) > 30 * n_words AS failed
