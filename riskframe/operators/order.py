@@ -498,8 +498,8 @@ def running_totals(
     same = F.col("_bucket") == F.col("_at")
     for i, group in enumerate(groups):
         same = same & quoted(group).eqNullSafe(F.col(f"_g{i}"))
-    # One row per group and bucket: bounded by the number of splits, hence the broadcast.
-    return placed.join(F.broadcast(offsets), same).select(
+    # One row per group and bucket; groups can be many, so the join side is left to AQE.
+    return placed.join(offsets, same).select(
         *[quoted(c) for c in counts.columns],
         *[
             (F.col(f"_{m}_offset") + F.sum(m).over(within) - F.col(m)).alias(f"{m}_above")

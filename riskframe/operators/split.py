@@ -22,6 +22,8 @@ from riskframe.operators.order import (
 )
 
 TEMPORAL, RANDOM = "temporal", "random"
+#: A documented limit, refused beyond and never cut: classes of a stratified split.
+MOST_CLASSES = 1000
 FIVE_WAY = (
     "train",
     "calibration_fit",
@@ -155,6 +157,13 @@ def two_way_split(
     return split_by_sizes(df, time_col, id_col, parts, split)
 
 
+def require_few_classes(df: DataFrame, label_col: str) -> None:
+    """The driver keeps one entry per class, so many classes are refused before they get there."""
+    found = df.agg(F.approx_count_distinct(quoted(label_col))).first()[0]
+    if found > 2 * MOST_CLASSES:
+        raise ValueError(f"{label_col} has about {found} classes; stratify by at most {MOST_CLASSES}")
+
+
 def stratified_by_sizes(
     df: DataFrame,
     id_col: str,
@@ -168,6 +177,7 @@ def stratified_by_sizes(
     Unstratified when there is one class only, or a class too small to be cut by ``parts_of``.
     """
     hashed = df.withColumn("_order", seeded_order(id_col, seed))
+    require_few_classes(df, label_col)
     bounds = order_bounds(hashed, "_order", label_col)
     try:
         parts = {c: parts_of(b.rows) for c, b in bounds.items()}

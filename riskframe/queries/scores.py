@@ -79,6 +79,18 @@ def comparison_violations(spark, folder):
     return compare.comparison_violations(frozen, "label", models)
 
 
+def finite_output(spark, folder):
+    """Logarithms of amounts and of their negatives: NaN and infinities on the way to JSON."""
+    value = F.col("value")
+    return predict.finite_output(
+        table(spark, folder, "events").select(
+            "event_id",
+            F.when(value < 1, F.lit(float("inf"))).otherwise(value).alias("large"),
+            F.when(value < 2, F.lit(float("nan"))).otherwise(-value).alias("unknown"),
+        )
+    )
+
+
 def decisions(spark, folder):
     scored = scored_events(spark, folder).withColumnRenamed("score", predict.PROBABILITY_COL)
     return rounded(predict.decide(scored, 0.5, override=0.25).drop("ts"))
@@ -415,6 +427,11 @@ QUERIES = {
         {_threshold_row('cost_based', 'b')}
         """,
     ),
+    "finite_output": (
+        finite_output,
+        "SELECT event_id, CASE WHEN value >= 1 THEN value END AS large, "
+        "CASE WHEN value >= 2 THEN -value END AS unknown FROM events",
+    ),
     "decisions": (
         decisions,
         f"""
