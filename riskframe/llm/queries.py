@@ -127,8 +127,11 @@ split AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, string_split(t, chr(10)) AS l,
          length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars
   FROM texts),
-places AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM split),
-windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM places),
+places AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS i,
+         unnest(list_transform(range(1, len(w) - 1),
+           lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS g FROM split),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM places),
 covered AS (
   SELECT r, count(DISTINCT i + k) AS n FROM windows, range(0, 3) AS o(k) WHERE n > 1 GROUP BY r),
 lines AS (
