@@ -19,6 +19,9 @@ from riskframe.functions.values import quoted
 from riskframe.operators.metrics import score_counts
 
 STRATEGIES = ("none", "sigmoid", "isotonic")
+# Resolution of an isotonic fit. Spark pools its points on the driver, so their number is bounded
+# by construction: scores in [0, 1] closer than one cell are one weighted point. All rows count.
+ISOTONIC_CELLS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -82,9 +85,14 @@ def fit_calibrator(df: DataFrame, raw_col: str, label_col: str, strategy: str) -
         if not (math.isfinite(slope) and math.isfinite(intercept)):
             raise ValueError("calibration did not converge to finite coefficients")
         return Calibrator("sigmoid", slope, intercept)
-    rows = counts.select(
-        F.col("score").alias("features"),
-        (F.col("pos") / (F.col("pos") + F.col("neg"))).alias("label"),
-        (F.col("pos") + F.col("neg")).cast("double").alias("weight"),
+    weight = F.col("pos") + F.col("neg")
+    cells = (
+        counts.groupBy(F.floor(F.col("score") * ISOTONIC_CELLS).alias("cell"))
+        .agg(
+            (F.sum(F.col("score") * weight) / F.sum(weight)).alias("features"),
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+        )
     )
+    rows = cells.select("features", (F.col("pos") / weight).alias("label"), weight.cast("double").alias("weight"))
     return Calibrator("isotonic", isotonic=IsotonicRegression(weightCol="weight").fit(rows))
