@@ -28,7 +28,7 @@ from riskframe.llm.common import WORD, content, cut, packed, row_tie
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_000
 NOISE = "#*$%&|<>!"
 
 
