@@ -17,6 +17,15 @@ Equal fingerprints are one node, so copies cost nothing here. Groups of linked n
 rounds of large-star and small-star steps over links alone, each round cut into the shared
 folder, until nothing changes.
 
+``similar`` groups by Jaccard similarity of shingle sets instead, at any threshold and shingle:
+``BANDS`` keys over ``BAND_ROWS`` min-hashes each find candidates, and texts that share a key are
+compared on their exact sets. A pair at a similarity of 0.8 shares no key with a probability of
+(1 - 0.8^4)^25, two in a million; every pair that is linked has been checked. Keys with the same
+members are compared once. A key with more than ``MET`` members is dealt into slots, each with the
+key's smallest node, so that no task grows with a group; there, members of different slots are
+linked through that node or meet under other keys. Texts with equal sets (by a 64-bit hash) are
+one node.
+
 Defined cases: a missing text is empty; a text without words has fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle; the group id is the smallest id
 reachable, null only if no member has an id; repeated rows share a group; an empty table gives
@@ -28,6 +37,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -40,23 +50,35 @@ SEED = 42
 SEGMENTS = 4
 SEGMENT_BITS = 16
 BUDGET = 3
+BANDS = 25
+BAND_ROWS = 4
+#: Members of a key that are compared in one group.
+MET = 1024
 #: Hashes whose bits are counted at once.
 BLOCK = 1 << 14
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """SimHash of a text as a signed 64-bit integer."""
+def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Hash of every shingle of a text, repeats included; none without words."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) < shingle:
         shingles = iter([b" ".join(words)])
     else:
         shingles = map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
     total = max(1, len(words) - shingle + 1)
-    hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), np.uint64, total)
+    return np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), np.uint64, total)
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """SimHash of a text as a signed 64-bit integer."""
+    hashes = shingle_hashes(text, shingle)
+    total = len(hashes)
+    if not total:
+        return 0
     ones = np.zeros(64, np.int64)
     for start in range(0, total, BLOCK):
         block = hashes[start : start + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -186,16 +208,172 @@ def near_duplicates(
     return found.join(named, "fp").select("id", "tie", "fp", "root", "component_id")
 
 
-def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """``BANDS`` keys of a set of shingle hashes, as signed 64-bit integers."""
+    from xxhash import xxh64_intdigest
+
+    draw = np.random.Generator(np.random.PCG64(SEED))
+    factors, shifts = draw.integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
+    factors |= np.uint64(1)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
+    for start in range(0, len(hashes), BLOCK >> 3):
+        block = hashes[start : start + (BLOCK >> 3)]
+        # The upper half folded in: the order of products alone follows that of the hashes.
+        mixed = block[None, :] * factors[:, None] + shifts[:, None]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= factors[::-1, None]
+        least = np.minimum(least, mixed.min(axis=1))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    keys = [xxh64_intdigest(r.tobytes(), band) for band, r in enumerate(rows)]
+    return np.array(keys, np.uint64).view(np.int64)
+
+
+def _signatures(rows: DataFrame, shingle: int) -> DataFrame:
+    """``id, tie, content`` -> ``id, tie, mark, node, keys``; a text without words has no keys."""
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in stream:
+            nodes, keys = [], []
+            for i in range(batch.num_rows):
+                own = np.unique(shingle_hashes(batch.column("content")[i].as_py(), shingle))
+                nodes.append(xxh64_intdigest(own.tobytes(), SEED))
+                keys.append(band_keys(own) if len(own) else [])
+            found = np.array(nodes, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("id", "tie", "mark")],
+                 pa.array(found, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "tie", "mark", "node", "keys"],
+            )
+
+    keyed = rows.select("id", "tie", F.xxhash64("content").alias("mark"), "content")
+    kind = keyed.schema["id"].dataType.simpleString()
+    return keyed.mapInArrow(
+        batches, f"id {kind}, tie long, mark long, node long, keys array<long>"
+    )
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets given as sorted arrays."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def linked(nodes: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect what all pairs at or above ``similarity`` connect."""
+    parts: list[list[int]] = []
+    found = []
+    for i in range(len(nodes)):
+        joined, apart = [i], []
+        for part in parts:
+            near = next(
+                (
+                    j for j in part
+                    if min(len(sets[i]), len(sets[j])) >= similarity * max(len(sets[i]), len(sets[j]))
+                    and jaccard(sets[i], sets[j]) >= similarity
+                ),
+                None,
+            )
+            if near is None:
+                apart.append(part)
+            else:
+                found.append((min(nodes[i], nodes[near]), max(nodes[i], nodes[near])))
+                joined = part + joined
+        parts = [*apart, joined]
+    return found
+
+
+def similar(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """Every row's ``id, tie, root``: groups of texts linked by ``similarity`` of shingle sets."""
+    rows = packed(docs).select(
+        F.col(f"row.`{key}`").alias("id"),
+        row_tie(docs.columns).alias("tie"),
+        content(text).alias("content"),
+    )
+    found = cut(_signatures(rows, shingle))
+    nodes = cut(
+        found.groupBy("node").agg(F.min("mark").alias("mark"), F.first("keys").alias("keys"))
+    )
+    listed = nodes.select("node", F.explode("keys").alias("key"))
+    same = (
+        listed.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("node").alias("least"),
+            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"),
+        )
+        .where("n > 1")
+        .groupBy("n", "least", "members")
+        .agg(F.min("key").alias("key"))
+    )
+    slots = F.ceil(F.col("n") / MET).cast("long")
+    met = cut(
+        listed.join(same, "key")
+        .where("node != least")
+        .select("key", F.pmod(F.xxhash64("node", "key"), slots).alias("slot"), "node")
+        .unionByName(
+            same.select(
+                "key",
+                F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)).alias("slot"),
+                F.col("least").alias("node"),
+            )
+        )
+    )
+    asked = met.select("node").distinct().join(nodes.select("node", "mark"), "node")
+
+    def sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            texts = batch.column("content").to_pylist()
+            found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.binary())], names=["node", "hashes"]
+            )
+
+    texts = (
+        rows.select(F.xxhash64("content").alias("mark"), "content")
+        .join(asked, "mark")
+        .groupBy("node")
+        .agg(F.first("content").alias("content"))
+    )
+    whole = texts.mapInArrow(sets, "node long, hashes binary")
+
+    def compared(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("node")
+        arrays = [np.frombuffer(x, np.uint64) for x in part["hashes"]]
+        pairs = linked([int(x) for x in part["node"]], arrays, similarity)
+        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+
+    pairs = met.join(whole, "node").groupBy("key", "slot").applyInPandas(compared, "a long, b long")
+    grouped = groups(pairs.distinct())
+    return found.join(grouped, "node", "left").select(
+        "id", "tie", F.coalesce("root", "node").alias("root")
+    )
+
+
+def representatives(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    shingle: int = SHINGLE,
+    similarity: float | None = None,
+) -> DataFrame:
     """One row of every group with its own columns: the one with the smallest id.
 
+    Groups are those of ``near_duplicates``, or of ``similar`` where a similarity is given.
+
     A missing id comes last; rows that agree in id and group are told apart by a hash of all
     columns, and rows that agree in every column are one.
     """
     member = F.struct(F.col("id").isNull().alias("last"), "id", "tie")
+    if similarity is None:
+        found = near_duplicates(docs, text, key, shingle)
+    else:
+        found = similar(docs, text, key, shingle, similarity)
     chosen = (
-        near_duplicates(docs, text, key)
-        .groupBy("root")
+        found.groupBy("root")
         .agg(F.min(member).alias("best"))
         .select("best.id", "best.tie")
     )

@@ -259,3 +259,55 @@ def test_stages_take_empty_tables_and_other_columns(spark, docs):
         for _, stage in corpus_pipeline.STAGES[1:4]:
             out = stage(spark, wide, FOLDER)
             assert out.columns == wide.columns and out.count() <= max(wide.count() * 3, 0)
+
+
+def plain_similar(texts, size=5, similarity=0.8):
+    """Pairs at or above the similarity, and every text's group, by brute force."""
+    sets = []
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    root = list(range(len(texts)))
+    pairs = [
+        (i, j) for j in range(len(texts)) for i in range(j)
+        if sets[i] == sets[j] or len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])
+    ]
+    for _ in texts:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    return pairs, root
+
+
+def test_stage_drops_all_copies_at_the_similarity(spark, docs, monkeypatch):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(3000)]
+    texts = list(TEXTS)
+    for _ in range(60):
+        base = rng.choices(words, k=rng.randint(60, 300))
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            changed = list(base)
+            for _ in range(rng.randint(1, 1 + len(base) // 45)):
+                changed[rng.randrange(len(changed))] = rng.choice(words)
+            texts.append(" ".join(changed))
+    pairs, root = plain_similar(texts)
+    prints = [plain_fingerprint(t) for t in texts]
+    assert sum((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs) > 20
+    kept = corpus_pipeline.drop_near_copies(spark, docs(texts).repartition(4), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    # A large group is dealt into slots and stays one.
+    monkeypatch.setattr(simhash, "MET", 8)
+    base = rng.choices(words, k=400)
+    copies = [" ".join([*base, f"end{i}"]) for i in range(60)]
+    kept = corpus_pipeline.drop_near_copies(spark, docs([*copies, "lonely text"]), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 60]
+
+
+def test_band_keys_follow_the_similarity():
+    rng = np.random.default_rng(22)
+    shared = 0
+    for _ in range(200):
+        both = rng.integers(0, 1 << 63, 160, np.uint64)
+        a, b = (np.concatenate([both, rng.integers(0, 1 << 63, 20, np.uint64)]) for _ in range(2))
+        shared += (simhash.band_keys(a) == simhash.band_keys(b)).sum()
+    assert shared / (200 * simhash.BANDS) == pytest.approx(0.8**4, abs=0.05)
