@@ -243,7 +243,16 @@ def train(
     )
     rows = packed(docs).select(F.col(f"row.`{key}`").alias("id"), content(text).alias("content"))
     chosen = rows.where(F.length("content") > 0).join(F.broadcast(usable), "id")
-    chosen = chosen.where(F.size(F.split("content", "\n")) <= limits.lines)
+    # One row of every id, so that the limit on ids bounds what the driver receives.
+    chosen = (
+        chosen.where(F.size(F.split("content", "\n")) <= limits.lines)
+        .groupBy("id")
+        .agg(
+            F.max("label").alias("label"),
+            F.min(F.struct(F.xxhash64("content").alias("hash"), "content")).alias("least"),
+        )
+        .select("label", F.col("least.content").alias("content"))
+    )
 
     def features(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:

@@ -295,3 +295,12 @@ def test_exchange_gains_and_finds_planted_classes(spark):
 
 def test_class_model_on_an_empty_table(spark, docs):
     assert class_lm.report(docs([])).count() == 0
+
+
+def test_fit_takes_one_row_of_every_labelled_id(spark, docs, monkeypatch):
+    taken = []
+    monkeypatch.setattr(line_crf, "fit_field", lambda own, per, labels: taken.append((len(per), len(labels))))
+    rows = [(1, f"line {i}\nmore {i}", "en", "s", 0) for i in range(200)] + [(2, "bad", "en", "s", 0), (3, "", "en", "s", 0)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    line_crf.train(docs(rows).repartition(4), labels, held_out=(1, 2))
+    assert taken == [(2, 2)]
