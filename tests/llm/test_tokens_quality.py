@@ -304,3 +304,18 @@ def test_fit_takes_one_row_of_every_labelled_id(spark, docs, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
     line_crf.train(docs(rows).repartition(4), labels, held_out=(1, 2))
     assert taken == [(2, 2)]
+
+
+def test_exchange_ends_where_no_word_gains(spark):
+    rng = np.random.default_rng(23)
+    n = rng.poisson(rng.gamma(0.3, 8, (40, 40)))
+    rows = [(a, b, int(n[a, b])) for a in range(40) for b in range(40) if n[a, b]]
+    bigrams = spark.createDataFrame(rows, "left int, right int, n long").coalesce(2)
+    state, pairs = class_lm.exchange(bigrams, 40, classes=4)
+    for unit in range(40):
+        others = np.arange(40) != unit
+        after, before = np.zeros(len(pairs)), np.zeros(len(pairs))
+        np.add.at(after, state[:40][others], n[unit, others])
+        np.add.at(before, state[:40][others], n[others, unit])
+        chosen, _ = class_lm.best_class(pairs, 4, int(state[unit]), after, before, float(n[unit, unit]))
+        assert chosen == state[unit]
