@@ -7,12 +7,15 @@ import public_tokenizers
 from riskframe.llm import (
     byte_bpe,
     class_lm,
+    collocations,
+    conversations,
     exact_dedup,
     line_crf,
     mixing,
     quality_rules,
     secrets,
     simhash,
+    substring_dedup,
     trie_tokens,
     warc,
 )
@@ -71,6 +74,18 @@ def op10_class_lm(spark, folder):
     return class_lm.report(read_table(spark, folder, "documents"))
 
 
+def op11_collocations(spark, folder):
+    return collocations.report(read_table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark, folder):
+    return conversations.report(read_table(spark, folder, "conversations"))
+
+
+def op13_substring_dedup(spark, folder):
+    return substring_dedup.report(read_table(spark, folder, "documents"))
+
+
 OP1_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -227,6 +242,70 @@ FROM texts LEFT JOIN spans USING (r) GROUP BY r
 """
 
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, k, g, count(*) AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                 lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+        FROM words, range(1, 6) AS sizes(k))
+  GROUP BY lang, k, g HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.g, c.k, c.a, cut, x.f AS l, y.f AS r, n,
+         (1000 * CAST(a AS HUGEINT) * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.g = array_to_string(c.w[cut + 1:c.k], ' ')
+  JOIN totals t ON t.lang = c.lang),
+scored AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+held AS (
+  SELECT lang, g, max(a) AS held
+  FROM (SELECT lang, a, unnest(list_transform(range(1, k - size + 2),
+                 lambda i: array_to_string(w[i:i + size - 1], ' '))) AS g
+        FROM candidates, range(2, 5) AS sizes(size) WHERE size < k)
+  GROUP BY lang, g),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN held h ON h.lang = s.lang AND h.g = s.g
+  WHERE held IS NULL OR 100 * held < 100 * a)
+SELECT lang, row_number() OVER best AS rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM kept
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, g)
+QUALIFY rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x,
+         unnest(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN i <= len(w) - 19
+           THEN array_to_string(w[i:i + 19], ' ') END)) AS g
+  FROM texts),
+repeated AS (
+  SELECT doc_id, i, x,
+         g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS again
+  FROM words),
+covered AS (
+  SELECT doc_id, i, x, coalesce(i - max(CASE WHEN again THEN i END) OVER (
+           PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) < 20, false) AS gone
+  FROM repeated)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words,
+       count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(x, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM texts t LEFT JOIN covered c USING (doc_id) GROUP BY t.doc_id, t.w
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, OP1_SQL),
     "op2_source_mix": (op2_source_mix, OP2_SQL),
@@ -238,4 +317,7 @@ QUERIES = {
     "op8_simhash": (op8_simhash, None),
     "op9_trie_tokens": (op9_trie_tokens, None),
     "op10_class_lm": (op10_class_lm, None),
+    "op11_collocations": (op11_collocations, OP11_SQL),
+    "op12_conversation_repair": (op12_conversation_repair, None),
+    "op13_substring_dedup": (op13_substring_dedup, OP13_SQL),
 }
