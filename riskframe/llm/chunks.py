@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm.common import cut
 
-#: Chunks for every shuffle partition, and buckets for every one.
-CHUNKS = 4
-BUCKETS = 2
+#: Chunks for every shuffle partition, and buckets for every one. Letters are chunks times
+#: buckets, so both are few: a letter should hold many fingerprints.
+CHUNKS = 2
+BUCKETS = 1
 #: What a bucket tells a chunk.
 ANSWERS = "chunk long, kind int, bucket long, payload binary"
 #: What a chunk tells a bucket.

@@ -1,14 +1,14 @@
 """Phrases whose words occur together more often than their parts would by chance.
 
 Counting follows Rabin and Karp: prefix polynomials over word hashes give the fingerprint of
-every n-gram of a chunk of texts in NumPy. Chunks send fingerprints with their counts to buckets
-(see ``chunks``), a bucket adds them up and answers each chunk which of its own may reach
-``least``; the chunk is the pointer to the occurrences. It finds them again in its texts, groups
-them by fingerprint and compares every occurrence with the first one of its group word by word;
-occurrences that collide are grouped by their words instead. Only these phrases become text, and
-the counts that decide are those of texts. Fingerprints that collide in a bucket can only add
-phrases that fall there. Words and pairs go first; longer n-grams are counted only where each of
-their pairs is frequent, which loses none, as a phrase is no more frequent than its parts.
+every n-gram of a chunk of texts in NumPy. Chunks send half fingerprints with their counts to
+buckets (see ``chunks``), which add them up and answer each chunk which of its own may reach
+``least``. Words and pairs go first; longer n-grams are sent only where each of their pairs is
+frequent, which loses none, as a phrase is no more frequent than its parts. What remains is
+looked up in the texts: a chunk groups the occurrences, compares each with the first of its group
+word by word, and sends counts under the half fingerprint and a second, independent one of 64 bits.
+The bucket adds up again, and of the chunks that hold a frequent phrase one is asked to spell it:
+the chunk is the pointer to the occurrence. Only frequent phrases become text.
 
 Everything is per language. Equal texts of one language meet in one chunk and are read once.
 
@@ -40,7 +40,7 @@ TOP = 2000
 HELD_PERCENT = 100
 #: Tasks that a language's word total is copied to.
 SPREAD = 64
-SHORT, LONG = 0, 1
+SHORT, LONG, WEIGHED = 0, 1, 2
 # What ends a piece, and the one blank besides the space.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 TO_LINES = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
@@ -108,8 +108,10 @@ class Words:
         ends = np.repeat(np.cumsum(sizes), sizes) if sizes else np.zeros(0, np.int64)
         self.left = ends - np.arange(len(self.ids))
         seed = xxh3_64_intdigest(lang.encode())
-        named = np.array([xxh3_64_intdigest(w, seed) for w in self.names], np.uint64)
-        self.prefixes = chunks.Prefixes(named[self.ids] if len(named) else np.zeros(0, np.uint64))
+        self.prefixes, self.checks = (
+            chunks.Prefixes(np.array([xxh3_64_intdigest(w, s) for w in self.names], np.uint64)[self.ids])
+            for s in (seed, seed ^ (1 << 63))
+        )
 
     def prints(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and fingerprints of the n-grams of one size."""
@@ -183,25 +185,78 @@ def _long_starts(words: Words, short: np.ndarray, buckets: int, longest: int) ->
         yield size, np.flatnonzero(good & (words.left[: len(good)] >= size))
 
 
-def _phrases(words: Words, at: np.ndarray, prints: np.ndarray, size: int) -> Iterator[tuple[str, int]]:
-    """Distinct phrases at the given starts with their counts, checked word by word."""
-    if not len(at):
-        return
-    _, first, inverse = np.unique(prints, return_index=True, return_inverse=True)
-    pointer = at[first]
-    same = np.ones(len(at), bool)
+def _found(words: Words, at: np.ndarray, size: int, prints: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Fingerprint, check, first start and count of the distinct n-grams at the given starts.
+
+    Every occurrence is compared with the first one of its group, word by word.
+    """
+    checks = words.checks.windows(size)[at]
+    order = np.lexsort((checks, prints))
+    a, b = prints[order], checks[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    group = np.cumsum(fresh) - 1
+    runs = np.flatnonzero(fresh)
+    pointer = at[order][runs]
     for j in range(size):
-        same &= words.ids[at + j] == words.ids[pointer[inverse] + j]
-    times = np.zeros(len(first), np.int64)
-    np.add.at(times, inverse[same], words.weights[at[same]])
-    spelled = [[words.names[i] for i in words.ids[pointer + j]] for j in range(size)]
-    for parts, n in zip(zip(*spelled), times.tolist()):
-        yield b" ".join(parts).decode(), n
-    apart: dict[str, int] = {}
-    for start in at[~same].tolist():
-        phrase = b" ".join(words.names[i] for i in words.ids[start : start + size]).decode()
-        apart[phrase] = apart.get(phrase, 0) + int(words.weights[start])
-    yield from apart.items()
+        if (words.ids[at[order] + j] != words.ids[pointer[group] + j]).any():
+            raise ValueError("two phrases share both fingerprints")
+    times = np.zeros(len(runs), np.int64)
+    np.add.at(times, group, words.weights[at[order]])
+    return a[runs], b[runs], pointer, times
+
+
+def _starts(words: Words, short: np.ndarray, long: np.ndarray, buckets: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Sizes, starts and fingerprints of the n-grams that buckets named."""
+    sizes = [(size, words.prints(size)[0], short) for size in (1, 2)]
+    sizes += [(size, at, long) for size, at in _long_starts(words, short, buckets, longest)]
+    for size, at, known in sizes:
+        prints = words.prefixes.windows(size)[at] if len(at) else np.zeros(0, np.uint64)
+        good = chunks.among(chunks.halves(prints, buckets), known)
+        if good.any():
+            yield size, at[good], prints[good]
+
+
+def _closed(low: np.ndarray, checks: np.ndarray, times: np.ndarray) -> bytes:
+    return (
+        np.array([len(low)], "<u4").tobytes() + low.astype("<u4").tobytes()
+        + checks.astype("<u8").tobytes() + times.astype("<i8").tobytes()
+    )
+
+
+def _checked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(payload, "<u4", 1)[0])
+    return (
+        np.frombuffer(payload, "<u4", n, 4),
+        np.frombuffer(payload, "<u8", n, 4 + 4 * n),
+        np.frombuffer(payload, "<i8", n, 4 + 12 * n),
+    )
+
+
+def _pointed(least: int):
+    """Add up counts by both fingerprints; one of the chunks that hold a phrase is to spell it."""
+
+    def add_up(name: tuple, sent: pa.Table) -> pa.Table:
+        low, checks, times = (np.concatenate(x) for x in zip(*map(_checked, sent.column("payload").to_pylist())))
+        sizes = [len(_checked(p)[0]) for p in sent.column("payload").to_pylist()]
+        senders = np.repeat(np.array(sent.column("chunk").to_pylist(), np.int64), sizes)
+        # Any of the holders, so that no chunk spells most phrases.
+        turn = chunks.mixed(checks ^ chunks.mixed(senders.astype(np.uint64)))
+        order = np.lexsort((turn, checks, low))
+        a, b = low[order], checks[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        runs = np.flatnonzero(fresh)
+        total = np.add.reduceat(times[order], runs)
+        frequent = runs[total >= least]
+        total, holder = total[total >= least], senders[order][frequent]
+        found = []
+        for chunk in np.unique(holder).tolist():
+            own = holder == chunk
+            found.append((chunk, _closed(a[frequent][own], b[frequent][own], total[own])))
+        return chunks.answers(name[0].as_py(), WEIGHED, found)
+
+    return add_up
 
 
 def frequent_phrases(
@@ -245,29 +300,60 @@ def frequent_phrases(
     more = heard.groupBy("bucket").applyInArrow(_frequent(LONG, least), chunks.ANSWERS)
     every = cut(told.unionByName(more))
 
+    def weigh(name: tuple, own: pa.Table, told: pa.Table) -> pa.Table:
+        short, long = chunks.answered(told, SHORT), chunks.answered(told, LONG)
+        found = [
+            _found(words, at, size, prints)
+            for _, words in _by_lang(own)
+            for size, at, prints in _starts(words, short, long, buckets, longest)
+        ]
+        if not found:
+            return chunks.letters(name[0].as_py(), [])
+        prints, checks, _, times = (np.concatenate(x) for x in zip(*found))
+        halves = chunks.halves(prints, buckets)
+        order = np.argsort(halves, kind="stable")
+        halves, checks, times = halves[order], checks[order], times[order]
+        low = halves & np.uint64(0xFFFFFFFF)
+        return chunks.letters(
+            name[0].as_py(),
+            [(b, _closed(low[p], checks[p], times[p])) for b, p in chunks.parts_of(halves)],
+        )
+
+    heard = by_chunk.cogroup(every.groupBy("chunk")).applyInArrow(weigh, chunks.LETTERS)
+    pointed = heard.groupBy("bucket").applyInArrow(_pointed(least), chunks.ANSWERS)
+    pointers = cut(every.unionByName(pointed))
+
     def spell(name: tuple, own: pa.Table, told: pa.Table) -> pa.Table:
         short, long = chunks.answered(told, SHORT), chunks.answered(told, LONG)
+        asked: dict[tuple[int, int], int] = {}
+        for kind, bucket, payload in zip(*(told.column(c).to_pylist() for c in ("kind", "bucket", "payload"))):
+            if kind == WEIGHED:
+                low, checks, times = _checked(payload)
+                names = (low.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))).tolist()
+                asked.update(zip(zip(names, checks.tolist()), times.tolist()))
+        wanted = np.sort(np.array([check for _, check in asked], np.uint64))
         out: dict[str, list] = {f.name: [] for f in FOUND_ARROW}
 
-        def add(lang: str, size: int, phrase: str, times: int) -> None:
-            for column, value in zip(out, (lang, size, phrase, times)):
+        def add(*row) -> None:
+            for column, value in zip(out, row):
                 out[column].append(value)
 
         for lang_, words in _by_lang(own):
             if len(words.ids):
                 add(lang_, 0, "", int(words.weights.sum()))
-            starts = [(size, words.prints(size)[0], short) for size in (1, 2)]
-            starts += [(s, at, long) for s, at in _long_starts(words, short, buckets, longest)]
-            for size, at, known in starts:
-                prints = words.prefixes.windows(size)[at]
-                good = chunks.among(chunks.halves(prints, buckets), known)
-                for phrase, times in _phrases(words, at[good], prints[good], size):
-                    add(lang_, size, phrase, times)
+            for size, at, prints in _starts(words, short, long, buckets, longest):
+                mine = chunks.among(words.checks.windows(size)[at], wanted)
+                prints, checks, pointer, _ = _found(words, at[mine], size, prints[mine])
+                halves = chunks.halves(prints, buckets).tolist()
+                for half, check, start in zip(halves, checks.tolist(), pointer.tolist()):
+                    times = asked.get((half, check))
+                    if times is not None:
+                        parts = [words.names[i] for i in words.ids[start : start + size]]
+                        add(lang_, size, b" ".join(parts).decode(), times)
         return chunks.table(out, FOUND_ARROW)
 
-    spelled = by_chunk.cogroup(every.groupBy("chunk")).applyInArrow(spell, FOUND)
-    total = spelled.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("times"))
-    return total.where((F.col("size") == 0) | (F.col("times") >= least))
+    spelled = by_chunk.cogroup(pointers.groupBy("chunk")).applyInArrow(spell, FOUND)
+    return spelled.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("times"))
 
 
 def scores(found: DataFrame, longest: int = LONGEST) -> DataFrame:

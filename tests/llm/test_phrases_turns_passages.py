@@ -157,19 +157,21 @@ def test_phrases_equal_brute_force(spark, monkeypatch):
     assert collocations.report(table.limit(0)).collect() == []
 
 
-def test_colliding_fingerprints_are_counted_by_their_words(spark, monkeypatch):
+def test_colliding_fingerprints_are_told_apart_or_refused():
     rows = [("en", "a b c d e f g h " * 3), ("en", "b a d c " * 4)]
     words = collocations.Words("en", [(chunks.squeezed(collocations.lines(t)), 2) for _, t in rows])
     at, prints = words.prints(2)
-    got = collections.Counter()
-    for phrase, times in collocations._phrases(words, at, prints * 0 + np.uint64(9), 2):
-        got[phrase] += times
+    _, _, pointer, times = collocations._found(words, at, 2, prints * 0 + np.uint64(9))
+    got = {" ".join(words.names[i].decode() for i in words.ids[p : p + 2]): n for p, n in zip(pointer, times)}
     want = collections.Counter()
     for _, text in rows:
         w = text.split()
         for pair in zip(w, w[1:]):
             want[" ".join(pair)] += 2
     assert got == want
+    words.checks = chunks.Prefixes(np.zeros(len(words.ids), np.uint64))
+    with pytest.raises(ValueError, match="share both"):
+        collocations._found(words, at, 2, prints * 0 + np.uint64(9))
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
