@@ -17,14 +17,16 @@ Equal fingerprints are one node, so copies cost nothing here. Groups of linked n
 rounds of large-star and small-star steps over links alone, each round cut into the shared
 folder, until nothing changes.
 
-``similar`` groups by Jaccard similarity of shingle sets instead, at any threshold and shingle:
-``BANDS`` keys over ``BAND_ROWS`` min-hashes each find candidates, and texts that share a key are
-compared on their exact sets. A pair at a similarity of 0.8 shares no key with a probability of
-(1 - 0.8^4)^25, two in a million; every pair that is linked has been checked. Keys with the same
-members are compared once. A key with more than ``MET`` members is dealt into slots, each with the
-key's smallest node, so that no task grows with a group; there, members of different slots are
-linked through that node or meet under other keys. Texts with equal sets (by a 64-bit hash) are
-one node.
+``similar`` groups by Jaccard similarity of shingle sets instead, at any threshold and shingle. Two
+texts at a similarity of 0.8 differ in about ten of 64 bits, where chains of segments fix too few bits
+to filter, so candidates come from min-hashes: ``BANDS`` keys over ``BAND_ROWS`` of them each, and
+texts that share a key are compared on their sets. A pair at 0.8 shares no key with a
+probability of (1 - 0.8^4)^25, two in a million; every pair that is linked has been checked. Keys
+with the same members are compared once. Up to ``MET`` members are compared in one task; more are
+dealt into slots, each with the key's smallest node. Where that leaves members of a key in several
+groups, those outside its largest group are compared with all members of other groups, block by
+block, so no pair of a large key is left out. Texts with equal sets (by a 64-bit hash) are one node;
+sets hold 40 bits of every hash.
 
 Defined cases: a missing text is empty; a text without words has fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle; the group id is the smallest id
@@ -52,8 +54,10 @@ SEGMENT_BITS = 16
 BUDGET = 3
 BANDS = 25
 BAND_ROWS = 4
-#: Members of a key that are compared in one group.
-MET = 1024
+#: Members of a key that are compared in one task.
+MET = 256
+#: Bytes of a hash that sets keep.
+SET_BYTES = 5
 #: Hashes whose bits are counted at once.
 BLOCK = 1 << 14
 
@@ -229,7 +233,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, shingle: int) -> DataFrame:
-    """``id, tie, content`` -> ``id, tie, mark, node, keys``; a text without words has no keys."""
+    """``id, tie, content`` -> ``id, tie, node, keys``; a text without words has no keys."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -242,15 +246,14 @@ def _signatures(rows: DataFrame, shingle: int) -> DataFrame:
                 keys.append(band_keys(own) if len(own) else [])
             found = np.array(nodes, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("id", "tie", "mark")],
+                [batch.column("id"), batch.column("tie"),
                  pa.array(found, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "tie", "mark", "node", "keys"],
+                names=["id", "tie", "node", "keys"],
             )
 
-    keyed = rows.select("id", "tie", F.xxhash64("content").alias("mark"), "content")
-    kind = keyed.schema["id"].dataType.simpleString()
-    return keyed.mapInArrow(
-        batches, f"id {kind}, tie long, mark long, node long, keys array<long>"
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "tie", "content").mapInArrow(
+        batches, f"id {kind}, tie long, node long, keys array<long>"
     )
 
 
@@ -260,6 +263,25 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
+def closed_set(hashes: np.ndarray) -> bytes:
+    """Sorted distinct hashes at ``SET_BYTES`` bytes each."""
+    kept = np.unique(hashes >> np.uint64(64 - 8 * SET_BYTES)).astype("<u8")
+    return kept.view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def opened_set(data: bytes) -> np.ndarray:
+    found = np.zeros((len(data) // SET_BYTES, 8), np.uint8)
+    found[:, :SET_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
+    return found.view("<u8").ravel()
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets reach a similarity; their sizes alone may tell that they don't."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    return jaccard(a, b) >= similarity
+
+
 def linked(nodes: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Links that connect what all pairs at or above ``similarity`` connect."""
     parts: list[list[int]] = []
@@ -268,11 +290,7 @@ def linked(nodes: list[int], sets: list[np.ndarray], similarity: float) -> list[
         joined, apart = [i], []
         for part in parts:
             near = next(
-                (
-                    j for j in part
-                    if min(len(sets[i]), len(sets[j])) >= similarity * max(len(sets[i]), len(sets[j]))
-                    and jaccard(sets[i], sets[j]) >= similarity
-                ),
+                (j for j in part if alike(sets[i], sets[j], similarity)),
                 None,
             )
             if near is None:
@@ -294,11 +312,12 @@ def similar(
         content(text).alias("content"),
     )
     found = cut(_signatures(rows, shingle))
+    place = F.struct(F.col("id").isNull().alias("absent"), "id", "tie")
     nodes = cut(
-        found.groupBy("node").agg(F.min("mark").alias("mark"), F.first("keys").alias("keys"))
+        found.groupBy("node").agg(F.min(place).alias("place"), F.first("keys").alias("keys"))
     )
     listed = nodes.select("node", F.explode("keys").alias("key"))
-    same = (
+    same = cut(
         listed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -315,42 +334,108 @@ def similar(
         .where("node != least")
         .select("key", F.pmod(F.xxhash64("node", "key"), slots).alias("slot"), "node")
         .unionByName(
-            same.select(
-                "key",
-                F.explode(F.sequence(F.lit(0).cast("long"), slots - 1)).alias("slot"),
-                F.col("least").alias("node"),
-            )
+            same.select("key", _each(slots).alias("slot"), F.col("least").alias("node"))
         )
     )
-    asked = met.select("node").distinct().join(nodes.select("node", "mark"), "node")
+    whole = _whole_sets(rows, met.select("node").distinct().join(nodes, "node"), shingle)
+
+    def compared(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("node").sort_values("node")
+        arrays = [opened_set(x) for x in part["hashes"]]
+        pairs = linked([int(x) for x in part["node"]], arrays, similarity)
+        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+
+    met_sets = met.join(whole, "node").groupBy("key", "slot")
+    pairs = cut(met_sets.applyInPandas(compared, "a long, b long").distinct())
+    grouped = groups(pairs)
+    more = cut(_across(listed, same, grouped, rows, nodes, shingle, similarity).distinct())
+    if not more.isEmpty():
+        grouped = groups(pairs.unionByName(more).distinct())
+    return found.join(grouped, "node", "left").select(
+        "id", "tie", F.coalesce("root", "node").alias("root")
+    )
+
+
+def _each(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+
+def _whole_sets(rows: DataFrame, asked: DataFrame, shingle: int) -> DataFrame:
+    """``node, hashes`` of the asked nodes, read from one text of each."""
 
     def sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             texts = batch.column("content").to_pylist()
-            found = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(found, pa.binary())], names=["node", "hashes"]
+                [batch.column("node"),
+                 pa.array([closed_set(shingle_hashes(t, shingle)) for t in texts], pa.binary())],
+                names=["node", "hashes"],
             )
 
-    texts = (
-        rows.select(F.xxhash64("content").alias("mark"), "content")
-        .join(asked, "mark")
-        .groupBy("node")
-        .agg(F.first("content").alias("content"))
+    texts = rows.alias("r").join(
+        asked.select("node", "place.id", "place.tie").alias("n"),
+        F.col("r.id").eqNullSafe(F.col("n.id")) & (F.col("r.tie") == F.col("n.tie")),
     )
-    whole = texts.mapInArrow(sets, "node long, hashes binary")
+    return texts.select("node", "content").mapInArrow(sets, "node long, hashes binary")
 
-    def compared(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("node")
-        arrays = [np.frombuffer(x, np.uint64) for x in part["hashes"]]
-        pairs = linked([int(x) for x in part["node"]], arrays, similarity)
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
 
-    pairs = met.join(whole, "node").groupBy("key", "slot").applyInPandas(compared, "a long, b long")
-    grouped = groups(pairs.distinct())
-    return found.join(grouped, "node", "left").select(
-        "id", "tie", F.coalesce("root", "node").alias("root")
+def _across(
+    listed: DataFrame,
+    same: DataFrame,
+    grouped: DataFrame,
+    rows: DataFrame,
+    nodes: DataFrame,
+    shingle: int,
+    similarity: float,
+) -> DataFrame:
+    """``a, b``: links between groups that share a key with more than ``MET`` members.
+
+    Members outside the key's largest group ask all members of other groups. Askers and asked are
+    dealt into blocks of about ``MET``; a task compares one block with one.
+    """
+    rooted = (
+        listed.join(same.where(F.col("n") > MET).select("key"), "key")
+        .join(grouped, "node", "left")
+        .select("key", "node", F.coalesce("root", "node").alias("root"))
+    )
+    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    open_keys = (
+        sizes.groupBy("key")
+        .agg(
+            F.max_by("root", F.struct("size", "root")).alias("main"),
+            F.sum("size").alias("n"),
+            (F.sum("size") - F.max("size")).alias("outside"),
+        )
+        .where("outside > 0")
     )
+    held = cut(rooted.join(open_keys, "key"))
+    mine, theirs = (F.ceil(F.col(c) / MET).cast("long") for c in ("outside", "n"))
+    dealt = F.xxhash64("key", "node")
+    asking = held.where("root != main").select(
+        "key", "node", "root", F.lit(True).alias("asks"),
+        F.pmod(dealt, mine).alias("mine"), _each(theirs).alias("theirs"),
+    )
+    asked = held.select(
+        "key", "node", "root", F.lit(False).alias("asks"),
+        _each(mine).alias("mine"), F.pmod(dealt, theirs).alias("theirs"),
+    )
+    whole = _whole_sets(rows, held.select("node").distinct().join(nodes, "node"), shingle)
+
+    def compared(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates(["node", "asks"])
+        part = part.assign(hashes=[opened_set(x) for x in part["hashes"]])
+        links = []
+        others = list(part[~part["asks"]][["node", "root", "hashes"]].itertuples(index=False))
+        for node, root, own in part[part["asks"]][["node", "root", "hashes"]].itertuples(index=False):
+            done = {root}
+            for other, its, theirs in others:
+                if its not in done and alike(own, theirs, similarity):
+                    done.add(its)
+                    links.append((min(node, other), max(node, other)))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    blocks = asking.unionByName(asked).join(whole, "node").groupBy("key", "mine", "theirs")
+    return blocks.applyInPandas(compared, "a long, b long")
 
 
 def representatives(

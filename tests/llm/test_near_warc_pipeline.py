@@ -233,8 +233,9 @@ def test_pipeline_stage_by_stage_against_plain_versions(spark):
 
     apart = held(near(spark, once, FOLDER))
     rows = once.collect()
-    groups = plain_groups([r.doc_id for r in rows], [plain_fingerprint(r.text) for r in rows])
-    assert sorted(r.doc_id for r in apart.collect()) == sorted(set(groups))
+    rows.sort(key=lambda r: r.doc_id)
+    _, groups = plain_similar([r.text for r in rows])
+    assert sorted(r.doc_id for r in apart.collect()) == sorted(rows[i].doc_id for i in set(groups))
 
     blend = held(mixed(spark, apart, FOLDER))
     plan = {r.doc_id: r.epochs + r.picked for r in mixing.mixing_plan(apart).collect()}
@@ -303,6 +304,29 @@ def test_stage_drops_all_copies_at_the_similarity(spark, docs, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 60]
 
 
+def test_boilerplate_in_a_large_key_loses_no_link(spark, docs, monkeypatch):
+    """Texts over one template at 0.78, every second one with a twin above 0.8."""
+    monkeypatch.setattr(simhash, "MET", 16)
+    rng = random.Random(23)
+    fresh = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    template, texts = fresh(300), []
+    for i in range(40):
+        own = fresh(40)
+        texts.append(" ".join(template + own))
+        if i % 2:
+            texts.append(" ".join(template + own[:20] + fresh(20)))
+    pairs, root = plain_similar(texts)
+    assert len(set(root)) == 40 and len(pairs) == 20
+    kept = corpus_pipeline.drop_near_copies(spark, docs(texts), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+
+
+def test_sets_open_as_they_were_closed():
+    hashes = np.random.default_rng(24).integers(0, 1 << 63, 500, np.uint64)
+    assert (simhash.opened_set(simhash.closed_set(hashes)) == np.unique(hashes >> np.uint64(24))).all()
+    assert len(simhash.opened_set(simhash.closed_set(hashes[:0]))) == 0
+
+
 def test_band_keys_follow_the_similarity():
     rng = np.random.default_rng(22)
     shared = 0
