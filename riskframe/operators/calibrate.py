@@ -1,27 +1,35 @@
-"""Probability calibration by Spark ML on score-aggregated rows.
+"""Probability calibration on score-aggregated rows.
 
-Rows with the same raw score weigh in as one, so a hot score never skews the fit.
+Rows with the same raw score weigh in as one, so a hot score never skews the fit. The sigmoid is
+Spark ML's logistic regression. The isotonic fit pools adjacent violators in ranges of the score in
+parallel: what is pooled inside a range stays pooled in the whole fit, so ranges hand on blocks
+only, and ranges whose blocks meet in the wrong order are pooled together until none do. Block
+totals are integers, so order is decided exactly, at any distance between scores.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from riskframe.functions.local import local_rows
 from riskframe.functions.scalars import clip, logit
 from riskframe.functions.values import quoted
-from riskframe.operators.metrics import score_counts
+from riskframe.operators.metrics import score_counts, score_sketch
+from riskframe.operators.order import bucketise
+from riskframe.session import durable
 
 STRATEGIES = ("none", "sigmoid", "isotonic")
-# Resolution of an isotonic fit. Spark pools its points on the driver, so their number is bounded
-# by construction: scores in [0, 1] closer than one cell are one weighted point. All rows count.
-ISOTONIC_CELLS = 1_000_000
+BLOCK = "low double, high double, pos bigint, n bigint"
+RANGED = f"{BLOCK}, _range int"
 
 
 @dataclass(frozen=True)
@@ -85,14 +93,75 @@ def fit_calibrator(df: DataFrame, raw_col: str, label_col: str, strategy: str) -
         if not (math.isfinite(slope) and math.isfinite(intercept)):
             raise ValueError("calibration did not converge to finite coefficients")
         return Calibrator("sigmoid", slope, intercept)
-    weight = F.col("pos") + F.col("neg")
-    cells = (
-        counts.groupBy(F.floor(F.col("score") * ISOTONIC_CELLS).alias("cell"))
-        .agg(
-            (F.sum(F.col("score") * weight) / F.sum(weight)).alias("features"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
+    return Calibrator("isotonic", isotonic=_as_model(isotonic_blocks(counts)))
+
+
+def pool(blocks: Iterable[tuple[float, float, int, int]]) -> list[tuple[float, float, int, int]]:
+    """Pool neighbouring ``low, high, pos, n`` until their positive shares rise strictly."""
+    pooled: list[tuple[float, float, int, int]] = []
+    for low, high, pos, n in blocks:
+        while pooled and pooled[-1][2] * n >= pos * pooled[-1][3]:
+            low, _, before, rows = pooled.pop()
+            pos, n = pos + before, n + rows
+        pooled.append((low, high, pos, n))
+    return pooled
+
+
+def _pooled(part: pd.DataFrame) -> pd.DataFrame:
+    part = part.sort_values("low")
+    rows = pool(zip(*(part[c].tolist() for c in ("low", "high", "pos", "n"))))
+    out = pd.DataFrame(rows, columns=["low", "high", "pos", "n"])
+    return out.assign(_range=int(part["_range"].iloc[0]))
+
+
+def _joined_ranges(edges: list[Row]) -> dict[int, int]:
+    """Range -> first range of its run; a run ends where the next range starts in order."""
+    runs: dict[int, int] = {}
+    before = None
+    for edge in sorted(edges, key=lambda e: e._range):
+        wrong = before is not None and before.last.pos * edge.first.n >= edge.first.pos * before.last.n
+        runs[edge._range] = runs[before._range] if wrong else edge._range
+        before = edge
+    return runs
+
+
+def isotonic_blocks(counts: DataFrame) -> DataFrame:
+    """``low, high, pos, n`` of the isotonic fit to ``score_counts``, shares strictly rising.
+
+    Scores are dealt into ranges by quantiles of the distinct ones. The driver sees the first and
+    the last block of every range, so as many rows as there are ranges, and ranges only get fewer.
+    """
+    splits, _, _ = score_sketch(counts)
+    score = F.col("score")
+    ranged = bucketise(counts, "score", splits, "_range").select(
+        score.alias("low"), score.alias("high"), "pos", (F.col("pos") + F.col("neg")).alias("n"), "_range"
+    )
+    block = F.struct("pos", "n")
+    while True:
+        pooled = durable(ranged.groupBy("_range").applyInPandas(_pooled, RANGED))
+        edges = (
+            pooled.groupBy("_range")
+            .agg(F.min_by(block, "low").alias("first"), F.max_by(block, "low").alias("last"))
+            .collect()
+        )
+        runs = _joined_ranges(edges)
+        if all(run == own for own, run in runs.items()):
+            return pooled.drop("_range")
+        moved = local_rows(counts.sparkSession, list(runs.items()), "_range int, _run int")
+        ranged = pooled.join(F.broadcast(moved), "_range").select(
+            "low", "high", "pos", "n", F.col("_run").alias("_range")
         )
+
+
+def _as_model(blocks: DataFrame) -> IsotonicRegressionModel:
+    """Spark's model over the ends of pooled blocks: they are in order, so it pools nothing more.
+
+    0/1 labels leave at most about n^(2/3) blocks of n rows, and the model holds two points each.
+    """
+    ends = F.array_distinct(F.array("low", "high"))
+    points = blocks.select(
+        F.explode(ends).alias("features"),
+        (F.col("pos") / F.col("n")).alias("label"),
+        (F.col("n") / F.size(ends)).alias("weight"),
     )
-    rows = cells.select("features", (F.col("pos") / weight).alias("label"), weight.cast("double").alias("weight"))
-    return Calibrator("isotonic", isotonic=IsotonicRegression(weightCol="weight").fit(rows))
+    return IsotonicRegression(weightCol="weight").fit(points)

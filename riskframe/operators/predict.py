@@ -101,8 +101,8 @@ def align_predictions(
 ) -> DataFrame:
     """Labels beside the predictions of the same ids, one to one.
 
-    An id that is missing on a side or repeated stops the job; counting and joining share one
-    shuffle of each side.
+    An id that is missing on a side or repeated stops the job, whatever columns are read later: the
+    check decides which rows there are. Counting and joining share one shuffle of each side.
     """
     same_id = Window.partitionBy(quoted(id_col))
     wanted = labels.select(
@@ -120,9 +120,8 @@ def align_predictions(
     )
     both = wanted.join(given, F.col("_id") == quoted(id_col), "full")
     sound = F.coalesce(fits, F.lit(False))
-    kind = predictions.schema[id_col].dataType
-    return both.select(
-        F.when(sound, quoted(id_col)).otherwise(refused.cast(kind)).alias(id_col),
+    return both.where(F.when(sound, True).otherwise(refused.cast("boolean"))).select(
+        quoted(id_col),
         F.col("_label").alias(label_col),
         *[quoted(c) for c in predictions.columns if c not in (id_col, label_col)],
     )

@@ -305,6 +305,33 @@ def _two_model_metrics() -> str:
     return _metrics_sql("lng", "model", own, digits=16)
 
 
+# The isotonic value of a point is the largest, over starts up to it, of the least mean to an end
+# from it on.
+CALIBRATE_ISOTONIC = f"""
+WITH {SCORED}, {FIVE_WAY},
+fit AS (
+  SELECT score, sum(label) AS pos, count(*) AS n FROM split
+  WHERE split = 'calibration_fit' GROUP BY score),
+points AS (
+  SELECT score, row_number() OVER up AS i, pos, n, sum(pos) OVER up AS p, sum(n) OVER up AS m
+  FROM fit WINDOW up AS (ORDER BY score)),
+means AS (
+  SELECT a.i AS a, b.i AS b, (b.p - a.p + a.pos)::DOUBLE / (b.m - a.m + a.n)::DOUBLE AS mean
+  FROM points a JOIN points b ON a.i <= b.i),
+least AS (
+  SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS mean
+  FROM means),
+knots AS (
+  SELECT score AS knot, v FROM points JOIN (SELECT b AS i, max(mean) AS v FROM least GROUP BY b) USING (i))
+SELECT event_id, label, score,
+       round(CASE WHEN lo.knot IS NULL THEN hi.v WHEN hi.knot IS NULL OR hi.knot = lo.knot THEN lo.v
+             ELSE lo.v + (hi.v - lo.v) * (score - lo.knot) / (hi.knot - lo.knot) END, 6) AS calibrated
+FROM split
+ASOF LEFT JOIN knots lo ON score >= lo.knot
+ASOF LEFT JOIN knots hi ON score <= hi.knot
+WHERE split = 'selection_validation'
+"""
+
 QUERIES = {
     "split_metrics": (
         split_metrics,
@@ -509,5 +536,5 @@ QUERIES = {
         """,
     ),
     "calibrate_sigmoid": (_calibrated("sigmoid"), None),
-    "calibrate_isotonic": (_calibrated("isotonic"), None),
+    "calibrate_isotonic": (_calibrated("isotonic"), CALIBRATE_ISOTONIC),
 }

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators.calibrate import Calibrator, fit_calibrator
+from riskframe.operators.calibrate import Calibrator, fit_calibrator, isotonic_blocks
 from riskframe.operators.metrics import (
     compute_metrics,
     confusion_metrics,
@@ -172,6 +172,40 @@ def test_calibration(spark):
         fit_calibrator(df, "s", "y", "platt")
 
 
+def plain_isotonic(points):
+    """Fitted share of every (score, pos, n), by pooling one after the other."""
+    blocks = []
+    for score, pos, n in sorted(points):
+        blocks.append([[score], pos, n])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
+            last = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + last[0], blocks[-1][1] + last[1], blocks[-1][2] + last[2]]
+    return [(min(s), max(s), pos, n) for s, pos, n in blocks]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-9])
+@pytest.mark.parametrize("shape", ["rising", "falling", "random"])
+def test_isotonic_blocks_equal_plain_pooling(spark, scale, shape):
+    rng = np.random.default_rng(5)
+    raw = np.concatenate([rng.random(1500), np.full(400, 0.25)]) * scale
+    chance = {"rising": raw / scale, "falling": 1 - raw / scale, "random": np.full(len(raw), 0.02)}[shape]
+    y = (rng.random(len(raw)) < chance).astype(int)
+    df = table(spark, [(int(a), float(b)) for a, b in zip(y, raw)])
+    points = {}
+    for score, label in zip(raw.tolist(), y.tolist()):
+        pos, n = points.get(score, (0, 0))
+        points[score] = (pos + label, n + 1)
+    want = plain_isotonic([(s, p, n) for s, (p, n) in points.items()])
+    found = isotonic_blocks(score_counts(df, "y", "s")).collect()
+    assert sorted(tuple(r) for r in found) == want
+    fitted = fit_calibrator(df, "s", "y", "isotonic").apply(df, "s", "c")
+    share = {s: next(p / n for low, high, p, n in want if low <= s <= high) for s in points}
+    for r in fitted.collect():
+        assert r.c == pytest.approx(share[r.s], rel=1e-12, abs=1e-15)
+    if scale < 1 and shape == "rising":
+        assert len(want) > 10  # scores below 1e-6 are still told apart
+
+
 def test_curve_plan_has_no_unbounded_window(spark):
     df = table(spark, [(i % 2, i / 100) for i in range(100)])
     plan = score_curve(df, "y", "s")._jdf.queryExecution().executedPlan().toString()
@@ -224,3 +258,8 @@ def test_alignment_is_checked_while_joining(spark):
     for wrong in (scores.limit(1), scores.unionByName(scores), scores.withColumn("id", F.lit(9))):
         with pytest.raises(Exception, match="do not align"):
             align_predictions(labels, wrong, "id", "y").collect()
+        # The refusal holds for plans that never read the id.
+        with pytest.raises(Exception, match="do not align"):
+            align_predictions(labels, wrong, "id", "y").select("y", "s").collect()
+        with pytest.raises(Exception, match="do not align"):
+            compute_metrics(align_predictions(labels, wrong, "id", "y"), "y", "s").collect()
