@@ -1,6 +1,7 @@
 """Training and scoring: five-way split, train-fitted preparation, boosted trees, calibration.
 
-The learner is Spark's gradient-boosted trees; early stopping uses the calibration rows.
+The learner is Spark's gradient-boosted trees; they stop on the ROC-AUC of the calibration rows with
+patience in rounds.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.values import quoted
 from riskframe.operators.audit import reserve_columns, split_summary, validate_transactions
+from riskframe.operators.boosting import fit_with_patience
 from riskframe.operators.calibrate import Calibrator, fit_calibrator
 from riskframe.operators.features import (
     DROP_HIGH_CARDINALITY,
@@ -63,7 +65,7 @@ class TrainingConfig:
     learning_rate: float = 0.05
     row_share: float = 0.8
     feature_share: float = 0.9
-    stop_tolerance: float = 0.01
+    patience: int = 20
     exclude: tuple[str, ...] = ()
     split_strategy: str = TEMPORAL
     seed: int = 42
@@ -133,18 +135,19 @@ def assembler(schema: FeatureSchema) -> VectorAssembler:
 
 def fit_trees(prepared: DataFrame, schema: FeatureSchema, config: TrainingConfig):
     """``prepared`` holds features, ``label`` and ``held_out`` for early stopping."""
-    return GBTClassifier(
+    learner = GBTClassifier(
         featuresCol=FEATURES,
         labelCol="label",
-        validationIndicatorCol="held_out",
-        validationTol=config.stop_tolerance,
-        maxIter=config.trees,
         maxDepth=config.depth,
         stepSize=config.learning_rate,
         subsamplingRate=config.row_share,
         featureSubsetStrategy=str(config.feature_share),
         seed=config.seed,
-    ).fit(assembler(schema).transform(prepared))
+    )
+    rows = assembler(schema).transform(prepared)
+    return fit_with_patience(
+        learner, rows.where("not held_out"), rows.where("held_out"), "label", config.trees, config.patience
+    )
 
 
 @dataclass(frozen=True)
