@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 
 from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
-from riskframe.operators.order import bucketise
+from riskframe.operators.encode import dictionary, encode
 from riskframe.operators.quantiles import feature_quantiles
-from riskframe.session import durable
+from riskframe.session import durable, parallelism
 
 MISSING_CATEGORY = "__missing__"
 UNKNOWN_CODE = -1
@@ -152,11 +152,12 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return local_rows(df.sparkSession, medians, "feature string, median double")
 
 
-def fit_codes(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataFrame:
+def fit_codes(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
     """``feature, value, code``: 0..k-1 in value order, missing counted as its own value.
 
-    A feature's values are ranked in ranges by their first bytes, so one feature with very many
-    values is not one task; a range starts where the counts of the ranges before it end.
+    Values are dealt into ranges of (feature, value) by splitters from a sample of whole values, so
+    one feature with very many values, alike as they may begin, is not one task. A range starts
+    where the counts of the ranges before it end.
     """
     if not columns:
         return local_rows(df.sparkSession, [], "feature string, value string, code double")
@@ -165,13 +166,12 @@ def fit_codes(df: DataFrame, columns: Sequence[str], buckets: int = 64) -> DataF
         .select("feature", F.coalesce("value", F.lit(MISSING_CATEGORY)).alias("value"))
         .distinct()
     )
-    # Bounds of the ranges: values at even places of a sketch over six leading bytes. They
-    # decide balance only.
-    lead = F.conv(F.rpad(F.hex(F.substring(F.encode("value", "utf-8"), 1, 6)), 12, "0"), 16, 10)
-    placed = values.withColumn("lead", lead.cast("double"))
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = placed.agg(F.percentile_approx("lead", F.lit(shares), F.lit(10 * buckets))).first()[0]
-    ranged = bucketise(placed, "lead", sorted(set(bounds or [])), "range")
+    # Cut here: the splitters are sampled anew whenever the exchange is.
+    ranged = durable(
+        values.repartitionByRange(ranges or parallelism(df.sparkSession), "feature", "value").withColumn(
+            "range", F.spark_partition_id()
+        )
+    )
     earlier = (
         Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -212,38 +212,16 @@ def impute(df: DataFrame, schema: FeatureSchema, medians: dict[str, float]) -> D
     return df.select(*[filled.get(c, quoted(c)).alias(c) for c in df.columns])
 
 
-def _lookup(table: DataFrame, feature: str, value_col: str, out: str) -> DataFrame:
-    return table.filter(F.col("feature") == feature).select(
-        F.col("value").alias("_key"), F.col(value_col).alias(out)
-    )
-
-
 def encode_ordinal(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by codes, unknown ones by -1; small code tables are broadcast by AQE."""
-    out = df
-    for name in columns:
-        table = _lookup(codes, name, "code", "_code")
-        joined = out.join(table, quoted(name) == F.col("_key"), "left")
-        code = F.coalesce(F.col("_code"), F.lit(float(UNKNOWN_CODE)))
-        out = joined.select(*[(code if c == name else quoted(c)).alias(c) for c in out.columns])
-    return out
+    """Replace categories by codes, unknown ones by -1."""
+    return encode(df, dictionary(codes, "code"), columns, UNKNOWN_CODE)
 
 
 def encode_frequency(
     df: DataFrame, frequencies: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Replace categories by fitted frequencies, unseen ones by 0.0.
-
-    Frequency tables have any size, so the join side is left to AQE: it broadcasts what turns
-    out small and splits the partitions of hot values otherwise.
-    """
-    out = df
-    for name in columns:
-        table = _lookup(frequencies, name, "frequency", "_freq")
-        joined = out.join(table, quoted(name) == F.col("_key"), "left")
-        share = F.coalesce(F.col("_freq"), F.lit(0.0))
-        out = joined.select(*[(share if c == name else quoted(c)).alias(c) for c in out.columns])
-    return out
+    """Replace categories by fitted frequencies, unseen ones by 0.0."""
+    return encode(df, dictionary(frequencies, "frequency"), columns, 0.0)
 
 
 class FeaturePreparer(Estimator):
@@ -275,6 +253,8 @@ class FeaturePreparerModel(Model):
         self.codes = codes
         self.frequencies = frequencies
         self._median_values = {r.feature: r.median for r in medians.collect()}
+        self._codes = dictionary(codes, "code")
+        self._frequencies = dictionary(frequencies, "frequency")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.prepare(dataset)
@@ -285,8 +265,8 @@ class FeaturePreparerModel(Model):
         if overlap:
             raise ValueError(f"columns both kept and prepared: {sorted(overlap)}")
         out = impute(align(dataset, self.schema, keep), self.schema, self._median_values)
-        out = encode_ordinal(out, self.codes, self.schema.ordinal)
-        return encode_frequency(out, self.frequencies, self.schema.frequency)
+        out = encode(out, self._codes, self.schema.ordinal, UNKNOWN_CODE)
+        return encode(out, self._frequencies, self.schema.frequency, 0.0)
 
     def write_to(self, path: str) -> None:
         """State as parquet tables plus the schema as JSON text."""

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskframe.operators import encode as encode_module
 from riskframe.operators import features
 from riskframe.operators.features import (
     FREQUENCY_HIGH_CARDINALITY,
@@ -106,3 +107,43 @@ def test_codes_of_many_values_are_ranked_in_ranges(spark):
     text = sorted(set(values) - {""} | {features.MISSING_CATEGORY} | ({""} if ("a", "") in found else set()), key=str.encode)
     assert [found["a", v] for v in text] == [float(i) for i in range(len(text))]
     assert found["b", "k"] == 0.0
+
+
+def test_ranges_of_codes_are_even_where_values_begin_alike(spark):
+    values = [f"https://example.org/item/{i:05d}" for i in range(20000)]
+    df = spark.createDataFrame([(v,) for v in values], "a string")
+    codes = features.fit_codes(df, ["a"], ranges=8)
+    found = {r.value: r.code for r in codes.collect()}
+    assert [found[v] for v in sorted(values)] == [float(i) for i in range(20000)]
+    ranged = df.repartitionByRange(8, "a").groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranged) == 8 and max(r["count"] for r in ranged) < 2 * 20000 / 8
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_many_columns_are_encoded_by_one_dictionary(spark, monkeypatch, held):
+    if not held:
+        monkeypatch.setattr(encode_module, "MOST_HELD", 10)
+    names = [f"k.{i}" for i in range(40)]
+    rows = [
+        tuple(None if (i + j) % 11 == 0 else "hot" if i % 3 == 0 else f"v{i * j % 17}" for j in range(40))
+        for i in range(60)
+    ]
+    train = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    schema = FeatureSchema((), tuple(names[:20]), tuple(names[20:]))
+    model = FeaturePreparer(schema).fit(train)
+    new = train.unionByName(spark.createDataFrame([("new",) * 40], train.schema))
+    prepared = model.prepare(new)
+    plan = prepared._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") <= 8
+    if held:
+        assert "Exchange" not in plan and "Join" not in plan
+    codes = {(r.feature, r.value): r.code for r in model.codes.collect()}
+    shares = {(r.feature, r.value): r.frequency for r in model.frequencies.collect()}
+    want = []
+    for row in [*rows, ("new",) * 40]:
+        texts = [features.MISSING_CATEGORY if v is None else v for v in row]
+        want.append(
+            tuple(codes.get((n, t), -1.0) for n, t in zip(names[:20], texts))
+            + tuple(shares.get((n, t), 0.0) for n, t in zip(names[20:], texts[20:]))
+        )
+    assert sorted(tuple(r) for r in prepared.collect()) == sorted(want)
