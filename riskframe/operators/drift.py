@@ -1,4 +1,4 @@
-"""Reference-versus-current comparison as scans over an unpivoted table.
+"""Reference-versus-current comparison; numbers are counted wide, categories unpivoted.
 
 Each side is scanned a fixed number of times whatever the number of features: once for the
 profile, once for numeric buckets, once for categories. What travels between the steps -
@@ -8,9 +8,11 @@ the contract, never by the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ from riskframe.functions.values import (
     valid_decision,
     valid_probability,
 )
-from riskframe.operators.quantiles import feature_quantiles
 from riskframe.operators.contract import Contract, ContractError
+from riskframe.operators.quantiles import wide_quantiles
 from riskframe.session import durable
 
 OTHER, MISSING, UNKNOWN = "OTHER", "MISSING", "UNKNOWN"
@@ -107,13 +109,6 @@ def numeric_columns(
     return columns
 
 
-def numeric_long(
-    df: DataFrame, contract: Contract, features: Sequence[str] | None = None
-) -> DataFrame:
-    """``feature, value`` of ``numeric_columns``."""
-    return _unpivot(df, numeric_columns(df, contract, features))
-
-
 def categorical_long(df: DataFrame, contract: Contract) -> DataFrame:
     """``feature, value``: typed category keys, NULL when missing."""
     columns = []
@@ -170,23 +165,48 @@ def numeric_profile(df: DataFrame, contract: Contract) -> DataFrame:
     return out
 
 
-def bucket_index(value: Column) -> Column:
-    """Bucket of a finite value: number of edges at or below it; around a constant -1/0/+1."""
-    edges = F.size(F.filter(F.col("edges"), lambda e: e <= value))
-    around = F.when(value < F.col("constant"), 0).when(value > F.col("constant"), 2).otherwise(1)
-    return F.when(F.col("strategy") == CONSTANT, around).otherwise(edges)
+def numeric_buckets(df: DataFrame, contract: Contract, spec: DataFrame) -> DataFrame:
+    """``feature, position, row_count`` of the buckets that hold a finite value.
 
+    A bucket's position is the number of edges at or below the value; around a constant it is 0
+    below, 1 at and 2 above it. Tasks count all columns in the row batch and send one row per
+    bucket; the spec has one row per feature.
+    """
+    columns = numeric_columns(df, contract)
+    places = {name: i for i, (name, _) in enumerate(columns)}
+    rules = [
+        (r.feature, places[r.feature], [r.constant] if r.strategy == CONSTANT else r.edges)
+        for r in spec.filter(F.col("strategy").isin(*BUCKETED)).collect()
+        if r.feature in places
+    ]
+    constants = {r.feature for r in spec.filter(F.col("strategy") == CONSTANT).collect()}
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros(len(edges) + 2, np.int64) for _, _, edges in rules]
+        for batch in stream:
+            for total, (feature, i, edges) in zip(totals, rules):
+                values = batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+                values = values[~np.isnan(values)]
+                found = np.searchsorted(edges, values, side="right")
+                if feature in constants:
+                    found = found + (values > edges[0])
+                total += np.bincount(found, minlength=len(total))
+        rows = [
+            (feature, position, n)
+            for total, (feature, _, _) in zip(totals, rules)
+            for position, n in enumerate(total.tolist())
+            if n
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(COUNTED)], schema=COUNTED
+        )
 
-def numeric_buckets(long: DataFrame, spec: DataFrame) -> DataFrame:
-    """``feature, position, row_count`` of the buckets that hold a finite value."""
-    # The spec has one row per feature, hence the broadcast.
-    usable = spec.filter(F.col("strategy").isin(*BUCKETED))
-    return (
-        long.filter(is_measured(F.col("value")))
-        .join(F.broadcast(usable), "feature")
-        .groupBy("feature", bucket_index(F.col("value")).alias("position"))
-        .agg(F.count("*").alias("row_count"))
-    )
+    wide = df.select(*[column.cast("double").alias(f"c{i}") for i, (_, column) in enumerate(columns)])
+    counted = wide.mapInArrow(count, "feature string, position int, row_count bigint")
+    return counted.groupBy("feature", "position").agg(F.sum("row_count").alias("row_count"))
+
+
+COUNTED = pa.schema([("feature", pa.string()), ("position", pa.int32()), ("row_count", pa.int64())])
 
 
 def bucket_names(strategy: str, edges: Sequence[float] | None) -> list[str]:
@@ -324,8 +344,9 @@ def side_profile(
     probabilities = [*(SUMMARY_PROBABILITIES if summary else ()), *extra]
     quantiles: dict[str, list[float]] = {}
     if contract.numeric and probabilities and rows:
-        found = feature_quantiles(
-            lambda names: numeric_long(df, contract, names),
+        columns = numeric_columns(df, contract, contract.numeric)
+        found = wide_quantiles(
+            df.select(*[column.alias(name) for name, column in columns]),
             contract.numeric,
             probabilities,
             {n: (r["finite_count"], r["min"], r["max"]) for n, r in rows.items()},
@@ -377,7 +398,7 @@ def fit_reference(reference: DataFrame, contract: Contract) -> ReferenceState:
     )
     counted: dict[tuple, int] = {}
     if profile:
-        found = numeric_buckets(numeric_long(reference, contract), bins).collect()
+        found = numeric_buckets(reference, contract, bins).collect()
         counted = {(r.feature, r.position): r.row_count for r in found}
     buckets = [
         (feature, NUMERIC, bucket, i, counted.get((feature, i), 0))
@@ -449,7 +470,7 @@ def compare_current(
         raise ContractError("current needs at least one row")
     counted: dict[tuple, int] = {}
     if profile:
-        found = numeric_buckets(numeric_long(current, contract), state.bins).collect()
+        found = numeric_buckets(current, contract, state.bins).collect()
         counted = {(r.feature, NUMERIC, r.position): r.row_count for r in found}
     if contract.categorical:
         counts = category_counts(categorical_long(current, contract))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from riskframe.functions.local import freeze, local_rows
 from riskframe.functions.values import is_missing, is_numeric, quoted, to_number
 from riskframe.operators.encode import dictionary, encode
-from riskframe.operators.quantiles import feature_quantiles
+from riskframe.operators.quantiles import wide_quantiles
 from riskframe.session import durable, parallelism
 
 MISSING_CATEGORY = "__missing__"
@@ -143,11 +143,8 @@ def align(df: DataFrame, schema: FeatureSchema, keep: Sequence[str] = ()) -> Dat
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature, median``: exact medians of aligned numeric columns, 0.0 where all is missing."""
 
-    def long_of(names: Sequence[str]) -> DataFrame:
-        numbers = [to_number(quoted(c), df.schema[c].dataType).alias(c) for c in names]
-        return df.select(*numbers).unpivot([], [quoted(c) for c in names], "feature", "value")
-
-    found = feature_quantiles(long_of, list(columns), [0.5])
+    numbers = df.select(*[to_number(quoted(c), df.schema[c].dataType).alias(c) for c in columns])
+    found = wide_quantiles(numbers, list(columns), [0.5])
     medians = [(c, found[c][0] if found.get(c) else 0.0) for c in columns]
     return local_rows(df.sparkSession, medians, "feature string, median double")
 

@@ -4,21 +4,30 @@ Wanted ranks are narrowed down pass by pass: every pass cuts the values around e
 bins, for all groups and ranks in one job, and keeps the bins that hold a rank. Nothing is
 ordered but bins, so a group of any size costs the same number of scans, and a value shared by
 most rows ends in a bin of its own. The plan is the same at every size.
+
+Wide tables (``wide_quantiles``) are binned inside the row batch: a task reads all columns as arrays,
+keeps the bins of every span, and sends each bin it has met once. No row is multiplied by the
+number of columns, whatever their number.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.local import local_rows
+from riskframe.functions.values import quoted
 
 BINS = 4096
+#: Columns per wide aggregate of counts and extremes.
+CHUNK = 100
 
 #: Rows with a value, lowest and highest value of a group.
 Bounds = tuple[int, float, float]
@@ -44,11 +53,6 @@ class _Span:
         return math.isfinite(largest) and self.high - self.low < 2 * BINS * math.ulp(largest)
 
 
-_SPAN_SCHEMA = (
-    "low double, high double, start bigint, ranks array<bigint>, by_value boolean, span int"
-)
-
-
 def exact_quantiles(
     df: DataFrame,
     groups: Sequence[str],
@@ -69,7 +73,12 @@ def exact_quantiles(
         )
         bounds = {tuple(r[g] for g in groups): (r.n, r.low, r.high) for r in seen.collect()}
     keys = list(bounds)
-    found = _values_at(known.where("v IS NOT NULL"), groups, keys, bounds, probabilities)
+    values = known.where("v IS NOT NULL")
+    found = _values_at(
+        [bounds[key] for key in keys],
+        probabilities,
+        lambda spans: _narrowed(_long_bins(values, groups, keys, spans), spans),
+    )
     out = []
     for number, key in enumerate(keys):
         n = bounds[key][0]
@@ -110,17 +119,39 @@ def _interpolate(found: dict[tuple[int, int], float], group: int, n: int, p: flo
     return (high - position) * below + (position - low) * above
 
 
+def wide_quantiles(
+    df: DataFrame,
+    features: Sequence[str],
+    probabilities: Sequence[float],
+    bounds: Mapping[str, Bounds] | None = None,
+) -> dict[str, list[float] | None]:
+    """Exact quantiles of double columns of a wide table; NULL and NaN count as missing."""
+    if not features:
+        return {}
+    known = df.select(*[F.nanvl(quoted(f), F.lit(None)).alias(f"c{i}") for i, f in enumerate(features)])
+    if bounds is None:
+        bounds = {}
+        for start in range(0, len(features), CHUNK):
+            part = range(start, min(len(features), start + CHUNK))
+            measures = [m(f"c{i}") for i in part for m in (F.count, F.min, F.max)]
+            row = known.agg(*[m.alias(f"m{j}") for j, m in enumerate(measures)]).first()
+            bounds.update({features[i]: tuple(row[3 * j : 3 * j + 3]) for j, i in enumerate(part)})
+    sides = [bounds.get(f, (0, None, None)) for f in features]
+    found = _values_at(sides, probabilities, lambda spans: _narrowed(_wide_bins(known, spans), spans))
+    return {
+        f: [_interpolate(found, i, sides[i][0], p) for p in probabilities] if sides[i][0] else None
+        for i, f in enumerate(features)
+    }
+
+
 def _values_at(
-    known: DataFrame,
-    groups: Sequence[str],
-    keys: Sequence[tuple],
-    bounds: Mapping[tuple, Bounds],
+    bounds: Sequence[Bounds],
     probabilities: Sequence[float],
+    narrow: Callable[[list[_Span]], list[_Span]],
 ) -> dict[tuple[int, int], float]:
     """Value of every (group number, rank) that the probabilities fall on or between."""
     spans = []
-    for number, key in enumerate(keys):
-        n, low, high = bounds[key]
+    for number, (n, low, high) in enumerate(bounds):
         if n:
             spans.append(_Span(number, low, high, 0, n, _wanted(n, probabilities)))
     found: dict[tuple[int, int], float] = {}
@@ -128,21 +159,18 @@ def _values_at(
         found.update({(s.group, r): s.low for s in spans if s.low == s.high for r in s.ranks})
         spans = [s for s in spans if s.low != s.high]
         if spans:
-            spans = _narrowed(known, groups, keys, spans)
+            spans = narrow(spans)
     return found
 
 
-def _narrowed(
+def _long_bins(
     known: DataFrame, groups: Sequence[str], keys: Sequence[tuple], spans: Sequence[_Span]
-) -> list[_Span]:
-    """The bins of the spans that hold a wanted rank."""
-    rows = [
-        (*keys[s.group], s.low, s.high, s.start, list(s.ranks), s.by_value, i)
-        for i, s in enumerate(spans)
-    ]
+) -> DataFrame:
+    """``span, least, most, n`` of every bin that holds rows, from one row per value."""
+    rows = [(*keys[s.group], s.low, s.high, s.by_value, i) for i, s in enumerate(spans)]
     fields = [T.StructField(f"g{i}", known.schema[g].dataType) for i, g in enumerate(groups)]
-    fields += T.StructType.fromDDL(_SPAN_SCHEMA).fields
-    # A few rows per group and probability, hence the broadcasts.
+    fields += T.StructType.fromDDL("low double, high double, by_value boolean, span int").fields
+    # A few rows per group and probability, hence the broadcast.
     table = F.broadcast(local_rows(known.sparkSession, rows, T.StructType(fields)))
     v, low, high = F.col("v"), F.col("low"), F.col("high")
     own = v.between(low, high)
@@ -156,18 +184,104 @@ def _narrowed(
         .when(F.col("by_value") | endless, 0)
         .otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 1)))
     )
-    bins = (
-        known.join(table.drop("ranks", "start"), own)
+    return (
+        known.join(table, own)
         .select("span", "v", place.alias("place"), F.when(F.col("by_value"), v).alias("value"))
         .groupBy("span", "place", "value")
         .agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count("*").alias("n"))
     )
+
+
+class _Held:
+    """Bins of one span in one task: their key (place or value), rows, least and most value."""
+
+    def __init__(self, span: _Span):
+        self.span = span
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, values: np.ndarray) -> None:
+        span = self.span
+        v = values[(values >= span.low) & (values <= span.high)]
+        if not len(v):
+            return
+        if span.by_value:
+            key = v
+        else:
+            with np.errstate(invalid="ignore"):
+                share = (v / 2 - span.low / 2) / (span.high / 2 - span.low / 2)
+                key = np.minimum(np.floor(share * BINS), BINS - 1.0)
+            if math.isinf(span.low) or math.isinf(span.high):
+                key = np.where(v == -math.inf, -1.0, np.where(v == math.inf, float(BINS), 0.0))
+        self.parts.append(self._merged(key, np.ones(len(v), np.int64), v, v))
+        self.size += len(self.parts[-1][0])
+        if self.size > 4 * BINS:
+            self.close()
+
+    @staticmethod
+    def _merged(key, n, least, most) -> tuple[np.ndarray, ...]:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        runs = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return (
+            key[runs], np.add.reduceat(n[order], runs),
+            np.minimum.reduceat(least[order], runs), np.maximum.reduceat(most[order], runs),
+        )
+
+    def close(self) -> tuple[np.ndarray, ...] | None:
+        if self.parts:
+            self.parts = [self._merged(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.size = len(self.parts[0][0])
+        return self.parts[0] if self.parts else None
+
+
+WIDE_BINS = pa.schema(
+    [("span", pa.int32()), ("key", pa.float64()), ("n", pa.int64()), ("least", pa.float64()),
+     ("most", pa.float64())]
+)
+
+
+def _wide_bins(known: DataFrame, spans: Sequence[_Span]) -> DataFrame:
+    """``span, least, most, n`` of every bin, from columns ``c<group>`` read as arrays."""
+    columns = sorted({s.group for s in spans})
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [_Held(s) for s in spans]
+        for batch in stream:
+            arrays = {
+                c: batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+                for i, c in enumerate(columns)
+            }
+            for h in held:
+                h.add(arrays[h.span.group])
+        for i, h in enumerate(held):
+            found = h.close()
+            if found is not None:
+                key, n, least, most = found
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), i, np.int32)), pa.array(key), pa.array(n),
+                     pa.array(least), pa.array(most)],
+                    schema=WIDE_BINS,
+                )
+
+    bins = known.select(*[F.col(f"c{c}").cast("double") for c in columns]).mapInArrow(
+        count, "span int, key double, n bigint, least double, most double"
+    )
+    return bins.groupBy("span", "key").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")
+    )
+
+
+def _narrowed(bins: DataFrame, spans: Sequence[_Span]) -> list[_Span]:
+    """The bins that hold a wanted rank."""
+    rows = [(s.start, list(s.ranks), i) for i, s in enumerate(spans)]
+    wanted = local_rows(bins.sparkSession, rows, "start bigint, ranks array<bigint>, span int")
     # At most as many rows per span as there are bins.
     upto = Window.partitionBy("span").orderBy("least").rowsBetween(Window.unboundedPreceding, 0)
     ends = bins.withColumn("inner_end", F.sum("n").over(upto))
     end = F.col("start") + F.col("inner_end")
     holding = (
-        ends.join(table.select("span", "start", "ranks"), "span")
+        ends.join(F.broadcast(wanted), "span")
         .withColumn("held", F.filter("ranks", lambda r: (r < end) & (r >= end - F.col("n"))))
         .where(F.size("held") > 0)
         .select("span", "least", "most", (end - F.col("n")).alias("start"), "n", "held")
