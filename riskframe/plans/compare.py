@@ -1,11 +1,17 @@
-"""Candidate against champion on one frozen table, with gates and a decision."""
+"""Candidate against champion on one frozen table, with gates and a decision.
+
+What must hold before a decision is a table of rules: those about the case, those about every
+model's rows (one aggregate for all models) and those about the metrics. A later group is judged
+only if the groups before it hold; a report lists all broken rules of its group.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.local import freeze
@@ -13,7 +19,15 @@ from riskframe.functions.scalars import require_cost, require_probability
 from riskframe.functions.values import quoted, valid_probability
 from riskframe.operators.joins import same_rows
 from riskframe.operators.metrics import compute_metrics
-from riskframe.operators.predict import PredictionError
+from riskframe.operators.predict import (
+    DECISION_COL,
+    PROBABILITY_COL,
+    THRESHOLD_COL,
+    PredictionError,
+)
+from riskframe.plans.train import RiskModel
+from riskframe.session import durable
+from riskframe.sources.frozen import evidence_identity, load_evaluation
 
 # Metric names and decisions that reports of other tools share.
 COMPARED = (
@@ -29,6 +43,7 @@ COMPARED = (
 )
 COUNTS = ("tn", "fp", "fn", "tp")
 BLOCKED = "blocked"
+COSTS_DIFFER = "one comparison needs one price of a miss and one of a false alarm"
 
 
 @dataclass(frozen=True)
@@ -103,25 +118,6 @@ def comparison_violations(
     )
 
 
-def require_sound(frozen: DataFrame, label_col: str, models: Sequence[ModelScores]) -> None:
-    """Raise on any violation; one aggregate for all models."""
-    for row in comparison_violations(frozen, label_col, models).orderBy("model").collect():
-        faults = {
-            name: row[name]
-            for name in (
-                "invalid_probabilities",
-                "inconsistent_decisions",
-                "wrong_thresholds",
-                "unusable_labels",
-            )
-            if row[name]
-        }
-        if faults:
-            raise PredictionError(f"model {row.model}: {faults}")
-        if not (row.positives and row.negatives):
-            raise PredictionError("evaluation needs both label classes")
-
-
 def long_scores(frozen: DataFrame, label_col: str, models: Sequence[ModelScores]) -> DataFrame:
     """``model, threshold, score, label``: one scan of the frozen table for all models."""
     per_model = F.explode(
@@ -145,7 +141,7 @@ def model_metrics(frozen: DataFrame, label_col: str, models: Sequence[ModelScore
     """All metrics, one row per model, each at its own threshold."""
     costs = {(m.fn_cost, m.fp_cost) for m in models}
     if len(costs) != 1:
-        raise PredictionError("models use different expected-cost assumptions")
+        raise PredictionError(COSTS_DIFFER)
     fn_cost, fp_cost = costs.pop()
     return compute_metrics(
         long_scores(frozen, label_col, models),
@@ -225,6 +221,70 @@ def decision(gates: DataFrame, has_champion: bool) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Case:
+    """What is compared. The columns of all models are in ``frozen``."""
+
+    frozen: DataFrame
+    label_col: str
+    models: tuple[ModelScores, ...]
+    evidence: tuple[Mapping, Mapping] | None = None
+    champion_frozen: DataFrame | None = None
+
+
+def _other_rows(case: Case) -> bool:
+    theirs = case.champion_frozen
+    if theirs is None:
+        return False
+    if not set(theirs.columns) <= set(case.frozen.columns):
+        return True
+    return not same_rows(case.frozen.select(*[quoted(c) for c in theirs.columns]), theirs)
+
+
+#: Rules about the case: name, when it is broken, what a report says.
+CASE_RULES: tuple[tuple[str, Callable[[Case], bool], str], ...] = (
+    ("costs", lambda c: len({(m.fn_cost, m.fp_cost) for m in c.models}) > 1, COSTS_DIFFER),
+    (
+        "evidence",
+        lambda c: c.evidence is not None and dict(c.evidence[0]) != dict(c.evidence[1]),
+        "the models name two evaluation tables",
+    ),
+    ("rows", _other_rows, "the champion was judged on other rows"),
+)
+#: Rules about a model's rows: a count of ``comparison_violations`` and what it counts.
+ROW_RULES = {
+    "invalid_probabilities": "scores that are no probability",
+    "inconsistent_decisions": "decisions that its score and threshold do not give",
+    "wrong_thresholds": "rows that state another threshold",
+    "unusable_labels": "labels that are neither 0 nor 1",
+}
+
+
+def _broken_rows(case: Case) -> Iterator[str]:
+    for row in comparison_violations(case.frozen, case.label_col, case.models).orderBy("model").collect():
+        for count, what in ROW_RULES.items():
+            if row[count]:
+                yield f"{row.model} has {row[count]} {what}"
+        for side in ("positives", "negatives"):
+            if not row[side]:
+                yield f"{row.model} meets no {side}"
+
+
+def _broken_metrics(metrics: Mapping[str, Mapping]) -> Iterator[str]:
+    for model, values in metrics.items():
+        yield from (f"{model} has no {name}" for name in COMPARED if values[name] is None)
+
+
+class _Blocked(Exception):
+    """Broken rules of one group."""
+
+
+def _demand(broken: Iterator[str]) -> None:
+    found = list(broken)
+    if found:
+        raise _Blocked("; ".join(found))
+
+
 def compare_models(
     frozen: DataFrame,
     label_col: str,
@@ -234,45 +294,87 @@ def compare_models(
     evidence: tuple[Mapping, Mapping] | None = None,
     champion_frozen: DataFrame | None = None,
 ) -> dict:
-    """Verify, score, compare and decide; any failed precondition blocks instead of passing.
+    """A report with the decision, or ``blocked`` and the broken rules.
 
-    ``frozen`` carries the label and every model's columns. ``evidence`` are the two
-    manifests' identities, which must agree. ``champion_frozen`` is the champion's own copy of
-    the table; given, it must hold exactly the same rows.
+    ``evidence`` are the two manifests' identities; ``champion_frozen`` is the champion's own copy of
+    the table.
     """
-    models = [candidate] if champion is None else [candidate, champion]
+    models = (candidate,) if champion is None else (candidate, champion)
+    case = Case(frozen, label_col, models, evidence, champion_frozen)
     report: dict = {"decision": BLOCKED, "reason": "", "gates": [], "metrics": {}, "diff": {}}
     try:
-        if evidence is not None and dict(evidence[0]) != dict(evidence[1]):
-            raise PredictionError("candidate and champion evidence does not match")
-        if champion_frozen is not None:
-            shared = champion_frozen.columns
-            if not set(shared) <= set(frozen.columns) or not same_rows(
-                frozen.select(*[quoted(c) for c in shared]), champion_frozen
-            ):
-                raise PredictionError("candidate and champion tables hold different rows")
-        require_sound(frozen, label_col, models)
+        _demand(text for _, broken, text in CASE_RULES if broken(case))
+        _demand(_broken_rows(case))
         metrics = freeze(model_metrics(frozen, label_col, models))
-        for row in metrics.collect():
-            empty = [n for n in COMPARED if row[n] is None]
-            if empty:
-                raise PredictionError(f"model {row.model} lacks metrics {empty}")
-            report["metrics"][row.model] = row.asDict()
-        gate_rows = freeze(
-            gate_table(metrics, candidate.name, champion.name if champion else None, gates)
+        report["metrics"] = {row.model: row.asDict() for row in metrics.collect()}
+        _demand(_broken_metrics(report["metrics"]))
+    except _Blocked as rules:
+        return report | {"reason": str(rules)}
+    rivals = None if champion is None else champion.name
+    judged = freeze(gate_table(metrics, candidate.name, rivals, gates))
+    verdict = decision(judged, champion is not None).first()
+    report["gates"] = [r.asDict() for r in judged.collect()]
+    if rivals is not None:
+        rows = metric_differences(metric_rows(metrics), candidate.name, rivals).collect()
+        report["diff"] = {r.metric: r.difference for r in rows}
+    return report | {"decision": verdict.decision, "reason": f"gates not passed: {verdict.failed_gates}"}
+
+
+def score_together(
+    rows: DataFrame, label_col: str, models: Mapping[str, RiskModel]
+) -> tuple[DataFrame, list[ModelScores]]:
+    """Label and every model's probability, decision and threshold, by one scan of the rows.
+
+    The raw row rides along as one struct, so every model prepares it by its own schema.
+    """
+    done: list[str] = []
+    scores = []
+    scored = rows.select(F.struct("*").alias("_row"))
+    for i, (name, model) in enumerate(models.items()):
+        kept = ["_row", *done]
+        own = [f"_probability{i}", f"_decision{i}", f"_threshold{i}"]
+        found = model.score(scored.select(*kept, "_row.*"), keep=kept)
+        given = zip(own, (PROBABILITY_COL, DECISION_COL, THRESHOLD_COL))
+        scored = found.select(*kept, *[F.col(c).alias(alias) for alias, c in given])
+        done += own
+        config = model.metadata.get("config", {})
+        scores.append(
+            ModelScores(
+                name, own[0], model.threshold, config.get("fn_cost", 25.0), config.get("fp_cost", 1.0),
+                own[1], own[2],
+            )
         )
-        report["gates"] = [r.asDict() for r in gate_rows.collect()]
-        if champion is not None:
-            differences = metric_differences(
-                metric_rows(metrics), candidate.name, champion.name
-            ).collect()
-            report["diff"] = {r.metric: r.difference for r in differences}
-        verdict = decision(gate_rows, champion is not None).first()
-        report["decision"] = verdict.decision
-        report["reason"] = f"{verdict.failed_gates} gates failed"
-    except (PredictionError, ValueError) as error:
-        report["reason"] = str(error)
-    return report
+    return scored.select(F.col(f"_row.`{label_col}`").alias(label_col), *done), scores
+
+
+def compare_saved_models(
+    spark: SparkSession,
+    evaluation: str,
+    candidate: str | RiskModel,
+    champion: str | RiskModel | None = None,
+    gates: Gates = Gates(),
+) -> dict:
+    """Score the frozen rows with the models themselves, then :func:`compare_models`.
+
+    Models are saved folders or loaded models. Rows must match the candidate's seal and the
+    champion's seal must name the same table. A model that cannot score blocks the comparison.
+    """
+    blocked: dict[str, Any] = {"decision": BLOCKED, "gates": [], "metrics": {}, "diff": {}}
+    try:
+        given = {"candidate": candidate} | ({} if champion is None else {"champion": champion})
+        models = {k: RiskModel.load(spark, m) if isinstance(m, str) else m for k, m in given.items()}
+        seals = [m.metadata.get("evaluation") for m in models.values()]
+        if None in seals:
+            return blocked | {"reason": "a model names no evaluation table"}
+        rows = load_evaluation(spark, evaluation, seals[0])
+        identities = [evidence_identity(seal) for seal in seals]
+        label_col = identities[0]["about.keys"][2]
+        table, scores = score_together(rows, label_col, models)
+        table = durable(table)
+    except Exception as error:  # whatever a model does wrong is the finding
+        return blocked | {"reason": f"not scored: {type(error).__name__}: {str(error).splitlines()[0][:300]}"}
+    evidence = None if champion is None else (identities[0], identities[1])
+    return compare_models(table, label_col, *scores, gates=gates, evidence=evidence)
 
 
 def variant_table(

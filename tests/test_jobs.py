@@ -4,7 +4,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.plans.compare import Gates, ModelScores, compare_models, variant_table
+from riskframe.operators.metrics import compute_metrics
+from riskframe.plans.compare import (
+    Gates,
+    ModelScores,
+    compare_models,
+    compare_saved_models,
+    variant_table,
+)
 from riskframe.plans.train import (
     RiskModel,
     TrainingConfig,
@@ -216,6 +223,43 @@ def test_saved_model_scores_the_same(spark, trained):
     assert all(r.fraud_prediction == 1 and r.threshold == 0.0 for r in other)
 
 
+def test_models_are_scored_inside_the_comparison(spark, trained):
+    df, _, result, folder = trained
+    evaluation, saved = str(folder / "evaluation"), str(folder / "saved")
+    same = compare_saved_models(spark, evaluation, saved, saved)
+    assert same["decision"] == "candidate_at_least_as_good" and set(same["diff"].values()) == {0.0}
+    rows = load_evaluation(spark, evaluation)
+    scored = result.model.score(rows, ["isFraud"])
+    want = compute_metrics(scored, "isFraud", "fraud_probability", result.model.threshold).first()
+    for name in ("roc_auc", "pr_auc", "f1", "recall"):
+        assert same["metrics"]["candidate"][name] == pytest.approx(want[name], abs=1e-12)
+    alone = compare_saved_models(spark, evaluation, result.model)
+    assert alone["decision"] == "promote_candidate_no_champion"
+
+    class Lying(RiskModel):
+        def score(self, df, keep=(), threshold=None):
+            told = super().score(df, keep, threshold)
+            return told.withColumn("fraud_prediction", 1 - F.col("fraud_prediction"))
+
+    class Failing(RiskModel):
+        def score(self, df, keep=(), threshold=None):
+            stop = F.raise_error(F.lit("cannot score")).cast("double")
+            return super().score(df, keep, threshold).withColumn("fraud_probability", stop)
+
+    fields = {f: getattr(result.model, f) for f in ("preparer", "trees", "calibrator", "threshold", "metadata")}
+    lying = compare_saved_models(spark, evaluation, Lying(**fields), saved)
+    assert lying["decision"] == "blocked" and "candidate has" in lying["reason"]
+    failing = compare_saved_models(spark, evaluation, saved, Failing(**fields))
+    assert failing["decision"] == "blocked" and "not scored" in failing["reason"]
+    other = dict(fields, metadata={**result.model.metadata, "evaluation": None})
+    assert "names no" in compare_saved_models(spark, evaluation, RiskModel(**other))["reason"]
+    seal = json.loads(json.dumps(result.model.metadata["evaluation"]))
+    seal["about"]["source"] = "elsewhere"
+    other = dict(fields, metadata={**result.model.metadata, "evaluation": seal})
+    assert "two evaluation tables" in compare_saved_models(spark, evaluation, saved, RiskModel(**other))["reason"]
+    assert "not scored" in compare_saved_models(spark, evaluation, str(folder / "nowhere"))["reason"]
+
+
 def test_stream_scoring_equals_batch(spark, trained, tmp_path):
     df, _, result, _ = trained
     record = F.to_json(F.struct("TransactionAmt", "card", "user", "TransactionDT"))
