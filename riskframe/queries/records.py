@@ -114,9 +114,10 @@ def event_alerts(spark, folder):
 
 def service_levels(spark, folder):
     events = _instants(table(spark, folder, "events"))
-    return monitor.service_levels(
+    levels = monitor.service_levels(
         events, "ts", F.col("event_type") == "error", "value", "1 hour"
     )
+    return _naive(rounded(levels))
 
 
 def training_scores(spark, folder):
@@ -241,6 +242,14 @@ QUERIES = {
         FROM events GROUP BY ALL HAVING count(*) > 10
         """,
     ),
-    "service_levels": (service_levels, None),
+    "service_levels": (
+        service_levels,
+        f"""
+        SELECT {_span('1 hour')}, count(*) AS requests,
+               round(count(*) FILTER (event_type = 'error')::DOUBLE / count(*)::DOUBLE, 9) AS error_rate,
+               round(quantile_cont(value, 0.95), 9) AS latency_p95
+        FROM events GROUP BY ALL
+        """,
+    ),
     "training_scores": (training_scores, None),
 }

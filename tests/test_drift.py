@@ -66,11 +66,15 @@ def test_columns_that_are_gone_or_no_longer_numbers(spark):
 def test_values_leave_a_constant_on_both_sides(spark):
     moved = table(spark).withColumn("flat", (F.col("fee") - 7).cast("int"))
     result = run_drift(table(spark), moved, plan())
-    assert buckets_of(result, "flat") == {
-        "BELOW_CONSTANT": (0, 1),
-        "AT_CONSTANT": (8, 2),
-        "ABOVE_CONSTANT": (0, 5),
-    } or sum(c for _, c in buckets_of(result, "flat").values()) == 8
+    (constant,) = {r.flat for r in table(spark).collect()}
+    values = [r.flat for r in moved.collect()]
+    want = {
+        "BELOW_CONSTANT": (0, sum(v is not None and v < constant for v in values)),
+        "AT_CONSTANT": (8, values.count(constant)),
+        "ABOVE_CONSTANT": (0, sum(v is not None and v > constant for v in values)),
+    }
+    assert min(n for _, n in want.values()) > 0
+    assert buckets_of(result, "flat") == want
 
 
 def test_categories_new_and_beyond_the_top(spark):
