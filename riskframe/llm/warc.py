@@ -206,7 +206,7 @@ def parse_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 class _Inflated(io.RawIOBase):
-    """Decompresses a gzip buffer piece by piece."""
+    """Decompresses a gzip buffer piece by piece, one member after the other."""
 
     def __init__(self, data: bytes) -> None:
         self.data, self.at, self.left = memoryview(data), 0, b""
@@ -217,8 +217,11 @@ class _Inflated(io.RawIOBase):
 
     def readinto(self, target) -> int:
         while not self.left and self.at < len(self.data):
-            self.left = self.engine.decompress(self.data[self.at : self.at + 65536])
-            self.at += 65536
+            if self.engine.eof:
+                self.engine = zlib.decompressobj(31)
+            piece = self.data[self.at : self.at + 65536]
+            self.left = self.engine.decompress(piece)
+            self.at += len(piece) - len(self.engine.unused_data)
         part = self.left[: len(target)]
         target[: len(part)] = part
         self.left = self.left[len(part) :]

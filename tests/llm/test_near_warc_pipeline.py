@@ -199,6 +199,20 @@ def test_small_payloads_are_not_shared_and_damage_is_found(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path / "a")).collect()
 
 
+def test_files_of_many_gzip_members_are_read_whole(spark, tmp_path):
+    pages = [(i, f"http://x/{i}", f"<p>page {i} {'long ' * 20000 * (i == 3)}</p>") for i in range(5)]
+    warc.write_archives(spark.createDataFrame(pages, PAGE).coalesce(1), str(tmp_path / "a"))
+    want = warc.read_archives(spark, str(tmp_path / "a")).orderBy("page_id").collect()
+    (tmp_path / "b").mkdir()
+    for n, path in enumerate(Path(tmp_path / "a").glob("*.gz")):
+        text = gzip.decompress(path.read_bytes())
+        starts = [m.start() for m in re.finditer(rb"WARC/1\.1\r\n", text)] + [len(text)]
+        members = [gzip.compress(text[a:b]) for a, b in zip(starts, starts[1:])]
+        (tmp_path / "b" / f"{n}{path.name[path.name.index('.'):]}").write_bytes(b"".join(members))
+    assert warc.read_archives(spark, str(tmp_path / "b")).orderBy("page_id").collect() == want
+    assert len(want) == 5
+
+
 def test_an_empty_table_of_pages(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([], PAGE), str(tmp_path / "e"))
     assert warc.read_archives(spark, str(tmp_path / "e")).count() == 0
