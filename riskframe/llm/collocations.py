@@ -6,8 +6,8 @@ buckets (see ``chunks``), which add them up and answer each chunk which of its o
 ``least``. Words and pairs go first; longer n-grams are sent only where each of their pairs is
 frequent, which loses none, as a phrase is no more frequent than its parts. What remains is
 looked up in the texts: a chunk groups the occurrences, compares each with the first of its group
-word by word, and sends counts under the half fingerprint and a second, independent one of 64 bits.
-The bucket adds up again, and of the chunks that hold a frequent phrase one is asked to spell it:
+word by word, and sends counts under the half fingerprint and a second, independent one; with the
+bucket's number they hold over 64 bits. The bucket adds up again, and of the chunks that hold a frequent phrase one is asked to spell it:
 the chunk is the pointer to the occurrence. Only frequent phrases become text.
 
 Everything is per language. Equal texts of one language meet in one chunk and are read once.
@@ -118,6 +118,10 @@ class Words:
         at = np.flatnonzero(self.left >= size)
         return at, self.prefixes.windows(size)[at] if len(at) else np.zeros(0, np.uint64)
 
+    def second(self, size: int, at: np.ndarray) -> np.ndarray:
+        """Another 32 bits of the n-grams at the given starts."""
+        return self.checks.windows(size)[at] >> np.uint64(32)
+
 
 def _by_lang(docs: pa.Table) -> Iterator[tuple[str, Words]]:
     texts: dict[str, dict[bytes, int]] = {}
@@ -190,7 +194,7 @@ def _found(words: Words, at: np.ndarray, size: int, prints: np.ndarray) -> tuple
 
     Every occurrence is compared with the first one of its group, word by word.
     """
-    checks = words.checks.windows(size)[at]
+    checks = words.second(size, at)
     order = np.lexsort((checks, prints))
     a, b = prints[order], checks[order]
     fresh = np.ones(len(order), bool)
@@ -218,18 +222,25 @@ def _starts(words: Words, short: np.ndarray, long: np.ndarray, buckets: int, lon
 
 
 def _closed(low: np.ndarray, checks: np.ndarray, times: np.ndarray) -> bytes:
+    """Counts that fit a byte first, each in one byte."""
+    order = np.argsort(times > 255, kind="stable")
+    low, checks, times = low[order], checks[order], times[order]
+    few = int((times <= 255).sum())
     return (
-        np.array([len(low)], "<u4").tobytes() + low.astype("<u4").tobytes()
-        + checks.astype("<u8").tobytes() + times.astype("<i8").tobytes()
+        np.array([len(low), few], "<u4").tobytes() + low.astype("<u4").tobytes()
+        + checks.astype("<u4").tobytes() + times[:few].astype("u1").tobytes()
+        + times[few:].astype("<i8").tobytes()
     )
 
 
 def _checked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(payload, "<u4", 1)[0])
+    n, few = np.frombuffer(payload, "<u4", 2).tolist()
+    times = np.frombuffer(payload, "u1", few, 8 + 8 * n).astype(np.int64)
+    more = np.frombuffer(payload, "<i8", n - few, 8 + 8 * n + few)
     return (
-        np.frombuffer(payload, "<u4", n, 4),
-        np.frombuffer(payload, "<u8", n, 4 + 4 * n),
-        np.frombuffer(payload, "<i8", n, 4 + 12 * n),
+        np.frombuffer(payload, "<u4", n, 8),
+        np.frombuffer(payload, "<u4", n, 8 + 4 * n),
+        np.concatenate([times, more]),
     )
 
 
@@ -241,7 +252,7 @@ def _pointed(least: int):
         sizes = [len(_checked(p)[0]) for p in sent.column("payload").to_pylist()]
         senders = np.repeat(np.array(sent.column("chunk").to_pylist(), np.int64), sizes)
         # Any of the holders, so that no chunk spells most phrases.
-        turn = chunks.mixed(checks ^ chunks.mixed(senders.astype(np.uint64)))
+        turn = chunks.mixed(checks.astype(np.uint64) ^ chunks.mixed(senders.astype(np.uint64)))
         order = np.lexsort((turn, checks, low))
         a, b = low[order], checks[order]
         fresh = np.ones(len(order), bool)
@@ -342,7 +353,7 @@ def frequent_phrases(
             if len(words.ids):
                 add(lang_, 0, "", int(words.weights.sum()))
             for size, at, prints in _starts(words, short, long, buckets, longest):
-                mine = chunks.among(words.checks.windows(size)[at], wanted)
+                mine = chunks.among(words.second(size, at), wanted)
                 prints, checks, pointer, _ = _found(words, at[mine], size, prints[mine])
                 halves = chunks.halves(prints, buckets).tolist()
                 for half, check, start in zip(halves, checks.tolist(), pointer.tolist()):
