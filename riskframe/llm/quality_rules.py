@@ -31,7 +31,9 @@ SAMPLE_CHARS = 50_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 20
-MAX_DUP_LINES_PERCENT = 50
+MAX_DUP_LINES_PERCENT = 30
+#: Fewer repeated lines than this spare a text, so short ones with a refrain stay.
+MIN_DUP_LINES = 3
 MAX_SHOUT_PERCENT = 60
 MAX_WORD_CHARS = 20
 MAX_MARKED_WORDS_PERCENT = 30
@@ -108,9 +110,13 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _has_word(line: Column) -> Column:
+    return F.length(F.translate(line, SPACES, "")) > 0
+
+
 def measures(text: Column) -> dict[str, Column]:
     """The base measures of a text."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), _has_word)
     return {
         "n_words": F.size(words(text)).cast("long"),
         "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
@@ -131,11 +137,16 @@ def base_rules() -> tuple[Rule, ...]:
 def default_rules() -> tuple[Rule, ...]:
     text = F.col("content")
     upper = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    lines = F.size(F.split(text, "\n"))
+    lines = F.size(F.filter(F.split(text, "\n"), _has_word))
+    repeated = F.col("n_dup_lines")
     marked = F.regexp_count(text, F.lit(r"([!|#*$%&]+(?=[ \n]|$))"))
     return (
         Rule("symbols", 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("word_chars")),
-        Rule("duplicate_lines", 100 * F.col("n_dup_lines") > MAX_DUP_LINES_PERCENT * lines),
+        # Shares count lines that hold a word: blank lines between lines hide nothing.
+        Rule(
+            "duplicate_lines",
+            (repeated >= MIN_DUP_LINES) & (100 * repeated > MAX_DUP_LINES_PERCENT * lines),
+        ),
         Rule("shouting", 100 * upper > MAX_SHOUT_PERCENT * F.col("word_chars")),
         Rule("long_words", F.col("word_chars") > MAX_WORD_CHARS * F.col("n_words")),
         Rule("marked_words", 100 * marked > MAX_MARKED_WORDS_PERCENT * F.col("n_words")),

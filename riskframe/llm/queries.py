@@ -150,10 +150,10 @@ windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM places),
 covered AS (
   SELECT r, count(DISTINCT i + k) AS n FROM windows, range(0, 3) AS o(k) WHERE n > 1 GROUP BY r),
 lines AS (
-  SELECT r, count(x) - count(DISTINCT x) AS n
+  SELECT r, count(x) AS m, count(x) - count(DISTINCT x) AS n
   FROM (SELECT r, unnest(l) AS x FROM split) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
 base AS (
-  SELECT doc_id, t, len(l) AS n_lines, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT doc_id, t, coalesce(lines.m, 0) AS n_lines, CAST(len(w) AS BIGINT) AS n_words,
          CAST(word_chars AS BIGINT) AS word_chars,
          CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
@@ -162,7 +162,7 @@ base AS (
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          100 * n_symbols > 20 * word_chars
-         OR 100 * n_dup_lines > 50 * n_lines
+         OR n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines
          OR 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 60 * word_chars
          OR word_chars > 20 * n_words
          OR 100 * len(regexp_extract_all(t, '[!|#*$%&]+(?:[ \n]|$)')) > 30 * n_words AS failed

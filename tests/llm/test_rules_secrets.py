@@ -163,3 +163,21 @@ def test_queries_never_lose_a_match():
             text = "".join(rng.choice(["token", "=", "AKIA", "abcdef12", "gh", "p_", "xoxb-", "eyJ", ".", "-", "AIza", "sk_live_", "Q" * 36, " "]) for _ in range(12))
             if re.search(rule.pattern, text, flags) and query is not None:
                 assert any(all(t in text.lower() for t in clause) for clause in query)
+
+
+def test_repeated_lines_between_blank_ones_are_rejected(docs):
+    fresh = lambda name: " ".join(f"{name}k{i}" for i in range(12))
+    long = ["\n".join(fresh(f"p{i}x{j}") for j in range(8)) for i in range(10)]
+    refrain = [fresh(f"line{i}") for i in range(12)]
+    texts = [
+        "\n\n".join([*long, *["Short line."] * 60]),
+        "\n\n".join([*refrain, "Again.", "Again."]),
+        "\n".join([*refrain[:6], *refrain[:4]]),
+    ]
+    found = {
+        r.doc_id: (r.n_dup_lines, r.base_failed, r.kept, r.rule)
+        for r in quality_rules.apply_rules(docs(texts).withColumn("rule", F.lit("x"))).collect()
+    }
+    assert found[0] == (59, False, False, "duplicate_lines")
+    assert found[1][:3] == (1, False, True)
+    assert found[2][0] == 4
