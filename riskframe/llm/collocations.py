@@ -116,11 +116,11 @@ class Words:
     def prints(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and fingerprints of the n-grams of one size."""
         at = np.flatnonzero(self.left >= size)
-        return at, self.prefixes.windows(size)[at] if len(at) else np.zeros(0, np.uint64)
+        return at, self.prefixes.at(size, at)
 
     def second(self, size: int, at: np.ndarray) -> np.ndarray:
         """Another 32 bits of the n-grams at the given starts."""
-        return self.checks.windows(size)[at] >> np.uint64(32)
+        return self.checks.at(size, at) >> np.uint64(32)
 
 
 def _by_lang(docs: pa.Table) -> Iterator[tuple[str, Words]]:
@@ -136,9 +136,13 @@ def _totals(prints: list[np.ndarray], weights: list[np.ndarray], buckets: int) -
     """Distinct halves of every bucket: those counted once, then the others with their counts."""
     if not prints:
         return
-    seen, inverse = np.unique(chunks.halves(np.concatenate(prints), buckets), return_inverse=True)
-    times = np.zeros(len(seen), np.int64)
-    np.add.at(times, inverse, np.concatenate(weights))
+    halves, weights = chunks.halves(np.concatenate(prints), buckets), np.concatenate(weights)
+    if not len(halves):
+        return
+    order = np.argsort(halves)
+    halves = halves[order]
+    runs = np.flatnonzero(np.concatenate([[True], halves[1:] != halves[:-1]]))
+    seen, times = halves[runs], np.add.reduceat(weights[order], runs)
     for bucket, part in chunks.parts_of(seen):
         low = (seen[part] & np.uint64(0xFFFFFFFF)).astype("<u4")
         own = times[part]
@@ -177,11 +181,16 @@ def _frequent(kind: int, least: int):
     return add_up
 
 
-def _long_starts(words: Words, short: np.ndarray, buckets: int, longest: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Sizes above two with the starts of n-grams whose pairs are all frequent."""
+def _frequent_pairs(words: Words, short: np.ndarray, buckets: int) -> np.ndarray:
+    """Which starts begin a frequent pair; one place longer than the words."""
     at, prints = words.prints(2)
     frequent = np.zeros(len(words.ids) + 1, bool)
     frequent[at] = chunks.among(chunks.halves(prints, buckets), short)
+    return frequent
+
+
+def _long_starts(words: Words, frequent: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Sizes above two with the starts of n-grams whose pairs are all frequent."""
     good = frequent[:-1]
     for size in range(3, longest + 1):
         # The pairs of a start are those of the shorter n-gram and one more.
@@ -195,7 +204,9 @@ def _found(words: Words, at: np.ndarray, size: int, prints: np.ndarray) -> tuple
     Every occurrence is compared with the first one of its group, word by word.
     """
     checks = words.second(size, at)
-    order = np.lexsort((checks, prints))
+    order = np.argsort(prints)
+    if ((prints[order][1:] == prints[order][:-1]) & (checks[order][1:] != checks[order][:-1])).any():
+        order = np.lexsort((checks, prints))
     a, b = prints[order], checks[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -212,13 +223,17 @@ def _found(words: Words, at: np.ndarray, size: int, prints: np.ndarray) -> tuple
 
 def _starts(words: Words, short: np.ndarray, long: np.ndarray, buckets: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Sizes, starts and fingerprints of the n-grams that buckets named."""
-    sizes = [(size, words.prints(size)[0], short) for size in (1, 2)]
-    sizes += [(size, at, long) for size, at in _long_starts(words, short, buckets, longest)]
-    for size, at, known in sizes:
-        prints = words.prefixes.windows(size)[at] if len(at) else np.zeros(0, np.uint64)
-        good = chunks.among(chunks.halves(prints, buckets), known)
-        if good.any():
-            yield size, at[good], prints[good]
+    # Single words are looked up once each, wherever they occur.
+    once = np.zeros(len(words.names), np.int64)
+    once[words.ids] = np.arange(len(words.ids))
+    known = chunks.among(chunks.halves(words.prefixes.at(1, once), buckets), short)
+    frequent = _frequent_pairs(words, short, buckets)
+    named = [(1, np.flatnonzero(known[words.ids])), (2, np.flatnonzero(frequent))]
+    for size, at in _long_starts(words, frequent, longest):
+        named.append((size, at[chunks.among(chunks.halves(words.prefixes.at(size, at), buckets), long)]))
+    for size, at in named:
+        if len(at):
+            yield size, at, words.prefixes.at(size, at)
 
 
 def _closed(low: np.ndarray, checks: np.ndarray, times: np.ndarray) -> bytes:
@@ -302,8 +317,9 @@ def frequent_phrases(
         pairs = chunks.answered(told, SHORT)
         prints, weights = [], []
         for _, words in _by_lang(own):
-            for size, at in _long_starts(words, pairs, buckets, longest):
-                prints.append(words.prefixes.windows(size)[at])
+            frequent = _frequent_pairs(words, pairs, buckets)
+            for size, at in _long_starts(words, frequent, longest):
+                prints.append(words.prefixes.at(size, at))
                 weights.append(words.weights[at])
         return chunks.letters(name[0].as_py(), _totals(prints, weights, buckets))
 
@@ -332,10 +348,10 @@ def frequent_phrases(
 
     heard = by_chunk.cogroup(every.groupBy("chunk")).applyInArrow(weigh, chunks.LETTERS)
     pointed = heard.groupBy("bucket").applyInArrow(_pointed(least), chunks.ANSWERS)
-    pointers = cut(every.unionByName(pointed))
+    # Every chunk counts its words, asked or not.
+    pointers = cut(pointed)
 
     def spell(name: tuple, own: pa.Table, told: pa.Table) -> pa.Table:
-        short, long = chunks.answered(told, SHORT), chunks.answered(told, LONG)
         asked: dict[tuple[int, int], int] = {}
         for kind, bucket, payload in zip(*(told.column(c).to_pylist() for c in ("kind", "bucket", "payload"))):
             if kind == WEIGHED:
@@ -343,6 +359,9 @@ def frequent_phrases(
                 names = (low.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))).tolist()
                 asked.update(zip(zip(names, checks.tolist()), times.tolist()))
         wanted = np.sort(np.array([check for _, check in asked], np.uint64))
+        # Most starts are told by twenty bits of their check alone.
+        seen = np.zeros(1 << 20, bool)
+        seen[wanted & np.uint64(0xFFFFF)] = True
         out: dict[str, list] = {f.name: [] for f in FOUND_ARROW}
 
         def add(*row) -> None:
@@ -352,9 +371,14 @@ def frequent_phrases(
         for lang_, words in _by_lang(own):
             if len(words.ids):
                 add(lang_, 0, "", int(words.weights.sum()))
-            for size, at, prints in _starts(words, short, long, buckets, longest):
-                mine = chunks.among(words.second(size, at), wanted)
-                prints, checks, pointer, _ = _found(words, at[mine], size, prints[mine])
+            for size in range(1, longest + 1):
+                at = np.flatnonzero(words.left >= size)
+                checks = words.second(size, at)
+                maybe = np.flatnonzero(seen[checks & np.uint64(0xFFFFF)])
+                at = at[maybe[chunks.among(checks[maybe], wanted)]]
+                if not len(at):
+                    continue
+                prints, checks, pointer, _ = _found(words, at, size, words.prefixes.at(size, at))
                 halves = chunks.halves(prints, buckets).tolist()
                 for half, check, start in zip(halves, checks.tolist(), pointer.tolist()):
                     times = asked.get((half, check))
