@@ -1,6 +1,6 @@
 """Windowed counters, rates, alerts and drift over arriving data.
 
-Every function but the last takes a batch or a streaming table alike; the watermark bounds
+Every function but the ``start_`` ones takes a batch or a streaming table alike; the watermark bounds
 the state of a stream and changes nothing in batch.
 """
 
@@ -10,8 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskframe.functions.values import quoted
-from riskframe.operators.drift import ReferenceState
+from riskframe.functions.scalars import status
+from riskframe.functions.values import is_measured, quoted
+from riskframe.operators.drift import (
+    BUCKETED,
+    CONSTANT,
+    NUMERIC,
+    ReferenceState,
+    numeric_columns,
+    total_variation,
+)
 from riskframe.operators.records import code_label
 from riskframe.plans.drift_report import run_drift
 
@@ -176,3 +184,109 @@ def start_drift_monitor(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+#: Positions of values that have no bucket.
+MISSING_AT, INVALID_AT = -1, -2
+
+
+def _edges_upto(edges: Column, value: Column) -> Column:
+    return F.size(F.filter(edges, lambda e: e <= value))
+
+
+def window_buckets(
+    current: DataFrame,
+    state: ReferenceState,
+    time_col: str,
+    length: str = "1 hour",
+    late: str = "10 minutes",
+) -> DataFrame:
+    """``window_start, window_end, feature, position, row_count`` of the numeric features.
+
+    Counts merge: on a stream the state store holds one per window, feature and bucket, so a window that
+    spans micro-batches, late rows included, is counted whole and leaves the store once.
+    """
+    rules = {r.feature: r for r in state.bins.where(F.col("strategy").isin(*BUCKETED)).collect()}
+    cells = []
+    for name, value in numeric_columns(current, state.contract):
+        if name not in rules:
+            continue
+        rule = rules[name]
+        if rule.strategy == CONSTANT:
+            at = F.lit(rule.constant)
+            place = F.when(value < at, 0).when(value > at, 2).otherwise(1)
+        else:
+            edges = F.array(*[F.lit(float(e)) for e in rule.edges]).cast("array<double>")
+            place = _edges_upto(edges, value)
+        place = F.when(value.isNull(), MISSING_AT).when(is_measured(value), place).otherwise(INVALID_AT)
+        cells.append(F.struct(F.lit(name).alias("feature"), place.alias("position")))
+    rows = current.select(quoted(time_col).alias("at"), F.explode(F.array(*cells)).alias("cell"))
+    flat = rows.select("at", "cell.feature", "cell.position")
+    counted = _windowed(flat, "at", length, None, late, F.col("feature"), F.col("position"))
+    return _flat(counted.agg(F.count("*").alias("row_count")))
+
+
+def window_drift(
+    counts: DataFrame, state: ReferenceState, warn: float = 0.10, breach: float = 0.20
+) -> DataFrame:
+    """Distance to the reference and verdict of every window and feature, from ``window_buckets``."""
+    keys = ["window_start", "window_end", "feature"]
+
+    def at(position: int) -> Column:
+        return F.sum(F.when(F.col("position") == position, F.col("row_count")).otherwise(0))
+
+    seen = counts.groupBy(*keys).agg(
+        F.sum("row_count").alias("row_count"),
+        at(MISSING_AT).alias("missing_count"),
+        at(INVALID_AT).alias("invalid_count"),
+    )
+    expected = state.buckets.where(F.col("kind") == NUMERIC).select(
+        "feature", "position", "reference_count"
+    )
+    # Buckets that a window left empty count as well.
+    full = (
+        seen.select(*keys)
+        .join(expected, "feature")
+        .join(counts, [*keys, "position"], "left")
+        .select(
+            F.struct(*keys).alias("feature"),
+            "reference_count",
+            F.coalesce("row_count", F.lit(0)).alias("current_count"),
+        )
+    )
+    apart = total_variation(full).select("feature.*", "total_variation")
+    verdict = status(F.col("total_variation"), F.lit(float(warn)), F.lit(float(breach)))
+    return seen.join(apart, keys).withColumn("status", verdict)
+
+
+def start_window_drift(
+    current: DataFrame,
+    state: ReferenceState,
+    time_col: str,
+    out: str,
+    checkpoint: str,
+    length: str = "1 hour",
+    late: str = "10 minutes",
+    warn: float = 0.10,
+    breach: float = 0.20,
+    **trigger,
+) -> StreamingQuery:
+    """Judge every event-time window once, when the watermark has passed its end."""
+
+    def judge(closed: DataFrame, batch_id: int) -> None:
+        kept = closed.persist()
+        try:
+            if not kept.isEmpty():
+                found = window_drift(kept, state, warn, breach)
+                found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            kept.unpersist()
+
+    counts = window_buckets(current, state, time_col, length, late)
+    return (
+        counts.writeStream.outputMode("append")
+        .foreachBatch(judge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
