@@ -11,8 +11,9 @@ Piece scores come from the vocabulary file; a model without probabilities orders
 then a piece's score is the logarithm of Zipf's law at its rank. Scores are whole micro-units, so
 sums are exact; of equal sums the one with fewer tokens counts.
 
-A trie is kept per Python worker and starts anew when it reaches ``MOST_NODES``; this bounds
-memory and changes no count.
+A trie is kept per Python worker and starts anew when it reaches ``MOST_NODES``; a word that would
+fill half of it is walked with the scores of the last prefixes alone. This bounds memory and
+changes no count.
 
 Defined cases: a missing text is empty and has no tokens; ids are carried, further columns play
 no part; repeated rows are counted each; an empty table gives an empty result.
@@ -35,6 +36,7 @@ BYTE_PENALTY = 10_000_000
 MOST_NODES = 1_000_000
 MOST_WORDS = 300_000
 LONG_WORD = 64
+CHARACTERS = 0x110000
 
 
 def zipf_scores(ordered_pieces: list[str]) -> dict[str, int]:
@@ -68,11 +70,17 @@ class Trie:
         self.longest = max(map(len, pieces), default=1)
         self.spelled = min(pieces.values(), default=0) - BYTE_PENALTY
         self.most_nodes = most_nodes
+        # Lengths of the pieces that end in one or two given characters: few, of all lengths there are.
+        lengths: dict[str, set[int]] = {}
+        for piece in pieces:
+            lengths.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {ending: tuple(sorted(found)) for ending, found in lengths.items()}
         self.words: dict[str, tuple[int, int, int]] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.next: list[dict[str, int]] = [{}]
+        # (node, character) as one number -> node.
+        self.next: dict[int, int] = {}
         self.score = [0]
         self.count = [0]
         self.bytes = [0]
@@ -81,34 +89,64 @@ class Trie:
         """Node for the next character of ``word`` after the nodes of ``path``."""
         end = len(path)
         char = word[end - 1]
-        size = len(char.encode())
+        size = 1 if char < "\x80" else len(char.encode())
         last = path[-1]
-        best = (self.score[last] + self.spelled * size, -self.count[last] - size)
+        pieces, scores, counts = self.pieces, self.score, self.count
+        score, count = scores[last] + self.spelled * size, counts[last] + size
         spelled = self.bytes[last] + size
-        for start in range(max(0, end - self.longest), end):
-            own = self.pieces.get(word[start:end])
+        for start in self._starts(word, end):
+            own = pieces.get(word[start:end])
             if own is not None:
                 node = path[start]
-                found = (self.score[node] + own, -self.count[node] - 1)
-                if found > best or (found == best and self.bytes[node] < spelled):
-                    best, spelled = found, self.bytes[node]
-        self.score.append(best[0])
-        self.count.append(-best[1])
+                own += scores[node]
+                if own >= score:
+                    tokens, in_bytes = counts[node] + 1, self.bytes[node]
+                    if own > score or (tokens, in_bytes) < (count, spelled):
+                        score, count, spelled = own, tokens, in_bytes
+        scores.append(score)
+        counts.append(count)
         self.bytes.append(spelled)
-        self.next.append({})
         made = len(self.score) - 1
-        self.next[last][char] = made
+        self.next[last * CHARACTERS + ord(char)] = made
         return made
 
+    def _starts(self, word: str, end: int) -> list[int]:
+        """Where a piece that ends at ``end`` can start."""
+        found = [end - 1] if word[end - 1] in self.pieces else []
+        if end > 1:
+            found += [end - n for n in self.lengths.get(word[end - 2 : end], ()) if n <= end]
+        return found
+
+    def _walk(self, word: str) -> tuple[int, int, int]:
+        """The same as ``insert`` without nodes: the scores of the last ``longest`` prefixes are kept."""
+        kept = [(0, 0, 0)] * (self.longest + 1)  # score, -tokens, bytes of a prefix, by its length
+        size = len(kept)
+        for end in range(1, len(word) + 1):
+            score, tokens, spelled = kept[(end - 1) % size]
+            own_bytes = len(word[end - 1].encode())
+            best, spelled = (score + self.spelled * own_bytes, tokens - own_bytes), spelled + own_bytes
+            for start in self._starts(word, end):
+                own = self.pieces.get(word[start:end])
+                if own is not None:
+                    before, tokens, bytes_ = kept[start % size]
+                    found = (before + own, tokens - 1)
+                    if found > best or (found == best and bytes_ < spelled):
+                        best, spelled = found, bytes_
+            kept[end % size] = (*best, spelled)
+        score, tokens, spelled = kept[len(word) % size]
+        return -tokens, spelled, score
+
     def insert(self, word: str) -> tuple[int, int, int]:
         """Tokens, byte tokens and score of the best tokenisation of a pre-token."""
+        if len(word) > self.most_nodes // 2:
+            return self._walk(word)
         if len(self.score) + len(word) > self.most_nodes:
             self._clear()
-        path = [0]
+        path, end, step = [0], 0, self.next.get
         for char in word:
-            known = self.next[path[-1]].get(char)
-            path.append(self._grow(word, path) if known is None else known)
-        end = path[-1]
+            known = step(end * CHARACTERS + ord(char))
+            end = self._grow(word, path) if known is None else known
+            path.append(end)
         return self.count[end], self.bytes[end], self.score[end]
 
     def lookup(self, word: str) -> tuple[int, int, int]:

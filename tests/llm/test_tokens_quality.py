@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -319,3 +320,18 @@ def test_exchange_ends_where_no_word_gains(spark):
         np.add.at(before, state[:40][others], n[others, unit])
         chosen, _ = class_lm.best_class(pairs, 4, int(state[unit]), after, before, float(n[unit, unit]))
         assert chosen == state[unit]
+
+
+def test_very_long_words_are_walked_without_nodes():
+    rng = random.Random(31)
+    pieces = trie_tokens.zipf_scores(["a", "b", "ab", "aba", "bb", "é", "abab", "▁", "▁a", "babé"])
+    trie, short = trie_tokens.Trie(pieces), trie_tokens.Trie(pieces, most_nodes=40)
+    for n in (1, 7, 19, 20, 21, 200):
+        word = "".join(rng.choice("abéx") for _ in range(n))
+        assert short.insert(word) == trie.insert(word) == trie._walk(word)
+        assert len(short.score) <= 41
+    tracemalloc.start()
+    trie = trie_tokens.Trie(pieces)
+    trie.insert("ab" * 600_000)
+    assert tracemalloc.get_traced_memory()[1] < 10_000_000 and len(trie.score) == 1
+    tracemalloc.stop()
