@@ -1,15 +1,23 @@
-"""Dataset identity by commutative digests.
+"""Dataset identity by digests that add up.
 
 Each row is hashed to 256 bits; the hash is cut into limbs that are summed as exact
 decimals, so partial aggregation, partitioning and row order cannot change the result
-while a changed, added or repeated row does. Order enters only through an explicit rank.
+while a changed, added or repeated row does.
+
+Where order counts, rows are the coefficients of polynomials over a prime field. A run of rows is
+digested from left to right, and two neighbouring runs join by ``left * base^rows + right``: an
+associative operation that does not commute. Ranges of the order are thus digested in parallel
+and joined in turn, without a rank for any row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +25,16 @@ from pyspark.sql import types as T
 from riskframe.functions.canonical import category_key, category_token, digest, row_text
 from riskframe.functions.values import quoted
 from riskframe.operators.audit import duplicate_count
-from riskframe.operators.order import rank_rows
 
-ALGORITHM = "sha256-limb-sum-v1"
+ALGORITHM = "sha256-limb-sum-polynomial-v2"
 LIMBS = ((1, 15), (16, 15), (31, 15), (46, 15), (61, 4))
+#: Ordered digests: four polynomials modulo a Mersenne prime, over 60 bits of the row hash each.
+PRIME = (1 << 61) - 1
+LANES = LIMBS[:4]
+BASES = tuple(
+    int(hashlib.sha256(f"ordered base {i}".encode()).hexdigest()[:15], 16)
+    for i in range(len(LANES))
+)
 
 
 def _combine(hashed: DataFrame, header: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -78,14 +92,52 @@ def table_fingerprint(
     return _combine(hashed, header_text(names), groups)
 
 
+_LANE_NAMES = [f"lane{i}" for i in range(len(LANES))]
+_RUNS = "part int, n long, " + ", ".join(f"{name} long" for name in _LANE_NAMES)
+
+
+def _runs(part: int, n: int, lanes: Sequence[int]) -> pa.RecordBatch:
+    columns = [pa.array([part], pa.int32()), pa.array([n], pa.int64())]
+    columns += [pa.array([lane], pa.int64()) for lane in lanes]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "n", *_LANE_NAMES])
+
+
+def _digest_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for all rows of a task, which come in order."""
+    n, lanes = 0, [0] * len(LANES)
+    for batch in batches:
+        n += batch.num_rows
+        for i, base in enumerate(BASES):
+            value = lanes[i]
+            for row in batch.column(i).to_pylist():
+                value = (value * base + row) % PRIME
+            lanes[i] = value
+    if n:
+        yield _runs(TaskContext.get().partitionId(), n, lanes)
+
+
+def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for all runs, joined in the order of their ranges."""
+    found = sorted((tuple(r.values()) for b in batches for r in b.to_pylist()), key=lambda r: r[0])
+    n, lanes = 0, [0] * len(LANES)
+    for _, more, *right in found:
+        lanes = [
+            (left * pow(base, more, PRIME) + own) % PRIME
+            for left, base, own in zip(lanes, BASES, right)
+        ]
+        n += more
+    yield _runs(0, n, lanes)
+
+
 def ordered_fingerprint(
     df: DataFrame, order: str, tie: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Order-sensitive over ``(order, tie)``; column order and number types matter too.
+    """Order-sensitive over ``(order, tie)``, missing last; column order and number types matter too.
 
-    Rows that agree in both keys are ordered by their digest, so layout never shows. Rows are
-    digested before they are ranked, so the ranking shuffle carries two keys and a
-    digest however wide the table is.
+    Rows that agree in both keys are ordered by their digest, so layout never shows. The only
+    shuffle is by ranges of keys and digest, so neither a hot key nor a hot pair of keys is one
+    task; it carries two keys and a digest however wide the table is. The last step reads one row
+    per range. Exchanging two neighbouring rows that differ always shows, since the base is not 1.
     """
     names = list(columns if columns is not None else df.columns)
     narrow = df.select(
@@ -93,9 +145,21 @@ def ordered_fingerprint(
         quoted(tie).alias("_tie_key"),
         digest(row_text(df.schema, names)).alias("_row"),
     )
-    ranked = rank_rows(narrow, "_order", "_tie_key", "_rank", last="_row")
-    text = F.concat_ws("|", F.col("_rank").cast("string"), F.col("_row"))
-    return _combine(ranked.select(digest(text).alias("row_hash")), header_text(names))
+    keys = [F.asc_nulls_last(c) for c in ("_order", "_tie_key", "_row")]
+    lanes = [
+        F.conv(F.substring("_row", start, length), 16, 10).cast("long").alias(name)
+        for (start, length), name in zip(LANES, _LANE_NAMES)
+    ]
+    runs = (
+        narrow.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .select(*lanes)
+        .mapInArrow(_digest_run, _RUNS)
+    )
+    whole = runs.repartition(1).mapInArrow(_join_runs, _RUNS)
+    parts = [F.col(c).cast("string") for c in ("n", *_LANE_NAMES)]
+    text = F.concat_ws("|", F.lit(header_text(names)), *parts)
+    return whole.select(F.col("n").alias("row_count"), digest(text).alias("fingerprint"))
 
 
 def row_identity_fingerprint(df: DataFrame, order: str, tie: str, id_col: str) -> DataFrame:

@@ -71,6 +71,19 @@ def _combine(source: str, header: str, group: str = "") -> str:
     )
 
 
+def _polynomials(rows: str, header: str) -> str:
+    """Digest of ``rows`` (``h`` in the order ``place``): every lane folded from left to right."""
+    lanes = " || '|' || ".join(
+        f"list_reduce(list_prepend(0::HUGEINT, list(CAST('0x' || substr(h, {start}, {length}) "
+        f"AS BIGINT)::HUGEINT ORDER BY place)), lambda a, r: (a * {base} + r) % {fingerprint.PRIME})"
+        for (start, length), base in zip(fingerprint.LANES, fingerprint.BASES)
+    )
+    return (
+        f"SELECT count(*) AS row_count, sha256('{header}' || '|' || count(*) || '|' || {lanes}) "
+        f"AS fingerprint FROM ({rows})"
+    )
+
+
 _KINDS = {"doc_id": "integer", "text": "string", "lang": "string", "source": "string", "n_chars": "integer"}
 _ROW = " || '|' || ".join(_whole(c, k) for c, k in _KINDS.items())
 _SORTED = " || '|' || ".join(
@@ -103,11 +116,11 @@ QUERIES = {
     ),
     "fingerprint_ordered": (
         fingerprint_ordered,
-        f"""
-        WITH t AS (SELECT sha256((row_number() OVER (ORDER BY n_chars, doc_id) - 1) || '|' ||
-                     sha256({_ROW})) AS h FROM documents)
-        {_combine('t', '["doc_id","text","lang","source","n_chars"]')}
-        """,
+        _polynomials(
+            f"SELECT sha256({_ROW}) AS h, row_number() OVER (ORDER BY n_chars, doc_id) AS place "
+            "FROM documents",
+            '["doc_id","text","lang","source","n_chars"]',
+        ),
     ),
     "split_identity": (
         split_identity,
@@ -124,11 +137,11 @@ QUERIES = {
     ),
     "row_identity": (
         row_identity,
-        f"""
-        WITH t AS (SELECT sha256((row_number() OVER (ORDER BY ts, event_id) - 1) || '|' ||
-                     sha256({_whole('event_id', 'integer')})) AS h FROM events)
-        {_combine('t', '["event_id"]')}
-        """,
+        _polynomials(
+            f"SELECT sha256({_whole('event_id', 'integer')}) AS h, "
+            "row_number() OVER (ORDER BY ts, event_id) AS place FROM events",
+            '["event_id"]',
+        ),
     ),
     "category_tokens": (
         category_tokens,

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -5,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import order, quantiles
+from riskframe.functions.canonical import digest, row_text
+from riskframe.operators import fingerprint
 from riskframe.operators.fingerprint import observed_identity, ordered_fingerprint
 
 
@@ -104,6 +107,33 @@ def test_ordered_fingerprint_with_repeated_keys_ignores_layout(spark):
     assert ordered_fingerprint(df.where("v > 0"), "t", "k").first().fingerprint not in found
 
 
+def test_ordered_fingerprint_sees_every_exchange_and_equals_a_plain_fold(spark):
+    rows = [(i, None if i % 7 == 0 else i % 3, f"v{i % 11}") for i in range(60)]
+    df = spark.createDataFrame(rows, "t int, k int, v string")
+
+    def of(frame):
+        return ordered_fingerprint(frame, "t", "k", ["v"]).first()
+
+    base = of(df.repartition(9))
+    for i in range(59):
+        swapped = [list(r) for r in rows]
+        swapped[i][2], swapped[i + 1][2] = swapped[i + 1][2], swapped[i][2]
+        if i % 20 == 0:
+            assert of(spark.createDataFrame(swapped, df.schema)) != base
+    hashes = [r[0] for r in df.orderBy("t").select(digest(row_text(df.schema, ["v"]))).collect()]
+    lanes = []
+    for (start, length), power in zip(fingerprint.LANES, fingerprint.BASES):
+        own = [int(h[start - 1 : start - 1 + length], 16) for h in hashes]
+        lanes.append(sum(r * power ** (59 - i) for i, r in enumerate(own)) % fingerprint.PRIME)
+    text = "|".join(['["v"]', "60", *map(str, lanes)])
+    assert (base.row_count, base.fingerprint) == (60, hashlib.sha256(text.encode()).hexdigest())
+    empty = of(df.limit(0))
+    assert empty.row_count == 0 and len(empty.fingerprint) == 64
+    # A time on most rows is spread over ranges by the digest, and missing times come last.
+    hot = spark.createDataFrame([(None if i % 5 else 1, 0, f"v{i}") for i in range(2000)], df.schema)
+    assert len({of(x).fingerprint for x in (hot.coalesce(1), hot.repartition(8))}) == 1
+
+
 def test_one_missing_id_is_no_repeat(spark):
     rows = [(1, 1, 0), (2, 2, 1), (None, 3, 1)]
     one = spark.createDataFrame(rows, "i int, t int, y int")
