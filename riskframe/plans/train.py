@@ -36,6 +36,7 @@ from riskframe.operators.split import TEMPORAL, five_way_random, five_way_split
 from riskframe.operators.threshold import select_threshold
 from riskframe.session import durable
 from riskframe.sources.frozen import require_same_sources, write_evaluation
+from riskframe.sources.tables import file_tree_digests
 from riskframe.sources.sinks import read_json_document, write_json_document
 
 FEATURES, RAW = "_features", "_raw_probability"
@@ -286,18 +287,18 @@ def final_report(
     model: RiskModel,
     df: DataFrame,
     config: TrainingConfig = TrainingConfig(),
-    sources: DataFrame | None = None,
+    sources: str | None = None,
 ) -> dict[str, Any]:
     """Metrics on the reserved part, only for the data the model was trained on.
 
-    ``sources`` (``file_name, sha256``) is digested anew by the caller's reader when this runs; a
-    model with recorded sources cannot be reported on without it.
+    The files at the path ``sources`` are read and digested here, block by block, and must be those
+    that ``recorded_sources`` noted for the training; without a path there is no report.
     """
     c = config
     recorded = dict(model.metadata.get("source_fingerprint", {}))
     if sources is None:
         raise ValueError("the sources must be digested again for the final report")
-    require_same_sources(recorded, sources)
+    require_same_sources(recorded, file_tree_digests(df.sparkSession, sources))
     rows = partition(df, c)
     final = rows.filter(F.col("split") == "final_test").drop("split")
     scored = durable(model.score(final, [c.label_col]))

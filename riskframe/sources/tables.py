@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +25,10 @@ from riskframe.operators.audit import require_unique, validate_transactions
 from riskframe.operators.joins import attach_identity
 from riskframe.operators.sample import sample_table
 
+BLOCK_BYTES = 64 << 20
+PIECE_BYTES = 1 << 20
+FAN = 1024
+MOST_TASKS = 100_000
 INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
 
 
@@ -157,7 +167,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """``file_name, length, sha256`` of whole file contents, one task per file.
 
-    Spark's binaryFile source holds one file in memory at a time, up to 2 GB.
+    Spark's binaryFile source holds one file in memory at a time, up to 2 GB; ``file_tree_digests``
+    has no such limit.
     """
     return (
         spark.read.format("binaryFile")
@@ -170,6 +181,81 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_tree_digests(
+    spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES, fan: int = FAN
+) -> DataFrame:
+    """``file_name, length, sha256`` of files of any size, read in blocks by as many tasks.
+
+    The digest is the root of a tree: leaves digest blocks, a node digests up to ``fan`` digests
+    below it, one digest alone is passed up, and the root is digested with the file's length.
+    It depends on content and ``block_bytes``, not on tasks. A task holds a piece of a block, never
+    a file. Executors open files by the same address through Arrow's file systems (local, HDFS,
+    S3, GCS). Empty files are not listed by Spark's source and take no part. A file that has shrunk since it was listed, or cannot be opened, stops the job.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    last = F.greatest(F.ceil(F.col("length") / block_bytes) - 1, F.lit(0))
+    blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    seen = files.agg(F.coalesce(F.sum(last + 1), F.lit(0)), F.coalesce(F.max(last + 1), F.lit(0)))
+    count, longest = seen.first()
+    # A number given here is not merged: rows are small, but each stands for a whole block.
+    spread = blocks.repartition(max(1, min(int(count), MOST_TASKS)))
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [
+                _block_digest(r["path"], r["block"] * block_bytes, min(block_bytes, r["length"] - r["block"] * block_bytes))
+                for r in batch.to_pylist()
+            ]
+            yield batch.append_column("sha256", pa.array(digests, pa.string()))
+
+    level = spread.mapInArrow(leaves, "path string, length long, block long, sha256 string")
+    below = F.transform(
+        F.sort_array(F.collect_list(F.struct("block", "sha256"))), lambda x: x["sha256"]
+    )
+    while longest > 1:
+        longest = -(-longest // fan)
+        nodes = level.groupBy(
+            "path", "length", F.floor(F.col("block") / fan).alias("block")
+        ).agg(below.alias("parts"))
+        whole = F.sha2(F.concat(F.lit("node:"), F.concat_ws(",", "parts")), 256)
+        level = nodes.select(
+            "path", "length", "block",
+            F.when(F.size("parts") == 1, F.col("parts")[0]).otherwise(whole).alias("sha256"),
+        )
+    return level.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        "length",
+        F.sha2(F.concat_ws(":", F.lit("file"), F.col("length").cast("string"), "sha256"), 256).alias("sha256"),
+    )
+
+
+def _block_digest(path: str, start: int, length: int) -> str:
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        system, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        system, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    found, left = hashlib.sha256(b"leaf:"), length
+    with system.open_input_file(name) as source:
+        source.seek(start)
+        while left:
+            piece = source.read(min(left, PIECE_BYTES))
+            if not piece:
+                raise OSError(f"{path} ends {left} bytes before {start + length}")
+            found.update(piece)
+            left -= len(piece)
+    return found.hexdigest()
+
+
+def recorded_sources(spark: SparkSession, path: str) -> dict[str, str]:
+    """What a training run notes about its source files: name -> tree digest."""
+    found = file_tree_digests(spark, path).select("file_name", "sha256").collect()
+    names = dict(tuple(r) for r in found)
+    if len(names) < len(found):
+        raise ValueError(f"{len(found)} source files below {path} share {len(names)} names")
+    return names
+
+
 def file_stamps(spark: SparkSession, path: str) -> DataFrame:
     """``file_name, stamp`` from name, size and modification time; contents are not read."""
     name = F.element_at(F.split("path", "/"), -1)

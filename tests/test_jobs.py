@@ -30,7 +30,7 @@ from riskframe.sources.frozen import (
     write_evaluation,
 )
 from riskframe.sources.sinks import read_json_document, write_json_document, write_json_rows
-from riskframe.sources.tables import file_digests
+from riskframe.sources.tables import file_digests, recorded_sources
 from riskframe.streaming import monitor
 from riskframe.streaming.scoring import score_records, start_scoring
 
@@ -186,7 +186,10 @@ def trained(spark, tmp_path_factory):
         categorical_strategy="frequency_high_cardinality",
     )
     folder = tmp_path_factory.mktemp("model")
-    result = run_training(df, config, {"file": "abc"}, str(folder / "evaluation"))
+    (folder / "sources").mkdir()
+    (folder / "sources" / "file").write_text("the rows")
+    noted = recorded_sources(df.sparkSession, str(folder / "sources"))
+    result = run_training(df, config, noted, str(folder / "evaluation"))
     result.model.save(str(folder / "saved"))
     return df, config, result, folder
 
@@ -199,14 +202,19 @@ def test_training_end_to_end(spark, trained):
     assert result.manifest["content"]["rows"] == load_evaluation(spark, str(folder / "evaluation")).count()
     hidden = result.summary.filter("reserved").first()
     assert hidden.split == "final_test" and hidden.positives is None
-    sources = "file_name string, sha256 string"
-    same = spark.createDataFrame([("file", "abc")], sources)
-    report = final_report(result.model, df, config, same)
+    source = folder / "sources"
+    report = final_report(result.model, df, config, str(source))
     assert report["rows"]["rows"] == 135
     assert 0 <= report["metrics"]["brier_score"] <= 0.3
-    for off in ([("file", "other")], [], [("file", "abc"), ("more", "x")]):
+    other = folder / "other"
+    other.mkdir()
+    for off in ({"file": "the rowS"}, {"more": "the rows"}, {"file": "the rows", "more": "x"}):
+        place = other / str(len(list(other.iterdir())))
+        place.mkdir()
+        for name, text in off.items():
+            (place / name).write_text(text)
         with pytest.raises(EvaluationTableError):
-            final_report(result.model, df, config, spark.createDataFrame(off, sources))
+            final_report(result.model, df, config, str(place))
     with pytest.raises(ValueError):
         final_report(result.model, df, config)
     assert 0 <= smoke_score(result.model, spark) <= 1

@@ -75,6 +75,42 @@ def test_file_digests_stamps_and_records(spark, tmp_path):
     assert tables.read_records(spark, str(tmp_path / "r.jsonl")).count() == 2
 
 
+def plain_tree(data, block, fan):
+    level = [hashlib.sha256(b"leaf:" + data[i : i + block]).hexdigest() for i in range(0, max(len(data), 1), block)]
+    while len(level) > 1:
+        parts = [level[i : i + fan] for i in range(0, len(level), fan)]
+        level = [p[0] if len(p) == 1 else hashlib.sha256(f"node:{','.join(p)}".encode()).hexdigest() for p in parts]
+    return hashlib.sha256(f"file:{len(data)}:{level[0]}".encode()).hexdigest()
+
+
+def test_tree_digests_equal_a_plain_tree_whatever_other_files_are_there(spark, tmp_path):
+    sizes = {"empty": 0, "one": 1, "block": 10, "more": 11, "full level": 30, "deep%20é": 1000}
+    for name, size in sizes.items():
+        (tmp_path / name).write_bytes(bytes(i * 7 % 251 for i in range(size)))
+    found = tables.file_tree_digests(spark, str(tmp_path), block_bytes=10, fan=3).collect()
+    assert {r.file_name: r.length for r in found} == {k: v for k, v in sizes.items() if v}
+    for r in found:
+        assert r.sha256 == plain_tree((tmp_path / r.file_name).read_bytes(), 10, 3)
+    alone = tables.file_tree_digests(spark, str(tmp_path / "more"), block_bytes=10, fan=3).first()
+    assert alone.sha256 == {r.file_name: r.sha256 for r in found}["more"]
+
+
+def test_tree_digest_of_three_sparse_gigabytes_finds_a_changed_byte(spark, tmp_path):
+    size = 3 << 30
+    with open(tmp_path / "big", "wb") as big:
+        big.truncate(size)
+    before = tables.recorded_sources(spark, str(tmp_path))
+    with open(tmp_path / "big", "r+b") as big:
+        big.seek(size - 5)
+        big.write(b"x")
+    assert tables.recorded_sources(spark, str(tmp_path)) != before
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a").write_text("1")
+    (tmp_path / "a").write_text("2")
+    with pytest.raises(ValueError):
+        tables.recorded_sources(spark, f"{tmp_path}/{{a,sub/a}}")
+
+
 def test_narrow_types(spark):
     df = spark.createDataFrame([(1, 300, 2**40, 0.5)], "a long, b long, c long, d double")
     assert [k for _, k in tables.narrow_types(df).dtypes] == ["tinyint", "smallint", "bigint", "double"]
