@@ -1,19 +1,26 @@
 """Class-based bigram language model (Brown) and the perplexity it gives to texts.
 
-P(text) is the product over tokens of P(class | class before) * P(token | class). Classes come
-from exchange clustering: the ``clustered`` most frequent words are moved, one at a time, to the
-class that raises the likelihood of the corpus' class bigrams most. The bigram counts stay in
-Spark; every round aggregates them to class contexts per word, blocks of words find their moves
-in parallel against the same class counts. Once the moves of a round do not raise the likelihood
-together, words move one at a time against exact counts (on the driver, which then holds the
-bigrams of the clustered words and shapes) until no word gains by moving. All other words are classed by shape, so that any word has a class without a lookup.
-
-Counts cover every training document. Words of the head - those above the count that at most
-``head`` words reach - travel with the tasks; how often any other word occurred is joined on the
-word, so no word is dropped and nothing that grows with the corpus is broadcast.
-
-Tokens: words with A-Z in lower case, then one end. Both probabilities add one to counts: the
-unigram base over all words and one unseen word, a class over its own words and one unseen word.
+P(text) is the product over tokens of P(class | history) * P(token | class). Every word of the
+training vocabulary gets its class by exchange clustering, in two steps:
+
+1. The ``seeds`` most frequent words are moved, one at a time, to the class that raises the likelihood
+   of the corpus' class bigrams most, until none gains by moving. Rounds run in parallel against
+   the same class counts as long as that helps, then one word at a time. The classes of the seeds,
+   and a shape for any other word, are the histories.
+2. All other words are exchanged by how often they follow each history. Those counts are a Spark
+   table with a row per word, so the step grows with the vocabulary and no task or driver holds
+   it. Words enter the class that suits them best against the seeds; then half of them, by a hash
+   of the word, move at a time, each against the same counts, so that a class is a function of the
+   table and not of its layout. A pass that does not raise the likelihood is dropped and ends it.
+
+The number of classes is the cube root of the vocabulary, between ``CLASSES`` and ``MOST_CLASSES``.
+Classes and counts are joined on the word when texts are scored, so no word is dropped and nothing
+that grows with the corpus is broadcast; words of the head - those above the count that at most
+``head`` words reach - travel with the tasks instead.
+
+Tokens: words with A-Z in lower case, then one end. Counts have one added: the unigram base over
+all words and one unseen word, a class over its own words and one unseen word. A word that training
+has not seen may come from any class as its unseen word, so its probability is a sum over classes.
 
 Defined cases: a missing text is empty and has the end as its only token; a missing id is not
 held out, so its text is learned from; rows that agree in id and text are scored once and
@@ -33,14 +40,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.class_exchange import exchange_vocabulary, history_counts, written, x_log_x as _x_log_x
 from riskframe.llm.common import content, cut, packed
 from riskframe.llm.line_crf import remainder
 
 END = b"\n"  # no word holds a line feed
 SHAPES = 6
 CLASSES = 32
-CLUSTERED = 1000
+MOST_CLASSES = 256
+SEEDS = 1000
 HEAD = 150_000
+PASSES = 2
+SMOOTHING = 0.1
 BLOCKS = 8
 FLUSH = 200_000
 BATCH_CHARS = 2_000_000
@@ -52,7 +63,7 @@ def tokens(text: str) -> list[bytes]:
 
 
 def shape(word: bytes) -> int:
-    """Class of a word outside the clustered vocabulary, below ``SHAPES``."""
+    """What a word that is no seed is as a history, below ``SHAPES``."""
     if any(48 <= b <= 57 for b in word):
         return 0
     if word[-1] in _MARKS:
@@ -78,14 +89,22 @@ class Head:
 
 @dataclass(frozen=True)
 class ClassModel:
+    """``histories`` by unit, ``head_class`` by place; rows of the tables are histories."""
+
     head: Head
-    unit_class: np.ndarray
+    histories: np.ndarray
+    head_class: np.ndarray
     log_pairs: np.ndarray
     log_totals: np.ndarray
+    log_unseen: np.ndarray
     tokens: int
     words: int
 
 
+def class_count(words: int) -> int:
+    return int(min(MOST_CLASSES, max(CLASSES, round(words ** (1 / 3)))))
+
+
 def _texts(docs: DataFrame, text: str, key: str) -> DataFrame:
     return packed(docs).select(
         F.col(f"row.`{key}`").alias("id"), content(text).alias("content")
@@ -216,10 +235,6 @@ def unit_bigrams(texts: DataFrame, head: Head) -> DataFrame:
     )
 
 
-def _x_log_x(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1))
-
-
 def likelihood(pairs: np.ndarray) -> float:
     """Class-bigram part of the corpus log-likelihood."""
     return float(
@@ -378,79 +393,91 @@ def exchange(
 
 def train(
     texts: DataFrame,
-    classes: int = CLASSES,
-    clustered: int = CLUSTERED,
+    classes: int | None = None,
+    seeds: int = SEEDS,
     head: int = HEAD,
     rounds: int | None = None,
+    passes: int = PASSES,
 ) -> tuple[ClassModel, DataFrame]:
-    """The model and the counts of all words of the given texts."""
+    """The model, and ``word, n, class`` of all words of the given texts but the seeds."""
     counts = cut(word_counts(texts))
-    frequent_words = frequent(counts, clustered, head)
+    total, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    classes = class_count(words) if classes is None else classes
+    frequent_words = frequent(counts, seeds, head)
+    first = frequent_words.clustered
     bigrams = cut(unit_bigrams(texts, frequent_words))
-    unit_class, pairs = exchange(bigrams, frequent_words.clustered, classes, rounds)
-    total, words = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))
-    ).first()
-    kinds, sizes = np.zeros(classes + SHAPES), np.zeros(classes + SHAPES)
-    for row in counts.groupBy("shape").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect():
-        if row["shape"] >= 0:
-            kinds[classes + row["shape"]] += row["k"]
-            sizes[classes + row["shape"]] += row["n"]
-    for place, word in enumerate(list(frequent_words.index)[: frequent_words.clustered]):
-        n, own = frequent_words.counts[place], unit_class[place]
-        kinds[own] += n > 0
-        sizes[own] += n
-        if word != END:
-            kinds[classes + shape(word)] -= 1
-            sizes[classes + shape(word)] -= n
-    smooth = (pairs + 0.1) / (pairs.sum(axis=1, keepdims=True) + 0.1 * len(pairs))
-    return (
-        ClassModel(
-            frequent_words,
-            unit_class,
-            np.log10(smooth),
-            np.log10(sizes + kinds + 1),
-            int(total),
-            int(words),
-        ),
-        counts,
+    histories, pairs = exchange(bigrams, first, classes, rounds)
+
+    def reader():
+        found = _Reader(frequent_words)
+
+        def read(text: str):
+            places, units, others = found.read(text)
+            return places, histories[np.concatenate([[0], units[:-1]])], others
+
+        return read
+
+    contexts = written(
+        history_counts(texts, reader, list(frequent_words.index), first, classes + SHAPES),
+        "contexts",
+    )
+    table, cells = exchange_vocabulary(contexts, pairs[:, :classes], passes)
+    kinds, sizes = np.zeros(classes), np.zeros(classes)
+    for row in table.groupBy("class").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect():
+        kinds[row["class"]] += row["k"]
+        sizes[row["class"]] += row["n"]
+    head_class = np.zeros(len(frequent_words.counts), np.int64)
+    head_class[:first] = histories[:first]
+    for place in range(first):
+        kinds[histories[place]] += frequent_words.counts[place] > 0
+        sizes[histories[place]] += frequent_words.counts[place]
+    # At most ``head`` rows.
+    for row in table.where("place >= 0").select("place", "class").collect():
+        head_class[row["place"]] = row["class"]
+    share = (cells + SMOOTHING) / (cells.sum(axis=1, keepdims=True) + SMOOTHING * classes)
+    each = sizes + kinds + 1
+    model = ClassModel(
+        frequent_words, histories, head_class,
+        np.log10(share), np.log10(each), np.log10((share / each).sum(axis=1)),
+        int(total), int(words),
     )
+    return model, table.where("place < 0").select("word", "n", "class")
 
 
-def score(
-    texts: DataFrame, model: ClassModel, counts: DataFrame
-) -> DataFrame:
-    """``id, content`` -> ``id, n_tokens, n_known, base_score, score``."""
+def score(texts: DataFrame, model: ClassModel, others: DataFrame) -> DataFrame:
+    """``id, content`` -> ``id, n_tokens, n_known, base_score, score``.
+
+    ``others`` has ``word, n, class`` of the words outside the head.
+    """
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(model.head)
         log_count = np.log10(model.head.counts + 1.0)
         for batch in stream:
-            ids, marks, words, times, parts = [], [], [], [], []
+            ids, words, before, times, parts = [], [], [], [], []
             column = batch.column("content")
             for i in range(batch.num_rows):
-                places, units, others = reader.read(column[i].as_py())
-                kinds = model.unit_class[units]
-                before = np.concatenate([[model.unit_class[0]], kinds[:-1]])
-                inside = places[places >= 0]
+                places, units, tail = reader.read(column[i].as_py())
+                history = model.histories[np.concatenate([[0], units[:-1]])]
+                known = places >= 0
+                inside, own = places[known], model.head_class[places[known]]
                 part = {
                     "tokens": len(places),
                     "known": int((model.head.counts[inside] > 0).sum()),
                     "counted": float(log_count[inside].sum()),
                     "classes": float(
-                        (model.log_pairs[before, kinds] - model.log_totals[kinds]).sum()
+                        (model.log_pairs[history[known], own] - model.log_totals[own]).sum()
                     ),
                 }
-                tail = Counter(others)
+                found = Counter(zip(tail, history[~known].tolist()))
                 # The document's own row: its key matches no word, and spreads.
-                key = f" {batch.column('mark')[i].as_py()}"
-                ids += [i] * (1 + len(tail))
-                words.append(key)
-                words += [w.decode() for w in tail]
-                times.append(0)
-                times += tail.values()
+                ids += [i] * (1 + len(found))
+                words.append(f" {batch.column('mark')[i].as_py()}")
+                words += [w.decode() for w, _ in found]
+                before += [0, *(h for _, h in found)]
+                times += [0, *found.values()]
                 parts.append(part)
-                parts += [None] * len(tail)
+                parts += [None] * len(found)
             if not ids:
                 continue
             at = pa.array(ids, pa.int64())
@@ -459,35 +486,42 @@ def score(
                     batch.column("id").take(at),
                     batch.column("mark").take(at),
                     pa.array(words, pa.string()),
+                    pa.array(before, pa.int32()),
                     pa.array(times, pa.int64()),
                     pa.array(parts, pa.struct(
                         [("tokens", pa.int64()), ("known", pa.int64()),
                          ("counted", pa.float64()), ("classes", pa.float64())]
                     )),
                 ],
-                names=["id", "mark", "word", "times", "part"],
+                names=["id", "mark", "word", "history", "times", "part"],
             )
 
     keyed = texts.select("id", F.xxhash64("content").alias("mark"), "content")
     kind = keyed.schema["id"].dataType.simpleString()
     rows = keyed.mapInArrow(
         batches,
-        f"id {kind}, mark long, word string, times long, "
+        f"id {kind}, mark long, word string, history int, times long, "
         "part struct<tokens:long,known:long,counted:double,classes:double>",
     )
+    # One row per history and class, at most (MOST_CLASSES + SHAPES) * (MOST_CLASSES + 1).
+    chance = np.column_stack([model.log_unseen, model.log_pairs - model.log_totals])
+    table = texts.sparkSession.createDataFrame(
+        [(h, c - 1, float(v)) for h, row in enumerate(chance) for c, v in enumerate(row)],
+        "history int, class int, chance double",
+    )
     n = F.coalesce("n", F.lit(0))
-    summed = (
-        rows.join(counts.select("word", "n"), "word", "left")
-        .groupBy("id", "mark")
-        .agg(
-            F.count("part").alias("copies"),
-            F.sum("part.tokens").alias("tokens"),
-            F.sum("part.known").alias("known"),
-            F.sum("part.counted").alias("counted"),
-            F.sum("part.classes").alias("classes"),
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-            F.sum(F.col("times") * F.log10(n + 1)).alias("tail_counted"),
-        )
+    joined = rows.join(others, "word", "left").withColumn(
+        "class", F.coalesce("class", F.lit(-1))
+    ).join(F.broadcast(table), ["history", "class"])
+    summed = joined.groupBy("id", "mark").agg(
+        F.count("part").alias("copies"),
+        F.sum("part.tokens").alias("tokens"),
+        F.sum("part.known").alias("known"),
+        F.sum("part.counted").alias("counted"),
+        F.sum("part.classes").alias("classes"),
+        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("tail_known"),
+        F.sum(F.col("times") * F.log10(n + 1)).alias("tail_counted"),
+        F.sum(F.col("times") * F.col("chance")).alias("tail_classes"),
     )
     # Equal rows have added up and are as many again.
     each = summed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
@@ -503,7 +537,7 @@ def score(
         n_tokens.alias("n_tokens"),
         whole(F.col("known") + F.col("tail_known")).alias("n_known"),
         (counted - n_tokens * share).alias("base_score"),
-        (counted + F.col("classes") / F.col("copies")).alias("score"),
+        (counted + (F.col("classes") + F.col("tail_classes")) / F.col("copies")).alias("score"),
     )
 
 
@@ -518,8 +552,8 @@ def report(
     modulus, left_out = held_out
     texts = _texts(docs, text, key)
     out = F.coalesce(remainder(F.col("id"), modulus) == left_out, F.lit(False))
-    model, counts = train(texts.where(~out), **options)
-    return score(texts, model, counts).select(
+    model, others = train(texts.where(~out), **options)
+    return score(texts, model, others).select(
         F.col("id").alias("doc_id"),
         out.alias("held_out"),
         "n_tokens",
@@ -527,8 +561,5 @@ def report(
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
-
-
-def perplexity(log10_probability: float, n_tokens: int) -> float:
-    return 10.0 ** (-log10_probability / max(n_tokens, 1))

@@ -17,7 +17,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, class_lm, line_crf, trie_tokens
+from riskframe.llm import byte_bpe, class_exchange, class_lm, line_crf, trie_tokens
 from riskframe.llm.queries import ranks
 
 PATTERN = public_tokenizers.PATTERN
@@ -199,7 +199,7 @@ def plain_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", low) + [None]
 
 
-@pytest.mark.parametrize("options", [{}, {"head": 5, "clustered": 3, "classes": 2}, {"clustered": 40, "classes": 4}])
+@pytest.mark.parametrize("options", [{}, {"head": 5, "seeds": 3, "classes": 2}, {"seeds": 40, "classes": 4}])
 def test_class_model_base_and_sums(spark, docs, options):
     rng = random.Random(9)
     vocabulary = ["the", "The", "cat", "Dog", "x1", "end.", "verylongwordhere", "é", "a", "runs"] + [f"w{i}" for i in range(40)]
@@ -215,36 +215,91 @@ def test_class_model_base_and_sums(spark, docs, options):
         assert (r.held_out, r.n_tokens, r.train_tokens) == (held[r.doc_id], len(words), n)
         assert r.n_known == sum(counts[w] > 0 for w in words)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
-        assert r.score < 0
+        assert r.score < 0 and r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens))
 
 
 def test_class_model_scores_token_by_token(spark, docs):
-    texts = ["a b a b a c", "b a d", "a b c d e f 99 end.", ""]
-    frame = docs(texts).select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    model, counts = class_lm.train(frame, classes=2, clustered=4, head=5)
-    known = {r.word: r.n for r in counts.collect()}
-    sizes, kinds = Counter(), Counter()
+    texts = ["a b a b a c", "b a d", "a b c d e f 99 end.", "e g h 99 g", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    model, others = class_lm.train(frame, classes=2, seeds=4, head=6)
+    counts = Counter(w for t in texts for w in [*t.encode().split(), class_lm.END])
     place = {w: i for i, w in enumerate(model.head.index)}
+    own = {w: int(model.head_class[i]) for w, i in place.items()}
+    own.update({r.word.encode(): r["class"] for r in others.collect()})
+    assert set(own) == set(counts) and set(own.values()) <= {0, 1}
 
-    def of(word):
+    def history(word):
         i = place.get(word, 10**6)
-        return int(model.unit_class[i if i < 4 else 4 + class_lm.shape(word)])
-
-    for word, n in known.items():
-        own = of(word.encode())
-        sizes[own] += n
-        kinds[own] += 1
-    for r in class_lm.score(frame, model, counts).collect():
-        words = [*texts[r.id].encode().split(), class_lm.END]
-        before, total = of(class_lm.END), 0.0
-        for word in words:
-            own = of(word)
-            total += model.log_pairs[before, own]
-            total += math.log10((known.get(word.decode(), 0) + 1) / (sizes[own] + kinds[own] + 1))
-            before = own
+        first = model.head.clustered
+        return int(model.histories[i if i < first else first + class_lm.shape(word)])
+
+    sizes, kinds, cells = Counter(), Counter(), np.zeros((2 + class_lm.SHAPES, 2))
+    for word, n in counts.items():
+        sizes[own[word]] += n
+        kinds[own[word]] += 1
+    for text in texts:
+        words = [class_lm.END, *text.encode().split(), class_lm.END]
+        for left, right in zip(words, words[1:]):
+            cells[history(left), own[right]] += 1
+    share = (cells + class_lm.SMOOTHING) / (cells.sum(axis=1, keepdims=True) + class_lm.SMOOTHING * 2)
+    np.testing.assert_allclose(model.log_pairs, np.log10(share))
+
+    def chance(left, word):
+        if word in own:
+            c = own[word]
+            return share[history(left), c] * (counts[word] + 1) / (sizes[c] + kinds[c] + 1)
+        return sum(share[history(left), c] / (sizes[c] + kinds[c] + 1) for c in (0, 1))
+
+    for left in counts:
+        # All words and one unseen word have all of the probability.
+        assert sum(chance(left, w) for w in [*counts, b"unseen"]) == pytest.approx(1)
+    asked = frame.union(spark.createDataFrame([(9, "new b new 77 h a")], frame.schema))
+    texts.append("new b new 77 h a")
+    for r in class_lm.score(asked, model, others).collect():
+        words = [class_lm.END, *texts[min(r.id, 5)].encode().split(), class_lm.END]
+        total = sum(math.log10(chance(x, y)) for x, y in zip(words, words[1:]))
         assert r.score == pytest.approx(total)
 
 
+def test_whole_vocabulary_is_exchanged_by_exact_gains_in_any_layout(spark):
+    rng = np.random.default_rng(4)
+    histories, classes, words = 6, 3, 80
+    likes = np.arange(words) % classes
+    n = rng.poisson(np.where(np.arange(histories)[:, None] % classes == likes, 6, 0.3))
+    n[:, 70:] = 0
+    n[rng.integers(0, histories, 10), np.arange(70, 80)] = 1
+    seeds = rng.poisson(np.where(np.arange(histories)[:, None] % classes == np.arange(classes), 40, 2)).astype(float)
+    rows = [
+        (f"w{w:02d}", -1, int(n[:, w].sum()), [(h, int(n[h, w])) for h in range(histories) if n[h, w]])
+        for w in range(words)
+    ]
+    schema = "word string, place int, n long, near array<struct<history:int,n:long>>"
+    frame = spark.createDataFrame(rows, schema)
+    results = []
+    for layout in (frame.coalesce(1), frame.repartition(5)):
+        table, cells = class_exchange.exchange_vocabulary(layout, seeds, 2)
+        results.append({r.word: r["class"] for r in table.collect()})
+        check = seeds.copy()
+        for word, own in results[-1].items():
+            check[:, own] += n[:, int(word[1:])]
+        np.testing.assert_allclose(cells, check)
+    assert results[0] == results[1] and len(results[0]) == words
+    assert np.mean([results[0][f"w{w:02d}"] == likes[w] for w in range(70)]) > 0.95
+    # A chosen class is the best by the likelihood itself.
+    for w in range(words):
+        entries = np.flatnonzero(n[:, w])
+        for own in (None, np.array([1])):
+            base = seeds + (0 if own is None else n[:, [w]] * np.array([[0, 1, 0]]))
+            free = base - (0 if own is None else n[:, [w]] * np.array([[0, 1, 0]]))
+            found = class_exchange.best_classes(base, np.array([0]), entries, n[entries, w].astype(float), own)
+            options = []
+            for c in range(classes):
+                trial = free.copy()
+                trial[:, c] += n[:, w]
+                options.append(class_exchange.cell_likelihood(trial))
+            assert options[int(found[0])] == pytest.approx(max(options), abs=1e-6)
+
+
 def test_exchange_gains_and_finds_planted_classes(spark):
     rng = np.random.default_rng(10)
     truth = np.arange(12) % 3
