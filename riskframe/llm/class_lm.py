@@ -13,7 +13,6 @@ training vocabulary gets its class by exchange clustering, in two steps:
    of the word, move at a time, each against the same counts, so that a class is a function of the
    table and not of its layout. A pass that does not raise the likelihood is dropped and ends it.
 
-The number of classes is the cube root of the vocabulary, between ``CLASSES`` and ``MOST_CLASSES``.
 Classes and counts are joined on the word when texts are scored, so no word is dropped and nothing
 that grows with the corpus is broadcast; words of the head - those above the count that at most
 ``head`` words reach - travel with the tasks instead.
@@ -47,7 +46,6 @@ from riskframe.llm.line_crf import remainder
 END = b"\n"  # no word holds a line feed
 SHAPES = 6
 CLASSES = 32
-MOST_CLASSES = 256
 SEEDS = 1000
 HEAD = 150_000
 PASSES = 2
@@ -101,10 +99,6 @@ class ClassModel:
     words: int
 
 
-def class_count(words: int) -> int:
-    return int(min(MOST_CLASSES, max(CLASSES, round(words ** (1 / 3)))))
-
-
 def _texts(docs: DataFrame, text: str, key: str) -> DataFrame:
     return packed(docs).select(
         F.col(f"row.`{key}`").alias("id"), content(text).alias("content")
@@ -393,7 +387,7 @@ def exchange(
 
 def train(
     texts: DataFrame,
-    classes: int | None = None,
+    classes: int = CLASSES,
     seeds: int = SEEDS,
     head: int = HEAD,
     rounds: int | None = None,
@@ -402,7 +396,6 @@ def train(
     """The model, and ``word, n, class`` of all words of the given texts but the seeds."""
     counts = cut(word_counts(texts))
     total, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    classes = class_count(words) if classes is None else classes
     frequent_words = frequent(counts, seeds, head)
     first = frequent_words.clustered
     bigrams = cut(unit_bigrams(texts, frequent_words))
@@ -503,7 +496,7 @@ def score(texts: DataFrame, model: ClassModel, others: DataFrame) -> DataFrame:
         f"id {kind}, mark long, word string, history int, times long, "
         "part struct<tokens:long,known:long,counted:double,classes:double>",
     )
-    # One row per history and class, at most (MOST_CLASSES + SHAPES) * (MOST_CLASSES + 1).
+    # One row per history and class, (classes + SHAPES) * (classes + 1) of them.
     chance = np.column_stack([model.log_unseen, model.log_pairs - model.log_totals])
     table = texts.sparkSession.createDataFrame(
         [(h, c - 1, float(v)) for h, row in enumerate(chance) for c, v in enumerate(row)],
